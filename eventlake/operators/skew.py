@@ -1,0 +1,84 @@
+"""Hot keys: find them, set them aside, and number or join rows without giving one task a whole key."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+# A key is hot when it holds more than this share of all rows, so at most 1 / HOT_SHARE keys are hot:
+# the list is safe to broadcast at any data size. A key below the share fits an ordinary task.
+HOT_SHARE = 1e-4
+# Below this many rows a key is never worth special treatment.
+MIN_HOT_ROWS = 1_000_000
+# Rows per block when one key is cut into consecutive blocks; seq is unique, so a block holds no more.
+BLOCK_WIDTH = 1_000_000
+
+
+def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, min_rows: int = MIN_HOT_ROWS) -> DataFrame:
+    """The keys holding more than ``share`` of all rows and more than ``min_rows`` rows."""
+    rows = df.where(F.col(key).isNotNull()).select(key)
+    floor = rows.agg(F.greatest(F.lit(float(min_rows)), F.count(F.lit(1)) * F.lit(share)).alias("floor"))
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return counts.where(F.col("n") > floor.scalar()).select(key)
+
+
+def split_hot(df: DataFrame, key: str, **limits) -> tuple[DataFrame, DataFrame]:
+    """(rows of ordinary keys, rows of hot keys). The broadcast list has at most 1 / share rows."""
+    hot = F.broadcast(hot_keys(df, key, **limits))
+    return df.join(hot, key, "left_anti"), df.join(hot, key, "left_semi")
+
+
+def join_on_unique(left: DataFrame, right: DataFrame, key: str, how: str, **limits) -> DataFrame:
+    """Equi join where ``right`` has one row per key and ``left`` may be skewed.
+
+    Ordinary keys take the planner's join. The rows of hot keys stay where they are and meet a
+    broadcast of the matching right rows, of which there is at most one per hot key.
+    """
+    hot = F.broadcast(hot_keys(left, key, **limits))
+    ordinary = left.join(hot, key, "left_anti").join(right, key, how)
+    heavy = left.join(hot, key, "left_semi").join(
+        F.broadcast(right.join(hot, key, "left_semi")), key, how
+    )
+    return ordinary.unionByName(heavy)
+
+
+def block_of(seq: str, width: int):
+    """Consecutive block number of an integral, unique order column."""
+    return F.expr(f"`{seq}` div {int(width)}L")
+
+
+def block_starts(df: DataFrame, keys: list[str], block: str, *extra) -> DataFrame:
+    """Per (keys, block): rows in earlier blocks of the same keys (``rows_before``).
+
+    ``extra`` are (aggregate column, name) pairs for which the maximum over earlier blocks is kept.
+    The window runs over block summaries: one row per block, not per input row.
+    """
+    sizes = df.groupBy(*keys, block).agg(
+        F.count(F.lit(1)).alias("_n"), *[agg.alias(name) for agg, name in extra]
+    )
+    before = Window.partitionBy(*keys).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+    return sizes.select(
+        *keys,
+        block,
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("rows_before"),
+        *[F.max(name).over(before).alias(name) for _, name in extra],
+    )
+
+
+def with_position(
+    df: DataFrame, keys: list[str], seq: str, name: str = "position", block_width: int = BLOCK_WIDTH
+) -> DataFrame:
+    """Dense zero-based position of each row within ``keys`` in ``seq`` order.
+
+    Same values as ``row_number() - 1`` over the keys, but a key is numbered block by block, so a
+    key that holds a third of the table is spread over many tasks.
+    """
+    blocked = df.withColumn("_block", block_of(seq, block_width))
+    starts = block_starts(blocked, keys, "_block")
+    local = F.row_number().over(Window.partitionBy(*keys, "_block").orderBy(seq)) - 1
+    return (
+        blocked.withColumn("_local", local)
+        .join(starts, [*keys, "_block"])
+        .withColumn(name, F.col("rows_before") + F.col("_local"))
+        .drop("_block", "_local", "rows_before")
+    )
