@@ -51,6 +51,15 @@ def json_rows(df: DataFrame, column: str = "value") -> DataFrame:
     return safe.select(F.to_json(F.struct(*safe.columns), {"ignoreNullFields": "false"}).alias(column))
 
 
+def computed_once(c: Column) -> Column:
+    """A generator giving exactly this value, for ``select``.
+
+    A filter on its result stays above it. Without that, the optimizer moves the filter below and
+    repeats the expression in it, which doubles the cost of parsing JSON.
+    """
+    return F.explode(F.array(c))
+
+
 def id_text(c: Column) -> Column:
     """64-bit ids as text, so that readers with double-precision numbers keep every digit."""
     return c.cast("string")

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eventlake.functions.json_safe import computed_once
 from eventlake.functions.text import is_empty
 from eventlake.functions.times import now_text
 from eventlake.schemas import EVENT_COLUMNS, EVENT_SCHEMA
@@ -20,8 +21,8 @@ def parse_events(records: DataFrame, value: str = "value") -> DataFrame:
 
     Works on static and streaming frames alike.
     """
-    parsed = records.select(F.from_json(F.col(value).cast("string"), EVENT_SCHEMA).alias("data"))
-    return parsed.select("data.*").where(F.col("event_id").isNotNull()).select(*EVENT_COLUMNS)
+    data = F.from_json(F.col(value).cast("string"), EVENT_SCHEMA)
+    return records.select(computed_once(data).alias("data")).select("data.*").where(F.col("event_id").isNotNull()).select(*EVENT_COLUMNS)
 
 
 def usage_envelope(

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from eventlake.functions.json_safe import computed_once
 from eventlake.functions.text import is_empty
 from eventlake.functions.times import micros, parse_iso
 from eventlake.operators.skew import (
@@ -41,8 +42,9 @@ def parse_security_events(records: DataFrame, value: str = "value") -> DataFrame
 
     Unreadable messages and times leave ``ets`` null: see ``readable_events`` and ``unreadable_events``.
     """
-    parsed = records.withColumn("_event", F.from_json(F.col(value).cast("string"), SECURITY_SCHEMA))
+    event = F.from_json(F.col(value).cast("string"), SECURITY_SCHEMA)
     kept = [c for c in records.columns if c != value]
+    parsed = records.select(*kept, value, computed_once(event).alias("_event"))
     return parsed.select(*kept, value, "_event.*").withColumn("ets", parse_iso(F.col("timestamp")))
 
 

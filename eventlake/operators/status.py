@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from eventlake.functions.json_safe import computed_once
 from eventlake.functions.status_words import INITIAL_STATUS, STAGES
 from eventlake.functions.text import clamp, contains_ignore_case, is_empty
 from eventlake.operators.skew import join_on_unique
@@ -22,7 +23,7 @@ def parse_status(messages: DataFrame, value: str = "value") -> DataFrame:
     """Required keys as columns, every other key in ``extras``; other message columns are kept."""
     payload = F.from_json(F.col(value).cast("string"), STATUS_PAYLOAD)
     kept = [c for c in messages.columns if c != value]
-    parsed = messages.select(*kept, value, payload.alias("_payload"))
+    parsed = messages.select(*kept, value, computed_once(payload).alias("_payload"))
     return parsed.select(
         *kept,
         value,
@@ -94,14 +95,21 @@ def stage_documents(fields: DataFrame) -> DataFrame:
     return fields.groupBy("event_id", "stage").agg(F.map_from_entries(pairs).alias("document"))
 
 
-def pipeline_state(events: DataFrame, status: DataFrame, fields: Sequence[str] = ()) -> DataFrame:
-    """State of every created event, one row per stage.
+def stages_from_fields(folded: DataFrame, fields: Sequence[str] = (), arrival: str = "arrival") -> DataFrame:
+    """Rows of ``fold_fields`` as the columns of ``fold_stages``."""
+    return folded.groupBy("event_id", "stage").agg(
+        *[F.max(F.when(F.col("field") == f, F.col("field_value"))).alias(f) for f in ("status", *fields)],
+        F.max(arrival).alias("updated_arrival"),
+    )
+
+
+def with_initial_state(events: DataFrame, folded: DataFrame) -> DataFrame:
+    """State of every created event from folded stages, one row per stage.
 
     Each event starts with the five stages in their initial status; further stages appear when a
     message names them. Messages of unknown events have no effect. ``updated_arrival`` is null for
-    a stage no message has touched.
+    a stage no message has touched. Both sides of the join have one row per event.
     """
-    folded = fold_stages(status, fields)
     entry = [c for c in folded.columns if c != "event_id"]
     entries = folded.groupBy("event_id").agg(F.collect_list(F.struct(*entry)).alias("_touched"))
     dtypes = {f.name: f.dataType for f in folded.schema.fields}
@@ -116,10 +124,14 @@ def pipeline_state(events: DataFrame, status: DataFrame, fields: Sequence[str] =
         ]
     )
     joined = events.select("event_id").join(entries, "event_id", "left")
-    touched_names = F.coalesce(F.col("_touched")["stage"], F.array().cast("array<string>"))
-    untouched = F.filter(start, lambda s: ~F.array_contains(touched_names, s["stage"]))
-    stages = F.when(F.col("_touched").isNull(), start).otherwise(F.concat(untouched, F.col("_touched")))
-    return joined.select("event_id", F.inline(stages))
+    touched = F.coalesce(F.col("_touched"), F.filter(start, lambda _: F.lit(False)))
+    untouched = F.filter(start, lambda s: ~F.array_contains(touched["stage"], s["stage"]))
+    return joined.select("event_id", F.inline(F.concat(untouched, touched)))
+
+
+def pipeline_state(events: DataFrame, status: DataFrame, fields: Sequence[str] = ()) -> DataFrame:
+    """State of every created event after all its status messages."""
+    return with_initial_state(events, fold_stages(status, fields))
 
 
 def pipeline_summary(events: DataFrame, status: DataFrame, arrival: str = "arrival") -> DataFrame:

@@ -14,8 +14,12 @@ from eventlake.functions.text import head_preview, preview
 from eventlake.operators import directory, history, ingest, security, status, topics, usage
 from eventlake.plans import fixtures as fx
 from eventlake.schemas import EVENT_COLUMNS
+from eventlake.session import work_folder
+from eventlake.sinks.ledger import Ledger
+from eventlake.sinks.topics import parquet_publisher
 from eventlake.sources import files
 from eventlake.sources.tables import read_table
+from eventlake.streaming import detector, pipeline, readers, status_state
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -427,3 +431,55 @@ def json_safe_rows(spark, folder):
         nation["value"]["since"].alias("since"),
         nation["value"]["ok"].alias("ok"),
     )
+
+
+# Streams: the same inputs and results as the batch queries, through micro-batches
+
+
+def _events_stream(spark, folder):
+    schema = read_table(spark, folder, "events").schema
+    return fx.with_k(readers.file_stream(spark, f"{folder.rstrip('/')}/events*.parquet", schema))
+
+
+@query
+def stream_ingest(spark, folder):
+    """Usage records through the ingest pipeline; the table afterwards."""
+    home = work_folder(spark, "stream-ingest")
+    ledger = Ledger(spark, f"{home}/table").create()
+    handler = pipeline.batch_handler(pipeline.ledger_target(ledger), parquet_publisher(f"{home}/status"))
+    records = fx.usage_json_of(_events_stream(spark, folder))
+    readers.run_available(pipeline.usage_stream(records), handler, f"{home}/checkpoint")
+    return ledger.current()
+
+
+@query
+def stream_incidents(spark, folder):
+    """Security records through the stateful detector."""
+    home = work_folder(spark, "stream-incidents")
+
+    def emit(incidents, batch_id):
+        incidents.write.mode("overwrite").parquet(f"{home}/incidents/batch={batch_id}")
+
+    handler = detector.incident_handler(
+        spark, f"{home}/state", emit, window_seconds=INCIDENT_WINDOW_SECONDS
+    )
+    readers.run_available(fx.security_of(_events_stream(spark, folder)), handler, f"{home}/checkpoint")
+    return spark.read.parquet(f"{home}/incidents").drop("batch")
+
+
+@query
+def stream_pipeline_state(spark, folder):
+    """Status records through the stateful fold, joined to the created events."""
+    home = work_folder(spark, "stream-status")
+    messages = fx.status_messages_of(_events_stream(spark, folder))
+    last = 0
+
+    def remember(batch, batch_id):
+        nonlocal last
+        handler(batch, batch_id)
+        last = batch_id
+
+    handler = status_state.status_handler(spark, f"{home}/state")
+    readers.run_available(messages, remember, f"{home}/checkpoint")
+    folded = status.stages_from_fields(status_state.read_state(spark, f"{home}/state", last), STATUS_FIELDS)
+    return status.with_initial_state(fx.created_events(spark, folder), folded)

@@ -10,15 +10,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventlake.functions.json_safe import computed_once
 from eventlake.operators.topics import assign_offsets
 from eventlake.schemas import COMMIT_SCHEMA, EVENT_COLUMNS, EVENT_SCHEMA
-from eventlake.sources.tables import read_table, write_and_read
+from eventlake.sources.tables import read_table, spread_small, write_and_read
 
 _TIME = """concat(date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), '+00:00')"""
 
 
 def base_events(spark: SparkSession, folder: str) -> DataFrame:
-    return with_k(read_table(spark, folder, "events"))
+    return with_k(spread_small(read_table(spark, folder, "events"), "event_id"))
 
 
 def with_k(events: DataFrame) -> DataFrame:
@@ -62,7 +63,7 @@ def usage_json_of(events: DataFrame) -> DataFrame:
         .when(F.col("k") == 96, as_text)
         .otherwise(F.to_json(F.struct(*EVENT_COLUMNS)))
     )
-    return rows.select("seq", value.alias("value"))
+    return rows.select("seq", computed_once(value).alias("value"))
 
 
 def usage_json(spark: SparkSession, folder: str) -> DataFrame:
@@ -106,8 +107,7 @@ def status_messages_of(events: DataFrame) -> DataFrame:
                      ELSE k % 10 <> 0 END)"""
     )
     rows = events.select("event_id", "user_id", "k", F.inline(steps))
-    return rows.selectExpr(
-        "event_id * 10 + step AS arrival",
+    value = F.expr(
         """concat('{"event_id":"evt-', event_id, '","stage":"', stage, '","status":"', status, '"',
              CASE WHEN step = 1 THEN concat(',"topic":"',
                CASE WHEN user_id % 7 = 0 THEN 'usage-replay' ELSE 'usage-events' END,
@@ -115,8 +115,9 @@ def status_messages_of(events: DataFrame) -> DataFrame:
              CASE WHEN step BETWEEN 3 AND 8 THEN concat(',"batch_id":', event_id div 100) ELSE '' END,
              CASE WHEN step = 5 AND k % 10 <> 0 THEN concat(',"snapshot_id":',
                CASE WHEN k % 4 <> 0 THEN CAST(1000 + event_id div 100 AS string) ELSE 'null' END) ELSE '' END,
-             '}') AS value""",
+             '}')"""
     )
+    return rows.select(F.expr("event_id * 10 + step AS arrival"), computed_once(value).alias("value"))
 
 
 def status_messages(spark: SparkSession, folder: str) -> DataFrame:
@@ -160,7 +161,8 @@ def security_json_of(events: DataFrame) -> DataFrame:
             "realm",
         )
     )
-    return security_of(events).select("seq", F.when(F.col("k") == 94, "{bad").otherwise(body).alias("value"))
+    value = F.when(F.col("k") == 94, "{bad").otherwise(body)
+    return security_of(events).select("seq", computed_once(value).alias("value"))
 
 
 def security_json(spark: SparkSession, folder: str) -> DataFrame:

@@ -390,6 +390,9 @@ _SQL = {
     "directory_valid": (["entries"], "SELECT * FROM entries"),
     "directory_new": (["ranked"], "SELECT * EXCLUDE (nth, present) FROM ranked WHERE nth = 1 AND NOT present"),
     "directory_duplicates": (["ranked"], "SELECT seq, uid FROM ranked WHERE nth > 1 OR present"),
+    "stream_ingest": (["parsed"], "SELECT * FROM parsed"),
+    "stream_incidents": (["incidents"], "SELECT * FROM incidents"),
+    "stream_pipeline_state": (["state"], "SELECT * FROM state"),
     "json_safe_rows": (
         [],
         """SELECT s_suppkey, s_name AS name, CASE WHEN s_suppkey % 10 IN (0, 1, 2) THEN NULL ELSE s_acctbal END AS balance,

@@ -1,0 +1,100 @@
+"""An append-only usage table with a commit log, for places without an Iceberg catalog.
+
+Rows go to ``data/commit_seq=N``, then one row to ``commits``. A row counts only when its commit
+number is not above the newest commit, so files of an attempt that died before its commit are
+invisible, and the next attempt overwrites them. One writer at a time. Queries over it are in
+operators.history; reads prune to the folders of the commits they need.
+"""
+
+from __future__ import annotations
+
+import json
+
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from eventlake.operators import history
+from eventlake.operators.ingest import new_rows
+from eventlake.schemas import COMMIT_SCHEMA, EVENT_COLUMNS, EVENT_SCHEMA
+
+ROW_SCHEMA = T.StructType([*EVENT_SCHEMA.fields, T.StructField("commit_seq", T.LongType())])
+
+
+class Ledger:
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark = spark
+        self.folder = folder.rstrip("/")
+        self.data_folder = f"{self.folder}/data"
+        self._commit_folder = f"{self.folder}/commits"
+
+    def create(self) -> "Ledger":
+        """Make the empty table; does nothing when it is there."""
+        empty_rows = self.spark.createDataFrame([], EVENT_SCHEMA)
+        empty_rows.write.mode("ignore").parquet(self.commit_folder(0))
+        self.spark.createDataFrame([], COMMIT_SCHEMA).write.mode("ignore").parquet(self._commit_folder)
+        return self
+
+    def commits(self) -> DataFrame:
+        return self.spark.read.schema(COMMIT_SCHEMA).parquet(self._commit_folder)
+
+    def rows(self) -> DataFrame:
+        """All rows ever committed or attempted, with ``commit_seq``; see ``current`` and ``at``."""
+        return self.spark.read.schema(ROW_SCHEMA).parquet(self.data_folder)
+
+    def commit_folder(self, snapshot_id: int | str) -> str:
+        """Folder of the rows one append brought; snapshot ids equal commit numbers here."""
+        return f"{self.data_folder}/commit_seq={int(snapshot_id)}"
+
+    def current(self) -> DataFrame:
+        return history.rows_at(self.rows(), self.commits()).select(*EVENT_COLUMNS)
+
+    def at(self, snapshot_id: int | str) -> DataFrame:
+        commits = self.commits()
+        wanted = history.require_snapshot(commits, snapshot_id)
+        return history.rows_at(self.rows(), commits, wanted).select(*EVENT_COLUMNS)
+
+    def newest_id(self) -> int | None:
+        return self.commits().agg(F.max_by("snapshot_id", "seq")).first()[0]
+
+    def append(self, df: DataFrame, batch_id: int | None = None, idempotent: bool = False) -> int:
+        """Append the canonical columns and return the snapshot id.
+
+        A retried batch is appended again, as at-least-once delivery does. With ``idempotent`` a
+        batch id that is already committed is skipped, and so are event ids the table holds.
+        """
+        if idempotent:
+            done = self.commits().where(F.col("batch_id") == batch_id).agg(F.max("snapshot_id")).first()[0]
+            if batch_id is not None and done is not None:
+                return done
+            df = df.select(*EVENT_COLUMNS)
+            df = new_rows(df, self.current())
+        seq = self._next_seq()
+        counted = Observation()
+        observed = df.select(*EVENT_COLUMNS).observe(counted, F.count(F.lit(1)).alias("rows"))
+        observed.write.mode("overwrite").parquet(self.commit_folder(seq))
+        return self._commit(seq, history.APPEND, {"added-records": str(counted.get["rows"])}, batch_id)
+
+    def clear(self, confirmation: str) -> dict:
+        """Remove all rows from the current state, keep the history, report what happened."""
+        history.check_confirmation(confirmation)
+        snapshot_id = self._commit(self._next_seq(), history.DELETE, {}, None)
+        report = history.clear_effect(self.rows(), self.commits(), snapshot_id)
+        return report.first().asDict()
+
+    def _next_seq(self) -> int:
+        return (self.commits().agg(F.max("seq")).first()[0] or 0) + 1
+
+    def _commit(self, seq: int, operation: str, summary: dict[str, str], batch_id: int | None) -> int:
+        parent = self.newest_id()
+        entry = self.spark.range(1).select(
+            F.lit(seq).cast("long").alias("seq"),
+            F.lit(seq).cast("long").alias("snapshot_id"),
+            F.lit(parent).cast("long").alias("parent_id"),
+            F.current_timestamp().alias("committed_at"),
+            F.lit(operation).alias("operation"),
+            F.from_json(F.lit(json.dumps(summary)), "map<string,string>").alias("summary"),
+            F.lit(batch_id).cast("long").alias("batch_id"),
+        )
+        entry.coalesce(1).write.mode("append").parquet(self._commit_folder)
+        return seq

@@ -12,6 +12,15 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def spread_small(df: DataFrame, key: str) -> DataFrame:
+    """Redistribute a table that has fewer splits than the cluster has cores.
+
+    A table of any size to speak of has more splits than that and stays as it is, unshuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def write_and_read(df: DataFrame, purpose: str, schema: T.StructType) -> DataFrame:
     """Write a frame to the shared work folder and read it back, so that later uses start there."""
     path = work_folder(df.sparkSession, purpose)

@@ -1,0 +1,36 @@
+"""State that a ``foreachBatch`` query carries from one micro-batch to the next."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+
+
+class AlternatingState:
+    """A state frame kept in two folders: batch N reads what N-1 wrote and writes the other one.
+
+    A retried batch therefore finds its input untouched, and old versions need no clean-up. The
+    folder must be on storage all executors share, beside the query's checkpoint.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, schema: T.StructType):
+        self.spark = spark
+        self.schema = schema
+        self._folder = folder.rstrip("/")
+
+    def before(self, batch_id: int) -> DataFrame:
+        if batch_id == 0:
+            return self.spark.createDataFrame([], self.schema)
+        return self._read(batch_id - 1)
+
+    def after(self, batch_id: int) -> DataFrame:
+        return self._read(batch_id)
+
+    def write(self, df: DataFrame, batch_id: int) -> None:
+        df.select(*self.schema.fieldNames()).write.mode("overwrite").parquet(self._slot(batch_id))
+
+    def _read(self, batch_id: int) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(self._slot(batch_id))
+
+    def _slot(self, batch_id: int) -> str:
+        return f"{self._folder}/slot={batch_id % 2}"
