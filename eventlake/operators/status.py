@@ -124,9 +124,10 @@ def with_initial_state(events: DataFrame, folded: DataFrame) -> DataFrame:
         ]
     )
     joined = events.select("event_id").join(entries, "event_id", "left")
-    touched = F.coalesce(F.col("_touched"), F.filter(start, lambda _: F.lit(False)))
+    touched = F.col("_touched")
     untouched = F.filter(start, lambda s: ~F.array_contains(touched["stage"], s["stage"]))
-    return joined.select("event_id", F.inline(F.concat(untouched, touched)))
+    stages = F.when(touched.isNull(), start).otherwise(F.concat(untouched, touched))
+    return joined.select("event_id", F.inline(stages))
 
 
 def pipeline_state(events: DataFrame, status: DataFrame, fields: Sequence[str] = ()) -> DataFrame:

@@ -1,0 +1,47 @@
+import pytest
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from eventlake.operators import skew
+
+FORCED = {"share": 0.2, "min_rows": 5}
+
+
+@pytest.fixture(scope="module")
+def skewed(spark):
+    """A third of the rows have one key; a few have none."""
+    key = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 50 == 1, None).otherwise(
+        F.concat(F.lit("k"), (F.col("id") % 40).cast("string"))
+    )
+    return spark.range(3000).select(F.col("id").alias("seq"), key.alias("key"))
+
+
+def test_hot_keys_are_those_above_the_share(skewed):
+    assert [r.key for r in skew.hot_keys(skewed, "key", **FORCED).collect()] == ["hot"]
+    assert skew.hot_keys(skewed, "key").count() == 0
+
+
+def test_split_loses_nothing(skewed):
+    ordinary, hot = skew.split_hot(skewed, "key", **FORCED)
+    assert hot.count() == 1000
+    assert ordinary.unionByName(hot).select(*skewed.columns).exceptAll(skewed).isEmpty()
+    assert ordinary.count() + hot.count() == skewed.count()
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+@pytest.mark.parametrize("present", [["hot", "k1", "k2", "x"], ["k1", "k4"]])
+def test_join_on_unique_equals_the_plain_join(spark, skewed, how, present):
+    right = spark.createDataFrame([(k, f"v-{k}") for k in present], "key string, extra string")
+    plain = skewed.join(right, "key", how)
+    got = skew.join_on_unique(skewed, right, "key", how, **FORCED)
+    assert got.count() == plain.count()
+    assert got.select(*plain.columns).exceptAll(plain).isEmpty()
+
+
+@pytest.mark.parametrize("width", [1, 7, 100, 10_000])
+def test_positions_equal_row_numbers(spark, skewed, width):
+    rows = skewed.where("key IS NOT NULL").withColumn("seq", F.col("seq") * 3 - 500)
+    got = skew.with_position(rows, ["key"], "seq", "pos", block_width=width)
+    want = F.row_number().over(Window.partitionBy("key").orderBy("seq")) - 1
+    assert got.count() == rows.count()
+    assert got.withColumn("want", want).where("pos <> want OR pos IS NULL").isEmpty()
