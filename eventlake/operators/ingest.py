@@ -93,7 +93,7 @@ def status_records(
 ) -> DataFrame:
     """One keyed record per event id and stage transition, in transition order (``step``).
 
-    The transitions are a short literal array on each row, so nothing is joined or shuffled.
+    Extras may use any column of ``event_ids``. The transitions are a short literal array on each row, so nothing is joined or shuffled.
     """
     entries = [
         F.struct(
@@ -107,6 +107,17 @@ def status_records(
     return event_ids.select(F.col("event_id").alias("key"), F.inline(F.array(*entries)))
 
 
+def acknowledged_records(log: DataFrame) -> DataFrame:
+    """Status records of events a topic has taken: where they went, and that Spark is next."""
+    place = {name: F.col(name) for name in ("topic", "partition", "offset")}
+    return status_records(log, [("kafka", "completed", place), ("spark", "processing", {})])
+
+
+def refused_records(events: DataFrame, error: Column) -> DataFrame:
+    """Status records of events that could not be sent."""
+    return status_records(events, [("kafka", "failed", {"error": error})])
+
+
 def success_transitions(
     batch_id: int, table: str, snapshot_id: Column, path: str, bucket: str, files: int
 ) -> list[tuple[str, str, dict[str, Column]]]:

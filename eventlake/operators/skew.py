@@ -1,4 +1,4 @@
-"""Hot keys: find them, set them aside, and number or join rows without giving one task a whole key."""
+"""Hot keys: find them, set them aside, and number rows without giving one task a whole key."""
 
 from __future__ import annotations
 
@@ -16,10 +16,10 @@ BLOCK_WIDTH = 1_000_000
 
 def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, min_rows: int = MIN_HOT_ROWS) -> DataFrame:
     """The keys holding more than ``share`` of all rows and more than ``min_rows`` rows."""
-    rows = df.where(F.col(key).isNotNull()).select(key)
-    floor = rows.agg(F.greatest(F.lit(float(min_rows)), F.count(F.lit(1)) * F.lit(share)).alias("floor"))
-    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    return counts.where(F.col("n") > floor.scalar()).select(key)
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    # The total comes from the same counts, so the shuffle below them is shared.
+    total = counts.agg(F.sum("n").alias("total")).scalar()
+    return counts.where((F.col("n") > min_rows) & (F.col("n") > total * share)).select(key)
 
 
 def split_hot(df: DataFrame, key: str, **limits) -> tuple[DataFrame, DataFrame]:
@@ -28,20 +28,6 @@ def split_hot(df: DataFrame, key: str, **limits) -> tuple[DataFrame, DataFrame]:
     return df.join(hot, key, "left_anti"), df.join(hot, key, "left_semi")
 
 
-def join_on_unique(left: DataFrame, right: DataFrame, key: str, how: str, **limits) -> DataFrame:
-    """Equi join where ``right`` has one row per key and ``left`` may be skewed.
-
-    Ordinary keys take the planner's join. The rows of hot keys stay where they are and meet a
-    broadcast of the matching right rows, of which there is at most one per hot key.
-    """
-    hot = F.broadcast(hot_keys(left, key, **limits))
-    ordinary = left.join(hot, key, "left_anti").join(right, key, how)
-    heavy = left.join(hot, key, "left_semi").join(
-        F.broadcast(right.join(hot, key, "left_semi")), key, how
-    )
-    return ordinary.unionByName(heavy)
-
-
 def block_of(seq: str, width: int):
     """Consecutive block number of an integral, unique order column."""
     return F.expr(f"`{seq}` div {int(width)}L")

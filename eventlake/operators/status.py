@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from eventlake.functions.json_safe import computed_once
 from eventlake.functions.status_words import INITIAL_STATUS, STAGES
 from eventlake.functions.text import clamp, contains_ignore_case, is_empty
-from eventlake.operators.skew import join_on_unique
 from eventlake.schemas import STATUS_PAYLOAD
 
 # The three required keys, and how many events the state keeps and shows.
@@ -48,9 +47,13 @@ def invalid_status(parsed: DataFrame, value: str = "value") -> DataFrame:
     return parsed.where(~_complete()).drop("extras")
 
 
-def unknown_status(status: DataFrame, events: DataFrame, **limits) -> DataFrame:
-    """Status rows of events that were never created. One unknown id may own many rows."""
-    return join_on_unique(status, events.select("event_id"), "event_id", "left_anti", **limits)
+def unknown_status(status: DataFrame, events: DataFrame) -> DataFrame:
+    """Status rows of events that were never created.
+
+    One unknown id may own many rows. Event ids are unique, so adaptive execution can cut such a
+    partition of the status side into pieces and give each the few ids it needs.
+    """
+    return status.join(events.select("event_id"), "event_id", "left_anti")
 
 
 def fold_stages(status: DataFrame, fields: Sequence[str] = (), arrival: str = "arrival") -> DataFrame:
@@ -135,6 +138,14 @@ def pipeline_state(events: DataFrame, status: DataFrame, fields: Sequence[str] =
     return with_initial_state(events, fold_stages(status, fields))
 
 
+def event_state(state: DataFrame, event_id: str) -> DataFrame:
+    """State of one event; an event that was never created is an error."""
+    found = state.where(F.col("event_id") == event_id)
+    if found.limit(1).isEmpty():
+        raise LookupError(f"event not found: {event_id}")
+    return found
+
+
 def pipeline_summary(events: DataFrame, status: DataFrame, arrival: str = "arrival") -> DataFrame:
     """Per event: status of the five stages, completed and failed stages, overall status."""
     latest = status.groupBy("event_id").agg(
@@ -194,12 +205,14 @@ def recent_events(
 ) -> DataFrame:
     """State of the most recently touched events; order by ``touched_arrival`` for oldest first.
 
-    The limit is clamped. Only the statuses of the chosen events, at most ``keep``, are folded.
+    The limit is clamped, so at most ``keep`` ids are fetched to choose the events. They become a
+    literal filter on the status messages, and only those are folded.
     """
     chosen = retained_events(events, status, clamp(limit, 1, keep))
-    ids = F.broadcast(chosen.select("event_id"))
-    state = pipeline_state(chosen.select("event_id"), status.join(ids, "event_id", "left_semi"), fields)
-    return state.join(F.broadcast(chosen), "event_id")
+    rows = chosen.collect()
+    local = chosen.sparkSession.createDataFrame(rows, chosen.schema)
+    state = pipeline_state(local, status.where(F.col("event_id").isin([r.event_id for r in rows])), fields)
+    return state.join(F.broadcast(local), "event_id")
 
 
 def search_status(state: DataFrame, query: str = "", topic: str | None = None, trim: bool = True) -> DataFrame:

@@ -102,6 +102,13 @@ def status_records(spark, folder):
     return ingest.status_records(ingest.batch_event_ids(fx.usage(spark, folder)), transitions)
 
 
+@query
+def sent_records(spark, folder):
+    """Status records the gateway writes once the topic has taken an event."""
+    log = topics.visible_topics(fx.topic_log(spark, folder), "error_code")
+    return ingest.acknowledged_records(log.withColumn("event_id", F.concat(F.lit("evt-"), "event_id")))
+
+
 @query
 def dedup_append(spark, folder):
     """Replaying all usage events against the table as it was at an early snapshot."""

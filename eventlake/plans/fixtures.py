@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from eventlake.functions.json_safe import computed_once
 from eventlake.operators.topics import assign_offsets
 from eventlake.schemas import COMMIT_SCHEMA, EVENT_COLUMNS, EVENT_SCHEMA
-from eventlake.sources.tables import read_table, spread_small, write_and_read
+from eventlake.sources.tables import read_table, spread_small, write_table
 
 _TIME = """concat(date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), '+00:00')"""
 
@@ -186,7 +186,17 @@ def table_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def commits(spark: SparkSession, folder: str) -> DataFrame:
-    """The commit log, written once so that its many small lookups do not rescan the events."""
+    """The commit log, written once per session so that its small lookups do not rescan the events."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _commit_logs:
+        _commit_logs[key] = write_table(_commit_log(spark, folder), "commits")
+    return spark.read.schema(COMMIT_SCHEMA).parquet(_commit_logs[key])
+
+
+_commit_logs: dict[tuple[str, str], str] = {}
+
+
+def _commit_log(spark: SparkSession, folder: str) -> DataFrame:
     days = base_events(spark, folder).where("k <> 99").selectExpr(f"{_DAY} AS day").distinct()
     entries = days.select(
         F.expr(
@@ -198,7 +208,7 @@ def commits(spark: SparkSession, folder: str) -> DataFrame:
               c -> c.operation = 'append' OR day = {CLEAR_DAY}))"""
         )
     )
-    log = entries.select(
+    return entries.select(
         "seq",
         F.col("seq").alias("snapshot_id"),
         F.when(F.col("seq") > FIRST_SNAPSHOT, F.col("seq") - 1).alias("parent_id"),
@@ -206,8 +216,7 @@ def commits(spark: SparkSession, folder: str) -> DataFrame:
         "operation",
         F.create_map(F.lit("day"), F.col("day").cast("string")).alias("summary"),
         F.col("day").cast("long").alias("batch_id"),
-    )
-    return write_and_read(log.coalesce(1), "commits", COMMIT_SCHEMA)
+    ).coalesce(1)
 
 
 def topic_log_of(events: DataFrame) -> DataFrame:

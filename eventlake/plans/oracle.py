@@ -225,6 +225,14 @@ _SQL = {
                || '"bucket":"warehouse","path":"s3a://warehouse/usage/data/","parquet_files":3}'))
              AS t(step, stage, status, body)""",
     ),
+    "sent_records": (
+        ["topic_log"],
+        """SELECT 'evt-' || event_id AS key, 1 AS step, 'kafka' AS stage, 'completed' AS status,
+             '{"event_id":"evt-' || event_id || '","stage":"kafka","status":"completed","topic":"' || topic
+               || '","partition":' || "partition" || ',"offset":' || "offset" || '}' AS value FROM topic_log
+           UNION ALL SELECT 'evt-' || event_id, 2, 'spark', 'processing',
+             '{"event_id":"evt-' || event_id || '","stage":"spark","status":"processing"}' FROM topic_log""",
+    ),
     "dedup_append": (
         ["parsed", "table_rows"],
         "SELECT * FROM parsed WHERE event_id NOT IN (SELECT event_id FROM table_rows WHERE added_by <= 1010)",

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 from eventlake.session import work_folder
 
@@ -21,8 +20,8 @@ def spread_small(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
 
 
-def write_and_read(df: DataFrame, purpose: str, schema: T.StructType) -> DataFrame:
-    """Write a frame to the shared work folder and read it back, so that later uses start there."""
+def write_table(df: DataFrame, purpose: str) -> str:
+    """Write a frame to a new place in the shared work folder; returns the path."""
     path = work_folder(df.sparkSession, purpose)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(schema).parquet(path)
+    return path

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventlake.operators.status import fold_fields, invalid_status, merge_fields, parse_status, valid_status
+from eventlake.sinks.ledger import Ledger
 from eventlake.sinks.topics import Publisher
 from eventlake.streaming.readers import BatchHandler
 from eventlake.streaming.state import AlternatingState
@@ -50,6 +51,18 @@ def status_handler(
     return handle
 
 
+def reset(ledger: Ledger, state_folder: str, batch_id: int, confirmation: str) -> dict:
+    """Clear the table, then drop the status state left by ``batch_id``; topics and history stay.
+
+    Run it while the status stream is stopped. If the clear fails, the state is kept.
+    """
+    report = ledger.clear(confirmation)
+    state = AlternatingState(ledger.spark, state_folder, FIELD_SCHEMA)
+    dropped = state.after(batch_id).select("event_id").distinct().count()
+    state.write(ledger.spark.createDataFrame([], FIELD_SCHEMA), batch_id)
+    return {**report, "cleared_pipeline_events": dropped, "messages_preserved": True}
+
+
 def read_state(spark: SparkSession, state_folder: str, batch_id: int) -> DataFrame:
     """The folded fields after a batch."""
     return AlternatingState(spark, state_folder, FIELD_SCHEMA).after(batch_id)

@@ -28,16 +28,6 @@ def test_split_loses_nothing(skewed):
     assert ordinary.count() + hot.count() == skewed.count()
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-@pytest.mark.parametrize("present", [["hot", "k1", "k2", "x"], ["k1", "k4"]])
-def test_join_on_unique_equals_the_plain_join(spark, skewed, how, present):
-    right = spark.createDataFrame([(k, f"v-{k}") for k in present], "key string, extra string")
-    plain = skewed.join(right, "key", how)
-    got = skew.join_on_unique(skewed, right, "key", how, **FORCED)
-    assert got.count() == plain.count()
-    assert got.select(*plain.columns).exceptAll(plain).isEmpty()
-
-
 @pytest.mark.parametrize("width", [1, 7, 100, 10_000])
 def test_positions_equal_row_numbers(spark, skewed, width):
     rows = skewed.where("key IS NOT NULL").withColumn("seq", F.col("seq") * 3 - 500)

@@ -79,11 +79,35 @@ def test_unknown_status_keeps_every_row_of_a_busy_id(spark):
         F.when(F.col("id") % 3 == 0, "ghost").otherwise(F.concat(F.lit("e"), F.col("id") % 20)).alias("event_id"),
     )
     known = events(spark, *[f"e{i}" for i in range(10)])
-    plain = rows.join(known, "event_id", "left_anti")
-    for limits in ({}, {"share": 0.1, "min_rows": 10}):
-        got = status.unknown_status(rows, known, **limits)
-        assert got.count() == plain.count()
-        assert got.select(*plain.columns).exceptAll(plain).isEmpty()
+    got = status.unknown_status(rows, known)
+    assert got.count() == rows.where("event_id = 'ghost' OR CAST(substring(event_id, 2) AS int) >= 10").count()
+    assert got.where("event_id = 'ghost'").count() == 334
+
+
+def test_a_busy_id_is_cut_into_pieces(spark):
+    """With thresholds small enough for test data, the skewed partition of the anti join is split."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "40KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    rows = spark.range(0, 60_000, 1, 12).select(
+        F.col("id").alias("arrival"),
+        F.when(F.col("id") % 3 == 0, "ghost").otherwise(F.concat(F.lit("e"), F.col("id"))).alias("event_id"),
+    )
+    known = spark.range(60_000).select(F.concat(F.lit("e"), F.col("id")).alias("event_id"))
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        got = status.unknown_status(rows, known)
+        assert len(got.collect()) == 20_000
+        assert "skew=true" in got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
 def test_summary_and_overview(spark):
@@ -124,6 +148,13 @@ def test_recent_limit_is_clamped(spark, asked, given):
     assert newest.event_id == "e8"
 
 
+def test_one_event(spark):
+    state = spark.createDataFrame([("a", "spark")], "event_id string, stage string")
+    assert status.event_state(state, "a").count() == 1
+    with pytest.raises(LookupError):
+        status.event_state(state, "b")
+
+
 def test_search(spark):
     state = spark.createDataFrame(
         [("Evt-1", "usage"), ("evt-2", "Replay"), ("x", None)], "event_id string, topic string"

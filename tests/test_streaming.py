@@ -85,6 +85,20 @@ def test_state_keeps_the_latest_events_only(spark, folder):
     assert kept == {"e5", "e4", "e3"}
 
 
+def test_reset_clears_the_table_and_the_state(spark, folder):
+    ledger = Ledger(spark, f"{folder}/table").create()
+    ledger.append(pipeline.usage_stream(usage_records(spark, "a", "b")))
+    messages = [(n, json.dumps({"event_id": f"e{n}", "stage": "spark", "status": "completed"})) for n in range(3)]
+    status_state.status_handler(spark, f"{folder}/state")(spark.createDataFrame(messages, "arrival long, value string"), 0)
+    with pytest.raises(ValueError):
+        status_state.reset(ledger, f"{folder}/state", 0, "yes")
+    assert status_state.read_state(spark, f"{folder}/state", 0).count() == 3
+    report = status_state.reset(ledger, f"{folder}/state", 0, "DELETE ALL ROWS")
+    assert (report["deleted_count"], report["cleared_pipeline_events"]) == (2, 3)
+    assert ledger.current().isEmpty() and status_state.read_state(spark, f"{folder}/state", 0).isEmpty()
+    assert ledger.at(1).count() == 2
+
+
 def usage_records(spark, *ids):
     return spark.createDataFrame([(json.dumps({"event_id": i, "quantity": 1}),) for i in ids], "value string")
 
