@@ -145,12 +145,14 @@ def sliding_counts(
 
     The window keeps attempts until one arrives whose time is more than ``window_micros`` later
     than the oldest kept one; late rows wait behind newer ones. ``seq`` must be unique and
-    integral, ``ts`` is in microseconds. Hot keys are counted block by block, all others in one pass.
+    integral, ``ts`` is in microseconds. Hot keys, looked for at the time of the call, are counted
+    block by block, all others in one pass.
     """
     ordinary, hot = split_hot(rows, key, share=hot_share, min_rows=min_hot_rows)
-    counted = _counts_in_one_pass(ordinary, key, seq, ts, window_micros).unionByName(
-        _counts_in_blocks(hot, key, seq, ts, window_micros, block_width, slice_width)
-    )
+    counted = _counts_in_one_pass(ordinary, key, seq, ts, window_micros)
+    if hot is not None:
+        in_blocks = _counts_in_blocks(hot, key, seq, ts, window_micros, block_width, slice_width)
+        counted = counted.unionByName(in_blocks)
     return counted.withColumn("attempts", F.col("_arrived") - F.col("_expired"))
 
 

@@ -22,9 +22,17 @@ def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, min_rows: int =
     return counts.where((F.col("n") > min_rows) & (F.col("n") > total * share)).select(key)
 
 
-def split_hot(df: DataFrame, key: str, **limits) -> tuple[DataFrame, DataFrame]:
-    """(rows of ordinary keys, rows of hot keys). The broadcast list has at most 1 / share rows."""
-    hot = F.broadcast(hot_keys(df, key, **limits))
+def split_hot(df: DataFrame, key: str, **limits) -> tuple[DataFrame, DataFrame | None]:
+    """(rows of ordinary keys, rows of hot keys or None when no key is hot).
+
+    Counts the keys now, in a job that reads only the key column, so that the usual case without
+    hot keys gets a plan without any trace of them. Fewer than 1 / share keys can come back.
+    """
+    found = hot_keys(df, key, **limits)
+    rows = found.collect()
+    if not rows:
+        return df, None
+    hot = F.broadcast(df.sparkSession.createDataFrame(rows, found.schema))
     return df.join(hot, key, "left_anti"), df.join(hot, key, "left_semi")
 
 

@@ -10,30 +10,34 @@ from pyspark.sql import functions as F
 from eventlake.functions.json_safe import computed_once
 from eventlake.functions.status_words import INITIAL_STATUS, STAGES
 from eventlake.functions.text import clamp, contains_ignore_case, is_empty
-from eventlake.schemas import STATUS_PAYLOAD
+from eventlake.schemas import STATUS_KEYS, STATUS_PAYLOAD
 
-# The three required keys, and how many events the state keeps and shows.
-REQUIRED_KEYS = ("event_id", "stage", "status")
+# How many events the state keeps and shows.
 RETAINED_EVENTS = 100
 RECENT_DEFAULT = 20
 
 
-def parse_status(messages: DataFrame, value: str = "value") -> DataFrame:
-    """Required keys as columns, every other key in ``extras``; other message columns are kept."""
-    payload = F.from_json(F.col(value).cast("string"), STATUS_PAYLOAD)
+def parse_status(messages: DataFrame, value: str = "value", with_extras: bool = True) -> DataFrame:
+    """Required keys as columns, every other key in ``extras``; other message columns are kept.
+
+    Without extras only the required keys are parsed, which costs less.
+    """
     kept = [c for c in messages.columns if c != value]
-    parsed = messages.select(*kept, value, computed_once(payload).alias("_payload"))
+    text = F.col(value).cast("string")
+    if not with_extras:
+        return messages.select(*kept, value, F.inline(F.array(F.from_json(text, STATUS_KEYS))))
+    parsed = messages.select(*kept, value, computed_once(F.from_json(text, STATUS_PAYLOAD)).alias("_payload"))
     return parsed.select(
         *kept,
         value,
-        *[F.col("_payload")[name].alias(name) for name in REQUIRED_KEYS],
-        F.map_filter("_payload", lambda k, _: ~k.isin(*REQUIRED_KEYS)).alias("extras"),
+        *[F.col("_payload")[name].alias(name) for name in STATUS_KEYS.fieldNames()],
+        F.map_filter("_payload", lambda k, _: ~k.isin(*STATUS_KEYS.fieldNames())).alias("extras"),
     )
 
 
 def _complete():
     missing = F.lit(False)
-    for name in REQUIRED_KEYS:
+    for name in STATUS_KEYS.fieldNames():
         missing = missing | is_empty(F.col(name))
     return ~missing
 

@@ -177,8 +177,9 @@ def dry_run_disables(spark, folder):
 # Pipeline status
 
 
-def _status(spark, folder):
-    return status.valid_status(status.parse_status(fx.status_messages(spark, folder)))
+def _status(spark, folder, with_extras=True):
+    parsed = status.parse_status(fx.status_messages(spark, folder), with_extras=with_extras)
+    return status.valid_status(parsed)
 
 
 @query
@@ -195,12 +196,12 @@ def status_parse(spark, folder):
 
 @query
 def status_invalid(spark, folder):
-    return status.invalid_status(status.parse_status(fx.status_messages(spark, folder)))
+    return status.invalid_status(status.parse_status(fx.status_messages(spark, folder), with_extras=False))
 
 
 @query
 def status_unknown(spark, folder):
-    found = status.unknown_status(_status(spark, folder), fx.created_events(spark, folder))
+    found = status.unknown_status(_status(spark, folder, False), fx.created_events(spark, folder))
     return found.select("arrival", "event_id", "stage", "status")
 
 
@@ -217,7 +218,7 @@ def pipeline_fields(spark, folder):
 
 @query
 def pipeline_summary(spark, folder):
-    return status.pipeline_summary(fx.created_events(spark, folder), _status(spark, folder))
+    return status.pipeline_summary(fx.created_events(spark, folder), _status(spark, folder, False))
 
 
 @query
@@ -227,13 +228,13 @@ def pipeline_overview(spark, folder):
 
 @query
 def pipeline_recent(spark, folder):
-    recent = status.recent_events(fx.created_events(spark, folder), _status(spark, folder))
+    recent = status.recent_events(fx.created_events(spark, folder), _status(spark, folder, False))
     return recent.select("event_id", "touched_arrival", "stage", "status", head_preview(F.col("event_id")).alias("preview"))
 
 
 @query
 def pipeline_retained(spark, folder):
-    return status.retained_events(fx.created_events(spark, folder), _status(spark, folder))
+    return status.retained_events(fx.created_events(spark, folder), _status(spark, folder, False))
 
 
 @query
@@ -322,7 +323,7 @@ def clear_effect(spark, folder):
 
 @query
 def reset_effect(spark, folder):
-    retained = status.retained_events(fx.created_events(spark, folder), _status(spark, folder))
+    retained = status.retained_events(fx.created_events(spark, folder), _status(spark, folder, False))
     return history.reset_effect(clear_effect(spark, folder), retained)
 
 

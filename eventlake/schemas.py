@@ -35,7 +35,14 @@ SECURITY_SCHEMA = T.StructType(
     ]
 )
 
-# Status messages have an open payload, so they parse to a map.
+# Keys every status message must have. Its payload is open, so the whole parses to a map.
+STATUS_KEYS = T.StructType(
+    [
+        T.StructField("event_id", T.StringType()),
+        T.StructField("stage", T.StringType()),
+        T.StructField("status", T.StringType()),
+    ]
+)
 STATUS_PAYLOAD = T.MapType(T.StringType(), T.StringType())
 
 COMMIT_SCHEMA = T.StructType(

@@ -8,11 +8,24 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def build_session(app_name: str = "eventlake", master: str | None = None, **conf: str) -> SparkSession:
+# A shuffle starts with about one partition per this much input; small ones are coalesced at run time.
+BYTES_PER_PARTITION = 128 * 1024**2
+SHUFFLE_WIDTH = (200, 100_000)
+
+
+def shuffle_width(input_bytes: int) -> int:
+    """Shuffle partitions to start with for an input of this size."""
+    low, high = SHUFFLE_WIDTH
+    return max(low, min(high, -(-input_bytes // BYTES_PER_PARTITION)))
+
+
+def build_session(
+    app_name: str = "eventlake", master: str | None = None, input_bytes: int | None = None, **conf: str
+) -> SparkSession:
     """A UTC session with adaptive execution; extra settings win over the defaults here.
 
-    Shuffle width and split size stay at the cluster's own settings: adaptive execution
-    coalesces small partitions and splits skewed ones at run time.
+    Give ``input_bytes`` for large inputs: without it a shuffle has the cluster's default width,
+    and adaptive execution can coalesce partitions and split skewed ones but not add to the rest.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -22,6 +35,7 @@ def build_session(app_name: str = "eventlake", master: str | None = None, **conf
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        **({"spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shuffle_width(input_bytes))} if input_bytes else {}),
         **conf,
     }
     for name, value in settings.items():

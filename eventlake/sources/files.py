@@ -27,12 +27,16 @@ def data_files(spark: SparkSession, folder: str) -> DataFrame:
     File contents are never read: only the two listing columns are asked for.
     """
     try:
-        listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(folder)
+        return _listing(spark, [folder], recursive=False)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], _LISTING)
         raise
-    return listing.select("path", "length")
+
+
+def _listing(spark: SparkSession, paths: list[str], recursive: bool) -> DataFrame:
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+    return reader.option("recursiveFileLookup", recursive).load(paths).select("path", "length")
 
 
 def rows_with_file(spark: SparkSession, *paths: str, schema: T.StructType | None = None) -> DataFrame:
@@ -82,16 +86,17 @@ def first_rows(
     """
     wanted = clamp(limit, 1, MAX_ROWS)
     found = rows_with_file(spark, *paths, schema=schema)
-    names = sorted(found.inputFiles())
     schema = schema or found.drop("_parquet_file", "_row").schema
+    by_name = _listing(spark, list(paths), recursive=True).orderBy("path")
     opened = 1
-    while names and opened < len(names):
-        head = rows_with_file(spark, *names[:opened], schema=schema)
-        if head.limit(wanted).count() >= wanted:
+    while True:
+        names = [r.path for r in by_name.limit(opened).collect()]
+        if not names:
+            break
+        found = rows_with_file(spark, *names, schema=schema)
+        if len(names) < opened or found.limit(wanted).count() >= wanted:
             break
         opened *= 2
-    if names:
-        found = rows_with_file(spark, *names[:opened], schema=schema)
     return found.orderBy("_parquet_file", "_row").limit(wanted)
 
 

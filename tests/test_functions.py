@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from eventlake.functions import json_safe, status_words, text, times
 from eventlake.schemas import EVENT_COLUMNS, create_namespace_ddl, create_table_ddl
+from eventlake.session import shuffle_width
 
 
 def values(df, *columns):
@@ -92,6 +93,12 @@ def test_json_rows(spark):
     assert "한글" in value
 
 
+def test_shuffle_width_follows_the_input():
+    assert shuffle_width(1) == 200
+    assert shuffle_width(10 * 1024**4) == 81_920
+    assert shuffle_width(100 * 1024**4) == 100_000
+
+
 def test_ddl_follows_the_schema(spark):
     ddl = create_table_ddl("lake.usage.events")
     assert ddl.startswith("CREATE TABLE IF NOT EXISTS lake.usage.events (`event_id` STRING,")

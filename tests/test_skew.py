@@ -26,6 +26,7 @@ def test_split_loses_nothing(skewed):
     assert hot.count() == 1000
     assert ordinary.unionByName(hot).select(*skewed.columns).exceptAll(skewed).isEmpty()
     assert ordinary.count() + hot.count() == skewed.count()
+    assert skew.split_hot(skewed, "key") == (skewed, None)
 
 
 @pytest.mark.parametrize("width", [1, 7, 100, 10_000])
