@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from eventlake.functions.cases import first_match
+
 # The five stages in order, the state a new event starts in, and status synonyms.
 STAGES = ("fastapi", "kafka", "spark", "iceberg", "minio")
 INITIAL_STATUS = {
@@ -26,7 +28,4 @@ UNKNOWN = "unknown"
 def normalized_status(status: Column) -> Column:
     """One of the four states, or ``unknown``; letter case does not matter."""
     word = F.lower(status)
-    pick = F
-    for state, spellings in SYNONYMS.items():
-        pick = pick.when(word.isin(*spellings), state)
-    return pick.otherwise(UNKNOWN)
+    return first_match(((word.isin(*words), state) for state, words in SYNONYMS.items()), UNKNOWN)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from eventlake.functions.cases import first_match
 from eventlake.functions.json_safe import computed_once
 from eventlake.functions.text import is_empty
 from eventlake.functions.times import micros, parse_iso
@@ -193,22 +196,19 @@ def risk_scores(incidents: DataFrame) -> DataFrame:
     for bound, value in ATTEMPT_POINTS:
         points = points + F.when(F.col("failed_attempts") >= bound, value).otherwise(0)
     scored = incidents.withColumn("risk_score", F.least(points, F.lit(MAX_SCORE)))
-    return scored.withColumn("risk_level", _by_score([(low, name) for low, name in LEVELS]))
+    return scored.withColumn("risk_level", _of_band(LEVELS))
 
 
 def policy_decisions(scored: DataFrame) -> DataFrame:
-    return scored.withColumn("action", _by_score([(low, action) for low, action, _ in POLICIES])).withColumn(
-        "reason", _by_score([(low, reason) for low, _, reason in POLICIES])
+    return scored.withColumn("action", _of_band([(low, action) for low, action, _ in POLICIES])).withColumn(
+        "reason", _of_band([(low, reason) for low, _, reason in POLICIES])
     )
 
 
-def _by_score(bands: list[tuple[int, str]]):
+def _of_band(bands: Sequence[tuple[int, str]]) -> Column:
     """Text of the first band whose lower bound the score reaches; the last band takes the rest."""
     *upper, (_, rest) = bands
-    pick = F
-    for low, text in upper:
-        pick = pick.when(F.col("risk_score") >= low, text)
-    return pick.otherwise(rest)
+    return first_match(((F.col("risk_score") >= low, text) for low, text in upper), rest)
 
 
 def dry_run_disables(decided: DataFrame) -> DataFrame:

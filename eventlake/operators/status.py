@@ -110,8 +110,8 @@ def stages_from_fields(folded: DataFrame, fields: Sequence[str] = (), arrival: s
     )
 
 
-def with_initial_state(events: DataFrame, folded: DataFrame) -> DataFrame:
-    """State of every created event from folded stages, one row per stage.
+def with_initial_state(events: DataFrame, folded: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """State of every created event from folded stages, one row per stage, with ``keep`` of its columns.
 
     Each event starts with the five stages in their initial status; further stages appear when a
     message names them. Messages of unknown events have no effect. ``updated_arrival`` is null for
@@ -130,16 +130,18 @@ def with_initial_state(events: DataFrame, folded: DataFrame) -> DataFrame:
             for stage, text in INITIAL_STATUS.items()
         ]
     )
-    joined = events.select("event_id").join(entries, "event_id", "left")
+    joined = events.select("event_id", *keep).join(entries, "event_id", "left")
     touched = F.col("_touched")
     untouched = F.filter(start, lambda s: ~F.array_contains(touched["stage"], s["stage"]))
     stages = F.when(touched.isNull(), start).otherwise(F.concat(untouched, touched))
-    return joined.select("event_id", F.inline(stages))
+    return joined.select("event_id", *keep, F.inline(stages))
 
 
-def pipeline_state(events: DataFrame, status: DataFrame, fields: Sequence[str] = ()) -> DataFrame:
+def pipeline_state(
+    events: DataFrame, status: DataFrame, fields: Sequence[str] = (), keep: Sequence[str] = ()
+) -> DataFrame:
     """State of every created event after all its status messages."""
-    return with_initial_state(events, fold_stages(status, fields))
+    return with_initial_state(events, fold_stages(status, fields), keep)
 
 
 def event_state(state: DataFrame, event_id: str) -> DataFrame:
@@ -207,7 +209,7 @@ def recent_events(
     fields: Sequence[str] = (),
     keep: int = RETAINED_EVENTS,
 ) -> DataFrame:
-    """State of the most recently touched events; order by ``touched_arrival`` for oldest first.
+    """State of the most recently touched events, oldest first.
 
     The limit is clamped, so at most ``keep`` ids are fetched to choose the events. They become a
     literal filter on the status messages, and only those are folded.
@@ -215,8 +217,8 @@ def recent_events(
     chosen = retained_events(events, status, clamp(limit, 1, keep))
     rows = chosen.collect()
     local = chosen.sparkSession.createDataFrame(rows, chosen.schema)
-    state = pipeline_state(local, status.where(F.col("event_id").isin([r.event_id for r in rows])), fields)
-    return state.join(F.broadcast(local), "event_id")
+    theirs = status.where(F.col("event_id").isin([r.event_id for r in rows]))
+    return pipeline_state(local, theirs, fields, ("touched_arrival",)).orderBy("touched_arrival", "event_id")
 
 
 def search_status(state: DataFrame, query: str = "", topic: str | None = None, trim: bool = True) -> DataFrame:

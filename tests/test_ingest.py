@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from eventlake.operators import directory, ingest, topics, usage
 from eventlake.schemas import EVENT_COLUMNS, EVENT_SCHEMA
+from eventlake.sources import kafka
 
 
 def parse(spark, *values):
@@ -45,6 +46,11 @@ def test_binary_values_parse_like_text(spark):
     assert ingest.parse_events(df).first().event_id == "a"
 
 
+def test_topic_records_decode(spark):
+    df = spark.createDataFrame([(None, b"v"), (b"k", "글".encode())], "key binary, value binary")
+    assert [tuple(r) for r in kafka.decoded(df).collect()] == [(None, "v"), ("k", "글")]
+
+
 SAMPLE = [
     ("u1", "api", "request", 10),
     ("u1", "search", "request", 5),
