@@ -8,6 +8,8 @@ range filter on ``commit_seq``; clearing never rewrites data.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,13 +43,6 @@ def check_limit(limit: int) -> int:
     return limit
 
 
-def require_snapshot(commits: DataFrame, snapshot_id: int | str) -> int:
-    wanted = check_snapshot_id(snapshot_id)
-    if commits.where(F.col("snapshot_id") == wanted).limit(1).isEmpty():
-        raise LookupError(f"snapshot not found: {wanted}")
-    return wanted
-
-
 def head_id(commits: DataFrame) -> Column:
     """Id of the newest snapshot as a scalar subquery."""
     return commits.agg(F.max_by("snapshot_id", "seq")).scalar()
@@ -77,26 +72,40 @@ def snapshot_totals(listed: DataFrame) -> DataFrame:
     )
 
 
-def _bounds(commits: DataFrame, snapshot_id: int | None) -> tuple[Column, Column]:
-    """(last clear, last commit) up to a snapshot as scalar subqueries; None means the newest one."""
-    if snapshot_id is None:
-        upto = commits
-        last = commits.agg(F.max("seq")).scalar()
-    else:
-        last = commits.where(F.col("snapshot_id") == snapshot_id).agg(F.max("seq")).scalar()
-        upto = commits.where(F.col("seq") <= last)
-    cleared = upto.where(F.col("operation") == DELETE).agg(F.max("seq")).scalar()
-    return F.coalesce(cleared, F.lit(-1)), last
+@dataclass(frozen=True)
+class Bounds:
+    """Commit numbers whose rows are visible: above ``cleared``, up to ``last``."""
+
+    cleared: int
+    last: int
+
+    def holds(self) -> Column:
+        return (F.col("commit_seq") > self.cleared) & (F.col("commit_seq") <= self.last)
+
 
+def snapshot_bounds(commits: DataFrame, snapshot_id: int | str | None = None) -> Bounds:
+    """Bounds of a snapshot, or of the newest one; a snapshot that does not exist is refused.
 
-def is_visible(commits: DataFrame, snapshot_id: int | None = None) -> Column:
-    cleared, last = _bounds(commits, snapshot_id)
-    return (F.col("commit_seq") > cleared) & (F.col("commit_seq") <= last)
+    Two numbers are looked up in the commit log now, so that the table scan gets a literal range:
+    it prunes files and folders when it is planned.
+    """
+    upto = commits
+    if snapshot_id is not None:
+        wanted = check_snapshot_id(snapshot_id)
+        own = commits.where(F.col("snapshot_id") == wanted).agg(F.max("seq")).scalar()
+        upto = commits.where(F.col("seq") <= own)
+    cleared = F.max(F.when(F.col("operation") == DELETE, F.col("seq")))
+    found = upto.agg(F.max("seq").alias("last"), cleared.alias("cleared")).first()
+    if found["last"] is None:
+        if snapshot_id is not None:
+            raise LookupError(f"snapshot not found: {wanted}")
+        return Bounds(-1, -1)
+    return Bounds(-1 if found["cleared"] is None else found["cleared"], found["last"])
 
 
-def rows_at(rows: DataFrame, commits: DataFrame, snapshot_id: int | None = None) -> DataFrame:
+def rows_at(rows: DataFrame, commits: DataFrame, snapshot_id: int | str | None = None) -> DataFrame:
     """Rows visible at a snapshot, or now."""
-    return rows.where(is_visible(commits, snapshot_id))
+    return rows.where(snapshot_bounds(commits, snapshot_id).holds())
 
 
 def table_count(rows: DataFrame, commits: DataFrame) -> DataFrame:
@@ -107,18 +116,23 @@ def time_travel_rows(
     rows: DataFrame, commits: DataFrame, snapshot_id: int | str, limit: int = TIME_TRAVEL_DEFAULT
 ) -> DataFrame:
     """Up to ``limit`` rows at a snapshot in event-id order; bad arguments are refused."""
-    wanted = require_snapshot(commits, snapshot_id)
-    visible = rows_at(rows, commits, wanted).select(*EVENT_COLUMNS)
-    return visible.orderBy(*EVENT_COLUMNS).limit(check_limit(limit))
+    check_limit(limit)
+    visible = rows_at(rows, commits, check_snapshot_id(snapshot_id)).select(*EVENT_COLUMNS)
+    return visible.orderBy(*EVENT_COLUMNS).limit(limit)
 
 
 def snapshot_compare(rows: DataFrame, commits: DataFrame, snapshot_id: int | str) -> DataFrame:
     """Row counts at a snapshot and now, from one pass over the table."""
-    wanted = require_snapshot(commits, snapshot_id)
-    return rows.agg(
-        F.count_if(is_visible(commits, wanted)).alias("historical_count"),
-        F.count_if(is_visible(commits)).alias("current_count"),
-    ).select(F.lit(str(wanted)).alias("snapshot_id"), "historical_count", "current_count")
+    wanted = check_snapshot_id(snapshot_id)
+    then, now = snapshot_bounds(commits, wanted), snapshot_bounds(commits)
+    return (
+        rows.where(then.holds() | now.holds())
+        .agg(
+            F.count_if(then.holds()).alias("historical_count"),
+            F.count_if(now.holds()).alias("current_count"),
+        )
+        .select(F.lit(str(wanted)).alias("snapshot_id"), "historical_count", "current_count")
+    )
 
 
 def time_travel_summary(
@@ -137,10 +151,10 @@ def snapshot_diff(
     rows: DataFrame, commits: DataFrame, from_id: int | str, to_id: int | str
 ) -> DataFrame:
     """Rows visible at only one of two snapshots, with the side in ``change``."""
-    first, second = require_snapshot(commits, from_id), require_snapshot(commits, to_id)
-    before, after = is_visible(commits, first), is_visible(commits, second)
-    change = F.when(before & ~after, "removed").when(after & ~before, "added")
-    return rows.select(change.alias("change"), *EVENT_COLUMNS).where(F.col("change").isNotNull())
+    before = snapshot_bounds(commits, check_snapshot_id(from_id)).holds()
+    after = snapshot_bounds(commits, check_snapshot_id(to_id)).holds()
+    change = F.when(before, "removed").otherwise("added")
+    return rows.where((before & ~after) | (after & ~before)).select(change.alias("change"), *EVENT_COLUMNS)
 
 
 def append_effect(rows: DataFrame, commits: DataFrame) -> DataFrame:
@@ -162,15 +176,14 @@ def append_effect(rows: DataFrame, commits: DataFrame) -> DataFrame:
 
 
 def clear_effect(rows: DataFrame, commits: DataFrame, snapshot_id: int | str) -> DataFrame:
-    """Report of a clear: rows before, deleted and after, from one pass over the table."""
-    wanted = require_snapshot(commits, snapshot_id)
-    cleared = commits.where((F.col("snapshot_id") == wanted) & (F.col("operation") == DELETE))
-    seq = cleared.agg(F.max("seq")).scalar()
-    earlier = commits.where((F.col("operation") == DELETE) & (F.col("seq") < seq))
-    previous = F.coalesce(earlier.agg(F.max("seq")).scalar(), F.lit(-1))
-    counted = rows.agg(
-        F.count_if((F.col("commit_seq") > previous) & (F.col("commit_seq") < seq)).alias("before_count"),
-        F.count_if(is_visible(commits, wanted)).alias("after_count"),
+    """Report of a clear: rows before, deleted and after, from one pass over the rows it concerns."""
+    wanted = check_snapshot_id(snapshot_id)
+    after = snapshot_bounds(commits, wanted)
+    if after.cleared != after.last:
+        raise ValueError(f"snapshot is not a clear: {wanted}")
+    before = snapshot_bounds(commits.where(F.col("seq") < after.last))
+    counted = rows.where(before.holds() | after.holds()).agg(
+        F.count_if(before.holds()).alias("before_count"), F.count_if(after.holds()).alias("after_count")
     )
     return counted.select(
         "before_count",

@@ -50,9 +50,8 @@ class Ledger:
         return history.rows_at(self.rows(), self.commits()).select(*EVENT_COLUMNS)
 
     def at(self, snapshot_id: int | str) -> DataFrame:
-        commits = self.commits()
-        wanted = history.require_snapshot(commits, snapshot_id)
-        return history.rows_at(self.rows(), commits, wanted).select(*EVENT_COLUMNS)
+        wanted = history.check_snapshot_id(snapshot_id)
+        return history.rows_at(self.rows(), self.commits(), wanted).select(*EVENT_COLUMNS)
 
     def newest_id(self) -> int | None:
         return self.commits().agg(F.max_by("snapshot_id", "seq")).first()[0]

@@ -87,7 +87,10 @@ def test_time_travel_prunes_to_the_commits_it_needs(spark, ledger):
     for i in range(3):
         ledger.append(batch(spark, f"e{i}"))
     visible = history.rows_at(ledger.rows(), ledger.commits(), 1)
-    assert "commit_seq" in visible._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1][:120]
+    assert "(commit_seq" in visible._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1][:120]
+    assert history.rows_at(ledger.rows(), ledger.commits().where("false")).isEmpty()
+    with pytest.raises(ValueError):
+        history.clear_effect(ledger.rows(), ledger.commits(), 2)
 
 
 def write(df, folder, name, n):
