@@ -1,7 +1,8 @@
 """Toxicity from the nearest labelled examples, by exact TF-IDF cosine on a block-max inverted index.
 
-Terms are words and the first four and five letters of words. The index holds the terms whose document frequency
-differs significantly between toxic and other examples; without them, chance neighbours outnumber real ones. Examples
+Terms are words and the first four to seven letters of words. The index holds the terms whose document frequency
+differs significantly between toxic and other examples, and all other words as one term "other word", so that how much
+of a text the indexed terms make up counts. Examples
 are numbered, and the postings of a term lie in blocks of examples with the largest weight of the block. A query visits
 blocks in the order of their score bounds and stops when no bound can reach its k-th best example, so the result is
 exact. Neighbours vote with their similarity; a logistic curve fitted on left-out examples calibrates the vote.
@@ -29,22 +30,22 @@ CALIBRATION_ROWS = 3000
 LEAST_RATIO = 24.0
 NEIGHBOURS = 15
 BLOCK = 64
-# Weight of the vote for "not toxic" that every text has.
-PRIOR_WEIGHT = 0.25
+# The term that stands for every word without an indexed term; it is always term 0.
+OTHER = "other word"
 WORD = re.compile(r"[^\W\d_]+")
-PREFIXES = (4, 5)
+PREFIXES = (4, 5, 6, 7)
 EVIDENCE = "array<struct<doc_id:bigint,similarity:double,toxic:int>>"
 
 
 def terms_of(words: Counter, keep: dict | None = None, seen: dict | None = None) -> Counter:
-    """Term counts from word counts; ``keep`` restricts them, ``seen`` remembers the terms of a word."""
+    """Term counts from word counts; ``keep`` numbers them (others: term 0), ``seen`` remembers the terms of a word."""
     out: Counter = Counter()
     for word, count in words.items():
         known = seen.get(word) if seen is not None else None
         if known is None:
             known = [word, *(f"{word[:n]}_" for n in PREFIXES if len(word) > n)]
             if keep is not None:
-                known = [keep[t] for t in known if t in keep]
+                known = [keep[t] for t in known if t in keep] or [0]
             if seen is not None:
                 if len(seen) > 300_000:
                     seen.clear()
@@ -95,11 +96,11 @@ class Index:
         if not query:
             return []
         terms, weights = np.fromiter(query, np.int64), np.fromiter(query.values(), float)
-        bounds = weights @ self.highest[terms]
+        bounds = np.round(weights @ self.highest[terms], 9)
         best: list[tuple[float, int]] = []
         for block in np.argsort(-bounds, kind="stable"):
-            # The margin covers rounding, and blocks that can still tie are read.
-            if bounds[block] <= 0 or len(best) == k and bounds[block] < best[-1][0] - 1e-9:
+            # Blocks of one bound come in order of number, so a later one can only lose a tie.
+            if bounds[block] <= 0 or len(best) == k and (-bounds[block], block * BLOCK) > (-round(best[-1][0], 9), best[-1][1]):
                 break
             found = np.zeros(BLOCK)
             for term, weight in zip(terms, weights):
@@ -110,7 +111,7 @@ class Index:
         return best
 
     def vote(self, near: list[tuple[float, int]]) -> float:
-        return sum(s for s, n in near if self.labels[n]) / (PRIOR_WEIGHT + sum(s for s, _ in near))
+        return sum(s for s, n in near if self.labels[n]) / sum(s for s, _ in near) if near else 0.0
 
     def calibrated(self, vote: float) -> float:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.curve[0] * vote + self.curve[1]))))
@@ -189,8 +190,8 @@ def fit(documents: DataFrame, labels: DataFrame, learn: Column, label: str = "to
     worth = 2 * (part(p, n_toxic, p / n_toxic) + part(n, n_other, n / n_other) - part(p, n_toxic, both) - part(n, n_other, both))
     top = found.withColumn("worth", worth).where(F.col("worth") >= LEAST_RATIO).orderBy(F.desc("worth"), "term").limit(MOST_TERMS).collect()
     top = [r for r in top if r.toxic / n_toxic > r.other / n_other or r.worth >= 4 * LEAST_RATIO]
-    terms = [r.term for r in top]
-    idf = np.array([math.log(1 + (n_toxic + n_other) / (1 + r.toxic + r.other)) for r in top])
+    terms = [OTHER, *(r.term for r in top)]
+    idf = np.array([math.log(2), *(math.log(1 + (n_toxic + n_other) / (1 + r.toxic + r.other)) for r in top)])
     held = spark.sparkContext.broadcast({t: i for i, t in enumerate(terms)})
 
     def vectors(batches):
@@ -214,17 +215,19 @@ def fit(documents: DataFrame, labels: DataFrame, learn: Column, label: str = "to
 def score(documents: DataFrame, index: Index, k: int = NEIGHBOURS) -> DataFrame:
     """``doc_id``, ``score`` (0 to 1) and ``evidence`` (nearest examples) of every whole text.
 
-    A null or empty text, like any text without an indexed term, has no neighbours and the score of an empty vote.
+    A null or empty text, like any text without a word, has no neighbours and the score of an empty vote.
     Repeated rows give a row each; a null id stays null. No other column is read.
     """
     held = documents.sparkSession.sparkContext.broadcast(index)
 
     def run(batches):
         known, seen = held.value, {}
+        plain = known.nearest({0: 1.0}, k) if known.terms else []
         for part in slices(batches):
             marks, proof = [], []
             for text in part.column(1).to_pylist():
-                near = known.nearest(known.weigh(terms_of(words_in(text), known.terms, seen)), k)
+                query = known.weigh(terms_of(words_in(text), known.terms, seen)) if known.terms else {}
+                near = plain if query.keys() == {0} else known.nearest(query, k)
                 marks.append(known.calibrated(known.vote(near)))
                 proof.append([{"doc_id": int(known.ids[n]), "similarity": s, "toxic": int(known.labels[n])} for s, n in near])
             kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("toxic", pa.int32())]))
