@@ -40,8 +40,26 @@ SELECT conv_id, count(*) AS n_turns,
 FROM t GROUP BY conv_id
 """
 
+JACCARD = f"""
+WITH RECURSIVE doc AS (
+  SELECT doc_id, row_number() OVER () AS nr, regexp_extract_all({LOWER.format("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+),
+sets AS MATERIALIZED (
+  SELECT doc_id, nr, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [w]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i:i + 2])) END AS s FROM doc
+),
+tokens AS MATERIALIZED (SELECT doc_id, nr, len(s) AS n, unnest(s) AS t FROM sets),
+links AS MATERIALIZED (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM tokens a JOIN tokens b ON a.t = b.t AND a.nr <> b.nr
+  GROUP BY a.nr, b.nr, a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))
+),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT doc_id, len(s) AS n_shingles, least(doc_id, (SELECT min(b) FROM reach WHERE reach.a = doc_id)) AS component_id FROM sets
+"""
+
 STATEMENTS = {
     "op5_benchmark_decontamination": CONTAMINATION,
+    "op8_ngram_jaccard_join": JACCARD,
     "op9_chat_formatting": CHAT,
 }
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import bpe, chat, decontaminate, fingerprint, language, quality, substring, toxicity
+from eventlake.llm import bpe, chat, decontaminate, fingerprint, jaccard, language, quality, substring, toxicity
 from eventlake.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +65,10 @@ def op7_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substring.repeated_passages(table(spark, folder, "documents"))
 
 
+def op8_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.linked(table(spark, folder, "documents"), width=3, percent=90)
+
+
 def op9_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     given = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     forged = spark.range(2).select(
