@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import bpe, chat, decontaminate, fingerprint, jaccard, language, quality, substring, toxicity
+from eventlake.llm import bpe, chat, decontaminate, fingerprint, jaccard, language, pii, quality, substring, toxicity
 from eventlake.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,11 @@ def op2_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return language.predict(documents, field).select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "lang_pred", "score")
 
 
+def op3_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find(table(spark, folder, "documents"))
+    return found.select("doc_id", *(f"n_{kind}" for kind in pii.KINDS), F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
 def op4_document_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     return fingerprint.edited_fingerprints(documents, fingerprint.even_parts(documents))
