@@ -2,10 +2,10 @@
 
 Terms are words and the first four to seven letters of words. The index holds the terms whose document frequency
 differs significantly between toxic and other examples, and all other words as one term "other word", so that how much
-of a text the indexed terms make up counts. Examples
-are numbered, and the postings of a term lie in blocks of examples with the largest weight of the block. A query visits
-blocks in the order of their score bounds and stops when no bound can reach its k-th best example, so the result is
-exact. Neighbours vote with their similarity; a logistic curve fitted on left-out examples calibrates the vote.
+of a text the indexed terms make up counts. Examples are numbered, and the postings of a term lie in blocks of examples
+with the largest weight of the block. A query scores the blocks with the highest bounds and then those that can still
+reach its k-th best example, so the result is exact. Neighbours vote with their similarity; a logistic curve fitted on
+left-out examples calibrates the vote.
 """
 
 from __future__ import annotations
@@ -30,6 +30,8 @@ CALIBRATION_ROWS = 3000
 LEAST_RATIO = 24.0
 NEIGHBOURS = 15
 BLOCK = 64
+# Blocks that a search scores before it compares the bounds of the others with its k-th best.
+FIRST_BLOCKS = 8
 # The term that stands for every word without an indexed term; it is always term 0.
 OTHER = "other word"
 WORD = re.compile(r"[^\W\d_]+")
@@ -37,21 +39,28 @@ PREFIXES = (4, 5, 6, 7)
 EVIDENCE = "array<struct<doc_id:bigint,similarity:double,toxic:int>>"
 
 
-def terms_of(words: Counter, keep: dict | None = None, seen: dict | None = None) -> Counter:
-    """Term counts from word counts; ``keep`` numbers them (others: term 0), ``seen`` remembers the terms of a word."""
-    out: Counter = Counter()
+def spelled(word: str) -> list[str]:
+    """The terms of a word."""
+    return [word, *(f"{word[:n]}_" for n in PREFIXES if len(word) > n)]
+
+
+def terms_of(words: Counter, keep: dict[str, int], seen: dict[str, tuple]) -> dict[int, int]:
+    """Counts of numbered terms from word counts; ``seen`` remembers the terms of a word. Other words are term 0."""
+    if len(seen) > 400_000:
+        seen.clear()
+    out: dict[int, int] = {}
+    other = 0
     for word, count in words.items():
-        known = seen.get(word) if seen is not None else None
+        known = seen.get(word)
         if known is None:
-            known = [word, *(f"{word[:n]}_" for n in PREFIXES if len(word) > n)]
-            if keep is not None:
-                known = [keep[t] for t in known if t in keep] or [0]
-            if seen is not None:
-                if len(seen) > 300_000:
-                    seen.clear()
-                seen[word] = known
-        for term in known:
-            out[term] += count
+            known = seen[word] = tuple(keep[t] for t in spelled(word) if t in keep)
+        if known:
+            for term in known:
+                out[term] = out.get(term, 0) + count
+        else:
+            other += count
+    if other:
+        out[0] = other
     return out
 
 
@@ -59,6 +68,10 @@ def words_in(text: str) -> Counter:
     return Counter(WORD.findall(text.lower()))
 
 
+def ranked(found: list[tuple[float, int]], k: int) -> list[tuple[float, int]]:
+    return sorted(found, key=lambda x: (-round(x[0], 9), x[1]))[:k]
+
+
 class Index:
     """Block-max inverted index over unit vectors of examples."""
 
@@ -85,7 +98,7 @@ class Index:
         self.weights = np.concatenate(weights) if weights else np.empty(0)
         self.curve = (4.0, -2.0)
 
-    def weigh(self, counts: Counter) -> dict[int, float]:
+    def weigh(self, counts: dict[int, int]) -> dict[int, float]:
         """The unit TF-IDF vector of term counts."""
         raw = {t: (1 + math.log(c)) * self.idf[t] for t, c in counts.items()}
         size = math.sqrt(sum(w * w for w in raw.values()))
@@ -97,19 +110,37 @@ class Index:
             return []
         terms, weights = np.fromiter(query, np.int64), np.fromiter(query.values(), float)
         bounds = np.round(weights @ self.highest[terms], 9)
-        best: list[tuple[float, int]] = []
-        for block in np.argsort(-bounds, kind="stable"):
-            # Blocks of one bound come in order of number, so a later one can only lose a tie.
-            if bounds[block] <= 0 or len(best) == k and (-bounds[block], block * BLOCK) > (-round(best[-1][0], 9), best[-1][1]):
-                break
-            found = np.zeros(BLOCK)
-            for term, weight in zip(terms, weights):
-                a, b = self.starts[term, block], self.starts[term, block + 1]
-                found[self.places[a:b] - block * BLOCK] += weight * self.weights[a:b]
-            best += [(float(found[i]), int(block) * BLOCK + int(i)) for i in np.flatnonzero(found) if int(block) * BLOCK + i != without]
-            best = sorted(best, key=lambda x: (-round(x[0], 9), x[1]))[:k]
+        order = np.argsort(-bounds, kind="stable")
+        order = order[bounds[order] > 0]
+        best = self.best_in(order[:FIRST_BLOCKS], terms, weights, k, without)
+        rest = order[FIRST_BLOCKS:]
+        if len(best) == k:
+            # A block with the bound of the k-th can only win the tie with smaller numbers.
+            least, number = round(best[-1][0], 9), best[-1][1]
+            rest = rest[(bounds[rest] > least) | ((bounds[rest] == least) & (rest * BLOCK < number))]
+        if len(rest):
+            best = ranked([*best, *self.best_in(rest, terms, weights, k, without)], k)
         return best
 
+    def best_in(self, blocks: np.ndarray, terms: np.ndarray, weights: np.ndarray, k: int, without: int) -> list[tuple[float, int]]:
+        """The k most similar examples in some blocks, from the postings of the query's terms in them."""
+        blocks = np.sort(blocks)
+        begins, ends = self.starts[terms][:, blocks].ravel(), self.starts[terms][:, blocks + 1].ravel()
+        sizes = ends - begins
+        total = np.cumsum(sizes)
+        if not len(total) or not total[-1]:
+            return []
+        at = np.repeat(begins - total + sizes, sizes) + np.arange(total[-1])
+        scores = np.bincount(self.places[at], self.weights[at] * np.repeat(np.repeat(weights, len(blocks)), sizes), self.blocks * BLOCK)
+        if without >= 0:
+            scores[without] = 0
+        found = np.flatnonzero(scores > 0)
+        if len(found) > k:
+            rounded = np.round(scores[found], 9)
+            found = found[rounded >= np.partition(rounded, len(found) - k)[len(found) - k]]
+            found = found[np.lexsort((found, -np.round(scores[found], 9)))[:k]]
+        return ranked([(float(scores[i]), int(i)) for i in found], k)
+
     def vote(self, near: list[tuple[float, int]]) -> float:
         return sum(s for s, n in near if self.labels[n]) / sum(s for s, _ in near) if near else 0.0
 
@@ -117,16 +148,6 @@ class Index:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, self.curve[0] * vote + self.curve[1]))))
 
 
-def ratio(a: float, b: float, n_a: float, n_b: float) -> float:
-    """Log-likelihood ratio of a term in ``a`` of ``n_a`` and ``b`` of ``n_b`` texts."""
-
-    def part(x, n, p):
-        return sum(c * math.log(max(q, 1e-12)) for c, q in ((x, p), (n - x, 1 - p)))
-
-    both = (a + b) / (n_a + n_b)
-    return 2 * (part(a, n_a, a / n_a) + part(b, n_b, b / n_b) - part(a, n_a, both) - part(b, n_b, both))
-
-
 def count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Document frequencies by class of the examples of a task; rows of bounded batches."""
     counts = (Counter(), Counter())
@@ -137,7 +158,7 @@ def count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for part in slices(batches):
         for label, text in zip(part.column(1).to_pylist(), part.column(2).to_pylist()):
-            counts[label].update(terms_of(words_in(text)).keys())
+            counts[label].update({t for word in words_in(text) for t in spelled(word)})
         if len(counts[0]) + len(counts[1]) > 500_000:
             yield told()
             counts[0].clear()
@@ -145,7 +166,7 @@ def count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield told()
 
 
-def calibrate(index: Index, examples: list[Counter]) -> tuple[float, float]:
+def calibrate(index: Index, examples: list[dict[int, int]]) -> tuple[float, float]:
     """Logistic curve over the votes of examples, each left out of its own search (Newton steps, slight ridge)."""
     step = max(1, len(examples) // CALIBRATION_ROWS)
     votes = np.array([index.vote(index.nearest(index.weigh(examples[i]), without=i)) for i in range(0, len(examples), step)])
@@ -205,7 +226,7 @@ def fit(documents: DataFrame, labels: DataFrame, learn: Column, label: str = "to
 
     examples = rows.mapInArrow(vectors, "doc_id bigint, label int, terms array<int>, counts array<int>").collect()
     examples.sort(key=lambda r: (r.label, r.terms, r.doc_id))
-    counted = [Counter(dict(zip(r.terms, r.counts))) for r in examples]
+    counted = [dict(zip(r.terms, r.counts)) for r in examples]
     index = Index(terms, idf, np.array([r.doc_id for r in examples], np.int64), np.array([r.label for r in examples], float), [])
     index = Index(terms, idf, index.ids, index.labels, [index.weigh(c) for c in counted])
     index.curve = calibrate(index, counted)
