@@ -8,6 +8,7 @@ range filter on ``commit_seq``; clearing never rewrites data.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -31,15 +32,16 @@ def check_confirmation(text: str) -> None:
 
 
 def check_snapshot_id(snapshot_id: int | str) -> int:
-    try:
-        return int(snapshot_id)
-    except (TypeError, ValueError):
-        raise ValueError("snapshot_id must be an integer") from None
+    """The id as a number: digits with an optional minus sign, nothing else."""
+    text = str(snapshot_id)
+    if isinstance(snapshot_id, bool) or not re.fullmatch(r"-?[0-9]+", text, re.ASCII):
+        raise ValueError(f"not a snapshot id: {text!r}")
+    return int(text)
 
 
-def check_limit(limit: int) -> int:
-    if not 1 <= limit <= TIME_TRAVEL_LIMIT:
-        raise ValueError(f"limit must be between 1 and {TIME_TRAVEL_LIMIT}")
+def check_limit(limit: int, most: int = TIME_TRAVEL_LIMIT) -> int:
+    if limit not in range(1, most + 1):
+        raise ValueError(f"between 1 and {most} rows can be asked for, not {limit}")
     return limit
 
 
@@ -52,10 +54,13 @@ def latest_snapshot(commits: DataFrame) -> DataFrame:
     return commits.orderBy(F.desc("seq")).limit(1)
 
 
-def snapshot_list(commits: DataFrame, current_id: Column | None = None) -> DataFrame:
-    """Newest snapshots first, ids as text, the current one marked."""
+def snapshot_list(commits: DataFrame, current_id: Column | None = None, limit: int = SNAPSHOT_LIST_LIMIT) -> DataFrame:
+    """Newest snapshots first, ids as text, the current one marked.
+
+    ``current_id`` is the head of the branch; after a rollback it is not the newest snapshot.
+    """
     current = head_id(commits) if current_id is None else current_id
-    newest = commits.orderBy(F.desc("committed_at"), F.desc("seq")).limit(SNAPSHOT_LIST_LIMIT)
+    newest = commits.orderBy(F.desc("committed_at"), F.desc("seq")).limit(limit)
     return newest.select(
         "committed_at",
         id_text(F.col("snapshot_id")).alias("snapshot_id"),
@@ -66,10 +71,14 @@ def snapshot_list(commits: DataFrame, current_id: Column | None = None) -> DataF
     )
 
 
-def snapshot_totals(listed: DataFrame) -> DataFrame:
-    return listed.agg(
-        F.count(F.lit(1)).alias("snapshots"), F.count_if(~F.col("is_current")).alias("historical")
+def snapshot_totals(commits: DataFrame, current_id: Column | None = None) -> DataFrame:
+    """Snapshots of the whole log, those that are not current, and the current one's id."""
+    current = head_id(commits) if current_id is None else current_id
+    totals = commits.agg(
+        F.count(F.lit(1)).alias("snapshots"),
+        F.count_if(~F.col("snapshot_id").eqNullSafe(current)).alias("historical"),
     )
+    return totals.withColumn("current_snapshot_id", id_text(current))
 
 
 @dataclass(frozen=True)
@@ -182,6 +191,7 @@ def clear_effect(rows: DataFrame, commits: DataFrame, snapshot_id: int | str) ->
     if after.cleared != after.last:
         raise ValueError(f"snapshot is not a clear: {wanted}")
     before = snapshot_bounds(commits.where(F.col("seq") < after.last))
+    committed_at = commits.where(F.col("seq") == after.last).agg(F.max("committed_at")).scalar()
     counted = rows.where(before.holds() | after.holds()).agg(
         F.count_if(before.holds()).alias("before_count"), F.count_if(after.holds()).alias("after_count")
     )
@@ -190,6 +200,7 @@ def clear_effect(rows: DataFrame, commits: DataFrame, snapshot_id: int | str) ->
         (F.col("before_count") - F.col("after_count")).alias("deleted_count"),
         "after_count",
         F.lit(str(wanted)).alias("snapshot_id"),
+        committed_at.alias("committed_at"),
         F.lit(DELETE).alias("operation"),
         F.lit(True).alias("history_preserved"),
     )

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventlake.functions.json_safe import computed_once
 from eventlake.functions.text import is_empty
@@ -16,13 +17,18 @@ from eventlake.schemas import EVENT_COLUMNS, EVENT_SCHEMA
 USAGE_EVENT_TYPE = "usage"
 
 
-def parse_events(records: DataFrame, value: str = "value") -> DataFrame:
+def parse_events(
+    records: DataFrame, value: str = "value", columns: Sequence[str] = EVENT_COLUMNS, keep: Sequence[str] = ()
+) -> DataFrame:
     """JSON records to canonical events; rows without an event id (or without valid JSON) drop out.
 
-    Works on static and streaming frames alike.
+    Only the event id and ``columns`` are parsed, so name no more than is needed. ``keep`` are
+    columns of the records that stay. Works on static and streaming frames alike.
     """
-    data = F.from_json(F.col(value).cast("string"), EVENT_SCHEMA)
-    return records.select(computed_once(data).alias("data")).select("data.*").where(F.col("event_id").isNotNull()).select(*EVENT_COLUMNS)
+    schema = T.StructType([f for f in EVENT_SCHEMA if f.name in ("event_id", *columns)])
+    data = F.from_json(F.col(value).cast("string"), schema)
+    parsed = records.select(*keep, computed_once(data).alias("data")).where(F.col("data.event_id").isNotNull())
+    return parsed.select(*[F.col("data")[c].alias(c) for c in columns], *keep)
 
 
 def usage_envelope(
@@ -69,11 +75,6 @@ def batch_event_ids(batch: DataFrame) -> DataFrame:
     return batch.select("event_id").where(F.col("event_id").isNotNull()).distinct()
 
 
-def key_partition(key: str, partitions: int) -> Column:
-    """Stable partition of a key. Not the hash a broker uses: equal keys meet, numbers differ."""
-    return F.pmod(F.xxhash64(F.col(key)), F.lit(partitions)).cast("int")
-
-
 def keyed_records(events: DataFrame, key: str = "user_id") -> DataFrame:
     """(key, JSON value) records of events, ready for a keyed topic."""
     body = F.to_json(F.struct(*EVENT_COLUMNS), {"ignoreNullFields": "false"})
@@ -136,12 +137,15 @@ def success_transitions(
     ]
 
 
-def new_rows(incoming: DataFrame, table: DataFrame, key: str = "event_id") -> DataFrame:
+def new_rows(incoming: DataFrame, table: DataFrame, key: str = "event_id", order: Sequence[str] = ()) -> DataFrame:
     """Incoming rows whose key the table does not hold yet, one per key.
 
-    The table is only asked for the incoming keys, so a small batch is broadcast to the scan and
-    the table is not shuffled.
+    Of rows with one key the least by ``order``, then by all columns, stays, so running a batch
+    again gives the same rows. Incoming rows combine before the shuffle and are read once; give the
+    table pruned to the rows that can matter.
     """
-    fresh = incoming.where(F.col(key).isNotNull()).dropDuplicates([key])
-    known = table.select(key).join(fresh.select(key), key, "left_semi").distinct()
-    return fresh.join(known, key, "left_anti")
+    columns = [*order, *(c for c in incoming.columns if c not in order)]
+    least = F.min(F.struct(*columns)).alias("_row")
+    fresh = incoming.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_key")).agg(least)
+    missing = fresh.join(table.select(F.col(key).alias("_key")), "_key", "left_anti")
+    return missing.select(*[F.col("_row")[c].alias(c) for c in incoming.columns])

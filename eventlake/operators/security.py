@@ -11,14 +11,7 @@ from eventlake.functions.cases import first_match
 from eventlake.functions.json_safe import computed_once
 from eventlake.functions.text import is_empty
 from eventlake.functions.times import micros, parse_iso
-from eventlake.operators.skew import (
-    BLOCK_WIDTH,
-    HOT_SHARE,
-    MIN_HOT_ROWS,
-    block_of,
-    block_starts,
-    split_hot,
-)
+from eventlake.operators.skew import BLOCK_ROWS, block_of, block_starts
 from eventlake.schemas import SECURITY_SCHEMA
 
 # Detector defaults, score steps, level and policy bounds with their texts.
@@ -35,10 +28,6 @@ POLICIES = (
     (0, "LOG", "Low risk suspicious activity"),
 )
 
-# Width of a time slice when a hot user's timeline is cut; a slice has one row per distinct
-# microsecond and block at most, whatever the number of events.
-SLICE_MICROS = 60_000_000
-
 
 def parse_security_events(records: DataFrame, value: str = "value") -> DataFrame:
     """JSON security events with ``ets``, the event time. Other columns of the record are kept.
@@ -67,33 +56,40 @@ def failed_logins(events: DataFrame) -> DataFrame:
     return events.where((F.col("event_type") == FAILED_LOGIN) & ~is_empty(F.col("username")))
 
 
-def _counts_in_one_pass(rows: DataFrame, key: str, seq: str, ts: str, span: int) -> DataFrame:
-    """Attempts in the window per row, with one shuffle on the key.
-
-    With mx the running maximum of event time in arrival order, the attempts that have left the
-    window by a row are those whose mx lies more than ``span`` before the row's mx. mx never
-    decreases, so that is a range frame over mx.
-    """
-    arrived = Window.partitionBy(key).orderBy(seq).rowsBetween(Window.unboundedPreceding, 0)
-    gone = Window.partitionBy(key).orderBy("_mx").rangeBetween(Window.unboundedPreceding, -(span + 1))
-    return (
-        rows.withColumn("_mx", F.max(ts).over(arrived))
-        .withColumn("_arrived", F.row_number().over(Window.partitionBy(key).orderBy(seq)))
-        .withColumn("_expired", F.count(F.lit(1)).over(gone))
-    )
-
-
-def _counts_in_blocks(
-    rows: DataFrame, key: str, seq: str, ts: str, span: int, block_width: int, slice_width: int
+def sliding_counts(
+    rows: DataFrame,
+    window_micros: int,
+    key: str = "username",
+    seq: str = "seq",
+    ts: str = "ets_us",
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """The same columns for users too large for one task.
+    """``attempts``: rows of the same key in the trailing window, in arrival order.
+
+    The window keeps attempts until one arrives whose time is more than ``window_micros`` later
+    than the oldest kept one; late rows wait behind newer ones. ``seq`` must be unique and
+    integral, ``ts`` is in microseconds.
 
-    Arrivals are cut into blocks of consecutive ``seq``: running maximum and position are local
-    values plus what the earlier blocks contribute. The expired count is a rank lookup of
-    ``mx - span`` among the user's mx values. Equal mx values of a block are first collapsed to
-    one row, then looked up within slices of the mx axis, again local rank plus earlier slices.
+    With mx the running maximum of event time in arrival order, the attempts that have left the
+    window by a row are those whose mx lies more than the window before the row's mx. Arrivals are
+    cut into blocks along ``seq``: running maximum and position are local values plus what the
+    earlier blocks contribute. The count of those that left is a rank lookup of ``mx - window``
+    among the key's mx values: equal mx values of a block are first collapsed to one row, then
+    looked up within slices of the mx axis, again local rank plus earlier slices. Blocks and slices
+    hold at most about ``block_rows`` rows of all keys, so a key of any size is spread.
     """
-    blocked = rows.withColumn("_block", block_of(seq, block_width))
+    span = window_micros
+    facts = rows.agg(
+        F.struct(
+            F.min(seq).alias("seq_low"),
+            F.max(seq).alias("seq_high"),
+            F.min(ts).alias("ts_low"),
+            F.max(ts).alias("ts_high"),
+            F.count(F.lit(1)).alias("n"),
+        ).alias("f")
+    ).scalar()
+    block = block_of(F.col(seq), facts["seq_low"], facts["seq_high"], facts["n"], block_rows)
+    blocked = rows.withColumn("_block", block)
     starts = block_starts(blocked, [key], "_block", (F.max(ts), "_mx_before"))
     local = Window.partitionBy(key, "_block").orderBy(seq)
     running = (
@@ -109,9 +105,8 @@ def _counts_in_blocks(
     # Each level is a mark that counts its rows and a probe that asks how many rows lie below it.
     mark = F.struct(F.col("_mx").alias("_at"), F.col("_n").alias("_rows"), F.lit(1).alias("_is_mark"))
     probe = F.struct((F.col("_mx") - span).alias("_at"), F.lit(0).cast("long").alias("_rows"), F.lit(0).alias("_is_mark"))
-    points = levels.select(key, "_block", "_mx", F.inline(F.array(mark, probe))).withColumn(
-        "_slice", block_of("_at", slice_width)
-    )
+    at = block_of(F.col("_at"), facts["ts_low"], facts["ts_high"], facts["n"], block_rows)
+    points = levels.select(key, "_block", "_mx", F.inline(F.array(mark, probe))).withColumn("_slice", at)
     earlier = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     slices = (
         points.groupBy(key, "_slice")
@@ -130,33 +125,8 @@ def _counts_in_blocks(
         .join(slices, [key, "_slice"])
         .select(key, "_block", "_mx", (F.col("_below") + F.col("_below_slice")).alias("_expired"))
     )
-    return running.join(expired, [key, "_block", "_mx"]).drop("_block")
-
-
-def sliding_counts(
-    rows: DataFrame,
-    window_micros: int,
-    key: str = "username",
-    seq: str = "seq",
-    ts: str = "ets_us",
-    hot_share: float = HOT_SHARE,
-    min_hot_rows: int = MIN_HOT_ROWS,
-    block_width: int = BLOCK_WIDTH,
-    slice_width: int = SLICE_MICROS,
-) -> DataFrame:
-    """``attempts``: rows of the same key in the trailing window, in arrival order.
-
-    The window keeps attempts until one arrives whose time is more than ``window_micros`` later
-    than the oldest kept one; late rows wait behind newer ones. ``seq`` must be unique and
-    integral, ``ts`` is in microseconds. Hot keys, looked for at the time of the call, are counted
-    block by block, all others in one pass.
-    """
-    ordinary, hot = split_hot(rows, key, share=hot_share, min_rows=min_hot_rows)
-    counted = _counts_in_one_pass(ordinary, key, seq, ts, window_micros)
-    if hot is not None:
-        in_blocks = _counts_in_blocks(hot, key, seq, ts, window_micros, block_width, slice_width)
-        counted = counted.unionByName(in_blocks)
-    return counted.withColumn("attempts", F.col("_arrived") - F.col("_expired"))
+    counted = running.join(expired, [key, "_block", "_mx"]).drop("_block", "_mx")
+    return counted.withColumn("attempts", F.col("_arrived") - F.col("_expired")).drop("_arrived", "_expired")
 
 
 def bruteforce_incidents(
@@ -164,7 +134,7 @@ def bruteforce_incidents(
     threshold: int = THRESHOLD,
     window_seconds: int = WINDOW_SECONDS,
     seq: str = "seq",
-    **split,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """One incident for every failed login at or above the threshold; nothing resets the count.
 
@@ -174,7 +144,7 @@ def bruteforce_incidents(
     attempts = failed_logins(events).where(F.col("ets").isNotNull()).select(
         seq, "username", "ip_address", "client_id", "realm", micros(F.col("ets")).alias("ets_us")
     )
-    counted = sliding_counts(attempts, window_seconds * 1_000_000, seq=seq, **split)
+    counted = sliding_counts(attempts, window_seconds * 1_000_000, seq=seq, block_rows=block_rows)
     return incident_rows(counted, threshold, window_seconds, seq)
 
 

@@ -1,44 +1,22 @@
-"""Hot keys: find them, set them aside, and number rows without giving one task a whole key."""
+"""Large keys cut into blocks along an order column, so that no task holds a whole key."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A key is hot when it holds more than this share of all rows, so at most 1 / HOT_SHARE keys are hot:
-# the list is safe to broadcast at any data size. A key below the share fits an ordinary task.
-HOT_SHARE = 1e-4
-# Below this many rows a key is never worth special treatment.
-MIN_HOT_ROWS = 1_000_000
-# Rows per block when one key is cut into consecutive blocks; seq is unique, so a block holds no more.
-BLOCK_WIDTH = 1_000_000
+# Rows of all keys together that one block should hold; a key has no more rows in a block than that.
+BLOCK_ROWS = 1_000_000
 
 
-def hot_keys(df: DataFrame, key: str, share: float = HOT_SHARE, min_rows: int = MIN_HOT_ROWS) -> DataFrame:
-    """The keys holding more than ``share`` of all rows and more than ``min_rows`` rows."""
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    # The total comes from the same counts, so the shuffle below them is shared.
-    total = counts.agg(F.sum("n").alias("total")).scalar()
-    return counts.where((F.col("n") > min_rows) & (F.col("n") > total * share)).select(key)
+def block_of(value: Column, low: Column, high: Column, rows: Column, block_rows: int) -> Column:
+    """Number of the block of a value: equal steps from ``low`` to ``high``, as many as ``rows`` need.
 
-
-def split_hot(df: DataFrame, key: str, **limits) -> tuple[DataFrame, DataFrame | None]:
-    """(rows of ordinary keys, rows of hot keys or None when no key is hot).
-
-    Counts the keys now, in a job that reads only the key column, so that the usual case without
-    hot keys gets a plan without any trace of them. Fewer than 1 / share keys can come back.
+    The bounds come from the data, so the same rule fits dense numbers, sparse ids and times.
     """
-    found = hot_keys(df, key, **limits)
-    rows = found.collect()
-    if not rows:
-        return df, None
-    hot = F.broadcast(df.sparkSession.createDataFrame(rows, found.schema))
-    return df.join(hot, key, "left_anti"), df.join(hot, key, "left_semi")
-
-
-def block_of(seq: str, width: int):
-    """Consecutive block number of an integral, unique order column."""
-    return F.expr(f"`{seq}` div {int(width)}L")
+    steps = F.greatest(F.lit(1.0), F.ceil(rows / F.lit(float(block_rows))).cast("double"))
+    width = F.greatest(F.lit(1.0), (high - low + 1).cast("double") / steps)
+    return F.floor((value - low) / width)
 
 
 def block_starts(df: DataFrame, keys: list[str], block: str, *extra) -> DataFrame:
@@ -57,22 +35,3 @@ def block_starts(df: DataFrame, keys: list[str], block: str, *extra) -> DataFram
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("rows_before"),
         *[F.max(name).over(before).alias(name) for _, name in extra],
     )
-
-
-def with_position(
-    df: DataFrame, keys: list[str], seq: str, name: str = "position", block_width: int = BLOCK_WIDTH
-) -> DataFrame:
-    """Dense zero-based position of each row within ``keys`` in ``seq`` order.
-
-    Same values as ``row_number() - 1`` over the keys, but a key is numbered block by block, so a
-    key that holds a third of the table is spread over many tasks.
-    """
-    blocked = df.withColumn("_block", block_of(seq, block_width))
-    starts = block_starts(blocked, keys, "_block")
-    local = F.row_number().over(Window.partitionBy(*keys, "_block").orderBy(seq)) - 1
-    return (
-        blocked.withColumn("_local", local)
-        .join(starts, [*keys, "_block"])
-        .withColumn(name, F.col("rows_before") + F.col("_local"))
-        .drop("_block", "_local", "rows_before")
-    )

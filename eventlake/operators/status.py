@@ -85,9 +85,13 @@ def fold_fields(status: DataFrame, arrival: str = "arrival") -> DataFrame:
     ``status`` is one of the fields. Folding folded rows again with newer ones gives the fold of
     all of them, which is what the streaming state relies on.
     """
+    return merge_fields(field_rows(status, arrival), arrival)
+
+
+def field_rows(status: DataFrame, arrival: str = "arrival") -> DataFrame:
+    """One row per message and field, ``status`` included."""
     fields = F.map_concat("extras", F.create_map(F.lit("status"), F.col("status")))
-    long = status.select("event_id", "stage", arrival, F.explode(fields).alias("field", "field_value"))
-    return merge_fields(long, arrival)
+    return status.select("event_id", "stage", arrival, F.explode(fields).alias("field", "field_value"))
 
 
 def merge_fields(long: DataFrame, arrival: str = "arrival") -> DataFrame:
@@ -115,26 +119,17 @@ def with_initial_state(events: DataFrame, folded: DataFrame, keep: Sequence[str]
 
     Each event starts with the five stages in their initial status; further stages appear when a
     message names them. Messages of unknown events have no effect. ``updated_arrival`` is null for
-    a stage no message has touched. Both sides of the join have one row per event.
+    a stage no message has touched. The join is on (event, stage), which has one row on both sides,
+    so an event with many invented stages is spread like any other rows.
     """
-    entry = [c for c in folded.columns if c != "event_id"]
-    entries = folded.groupBy("event_id").agg(F.collect_list(F.struct(*entry)).alias("_touched"))
-    dtypes = {f.name: f.dataType for f in folded.schema.fields}
-    start = F.array(
-        *[
-            F.struct(
-                F.lit(stage).alias("stage"),
-                F.lit(text).alias("status"),
-                *[F.lit(None).cast(dtypes[c]).alias(c) for c in entry if c not in ("stage", "status")],
-            )
-            for stage, text in INITIAL_STATUS.items()
-        ]
-    )
-    joined = events.select("event_id", *keep).join(entries, "event_id", "left")
-    touched = F.col("_touched")
-    untouched = F.filter(start, lambda s: ~F.array_contains(touched["stage"], s["stage"]))
-    stages = F.when(touched.isNull(), start).otherwise(F.concat(untouched, touched))
-    return joined.select("event_id", *keep, F.inline(stages))
+    others = [c for c in folded.columns if c not in ("event_id", "stage", "status")]
+    first = F.map_from_arrays(F.lit(list(INITIAL_STATUS)), F.lit(list(INITIAL_STATUS.values())))
+    own = events.select("event_id", *keep)
+    start = own.select("event_id", *keep, F.explode(first).alias("stage", "_first"))
+    known = start.join(folded, ["event_id", "stage"], "left")
+    known = known.withColumn("status", F.coalesce("status", "_first")).select("event_id", *keep, "stage", "status", *others)
+    further = folded.where(~F.col("stage").isin(*INITIAL_STATUS)).join(own, "event_id")
+    return known.unionByName(further.select(*known.columns))
 
 
 def pipeline_state(
@@ -211,14 +206,12 @@ def recent_events(
 ) -> DataFrame:
     """State of the most recently touched events, oldest first.
 
-    The limit is clamped, so at most ``keep`` ids are fetched to choose the events. They become a
-    literal filter on the status messages, and only those are folded.
+    The limit is clamped, so at most ``keep`` events are chosen and broadcast, and only their
+    messages are folded.
     """
-    chosen = retained_events(events, status, clamp(limit, 1, keep))
-    rows = chosen.collect()
-    local = chosen.sparkSession.createDataFrame(rows, chosen.schema)
-    theirs = status.where(F.col("event_id").isin([r.event_id for r in rows]))
-    return pipeline_state(local, theirs, fields, ("touched_arrival",)).orderBy("touched_arrival", "event_id")
+    chosen = F.broadcast(retained_events(events, status, clamp(limit, 1, keep)))
+    theirs = status.join(chosen.select("event_id"), "event_id", "left_semi")
+    return pipeline_state(chosen, theirs, fields, ("touched_arrival",)).orderBy("touched_arrival", "event_id")
 
 
 def search_status(state: DataFrame, query: str = "", topic: str | None = None, trim: bool = True) -> DataFrame:

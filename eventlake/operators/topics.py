@@ -5,17 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.operators.skew import BLOCK_WIDTH, with_position
-
 # Fixed value: topics with this prefix belong to the broker itself.
 INTERNAL_PREFIX = "__"
 
 
-def assign_offsets(records: DataFrame, seq: str, block_width: int = BLOCK_WIDTH) -> DataFrame:
-    """Dense offsets per (topic, partition) in ``seq`` order, starting at 0."""
-    return with_position(records, ["topic", "partition"], seq, "offset", block_width)
-
-
 def read_partition(log: DataFrame, topic: str, partition: int, from_offset: int = 0) -> DataFrame:
     """Records of one partition from an offset on; order by ``offset`` to replay them."""
     return log.where(

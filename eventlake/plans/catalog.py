@@ -15,7 +15,7 @@ from eventlake.operators import directory, history, ingest, security, status, to
 from eventlake.plans import fixtures as fx
 from eventlake.schemas import EVENT_COLUMNS
 from eventlake.session import work_folder
-from eventlake.sinks.ledger import Ledger
+from eventlake.sinks.batches import BatchTable
 from eventlake.sinks.topics import parquet_publisher
 from eventlake.sources import files
 from eventlake.sources.tables import read_table
@@ -81,11 +81,8 @@ def batch_event_ids(spark, folder):
 
 @query
 def keyed_records(spark, folder):
-    """Keyed JSON records with the offsets a three-partition topic gives them."""
-    rows = fx.usage(spark, folder).withColumn("topic", F.lit("usage-events"))
-    rows = rows.withColumn("partition", (F.col("user_id").cast("long") % 3).cast("int"))
-    log = topics.assign_offsets(rows, "seq")
-    return ingest.keyed_records(log).select("topic", "partition", "offset", "key", "value")
+    """Keyed JSON records, ready for a topic."""
+    return ingest.keyed_records(fx.usage(spark, folder)).select("key", "value")
 
 
 @query
@@ -111,10 +108,10 @@ def sent_records(spark, folder):
 
 @query
 def dedup_append(spark, folder):
-    """Replaying all usage events against the table as it was at an early snapshot."""
+    """Replaying all usage events, some twice with other content, against the table at an early snapshot."""
     table = history.rows_at(fx.table_rows(spark, folder), fx.commits(spark, folder), fx.EARLY_SNAPSHOT)
-    incoming = ingest.parse_events(fx.usage_json(spark, folder))
-    return ingest.new_rows(incoming, table)
+    incoming = ingest.parse_events(fx.usage_json_with_repeats(spark, folder), keep=("offset",))
+    return ingest.new_rows(incoming, table, order=("offset",)).drop("offset")
 
 
 # Usage
@@ -122,12 +119,14 @@ def dedup_append(spark, folder):
 
 @query
 def usage_rollup(spark, folder):
-    return usage.usage_rollup(ingest.parse_events(fx.usage_json(spark, folder)))
+    columns = ("user_id", "service", "usage_type", "quantity")
+    return usage.usage_rollup(ingest.parse_events(fx.usage_json(spark, folder), columns=columns))
 
 
 @query
 def billing_cost(spark, folder):
-    return usage.billing_cost(ingest.parse_events(fx.usage_json(spark, folder)))
+    columns = ("user_id", "service", "quantity")
+    return usage.billing_cost(ingest.parse_events(fx.usage_json(spark, folder), columns=columns))
 
 
 # Security
@@ -269,7 +268,8 @@ def append_effect(spark, folder):
 
 @query
 def snapshot_list(spark, folder):
-    listed = history.snapshot_list(fx.commits(spark, folder))
+    """The list after a rollback: the head of the branch is given, not the newest snapshot."""
+    listed = history.snapshot_list(fx.commits(spark, folder), F.lit(fx.LATE_SNAPSHOT))
     return listed.select(
         F.unix_micros("committed_at").alias("committed_us"),
         "snapshot_id",
@@ -282,7 +282,7 @@ def snapshot_list(spark, folder):
 
 @query
 def snapshot_totals(spark, folder):
-    return history.snapshot_totals(history.snapshot_list(fx.commits(spark, folder)))
+    return history.snapshot_totals(fx.commits(spark, folder))
 
 
 @query
@@ -318,7 +318,8 @@ def snapshot_diff(spark, folder):
 
 @query
 def clear_effect(spark, folder):
-    return history.clear_effect(*_table(spark, folder), fx.CLEAR_SNAPSHOT)
+    report = history.clear_effect(*_table(spark, folder), fx.CLEAR_SNAPSHOT)
+    return report.withColumn("committed_us", F.unix_micros("committed_at")).drop("committed_at")
 
 
 @query
@@ -330,33 +331,40 @@ def reset_effect(spark, folder):
 # Files
 
 
-def _event_file(folder):
-    return f"{folder.rstrip('/')}/events.parquet"
+def _paths(folder, *tables):
+    return [f"{folder.rstrip('/')}/{table}.parquet" for table in tables]
 
 
 def _with_file_name(df):
     return df.withColumn("_parquet_file", files.file_name(F.col("_parquet_file"))).drop("_row", "ts")
 
 
+# Files of other tables are looked through as well; they have no event ids.
+_LOOKED_THROUGH = ("customer", "events", "orders")
+
+
 @query
 def parquet_rows_by_event(spark, folder):
-    return _with_file_name(files.rows_for_event(spark, _event_file(folder), event_id="137"))
+    schema = read_table(spark, folder, "events").schema
+    return _with_file_name(files.rows_for_event(spark, *_paths(folder, *_LOOKED_THROUGH), event_id="137", schema=schema))
 
 
 @query
-def parquet_first_rows(spark, folder):
-    return _with_file_name(files.first_rows(spark, _event_file(folder)))
+def parquet_lookup_report(spark, folder):
+    schema = read_table(spark, folder, "events").schema
+    report = files.lookup_report(spark, *_paths(folder, *_LOOKED_THROUGH), event_id="137", schema=schema)
+    return report.withColumn("files", F.array_join("files", ","))
 
 
 @query
-def file_row_counts(spark, folder):
-    return _with_file_name(files.file_row_counts(spark, _event_file(folder)))
+def parquet_first_rows(spark, folder):
+    schema = "n_nationkey long, n_name string, r_regionkey long, r_name string, s_suppkey long, s_name string"
+    return _with_file_name(files.first_rows(spark, *_paths(folder, "supplier", "nation", "region"), schema=schema))
 
 
 @query
-def data_file_inventory(spark, folder):
-    listed = files.data_files(spark, folder)
-    return listed.select(files.file_name(F.col("path")).alias("file"), "length")
+def file_row_counts(spark, folder):
+    return _with_file_name(files.file_row_counts(spark, *_paths(folder, "events", "nation", "supplier", "orders")))
 
 
 # Topics
@@ -441,23 +449,32 @@ def json_safe_rows(spark, folder):
     )
 
 
-# Streams: the same inputs and results as the batch queries, through micro-batches
+# Streams: the same inputs and results as the batch queries, through several micro-batches
 
+STREAM_FILES = 4
 
-def _events_stream(spark, folder):
-    schema = read_table(spark, folder, "events").schema
-    return fx.with_k(readers.file_stream(spark, f"{folder.rstrip('/')}/events*.parquet", schema))
+
+def _events_stream(spark, folder, home):
+    """The events as a stream of several files in order of their number, one micro-batch each."""
+    events = read_table(spark, folder, "events")
+    low, high = events.agg(F.min("event_id"), F.max("event_id")).first()
+    step = ((high or 0) - (low or 0)) // STREAM_FILES + 1
+    for part in range(STREAM_FILES):
+        start = (low or 0) + part * step
+        own = events.where((F.col("event_id") >= start) & (F.col("event_id") < start + step))
+        own.coalesce(1).write.mode("append").parquet(f"{home}/events")
+    return fx.with_k(readers.file_stream(spark, f"{home}/events", events.schema, max_files_per_trigger=1))
 
 
 @query
 def stream_ingest(spark, folder):
     """Usage records through the ingest pipeline; the table afterwards."""
     home = work_folder(spark, "stream-ingest")
-    ledger = Ledger(spark, f"{home}/table").create()
-    handler = pipeline.batch_handler(pipeline.ledger_target(ledger), parquet_publisher(f"{home}/status"))
-    records = fx.usage_json_of(_events_stream(spark, folder))
-    readers.run_available(pipeline.usage_stream(records), handler, f"{home}/checkpoint")
-    return ledger.current()
+    table = BatchTable(spark, f"{home}/table").create()
+    handler = pipeline.batch_handler(pipeline.parquet_target(table), parquet_publisher(f"{home}/status"))
+    records = fx.usage_json_of(_events_stream(spark, folder, home))
+    readers.run_available(ingest.parse_events(records), handler, f"{home}/checkpoint")
+    return table.current()
 
 
 @query
@@ -468,26 +485,18 @@ def stream_incidents(spark, folder):
     def emit(incidents, batch_id):
         incidents.write.mode("overwrite").parquet(f"{home}/incidents/batch={batch_id}")
 
-    handler = detector.incident_handler(
-        spark, f"{home}/state", emit, window_seconds=INCIDENT_WINDOW_SECONDS
-    )
-    readers.run_available(fx.security_of(_events_stream(spark, folder)), handler, f"{home}/checkpoint")
-    return spark.read.parquet(f"{home}/incidents").drop("batch")
+    events = fx.security_of(_events_stream(spark, folder, home))
+    found = detector.incident_stream(events, window_seconds=INCIDENT_WINDOW_SECONDS)
+    readers.run_available(found, emit, f"{home}/checkpoint")
+    return spark.read.schema(detector.INCIDENT_SCHEMA).parquet(f"{home}/incidents").drop("batch")
 
 
 @query
 def stream_pipeline_state(spark, folder):
-    """Status records through the stateful fold, joined to the created events."""
+    """Status records through the streaming fold, joined to the created events."""
     home = work_folder(spark, "stream-status")
-    messages = fx.status_messages_of(_events_stream(spark, folder))
-    last = 0
-
-    def remember(batch, batch_id):
-        nonlocal last
-        handler(batch, batch_id)
-        last = batch_id
-
-    handler = status_state.status_handler(spark, f"{home}/state")
-    readers.run_available(messages, remember, f"{home}/checkpoint")
-    folded = status.stages_from_fields(status_state.read_state(spark, f"{home}/state", last), STATUS_FIELDS)
+    messages = fx.status_messages_of(_events_stream(spark, folder, home))
+    fields = status_state.field_stream(messages)
+    readers.run_available(fields, status_state.update_handler(f"{home}/state"), f"{home}/checkpoint", mode="update")
+    folded = status.stages_from_fields(status_state.read_state(spark, f"{home}/state"), STATUS_FIELDS)
     return status.with_initial_state(fx.created_events(spark, folder), folded)

@@ -11,15 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.functions.json_safe import computed_once
-from eventlake.operators.topics import assign_offsets
-from eventlake.schemas import COMMIT_SCHEMA, EVENT_COLUMNS, EVENT_SCHEMA
-from eventlake.sources.tables import read_table, spread_small, write_table
+from eventlake.schemas import EVENT_COLUMNS, EVENT_SCHEMA
+from eventlake.sources.tables import read_table
 
 _TIME = """concat(date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), '+00:00')"""
 
 
 def base_events(spark: SparkSession, folder: str) -> DataFrame:
-    return with_k(spread_small(read_table(spark, folder, "events"), "event_id"))
+    return with_k(read_table(spark, folder, "events"))
 
 
 def with_k(events: DataFrame) -> DataFrame:
@@ -66,6 +65,14 @@ def usage_json_of(events: DataFrame) -> DataFrame:
     return rows.select("seq", computed_once(value).alias("value"))
 
 
+def usage_json_with_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    """Usage records by ``offset``; for k % 10 = 3 each comes again later with a larger quantity."""
+    rows = usage(spark, folder).withColumn("copy", F.explode(F.expr("CASE WHEN k % 10 = 3 THEN array(0, 1) ELSE array(0) END")))
+    rows = rows.withColumn("quantity", F.col("quantity") + F.col("copy"))
+    value = F.when(F.col("k") == 97, "{bad").otherwise(F.to_json(F.struct(*EVENT_COLUMNS)))
+    return rows.select((F.col("seq") * 2 + F.col("copy")).alias("offset"), value.alias("value"))
+
+
 def usage_json(spark: SparkSession, folder: str) -> DataFrame:
     return usage_json_of(base_events(spark, folder))
 
@@ -186,17 +193,7 @@ def table_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def commits(spark: SparkSession, folder: str) -> DataFrame:
-    """The commit log, written once per session so that its small lookups do not rescan the events."""
-    key = (spark.sparkContext.applicationId, folder)
-    if key not in _commit_logs:
-        _commit_logs[key] = write_table(_commit_log(spark, folder), "commits")
-    return spark.read.schema(COMMIT_SCHEMA).parquet(_commit_logs[key])
-
-
-_commit_logs: dict[tuple[str, str], str] = {}
-
-
-def _commit_log(spark: SparkSession, folder: str) -> DataFrame:
+    """The commit log: one append for each day with rows, and the clear."""
     days = base_events(spark, folder).where("k <> 99").selectExpr(f"{_DAY} AS day").distinct()
     entries = days.select(
         F.expr(
@@ -216,11 +213,11 @@ def _commit_log(spark: SparkSession, folder: str) -> DataFrame:
         "operation",
         F.create_map(F.lit("day"), F.col("day").cast("string")).alias("summary"),
         F.col("day").cast("long").alias("batch_id"),
-    ).coalesce(1)
+    )
 
 
 def topic_log_of(events: DataFrame) -> DataFrame:
-    """Records of a keyed topic with its oldest records expired, an internal topic and a broken one."""
+    """Records of a keyed topic, an internal topic and a broken one; the event's number is the record's offset."""
     topics = F.expr(
         """filter(array(
              struct('usage-events' AS topic, CAST(user_id % 3 AS int) AS partition, 0 AS error_code),
@@ -229,8 +226,7 @@ def topic_log_of(events: DataFrame) -> DataFrame:
            t -> CASE t.topic WHEN '__consumer_offsets' THEN user_id % 50 = 0
                              WHEN 'usage-dead' THEN user_id % 50 = 1 ELSE true END)"""
     )
-    log = assign_offsets(events.select("event_id", F.inline(topics)), "event_id")
-    return log.where("topic <> 'usage-events' OR event_id >= 100")
+    return events.select("event_id", F.col("event_id").alias("offset"), F.inline(topics))
 
 
 def topic_log(spark: SparkSession, folder: str) -> DataFrame:

@@ -116,17 +116,17 @@ _VIEWS = {
     "listed": """
         SELECT committed_us, CAST(id AS varchar) AS snapshot_id,
           CASE WHEN id > 1001 THEN CAST(id - 1 AS varchar) END AS parent_id, operation, CAST(d AS varchar) AS "day",
-          id = (SELECT max(id) FROM commits) AS is_current
+          id = 1026 AS is_current
         FROM commits ORDER BY committed_us DESC LIMIT 100""",
     "clear_report": """
         SELECT count(*) FILTER (WHERE added_by < 1021) AS before_count,
-          count(*) FILTER (WHERE added_by < 1021) AS deleted_count, CAST(0 AS bigint) AS after_count,
-          '1021' AS snapshot_id, 'delete' AS operation, true AS history_preserved FROM table_rows""",
+          count(*) FILTER (WHERE removed_by = 1021) AS deleted_count,
+          count(*) FILTER (WHERE added_by <= 1021 AND (removed_by IS NULL OR removed_by > 1021)) AS after_count,
+          '1021' AS snapshot_id, epoch_us(TIMESTAMP '2024-01-21 00:00:01') AS committed_us,
+          'delete' AS operation, true AS history_preserved FROM table_rows""",
     "topic_log": """
-        SELECT * FROM (
-          SELECT 'usage-events' AS topic, CAST(user_id % 3 AS int) AS "partition",
-            row_number() OVER (PARTITION BY user_id % 3 ORDER BY event_id) - 1 AS "offset", event_id FROM events)
-        WHERE event_id >= 100""",
+        SELECT 'usage-events' AS topic, CAST(user_id % 3 AS int) AS "partition", event_id AS "offset", event_id
+        FROM events""",
     "ranges": """
         SELECT topic, "partition", min("offset") AS beginning_offset, max("offset") + 1 AS latest_offset,
           max("offset") + 1 - min("offset") AS log_size FROM topic_log GROUP BY topic, "partition" """,
@@ -204,9 +204,7 @@ _SQL = {
     "batch_event_ids": (["usage"], "SELECT DISTINCT event_id FROM usage WHERE event_id IS NOT NULL"),
     "keyed_records": (
         ["usage"],
-        """SELECT 'usage-events' AS topic, CAST(CAST(user_id AS bigint) % 3 AS int) AS "partition",
-             row_number() OVER (PARTITION BY CAST(user_id AS bigint) % 3 ORDER BY seq) - 1 AS "offset",
-             user_id AS key,
+        """SELECT user_id AS key,
              CAST(to_json({'event_id': event_id, 'event_type': event_type, 'user_id': user_id, 'username': username,
                'service': service, 'usage_type': usage_type, 'quantity': quantity, 'timestamp': "timestamp"})
                AS varchar) AS value
@@ -234,8 +232,9 @@ _SQL = {
              '{"event_id":"evt-' || event_id || '","stage":"spark","status":"processing"}' FROM topic_log""",
     ),
     "dedup_append": (
-        ["parsed", "table_rows"],
-        "SELECT * FROM parsed WHERE event_id NOT IN (SELECT event_id FROM table_rows WHERE added_by <= 1010)",
+        ["usage", "table_rows"],
+        f"""SELECT {_EVENT} FROM usage WHERE event_id IS NOT NULL AND k <> 97
+              AND event_id NOT IN (SELECT event_id FROM table_rows WHERE added_by <= 1010)""",
     ),
     "usage_rollup": (
         ["parsed"],
@@ -326,8 +325,9 @@ _SQL = {
     ),
     "snapshot_list": (["listed"], "SELECT * FROM listed"),
     "snapshot_totals": (
-        ["listed"],
-        "SELECT count(*) AS snapshots, count(*) FILTER (WHERE NOT is_current) AS historical FROM listed",
+        ["commits"],
+        """SELECT count(*) AS snapshots, count(*) - 1 AS historical, CAST(max(id) AS varchar) AS current_snapshot_id
+           FROM commits""",
     ),
     "latest_snapshot": (
         ["commits"],
@@ -368,10 +368,25 @@ _SQL = {
     ),
     "parquet_first_rows": (
         [],
-        """SELECT event_id, user_id, event_type, value, props, 'events.parquet' AS _parquet_file
-           FROM events ORDER BY event_id LIMIT 50""",
+        """SELECT * FROM (
+             SELECT n_nationkey, n_name, NULL::BIGINT AS r_regionkey, NULL::VARCHAR AS r_name, NULL::BIGINT AS s_suppkey,
+               NULL::VARCHAR AS s_name, 'nation.parquet' AS _parquet_file FROM nation
+             UNION ALL SELECT NULL, NULL, r_regionkey, r_name, NULL, NULL, 'region.parquet' FROM region
+             UNION ALL SELECT NULL, NULL, NULL, NULL, s_suppkey, s_name, 'supplier.parquet' FROM supplier)
+           ORDER BY _parquet_file, n_nationkey, r_regionkey, s_suppkey LIMIT 50""",
+    ),
+    "parquet_lookup_report": (
+        [],
+        """SELECT '137' AS event_id, count(*) AS row_count, 3 AS files_scanned,
+             'customer.parquet,events.parquet,orders.parquet' AS files FROM events WHERE event_id = 137""",
+    ),
+    "file_row_counts": (
+        [],
+        """SELECT 'events.parquet' AS _parquet_file, count(*) AS row_count FROM events
+           UNION ALL SELECT 'nation.parquet', count(*) FROM nation
+           UNION ALL SELECT 'supplier.parquet', count(*) FROM supplier
+           UNION ALL SELECT 'orders.parquet', count(*) FROM orders""",
     ),
-    "file_row_counts": ([], "SELECT 'events.parquet' AS _parquet_file, count(*) AS row_count FROM events"),
     "topic_offsets": (["ranges"], "SELECT * FROM ranges"),
     "topic_totals": (
         ["ranges"],

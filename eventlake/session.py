@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -10,13 +9,12 @@ from pyspark.sql import SparkSession
 
 # A shuffle starts with about one partition per this much input; small ones are coalesced at run time.
 BYTES_PER_PARTITION = 128 * 1024**2
-SHUFFLE_WIDTH = (200, 100_000)
+LEAST_PARTITIONS = 200
 
 
-def shuffle_width(input_bytes: int) -> int:
+def shuffle_width(input_bytes: int, bytes_per_partition: int = BYTES_PER_PARTITION) -> int:
     """Shuffle partitions to start with for an input of this size."""
-    low, high = SHUFFLE_WIDTH
-    return max(low, min(high, -(-input_bytes // BYTES_PER_PARTITION)))
+    return max(LEAST_PARTITIONS, -(-input_bytes // bytes_per_partition))
 
 
 def build_session(
@@ -44,13 +42,13 @@ def build_session(
 
 
 def work_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder under the cluster's shared ``spark.checkpoint.dir``.
+    """A fresh folder under the cluster's shared ``spark.checkpoint.dir``, which must be set.
 
-    Only where that setting is absent (a local test session) a temporary folder is used.
+    A local session that was started without it gets a folder of the session's own warehouse.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="eventlake-")
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/work"
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -19,7 +19,7 @@ def kafka_publisher(servers: str, topic: str) -> Publisher:
 
     def publish(records: DataFrame) -> None:
         (
-            records.select(F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
+            records.select("key", "value")
             .write.format("kafka")
             .option("kafka.bootstrap.servers", servers)
             .option("topic", topic)

@@ -39,9 +39,16 @@ def _listing(spark: SparkSession, paths: list[str], recursive: bool) -> DataFram
     return reader.option("recursiveFileLookup", recursive).load(paths).select("path", "length")
 
 
-def rows_with_file(spark: SparkSession, *paths: str, schema: T.StructType | None = None) -> DataFrame:
-    """All rows below the paths with ``_parquet_file`` and ``_row`` (row number inside the file)."""
+def rows_with_file(
+    spark: SparkSession, *paths: str, schema: T.StructType | None = None, skip_bad: bool = False
+) -> DataFrame:
+    """All rows below the paths with ``_parquet_file`` and ``_row`` (row number inside the file).
+
+    A file that cannot be read fails the query, unless ``skip_bad`` asks to leave it out; then say
+    so beside the rows with ``unread_files``.
+    """
     reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+    reader = reader.option("ignoreCorruptFiles", skip_bad)
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.parquet(*paths)
@@ -79,25 +86,33 @@ def rows_for_event(
 def first_rows(
     spark: SparkSession, *paths: str, limit: int = PREVIEW_DEFAULT, schema: T.StructType | None = None
 ) -> DataFrame:
-    """The first rows in file order.
+    """The first rows in file and row order.
 
-    Only as many leading files are opened as it takes to fill the limit, starting with one and
-    doubling, so previewing a large folder does not scan it.
+    The rows are chosen by their file and number alone, for which no column is read; the chosen
+    ones, at most ``MAX_ROWS``, are then taken from the files.
     """
-    wanted = clamp(limit, 1, MAX_ROWS)
-    found = rows_with_file(spark, *paths, schema=schema)
-    schema = schema or found.drop("_parquet_file", "_row").schema
-    by_name = _listing(spark, list(paths), recursive=True).orderBy("path")
-    opened = 1
-    while True:
-        names = [r.path for r in by_name.limit(opened).collect()]
-        if not names:
-            break
-        found = rows_with_file(spark, *names, schema=schema)
-        if len(names) < opened or found.limit(wanted).count() >= wanted:
-            break
-        opened *= 2
-    return found.orderBy("_parquet_file", "_row").limit(wanted)
+    rows = rows_with_file(spark, *paths, schema=schema)
+    place = ["_parquet_file", "_row"]
+    chosen = rows.select(*place).orderBy(*place).limit(clamp(limit, 1, MAX_ROWS))
+    return rows.join(F.broadcast(chosen), place, "left_semi").select(*rows.columns).orderBy(*place)
+
+
+def lookup_report(
+    spark: SparkSession, *paths: str, event_id: object, limit: int = LOOKUP_DEFAULT, schema: T.StructType | None = None
+) -> DataFrame:
+    """What a lookup says beside its rows: rows returned, files looked through, their names in order."""
+    found = rows_for_event(spark, *paths, event_id=event_id, limit=limit, schema=schema)
+    names = _listing(spark, list(paths), recursive=True).agg(F.sort_array(F.collect_set(file_name(F.col("path")))).alias("files"))
+    rows = found.agg(F.count(F.lit(1))).scalar()
+    return names.select(F.lit(str(event_id)).alias("event_id"), rows.alias("row_count"), F.size("files").alias("files_scanned"), "files")
+
+
+def unread_files(spark: SparkSession, *paths: str, schema: T.StructType | str | None = None) -> DataFrame:
+    """Paths of the files that gave no row to a reader that skips bad files: unreadable or empty ones."""
+    listed = _listing(spark, list(paths), recursive=True).select(F.regexp_replace("path", "^file:/+", "/").alias("path"))
+    rows = rows_with_file(spark, *paths, schema=schema, skip_bad=True)
+    read = rows.select(F.regexp_replace("_parquet_file", "^file:/+", "/").alias("path")).distinct()
+    return listed.join(read, "path", "left_anti")
 
 
 def file_row_counts(spark: SparkSession, *paths: str) -> DataFrame:

@@ -5,7 +5,7 @@ The statements are plain Spark SQL; ids go through ``check_snapshot_id`` before
 
 from __future__ import annotations
 
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,10 +35,12 @@ def snapshots(spark: SparkSession, table: str) -> DataFrame:
 
 
 def current_snapshot_id(spark: SparkSession, table: str) -> int | None:
-    """Head of the main branch; the newest snapshot where refs cannot be read."""
+    """Head of the main branch; the newest snapshot where the table has no refs to read. Other faults are raised."""
     try:
         head = spark.table(f"{table}.refs").where(F.col("name") == "main").select("snapshot_id").first()
-    except PySparkException:
+    except AnalysisException as error:
+        if error.getCondition() != "TABLE_OR_VIEW_NOT_FOUND":
+            raise
         head = None
     return head[0] if head else newest_snapshot_id(spark, table)
 
@@ -54,9 +56,9 @@ def data_file_count(spark: SparkSession, table: str) -> int:
     return int(newest[0].get("total-data-files", 0)) if newest else 0
 
 
-def snapshot_list(spark: SparkSession, table: str) -> DataFrame:
+def snapshot_list(spark: SparkSession, table: str, limit: int = SNAPSHOT_LIST_LIMIT) -> DataFrame:
     """Newest snapshots first, ids as text, the current one marked."""
-    newest = snapshots(spark, table).orderBy(F.desc("committed_at")).limit(SNAPSHOT_LIST_LIMIT)
+    newest = snapshots(spark, table).orderBy(F.desc("committed_at")).limit(limit)
     current: Column = F.lit(current_snapshot_id(spark, table)).cast("long")
     return newest.select(
         "committed_at",
@@ -99,12 +101,13 @@ def clear(spark: SparkSession, table: str, confirmation: str) -> dict:
     before = spark.table(table).count()
     spark.sql(f"DELETE FROM {table}")
     after = spark.table(table).count()
-    newest = newest_snapshot_id(spark, table)
+    newest = snapshots(spark, table).orderBy(F.desc("committed_at")).select("snapshot_id", "committed_at").first()
     return {
         "before_count": before,
         "deleted_count": before - after,
         "after_count": after,
-        "snapshot_id": None if newest is None else str(newest),
+        "snapshot_id": None if newest is None else str(newest.snapshot_id),
+        "committed_at": None if newest is None else newest.committed_at,
         "operation": DELETE,
         "history_preserved": True,
     }

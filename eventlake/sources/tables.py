@@ -4,24 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventlake.session import work_folder
-
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
-
-
-def spread_small(df: DataFrame, key: str) -> DataFrame:
-    """Redistribute a table that has fewer splits than the cluster has cores.
-
-    A table of any size to speak of has more splits than that and stays as it is, unshuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
-def write_table(df: DataFrame, purpose: str) -> str:
-    """Write a frame to a new place in the shared work folder; returns the path."""
-    path = work_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return path

@@ -2,67 +2,50 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections import deque
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from eventlake.functions.times import micros
-from eventlake.operators.security import (
-    THRESHOLD,
-    WINDOW_SECONDS,
-    failed_logins,
-    incident_rows,
-    sliding_counts,
-)
-from eventlake.streaming.readers import BatchHandler
-from eventlake.streaming.state import AlternatingState
-
-# Attempts that may still count: all that later events need to know about the past.
-ATTEMPT_SCHEMA = T.StructType(
-    [
-        T.StructField("seq", T.LongType()),
-        T.StructField("username", T.StringType()),
-        T.StructField("ets_us", T.LongType()),
-    ]
-)
+from eventlake.operators.security import THRESHOLD, WINDOW_SECONDS, failed_logins
 
 _DETAILS = ("ip_address", "client_id", "realm")
+INCIDENT_SCHEMA = (
+    "seq long, username string, failed_attempts long, window_seconds int, ip_address string, client_id string, realm string"
+)
+# Times of the attempts that may still count, oldest first: all that later events need to know.
+STATE_SCHEMA = "times array<long>"
 
 
-def incident_handler(
-    spark: SparkSession,
-    state_folder: str,
-    emit: Callable[[DataFrame, int], None],
-    threshold: int = THRESHOLD,
-    window_seconds: int = WINDOW_SECONDS,
-    **split,
-) -> BatchHandler:
-    """A handler for streams of security events with ``seq`` and ``ets``.
+def incident_stream(events: DataFrame, threshold: int = THRESHOLD, window_seconds: int = WINDOW_SECONDS) -> DataFrame:
+    """Incidents of a stream of security events with ``seq`` and ``ets``.
 
-    Each batch is counted together with the attempts still in a window, by the same operator the
-    batch job uses, so a busy user is spread over tasks here as well. ``seq`` must grow from one
-    batch to the next. ``emit`` gets the incidents of the batch and may see a batch twice after a
-    failure.
+    Spark keeps the live attempts of each user in its state store, so a batch touches only the users
+    it has events of. ``seq`` must grow from one batch to the next. The result is the one of the
+    batch operator.
     """
-    state = AlternatingState(spark, state_folder, ATTEMPT_SCHEMA)
     span = window_seconds * 1_000_000
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        fresh = failed_logins(batch).where(F.col("ets").isNotNull()).select(
-            "seq", "username", micros(F.col("ets")).alias("ets_us"), *_DETAILS, F.lit(True).alias("_fresh")
-        )
-        waiting = state.before(batch_id).withColumns(
-            {**{c: F.lit(None).cast("string") for c in _DETAILS}, "_fresh": F.lit(False)}
-        )
-        counted = sliding_counts(waiting.unionByName(fresh), span, **split).persist()
-        try:
-            emit(incident_rows(counted.where("_fresh"), threshold, window_seconds), batch_id)
-            # A row has left the window for good once its position is within the expired count.
-            gone = counted.groupBy("username").agg(F.max("_expired").alias("_gone"))
-            state.write(counted.join(gone, "username").where(F.col("_arrived") > F.col("_gone")), batch_id)
-        finally:
-            counted.unpersist()
-
-    return handle
+    def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        live = deque(state.get[0] if state.exists else ())
+        rows = pd.concat(parts).sort_values("seq")
+        counts = []
+        for time in rows["ets_us"].tolist():
+            live.append(time)
+            while live[0] < time - span:
+                live.popleft()
+            counts.append(len(live))
+        state.update((list(live),))
+        rows = rows.assign(failed_attempts=counts, window_seconds=window_seconds)
+        names = ["seq", "username", "failed_attempts", "window_seconds", *_DETAILS]
+        yield rows.loc[rows["failed_attempts"] >= threshold, names]
+
+    attempts = failed_logins(events).where(F.col("ets").isNotNull())
+    attempts = attempts.select("seq", "username", *_DETAILS, micros(F.col("ets")).alias("ets_us"))
+    return attempts.groupBy("username").applyInPandasWithState(
+        step, INCIDENT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout
+    )

@@ -9,8 +9,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.operators.ingest import batch_event_ids, parse_events, status_records
-from eventlake.sinks.ledger import Ledger
+from eventlake.operators.ingest import batch_event_ids, status_records
+from eventlake.sinks.batches import BatchTable
 from eventlake.sinks.topics import Publisher, best_effort
 from eventlake.sources import iceberg
 from eventlake.sources.files import data_files
@@ -34,14 +34,14 @@ class Target:
     count_files: Callable[[str | None], int]
 
 
-def ledger_target(ledger: Ledger, bucket: str = "", idempotent: bool = False) -> Target:
-    """Files are counted in the folder of the batch's own commit, not in the whole table."""
+def parquet_target(table: BatchTable, bucket: str = "", replace: bool = True) -> Target:
+    """A batch is its own snapshot; files are counted in its partition, not in the whole table."""
     return Target(
-        table=ledger.folder,
+        table=table.folder,
         bucket=bucket,
-        path=ledger.data_folder,
-        append=lambda df, batch_id: str(ledger.append(df, batch_id, idempotent)),
-        count_files=lambda snapshot_id: data_files(ledger.spark, ledger.commit_folder(snapshot_id)).count(),
+        path=table.folder,
+        append=lambda df, batch_id: str(table.append(df, batch_id, replace)),
+        count_files=lambda snapshot_id: data_files(table.spark, table.batch_folder(snapshot_id)).count(),
     )
 
 
@@ -65,8 +65,8 @@ def batch_handler(target: Target, publish: Publisher) -> BatchHandler:
     """Append each batch and report every stage for each of its event ids.
 
     The batch is read from the source once and kept for all its uses. Event ids stay a distributed
-    frame. Status records are best effort; a failed append or a missing file fails the batch, and a
-    batch that failed after its append is appended again on retry.
+    frame. Status records are best effort; a failed append or a missing file fails the batch, and the
+    target decides whether a batch that failed after its append counts twice on retry.
     """
     announce = best_effort(publish)
 
@@ -114,8 +114,3 @@ def batch_handler(target: Target, publish: Publisher) -> BatchHandler:
             batch.unpersist()
 
     return handle
-
-
-def usage_stream(records: DataFrame) -> DataFrame:
-    """Canonical events of a topic stream."""
-    return parse_events(records)

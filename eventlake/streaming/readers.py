@@ -30,18 +30,19 @@ def start(
     checkpoint: str,
     interval: str | None = TRIGGER_INTERVAL,
     name: str | None = None,
+    mode: str = "append",
 ) -> StreamingQuery:
     """Run ``handler`` on every micro-batch. ``interval=None`` handles what is there and stops.
 
     The checkpoint holds the reader's position: give each purpose its own.
     """
-    writer = stream.writeStream.foreachBatch(handler).option("checkpointLocation", checkpoint)
+    writer = stream.writeStream.outputMode(mode).foreachBatch(handler).option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
     trigger = {"availableNow": True} if interval is None else {"processingTime": interval}
     return writer.trigger(**trigger).start()
 
 
-def run_available(stream: DataFrame, handler: BatchHandler, checkpoint: str) -> None:
+def run_available(stream: DataFrame, handler: BatchHandler, checkpoint: str, mode: str = "append") -> None:
     """Handle everything that is there now and return; errors of the query are raised here."""
-    start(stream, handler, checkpoint, interval=None).awaitTermination()
+    start(stream, handler, checkpoint, interval=None, mode=mode).awaitTermination()

@@ -4,65 +4,38 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from eventlake.operators.status import fold_fields, invalid_status, merge_fields, parse_status, valid_status
-from eventlake.sinks.ledger import Ledger
-from eventlake.sinks.topics import Publisher
+from eventlake.operators.status import field_rows, invalid_status, merge_fields, parse_status, valid_status
 from eventlake.streaming.readers import BatchHandler
-from eventlake.streaming.state import AlternatingState
 
-FIELD_SCHEMA = T.StructType(
-    [
-        T.StructField("event_id", T.StringType()),
-        T.StructField("stage", T.StringType()),
-        T.StructField("field", T.StringType()),
-        T.StructField("field_value", T.StringType()),
-        T.StructField("arrival", T.LongType()),
-    ]
-)
+FIELD_SCHEMA = "event_id string, stage string, field string, field_value string, arrival long"
 
 
-def status_handler(
-    spark: SparkSession,
-    state_folder: str,
-    keep: int | None = None,
-    reject: Publisher | None = None,
-) -> BatchHandler:
-    """A handler for streams of (arrival, value) status messages.
+def field_stream(messages: DataFrame) -> DataFrame:
+    """Latest value per (event, stage, field) of a stream of (arrival, value) status messages.
 
-    A batch is folded first and merged with the state, so the state grows with events and fields,
-    not with messages. ``keep`` limits it to the most recently touched events. Unusable messages
-    go to ``reject`` and never stop the stream.
+    A streaming aggregation: run it in update mode, and a batch gives the fields it has changed. The
+    state is in Spark's state store, so a batch costs what it touches.
     """
-    state = AlternatingState(spark, state_folder, FIELD_SCHEMA)
+    rows = field_rows(valid_status(parse_status(messages)))
+    latest = rows.groupBy("event_id", "stage", "field").agg(F.max(F.struct("arrival", "field_value")).alias("latest"))
+    return latest.select("event_id", "stage", "field", F.col("latest.field_value").alias("field_value"), F.col("latest.arrival").alias("arrival"))
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        parsed = parse_status(batch)
-        if reject is not None:
-            reject(invalid_status(parsed).select(F.col("event_id").alias("key"), "value"))
-        merged = merge_fields(state.before(batch_id).unionByName(fold_fields(valid_status(parsed))))
-        if keep is not None:
-            touched = merged.groupBy("event_id").agg(F.max("arrival").alias("_touched"))
-            chosen = touched.orderBy(F.desc("_touched"), F.desc("event_id")).limit(keep).select("event_id")
-            merged = merged.join(F.broadcast(chosen), "event_id", "left_semi")
-        state.write(merged, batch_id)
 
-    return handle
+def rejected_stream(messages: DataFrame) -> DataFrame:
+    """The (key, value) records of unusable messages of the stream, to be published by a query of its own."""
+    return invalid_status(parse_status(messages)).select(F.col("event_id").alias("key"), "value")
 
 
-def reset(ledger: Ledger, state_folder: str, batch_id: int, confirmation: str) -> dict:
-    """Clear the table, then drop the status state left by ``batch_id``; topics and history stay.
+def update_handler(folder: str) -> BatchHandler:
+    """Keeps the changes of each batch in its own partition; a batch that runs again replaces them."""
 
-    Run it while the status stream is stopped. If the clear fails, the state is kept.
-    """
-    report = ledger.clear(confirmation)
-    state = AlternatingState(ledger.spark, state_folder, FIELD_SCHEMA)
-    dropped = state.after(batch_id).select("event_id").distinct().count()
-    state.write(ledger.spark.createDataFrame([], FIELD_SCHEMA), batch_id)
-    return {**report, "cleared_pipeline_events": dropped, "messages_preserved": True}
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{folder.rstrip('/')}/batch_id={batch_id}")
+
+    return handle
 
 
-def read_state(spark: SparkSession, state_folder: str, batch_id: int) -> DataFrame:
-    """The folded fields after a batch."""
-    return AlternatingState(spark, state_folder, FIELD_SCHEMA).after(batch_id)
+def read_state(spark: SparkSession, folder: str) -> DataFrame:
+    """The folded fields after all batches: of the changes to a field the latest."""
+    return merge_fields(spark.read.schema(FIELD_SCHEMA).parquet(folder))

@@ -96,7 +96,8 @@ def test_json_rows(spark):
 def test_shuffle_width_follows_the_input():
     assert shuffle_width(1) == 200
     assert shuffle_width(10 * 1024**4) == 81_920
-    assert shuffle_width(100 * 1024**4) == 100_000
+    assert shuffle_width(100 * 1024**4) == 819_200
+    assert shuffle_width(100 * 1024**4, 1024**3) == 102_400
 
 
 def test_ddl_follows_the_schema(spark):

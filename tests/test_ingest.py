@@ -98,19 +98,28 @@ def test_records_round_trip(spark):
     assert again.collect() == events.collect()
 
 
-def test_equal_keys_share_a_partition(spark):
-    df = spark.range(1000).select((F.col("id") % 50).cast("string").alias("key"))
-    placed = df.withColumn("p", ingest.key_partition("key", 3)).groupBy("key").agg(F.countDistinct("p").alias("n"), F.first("p").alias("p"))
-    rows = placed.collect()
-    assert all(r.n == 1 for r in rows) and {r.p for r in rows} == {0, 1, 2}
-
-
 def test_new_rows(spark):
     incoming = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "event_id string")
     table = spark.createDataFrame([("a",), ("z",)], "event_id string")
     assert [r.event_id for r in ingest.new_rows(incoming, table).collect()] == ["b"]
 
 
+def test_new_rows_choose_by_the_order(spark):
+    rows = [("a", 3, 0), ("a", 1, 5), ("a", 2, 1), ("b", None, 9), ("b", None, 2)]
+    table = spark.createDataFrame([], "event_id string")
+    for copies in (rows, rows[::-1]):
+        incoming = spark.createDataFrame(copies, "event_id string, at int, v int")
+        assert sorted(map(tuple, ingest.new_rows(incoming, table, order=["at"]).collect())) == [("a", 1, 5), ("b", None, 2)]
+
+
+def test_only_the_named_fields_are_parsed(spark):
+    records = spark.createDataFrame([(1, '{"event_id":"a","quantity":2,"service":"s"}'), (2, "{bad")], "offset int, value string")
+    parsed = ingest.parse_events(records, columns=("quantity",), keep=("offset",))
+    assert [tuple(r) for r in parsed.collect()] == [(2, 1)]
+    plan = parsed._jdf.queryExecution().optimizedPlan().toString()
+    assert "quantity" in plan and "usage_type" not in plan
+
+
 def test_offsets(spark):
     log = spark.createDataFrame([("t", 0, 5), ("t", 0, 7), ("t", 1, 3), ("__x", 0, 0), ("", 0, 1), ("e", 0, 1)], "topic string, partition int, offset long")
     log = log.withColumn("err", F.when(F.col("topic") == "e", 3))

@@ -18,10 +18,25 @@ def test_scans_read_only_the_columns_they_need(spark):
     assert set(re.findall(r"ReadSchema: (\S+)", text)) == {"struct<event_id:bigint,user_id:bigint>"}
 
 
-def test_without_hot_users_incidents_take_one_pass(spark):
-    df = security.bruteforce_incidents(fx.security(spark, SMALL))
-    final = plan(df)
-    assert len(re.findall(r"(?m)^.*[-+] Window \[", final)) == 2 and "Join" not in final
+def test_incidents_have_one_plan_for_every_size(spark):
+    events = fx.security(spark, SMALL)
+    shapes = set()
+    for rows in (events, events.limit(50)):
+        text = plan(security.bruteforce_incidents(rows, block_rows=20))
+        shapes.add((len(re.findall(r"[-+] Window \[", text)), "CartesianProduct" in text))
+    assert len(shapes) == 1 and not shapes.pop()[1]
+
+
+def test_json_is_parsed_for_the_needed_fields(spark):
+    for name, absent in (("usage_rollup", "username"), ("billing_cost", "usage_type")):
+        text = registry.queries()[name](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+        schemas = re.findall(r"from_json\(((?:StructField\([^)]*\),? ?)+)", text)
+        assert schemas and not any(f"StructField({absent}," in schema for schema in schemas)
+
+
+def test_states_gather_no_lists(spark):
+    for name in ("pipeline_state", "pipeline_summary", "pipeline_recent", "status_search"):
+        assert "collect_list" not in plan(registry.queries()[name](spark, SMALL))
 
 
 def test_usage_totals_combine_before_the_shuffle(spark):

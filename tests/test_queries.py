@@ -3,13 +3,13 @@
 import pytest
 
 import __spark_entry__ as registry
+from eventlake.plans import catalog, oracle
 from tests.compare import duck, duck_rows, spark_rows
 
 SMALL = "/root/testdata/sf0.001"
-SQL = registry.oracle_sql()
+SQL = oracle.all_sql()
 # No query pairs all rows of two frames or hands rows to Python.
 NEVER = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
-ROWS_ONLY = {"data_file_inventory"}
 
 
 @pytest.fixture(scope="module")
@@ -18,8 +18,8 @@ def con():
 
 
 def test_every_query_has_a_statement():
-    assert set(registry.queries()) - set(SQL) == ROWS_ONLY
-    assert set(SQL) <= set(registry.queries())
+    assert set(catalog.all_queries()) == set(SQL)
+    assert set(SQL) <= set(registry.queries()) and set(SQL) <= set(registry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -30,11 +30,6 @@ def test_query_equals_statement(spark, con, name):
     assert spark_rows(df) == duck_rows(con, SQL[name])
 
 
-def test_file_inventory_lists_every_table(spark):
-    rows = registry.queries()["data_file_inventory"](spark, SMALL).collect()
-    assert len(rows) == 14 and all(r.length > 0 for r in rows)
-
-
 def test_entry(spark):
     df = registry.entry(spark)
     assert df.columns == ["user_id", "service", "usage_type", "events", "total_quantity"]

@@ -6,9 +6,6 @@ from pyspark.sql import functions as F
 
 from eventlake.operators import security
 
-SPLIT = {"hot_share": 0.0, "min_hot_rows": 0}  # every key counts as hot
-
-
 def replay(rows, window):
     """Counts by keeping each user's attempts in a queue, one event at a time."""
     queues, counts = defaultdict(deque), {}
@@ -35,16 +32,11 @@ def random_rows(seed, users=25, events=1500):
 
 @pytest.mark.parametrize(
     "options",
-    [
-        {},
-        {**SPLIT, "block_width": 7, "slice_width": 13},
-        {**SPLIT, "block_width": 1, "slice_width": 1},
-        {"hot_share": 0.2, "min_hot_rows": 10, "block_width": 64, "slice_width": 20},
-    ],
+    [{}, {"block_rows": 1}, {"block_rows": 7}, {"block_rows": 64}, {"block_rows": 400}],
 )
 @pytest.mark.parametrize("window", [0, 60])
 def test_counts_equal_a_replay(spark, options, window):
-    rows = random_rows(window + len(options))
+    rows = random_rows(window + options.get("block_rows", 0))
     df = spark.createDataFrame(rows, "username string, seq long, ets_us long")
     got = {r.seq: r.attempts for r in security.sliding_counts(df, window, **options).collect()}
     assert got == replay(rows, window)
@@ -53,7 +45,7 @@ def test_counts_equal_a_replay(spark, options, window):
 def test_negative_times_and_sparse_order(spark):
     rows = [("a", seq * 977, ts) for seq, ts in enumerate([-50, -3, -60, 0, 2, -1, 55, 55, 61])]
     df = spark.createDataFrame(rows, "username string, seq long, ets_us long")
-    for options in ({}, {**SPLIT, "block_width": 2000, "slice_width": 8}):
+    for options in ({}, {"block_rows": 2}):
         got = {r.seq: r.attempts for r in security.sliding_counts(df, 60, **options).collect()}
         assert got == replay(rows, 60)
 

@@ -1,38 +1,27 @@
 import pytest
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from eventlake.operators import skew
 
-FORCED = {"share": 0.2, "min_rows": 5}
 
+@pytest.mark.parametrize("values", [list(range(5000)), [i * 10**14 for i in range(5000)], [-7] * 5000])
+def test_blocks_follow_the_order_and_are_bounded(spark, values):
+    rows = spark.createDataFrame([(v,) for v in values], "v bigint")
+    low, high = F.lit(min(values)), F.lit(max(values))
+    blocks = rows.select("v", skew.block_of(F.col("v"), low, high, F.lit(len(values)), 100).alias("b")).orderBy("v").collect()
+    assert [r.b for r in blocks] == sorted(r.b for r in blocks)
+    sizes = [sum(r.b == b for r in blocks) for b in {r.b for r in blocks}]
+    if len(set(values)) > 1:
+        assert len(sizes) in (50, 51) and max(sizes) <= 101
 
-@pytest.fixture(scope="module")
-def skewed(spark):
-    """A third of the rows have one key; a few have none."""
-    key = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 50 == 1, None).otherwise(
-        F.concat(F.lit("k"), (F.col("id") % 40).cast("string"))
-    )
-    return spark.range(3000).select(F.col("id").alias("seq"), key.alias("key"))
 
+def test_one_block_for_few_rows(spark):
+    rows = spark.range(100)
+    got = rows.select(skew.block_of(F.col("id"), F.lit(0), F.lit(99), F.lit(100), skew.BLOCK_ROWS).alias("b")).distinct().collect()
+    assert [r.b for r in got] == [0]
 
-def test_hot_keys_are_those_above_the_share(skewed):
-    assert [r.key for r in skew.hot_keys(skewed, "key", **FORCED).collect()] == ["hot"]
-    assert skew.hot_keys(skewed, "key").count() == 0
 
-
-def test_split_loses_nothing(skewed):
-    ordinary, hot = skew.split_hot(skewed, "key", **FORCED)
-    assert hot.count() == 1000
-    assert ordinary.unionByName(hot).select(*skewed.columns).exceptAll(skewed).isEmpty()
-    assert ordinary.count() + hot.count() == skewed.count()
-    assert skew.split_hot(skewed, "key") == (skewed, None)
-
-
-@pytest.mark.parametrize("width", [1, 7, 100, 10_000])
-def test_positions_equal_row_numbers(spark, skewed, width):
-    rows = skewed.where("key IS NOT NULL").withColumn("seq", F.col("seq") * 3 - 500)
-    got = skew.with_position(rows, ["key"], "seq", "pos", block_width=width)
-    want = F.row_number().over(Window.partitionBy("key").orderBy("seq")) - 1
-    assert got.count() == rows.count()
-    assert got.withColumn("want", want).where("pos <> want OR pos IS NULL").isEmpty()
+def test_starts_sum_up_earlier_blocks(spark):
+    rows = spark.range(100).selectExpr("id % 2 AS key", "id div 10 AS b", "id")
+    got = {(r.key, r.b): (r.rows_before, r.top) for r in skew.block_starts(rows, ["key"], "b", (F.max("id"), "top")).collect()}
+    assert got[(0, 0)] == (0, None) and got[(1, 3)] == (15, 29) and got[(0, 9)] == (45, 88)

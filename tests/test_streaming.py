@@ -5,9 +5,9 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from eventlake.operators import security, status
+from eventlake.operators import ingest, security, status
 from eventlake.plans import fixtures as fx
-from eventlake.sinks.ledger import Ledger
+from eventlake.sinks.batches import BatchTable
 from eventlake.sinks.topics import best_effort, parquet_publisher
 from eventlake.streaming import detector, pipeline, readers, status_state
 
@@ -35,8 +35,7 @@ def rows(df):
     return sorted(map(str, df.select(*sorted(df.columns)).collect()))
 
 
-@pytest.mark.parametrize("split", [{}, {"hot_share": 0.05, "min_hot_rows": 5, "block_width": 100, "slice_width": 3_600_000_000}])
-def test_incidents_over_batches_equal_the_batch_job(spark, folder, split):
+def test_incidents_over_batches_equal_the_batch_job(spark, folder):
     events = fx.security(spark, SMALL)
     schema = write_parts(events, f"{folder}/in", "seq", 4)
     seen = []
@@ -45,31 +44,50 @@ def test_incidents_over_batches_equal_the_batch_job(spark, folder, split):
         seen.append(batch_id)
         incidents.write.mode("overwrite").parquet(f"{folder}/out/batch={batch_id}")
 
-    handler = detector.incident_handler(spark, f"{folder}/state", emit, threshold=3, window_seconds=WINDOW, **split)
     stream = readers.file_stream(spark, f"{folder}/in", schema, 1)
-    readers.run_available(stream, handler, f"{folder}/checkpoint")
+    readers.run_available(detector.incident_stream(stream, 3, WINDOW), emit, f"{folder}/checkpoint")
     assert seen == [0, 1, 2, 3]
     got = spark.read.parquet(f"{folder}/out").drop("batch")
     want = security.bruteforce_incidents(events, 3, WINDOW)
     assert rows(got) == rows(want) and want.count() > 3
 
-    # A batch that is run again finds the state it started from.
-    emitted = []
-    last = spark.read.schema(schema).parquet(f"{folder}/in").where("seq >= 750")
-    again = detector.incident_handler(spark, f"{folder}/state", lambda df, _: emitted.extend(df.collect()), threshold=3, window_seconds=WINDOW, **split)
-    again(last, 3)
-    assert len(emitted) == spark.read.parquet(f"{folder}/out/batch=3").count()
+
+def test_a_failed_batch_finds_the_state_it_started_from(spark, folder):
+    events = fx.security(spark, SMALL)
+    schema = write_parts(events, f"{folder}/in", "seq", 3)
+    fails = [True]
+
+    def emit(incidents, batch_id):
+        if batch_id == 2 and fails:
+            fails.clear()
+            raise OSError("sink is down")
+        incidents.write.mode("overwrite").parquet(f"{folder}/out/batch={batch_id}")
+
+    def run():
+        stream = readers.file_stream(spark, f"{folder}/in", schema, 1)
+        readers.run_available(detector.incident_stream(stream, 3, WINDOW), emit, f"{folder}/checkpoint")
+
+    with pytest.raises(Exception, match="sink is down"):
+        run()
+    run()
+    got = spark.read.parquet(f"{folder}/out").drop("batch")
+    assert rows(got) == rows(security.bruteforce_incidents(events, 3, WINDOW))
 
 
 def test_status_over_batches_equals_the_batch_job(spark, folder):
     messages = fx.status_messages(spark, SMALL)
     schema = write_parts(messages, f"{folder}/in", "arrival", 3)
-    handler = status_state.status_handler(spark, f"{folder}/state", reject=parquet_publisher(f"{folder}/rejected"))
-    stream = readers.file_stream(spark, f"{folder}/in", schema, 1)
-    readers.run_available(stream, handler, f"{folder}/checkpoint")
+
+    def source():
+        return readers.file_stream(spark, f"{folder}/in", schema, 1)
+
+    keep = status_state.update_handler(f"{folder}/state")
+    readers.run_available(status_state.field_stream(source()), keep, f"{folder}/checkpoint", mode="update")
+    publish = parquet_publisher(f"{folder}/rejected")
+    readers.run_available(status_state.rejected_stream(source()), lambda df, _: publish(df), f"{folder}/checkpoint-rejected")
     created = fx.created_events(spark, SMALL)
     fields = ("batch_id", "snapshot_id")
-    folded = status.stages_from_fields(status_state.read_state(spark, f"{folder}/state", 2), fields)
+    folded = status.stages_from_fields(status_state.read_state(spark, f"{folder}/state"), fields)
     parsed = status.parse_status(messages)
     assert rows(status.with_initial_state(created, folded)) == rows(
         status.pipeline_state(created, status.valid_status(parsed), fields)
@@ -77,26 +95,13 @@ def test_status_over_batches_equals_the_batch_job(spark, folder):
     assert spark.read.parquet(f"{folder}/rejected").count() == status.invalid_status(parsed).count()
 
 
-def test_state_keeps_the_latest_events_only(spark, folder):
-    values = [(n, json.dumps({"event_id": f"e{n % 7}", "stage": "spark", "status": "completed"})) for n in range(20)]
-    handler = status_state.status_handler(spark, folder, keep=3)
-    handler(spark.createDataFrame(values, "arrival long, value string"), 0)
-    kept = {r.event_id for r in status_state.read_state(spark, folder, 0).collect()}
-    assert kept == {"e5", "e4", "e3"}
-
-
-def test_reset_clears_the_table_and_the_state(spark, folder):
-    ledger = Ledger(spark, f"{folder}/table").create()
-    ledger.append(pipeline.usage_stream(usage_records(spark, "a", "b")))
-    messages = [(n, json.dumps({"event_id": f"e{n}", "stage": "spark", "status": "completed"})) for n in range(3)]
-    status_state.status_handler(spark, f"{folder}/state")(spark.createDataFrame(messages, "arrival long, value string"), 0)
-    with pytest.raises(ValueError):
-        status_state.reset(ledger, f"{folder}/state", 0, "yes")
-    assert status_state.read_state(spark, f"{folder}/state", 0).count() == 3
-    report = status_state.reset(ledger, f"{folder}/state", 0, "DELETE ALL ROWS")
-    assert (report["deleted_count"], report["cleared_pipeline_events"]) == (2, 3)
-    assert ledger.current().isEmpty() and status_state.read_state(spark, f"{folder}/state", 0).isEmpty()
-    assert ledger.at(1).count() == 2
+def test_a_batch_of_changes_that_runs_again_counts_once(spark, folder):
+    keep = status_state.update_handler(folder)
+    first = spark.createDataFrame([("e", "spark", "status", "processing", 1)], status_state.FIELD_SCHEMA)
+    second = spark.createDataFrame([("e", "spark", "status", "completed", 2)], status_state.FIELD_SCHEMA)
+    for batch_id, changes in ((0, first), (1, second), (1, second), (0, first)):
+        keep(changes, batch_id)
+    assert [tuple(r) for r in status_state.read_state(spark, folder).collect()] == [("e", "spark", "status", "completed", 2)]
 
 
 def usage_records(spark, *ids):
@@ -110,18 +115,18 @@ def published(spark, folder):
 
 def test_ingest_resumes_and_readers_are_independent(spark, folder):
     usage_records(spark, "a", "b").coalesce(1).write.parquet(f"{folder}/in")
-    ledger = Ledger(spark, f"{folder}/table").create()
-    handler = pipeline.batch_handler(pipeline.ledger_target(ledger, "warehouse"), parquet_publisher(f"{folder}/status"))
+    table = BatchTable(spark, f"{folder}/table").create()
+    handler = pipeline.batch_handler(pipeline.parquet_target(table, "warehouse"), parquet_publisher(f"{folder}/status"))
 
     def run(name="ingest", to=handler):
-        stream = pipeline.usage_stream(readers.file_stream(spark, f"{folder}/in", usage_records(spark, "a").schema))
+        stream = ingest.parse_events(readers.file_stream(spark, f"{folder}/in", usage_records(spark, "a").schema))
         readers.run_available(stream, to, f"{folder}/checkpoint-{name}")
 
     run()
     usage_records(spark, "c").coalesce(1).write.mode("append").parquet(f"{folder}/in")
     run()
     run()
-    assert sorted(r.event_id for r in ledger.current().collect()) == ["a", "b", "c"]
+    assert sorted(r.event_id for r in table.current().collect()) == ["a", "b", "c"]
 
     other = []
     run("billing", lambda df, _: other.extend(r.event_id for r in df.collect()))
@@ -136,7 +141,7 @@ def test_ingest_resumes_and_readers_are_independent(spark, folder):
         ("minio", "completed"),
     ]
     final = [v for k, v in published(spark, f"{folder}/status") if k == "c"]
-    assert final[2]["snapshot_id"] == "2" and final[2]["batch_id"] == 1
+    assert final[2]["snapshot_id"] == "1" and final[2]["batch_id"] == 1
     assert final[4]["parquet_files"] >= 1 and final[4]["bucket"] == "warehouse"
 
 
@@ -148,7 +153,7 @@ def test_failed_append_is_reported_and_raised(spark, folder):
     target = pipeline.Target("t", "b", "p", failing, lambda _: 1)
     handler = pipeline.batch_handler(target, parquet_publisher(folder))
     with pytest.raises(OSError):
-        handler(pipeline.usage_stream(usage_records(spark, "a")), 4)
+        handler(ingest.parse_events(usage_records(spark, "a")), 4)
     log = [v for _, v in published(spark, folder)]
     assert [(v["stage"], v["status"]) for v in log][-2:] == [("iceberg", "failed"), ("spark", "failed")]
     assert log[-1]["error"] == "store is down" and log[-1]["batch_id"] == 4
@@ -159,7 +164,7 @@ def test_missing_files_fail_the_batch_after_the_append(spark, folder):
     target = pipeline.Target("t", "b", "p", lambda df, n: appended.append(df.count()), lambda _: 0)
     handler = pipeline.batch_handler(target, parquet_publisher(folder))
     with pytest.raises(RuntimeError):
-        handler(pipeline.usage_stream(usage_records(spark, "a")), 0)
+        handler(ingest.parse_events(usage_records(spark, "a")), 0)
     assert appended == [1]
     last = published(spark, folder)[-1][1]
     assert (last["stage"], last["status"], last["path"]) == ("minio", "failed", "p")
@@ -168,15 +173,17 @@ def test_missing_files_fail_the_batch_after_the_append(spark, folder):
 
 
 def test_status_outage_does_not_fail_the_batch(spark, folder):
-    ledger = Ledger(spark, folder).create()
-    handler = pipeline.batch_handler(pipeline.ledger_target(ledger), failing)
-    handler(pipeline.usage_stream(usage_records(spark, "a")), 0)
-    assert ledger.current().count() == 1
+    table = BatchTable(spark, folder).create()
+    for replace, count in ((True, 1), (False, 3)):
+        handler = pipeline.batch_handler(pipeline.parquet_target(table, replace=replace), failing)
+        for _ in range(2):
+            handler(ingest.parse_events(usage_records(spark, "a")), 0)
+        assert table.current().count() == count
     best_effort(failing)(None)
 
 
 def test_empty_batches_are_skipped(spark):
     handler = pipeline.batch_handler(pipeline.Target("t", "b", "p", failing, failing), failing)
-    events = pipeline.usage_stream(usage_records(spark, "a"))
+    events = ingest.parse_events(usage_records(spark, "a"))
     handler(events.where("false"), 0)
     handler(events.withColumn("event_id", F.lit(None).cast("string")), 1)
