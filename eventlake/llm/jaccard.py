@@ -8,7 +8,9 @@ the tree against itself drops pairs of nodes whose largest possible overlap is t
 exactly, unless they are known to be connected.
 
 Two rounds keep large groups of near copies cheap. The first uses a few parts of each set and connects nearly all of
-them; the second uses all parts, and only shards in which several components meet.
+them; the second uses all parts, and only shards in which several components meet. Shards of the second round that
+overlap are put together to families, as long as a family is no larger than a shard may be, so that a text is sent to
+one place.
 """
 
 from __future__ import annotations
@@ -258,6 +260,18 @@ def shard_edges(documents: DataFrame, members: DataFrame, width: int, percent: i
     return full.mapInArrow(lambda batches: join_shards(batches, width, percent), "a bigint, b bigint")
 
 
+def families(members: DataFrame) -> DataFrame:
+    """Members (key, rep, comp) of overlapping shards under one key; families too large for that keep their shards."""
+    least = members.groupBy("key").agg(F.min("rep").alias("least"))
+    stars = members.join(least, "key").where("rep <> least").select(F.col("rep").alias("a"), F.col("least").alias("b"))
+    found = components(stars)
+    sizes = found.groupBy("component").agg(F.count("*").alias("n"))
+    named = checkpointed(found.join(sizes, "component").select(F.col("node").alias("rep"), F.col("component").alias("family"), "n"))
+    own = members.join(named, "rep")
+    small = own.where(F.col("n") <= SHARD_ROWS).select(F.col("family").alias("key"), "rep", "comp").distinct()
+    return small.union(own.where(F.col("n") > SHARD_ROWS).select("key", "rep", "comp"))
+
+
 def linked(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """``doc_id``, ``n_shingles`` and ``component_id`` of every document.
 
@@ -279,7 +293,8 @@ def linked(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
     comps = classes.join(known, classes["rep"] == known["node"], "left").select("rep", F.coalesce("component", "rep").alias("comp"), F.concat("first_keys", "keys").alias("keys"))
     every = comps.select("rep", "comp", F.explode("keys").alias("key"))
     mixed_keys = checkpointed(every.groupBy("key").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least < most").select("key"))
-    more = shard_edges(documents, checkpointed(every.join(bounded(mixed_keys), "key")), width, percent)
+    members = checkpointed(every.join(bounded(mixed_keys), "key"))
+    more = shard_edges(documents, checkpointed(families(members)), width, percent)
     final = components(edges.union(more))
     named = classes.join(final, classes["rep"] == final["node"], "left").select("hi", "lo", F.coalesce("component", "rep").alias("component"))
     out = sets.select("doc_id", "n", "hi", "lo").join(named, ["hi", "lo"], "left")
