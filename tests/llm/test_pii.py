@@ -1,0 +1,134 @@
+"""Base spans against the contract's patterns, disclosure against plain counts, masks, odd inputs."""
+
+import math
+import random
+import re
+from collections import defaultdict
+
+from eventlake.llm import pii
+from tests.llm.frames import no_documents, odd_documents, texts
+
+PLAIN = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
+    "card": r"[0-9](?:[ -]?[0-9])+",
+    "phone": r"\+[0-9][ ().0-9-]+[0-9]",
+}
+
+
+def luhn(digits):
+    return sum(sum(divmod(int(d) * 2, 10)) if k % 2 else int(d) for k, d in enumerate(reversed(digits))) % 10 == 0
+
+
+def plain_spans(text):
+    out = []
+    for rank, (kind, pattern) in enumerate(PLAIN.items()):
+        for m in re.finditer(pattern, text or ""):
+            digits = re.sub("[^0-9]", "", m.group())
+            if kind == "ip" and any(int(x) > 255 for x in m.group().split(".")):
+                continue
+            if kind == "card" and not (12 <= len(digits) <= 19 and luhn(digits)):
+                continue
+            if kind == "phone" and not 9 <= len(digits) <= 15:
+                continue
+            out.append((m.start(), rank, kind, m.end()))
+    return [(kind, start, end) for start, _, kind, end in sorted(out)]
+
+
+def joined(spans):
+    return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
+
+
+HARD = [
+    "a@b.c_d@e.f", "1.2.3.4.5.6.7.8", "1.2.3.999.5.6.7.8", "4111 1111 1111 1111", "4111-1111-1111-1111 4111111111111111",
+    "x@y.zz +49 170 1234567 \U0001f600 192.168.0.001", "a@b.c..d@e.f", "a@b..c.d", "x@y.z-.w.", "+1 (626) 555-0199 x",
+    "5" * 20, "@@a@b.c@d.e", "..a@b.c", "+1+2 345 678 9012", "--a@b-c.d-", "0000.0.0.0 300.1.1.1 1.1.1.1", "", "a@b." + "c." * 3000 + "d",
+    "1" * 50000, "a" * 50000 + "@", "4111 1111 1111 1111 1", "4111  1111 1111 1111", "1-1-1-1-1-1-1-1-1-1-1-1-0",
+]
+
+
+def test_base_spans_equal_the_contract(spark):
+    rng = random.Random(3)
+    weights = [4, 4, 3, 4, 2, 2, 1, 4, *[3] * 10, 1, 1, 1, 1]
+    given = HARD + ["".join(rng.choices("ab@.+-_ 1234567890()é\U0001f600", weights=weights, k=rng.randint(1, 60))) for _ in range(800)]
+    got = {r.doc_id: r for r in pii.find(texts(spark, *given)).collect()}
+    for i, text in enumerate(given):
+        want = plain_spans(text)
+        assert got[i].base == joined(want)
+        assert [got[i][f"n_{k}"] for k in pii.KINDS] == [sum(w[0] == k for w in want) for k in pii.KINDS]
+
+
+def told(given, support):
+    """Disclosure of each (email, word) pair by plain counts; contexts hold whole texts here."""
+    every = [(t, {w.lower() for w in re.findall(r"\w+", re.sub(PLAIN["email"], " ", t))}, set(re.findall(PLAIN["email"], t))) for t in set(given)]
+    pairs, entities, terms = defaultdict(int), defaultdict(int), defaultdict(int)
+    for text, words, values in every:
+        for e in values:
+            entities[e] += 1
+            for w in words:
+                pairs[e, w] += 1
+        for w in {w.lower() for w in re.findall(r"[^\W_]+", text)}:
+            terms[w] += 1
+    n = len(every)
+    return {
+        (e, w): math.log2(n * both / (entities[e] * terms[w])) / math.log2(n / entities[e])
+        for (e, w), both in pairs.items()
+        if both >= support and len(w) > 1
+    }
+
+
+def people():
+    given = []
+    for i in range(12):
+        given.append(f"the cat number{i} and Quill wrote to quill@mail.example.com now")
+        given.append(f"the dog item{i} and Brook wrote to brook@mail.example.com now")
+        given.append(f"the cat thing{i} sat and the dog ran and nobody wrote")
+    given += [f"Brook water{i} runs by the hill" for i in range(4)]
+    return given
+
+
+def test_disclosure_equals_plain_counts(spark):
+    given = people() + people()[:6]
+    want = told(given, pii.SUPPORT)
+    frame = texts(spark, *given)
+    bearing = pii.with_base(pii.rows_of(frame)).where("size(base) > 0")
+    found = pii.disclosing(frame, pii.context_terms(bearing), pii.SUPPORT, -10.0).collect()
+    assert {(r.entity.removeprefix("email:"), r.term): round(r.disclosure, 9) for r in found} == {k: round(v, 9) for k, v in want.items()}
+    assert want["quill@mail.example.com", "quill"] == 1 and want["quill@mail.example.com", "the"] < 0.2
+
+
+def test_revealing_terms_are_masked(spark):
+    given = people()
+    got = {r.doc_id: r for r in pii.find(texts(spark, *given)).collect()}
+    assert "remove" in got[0].spans and "general" in got[1].spans and got[2].spans == got[2].base == ""
+    kind, start, stop = got[0].spans.split(",")[0].split(":")
+    assert (kind, given[0][int(start) : int(stop)]) == ("remove", "Quill")
+    # In a text without the address the name stays.
+    assert got[36].spans == ""
+    masked = {r.doc_id: r for r in pii.sanitise(texts(spark, *given).selectExpr("*", "length(text) AS n_chars")).collect()}
+    assert masked[0].text == "the cat number0 and  wrote to [EMAIL] now" and masked[0].n_chars == len(masked[0].text)
+    assert masked[1].text == "the dog item0 and [TERM] wrote to [EMAIL] now"
+    assert masked[2].text == given[2]
+
+
+def test_overlapping_spans_are_masked_once(spark):
+    text = "call +4111 1111 1111 1111 or x"
+    (row,) = pii.find(texts(spark, text)).collect()
+    assert row.n_card == 1 and row.n_phone == 0
+    (row,) = pii.sanitise(texts(spark, "to +41 1111 1111 1116 end")).collect()
+    assert row.text.startswith("to [") and row.text.endswith("] end")
+
+
+def test_odd_inputs(spark):
+    odd = odd_documents(spark)
+    got = pii.find(odd).collect()
+    assert len(got) == 10 and {r.spans for r in got} == {""}
+    kept = pii.sanitise(odd)
+    assert kept.columns == odd.columns
+    assert sorted(map(repr, kept.collect())) == sorted(map(repr, odd.collect()))
+    assert pii.find(no_documents(spark)).count() == 0 and pii.sanitise(no_documents(spark)).count() == 0
+
+
+def test_no_python_in_the_plan(spark):
+    plan = pii.find(texts(spark, *people()))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
