@@ -62,6 +62,18 @@ def usage_envelope(spark, folder):
     )
 
 
+@query
+def usage_generated(spark, folder):
+    """What holds for generated ids and times: ids are distinct, both have their format."""
+    made = ingest.usage_envelope(ingest.accepted_requests(fx.usage(spark, folder)))
+    return made.agg(
+        F.count(F.lit(1)).alias("events"),
+        F.countDistinct("event_id").alias("ids"),
+        F.every(F.col("event_id").rlike("^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$")).alias("ids_well_formed"),
+        F.every(F.col("timestamp").rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{6}\+00:00$")).alias("times_well_formed"),
+    )
+
+
 @query
 def usage_accepted(spark, folder):
     return ingest.accepted_requests(fx.usage(spark, folder)).select("seq", "service", "usage_type", "quantity")

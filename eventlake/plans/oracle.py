@@ -190,6 +190,11 @@ _SQL = {
         """SELECT 'req-' || seq AS event_id, event_type, user_id, username, service, usage_type, quantity, "timestamp"
            FROM usage WHERE service <> '' AND quantity > 0""",
     ),
+    "usage_generated": (
+        ["usage"],
+        """SELECT count(*) AS events, count(*) AS ids, true AS ids_well_formed, true AS times_well_formed
+           FROM usage WHERE service <> '' AND quantity > 0""",
+    ),
     "usage_accepted": (
         ["usage"],
         "SELECT seq, service, usage_type, quantity FROM usage WHERE service <> '' AND quantity > 0",
