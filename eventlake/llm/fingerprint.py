@@ -28,6 +28,8 @@ LEAST_POINTS = 8
 LEVELS = 512
 # One filter: bits, hashes per feature, features when full.
 BITS, HASHES, FULL = 2048, 5, 160
+# Documents that one range of ids holds at most, about.
+RANGE_ROWS = 50_000
 # Bytes that the vectorised entropy works on at once.
 BLOCK = 1 << 17
 # n * log2(n) in steps of 2**-16, for counts up to the window: whole numbers, so sums do not depend on their order.
@@ -279,6 +281,7 @@ def edited_fingerprints(documents: DataFrame, parts: int, ranks: np.ndarray | No
     return rows.mapInArrow(lambda batches: edits(batches, Printer(held.value)), EDITED)
 
 
-def even_parts(documents: DataFrame) -> int:
-    """Ranges for ``edited_fingerprints``: as many as a shuffle has."""
-    return max(1, int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+def even_parts(documents: DataFrame, rows: int = RANGE_ROWS) -> int:
+    """Ranges for ``edited_fingerprints``: as many as a shuffle has, more for more than ``rows`` documents in each."""
+    least = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, least, -(-documents.count() // rows))
