@@ -127,21 +127,32 @@ def rows_of(documents: DataFrame) -> DataFrame:
 
 
 def disclosing(documents: DataFrame, contexts: DataFrame, support: int, least: float) -> DataFrame:
-    """``entity, term, disclosure`` of the pairs at or above ``least``, from counts over all distinct texts."""
+    """``entity, term, disclosure`` of the pairs at or above ``least``, from counts over all distinct texts.
+
+    The texts in whose contexts a term stands are a lower bound of its texts, which gives an upper bound of the
+    disclosure. Pairs that cannot reach ``least`` by that, those of common words, are left out before all texts are
+    searched for the terms.
+    """
     pairs = contexts.select("entity", "term", "text_key").distinct().groupBy("entity", "term").agg(F.count("*").alias("both"))
     pairs = pairs.where(F.col("both") >= support)
     entities = contexts.select("entity", "text_key").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
-    pairs = checkpointed(pairs.join(entities, "entity"))
-    if pairs.isEmpty():
-        return pairs.select("entity", "term", F.lit(0.0).alias("disclosure"))
+    seen = contexts.select("term", "text_key").distinct().groupBy("term").agg(F.count("*").alias("n_seen"))
     rows = rows_of(documents)
     total = rows.select("text_key").distinct().count()
+
+    def disclosure(n_term):
+        content = F.log2(F.lit(float(total)) / F.col("n_entity"))
+        shared = F.log2(F.lit(float(total)) * F.col("both") / (F.col("n_entity") * n_term))
+        return F.when(content > 0, shared / content).otherwise(0.0)
+
+    pairs = pairs.join(entities, "entity").join(seen, "term").where(disclosure(F.col("n_seen")) >= least)
+    pairs = checkpointed(pairs)
+    if pairs.isEmpty():
+        return pairs.select("entity", "term", F.lit(0.0).alias("disclosure"))
     wanted = checkpointed(pairs.select("term").distinct())
     words = rows.select("text_key", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0))).alias("term"))
     counts = words.join(bounded(wanted), "term", "left_semi").distinct().groupBy("term").agg(F.count("*").alias("n_term"))
-    content = F.log2(F.lit(float(total)) / F.col("n_entity"))
-    shared = F.log2(F.lit(float(total)) * F.col("both") / (F.col("n_entity") * F.greatest("n_term", "both")))
-    told = pairs.join(counts, "term").withColumn("disclosure", F.when(content > 0, shared / content).otherwise(0.0))
+    told = pairs.join(counts, "term").withColumn("disclosure", disclosure(F.greatest("n_term", "n_seen")))
     return told.where(F.col("disclosure") >= least).select("entity", "term", "disclosure")
 
 
