@@ -8,14 +8,13 @@ the tree against itself drops pairs of nodes whose largest possible overlap is t
 exactly, unless they are known to be connected.
 
 Two rounds keep large groups of near copies cheap. The first uses a few parts of each set and connects nearly all of
-them; the second uses all parts, and only shards in which several components meet. Shards of the second round that
-overlap are put together to families, as long as a family is no larger than a shard may be, so that a text is sent to
-one place.
+them; the second uses all parts, and only what meets there of different components. Components that meet often enough to
+hold similar sets are put together to families, so that a text is sent to one place.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,19 +22,24 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.llm.common import checkpointed, slices, texts_of
+from eventlake.llm.common import checkpointed, slices, stored, texts_of
 from eventlake.llm.components import components
 
 # Bytes of A-Z to lower case; the white space of the contract is what bytes.split() splits at.
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 # Each size band is about this much wider than the one before.
 BAND_GROWTH = 1.5
-# Parts beyond the largest number of differences, so that sets with up to SPARE - 1 empty parts need not send those.
-SPARE = 3
+# Parts beyond the largest number of differences: as many parts of two similar sets are equal at least. Empty parts
+# are sent by sets that have more than EMPTY of them, so similar sets have SPARE - EMPTY keys in common at least.
+SPARE, EMPTY = 5, 2
 # Parts of each set in the first round.
 FIRST_PARTS = 4
-# Sets of a shard that one task joins; larger shards are cut into blocks that meet in pairs.
+# Sets of a shard that one task joins; larger shards are cut into blocks.
 SHARD_ROWS = 1000
+# Sets of a larger shard, about, that are compared with all of it in the first round.
+PIVOTS = 16
+# Members of a shard that are paired by component in the second round; larger shards are compared as they are.
+PAIRED = 256
 # Rows of which a join side may be broadcast (two or three numbers each); larger sides are shuffled.
 BROADCAST_ROWS = 1_000_000
 FANOUT = 8
@@ -98,7 +102,7 @@ def part_keys(tokens: np.ndarray, band: int, last: int, percent: int) -> tuple[n
     order = np.argsort(spot, kind="stable")
     filled, begins = np.unique(spot[order], return_index=True)
     sums = np.add.reduceat(mixed(tokens[order]), begins)
-    if parts - len(filled) >= SPARE:
+    if parts - len(filled) > EMPTY:
         every = np.zeros(parts, np.uint64)
         every[filled] = sums
         filled, sums = np.arange(parts), every
@@ -245,31 +249,134 @@ def bounded(side: DataFrame) -> DataFrame:
     return F.broadcast(side) if side.count() <= BROADCAST_ROWS else side
 
 
-def shard_edges(documents: DataFrame, members: DataFrame, width: int, percent: int) -> DataFrame:
-    """Edges found in the shards of ``members`` (key, rep, comp)."""
-    sized = members.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("rep")).alias("x"), F.bit_xor(F.xxhash64("rep", F.lit(1))).alias("y"))
-    # Shards of the same sets are one.
-    once = sized.groupBy("n", "x", "y").agg(F.min("key").alias("key"))
-    blocks = F.ceil(F.col("n") / SHARD_ROWS).cast("int")
-    rows = members.join(once.select("key", blocks.alias("blocks")), "key").withColumn("own", F.pmod(F.xxhash64("rep", F.lit(2)), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.expr("filter(sequence(0, blocks - 1), o -> blocks = 1 OR o <> own)")))
-    rows = checkpointed(rows.select("key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "rep", "comp"))
+def first_places(members: DataFrame, shards: DataFrame) -> DataFrame:
+    """Where members are compared in the first round: in one block of their shard, and some, the pivots, in all.
+
+    Pivots tie the blocks together, so a large shard costs work in proportion to its size.
+    """
+    rows = members.join(shards, "key").withColumn("blocks", F.ceil(F.col("n") / SHARD_ROWS).cast("int"))
+    own = F.pmod(F.xxhash64("rep", F.lit(2)), F.col("blocks")).cast("int")
+    pivot = (F.col("blocks") > 1) & (F.pmod(F.xxhash64("rep", F.lit(3)), F.col("n")) < PIVOTS)
+    places = F.when(pivot, F.expr("sequence(0, blocks - 1)")).otherwise(F.array(own))
+    return rows.select("key", F.explode(places).alias("i"), F.lit(0).alias("j"), "rep", "comp")
+
+
+def second_places(members: DataFrame, shards: DataFrame) -> DataFrame:
+    """Where members are compared in the second round: every two of different components meet.
+
+    In a large shard the members of its largest component need not meet each other. They are dealt into blocks, the
+    others too, and each block of the others meets all blocks.
+    """
+    half = SHARD_ROWS // 2 + 1
+    large = shards.where(F.col("n") > SHARD_ROWS)
+    counts = members.join(large.select("key"), "key").groupBy("key", "comp").agg(F.count("*").alias("c"))
+    # The largest component: most members, and of those the least name.
+    most = counts.groupBy("key").agg(F.min(F.struct((-F.col("c")).alias("c"), "comp")).alias("top"))
+    most = most.select("key", F.col("top.comp").alias("largest"), (-F.col("top.c")).alias("inside"))
+    rows = members.join(shards, "key").join(most, "key", "left")
+    rows = rows.withColumns(
+        {
+            "wide": F.ceil(F.col("inside") / half).cast("int"),
+            "others": F.ceil((F.col("n") - F.col("inside")) / half).cast("int"),
+            "hash": F.xxhash64("rep", F.lit(2)),
+        }
+    )
+    small = F.expr("array(struct(0 AS i, 0 AS j))")
+    inner = F.expr("transform(sequence(0, others - 1), u -> struct(u AS i, CAST(pmod(hash, wide) AS int) AS j))")
+    outer = F.expr(
+        """concat(
+          transform(sequence(0, wide - 1), c -> struct(CAST(pmod(hash, others) AS int) AS i, c AS j)),
+          transform(filter(sequence(0, others - 1), u -> u <> pmod(hash, others)),
+            u -> struct(CAST(least(u, pmod(hash, others)) AS int) AS i, CAST(wide + greatest(u, pmod(hash, others)) AS int) AS j)))"""
+    )
+    places = F.when(F.col("largest").isNull(), small).when(F.col("comp") == F.col("largest"), inner).otherwise(outer)
+    return rows.select("key", F.explode(places).alias("at"), "rep", "comp").select("key", "at.i", "at.j", "rep", "comp")
+
+
+def shard_edges(documents: DataFrame, members: DataFrame, places: Callable, width: int, percent: int) -> DataFrame:
+    """Edges found in the shards of ``members`` (key, rep, comp), each compared where ``places`` puts it."""
+    # Shards of the same sets are one; sums of two hashes tell sets apart.
+    marks = [F.sum(F.xxhash64("rep", F.lit(seed)).cast("decimal(20,0)")).alias(f"mark{seed}") for seed in (0, 1)]
+    sized = members.groupBy("key").agg(F.count("*").alias("n"), *marks)
+    once = checkpointed(sized.groupBy("n", "mark0", "mark1").agg(F.min("key").alias("key")).select("key", "n"))
+    rows = checkpointed(places(members, once))
     texts = texts_of(documents).withColumn("rep", F.coalesce(F.col("doc_id"), F.lit(NONE))).select("rep", "text")
     full = texts.join(bounded(rows), "rep").select("key", "i", "j", "rep", "comp", "text")
     full = full.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "rep")
     return full.mapInArrow(lambda batches: join_shards(batches, width, percent), "a bigint, b bigint")
 
 
-def families(members: DataFrame) -> DataFrame:
-    """Members (key, rep, comp) of overlapping shards under one key; families too large for that keep their shards."""
-    least = members.groupBy("key").agg(F.min("rep").alias("least"))
-    stars = members.join(least, "key").where("rep <> least").select(F.col("rep").alias("a"), F.col("least").alias("b"))
-    found = components(stars)
-    sizes = found.groupBy("component").agg(F.count("*").alias("n"))
-    named = checkpointed(found.join(sizes, "component").select(F.col("node").alias("rep"), F.col("component").alias("family"), "n"))
-    own = members.join(named, "rep")
-    small = own.where(F.col("n") <= SHARD_ROWS).select(F.col("family").alias("key"), "rep", "comp").distinct()
-    return small.union(own.where(F.col("n") > SHARD_ROWS).select("key", "rep", "comp"))
+MET = "key bigint, a bigint, b bigint, n bigint"
+
+
+def meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What meets in the shards of a task; rows (key, rep, comp) come ordered by key.
+
+    From a shard of up to ``PAIRED`` members the pairs of its components (no key; n: in how many shards of a batch),
+    from a larger one its members (a: rep, b: comp, n: 0). A shard can span batches, so the last one of a batch
+    waits; a large one passes through.
+    """
+    rest, large = np.empty((0, 3), np.int64), None
+
+    def told(columns):
+        return pa.record_batch([pa.array(c, pa.int64()) for c in columns], names=[f.split()[0] for f in MET.split(", ")])
+
+    def of(rows, final):
+        nonlocal rest, large
+        begins = np.flatnonzero(np.r_[True, np.diff(rows[:, 0]) != 0]) if len(rows) else np.empty(0, np.int64)
+        sizes = np.diff(np.append(begins, len(rows)))
+        keep = 0
+        if not final and len(sizes) and sizes[-1] <= PAIRED and rows[-1, 0] != large:
+            keep = sizes[-1]
+            begins, sizes = begins[:-1], sizes[:-1]
+        done, rest = rows[: len(rows) - keep], rows[len(rows) - keep :]
+        wide = (sizes > PAIRED) | (done[begins, 0] == large if large is not None else False)
+        members = done[np.repeat(wide, sizes)]
+        if len(sizes) and not keep:
+            large = int(done[-1, 0]) if wide[-1] else None
+        elif keep:
+            large = None
+        if len(members):
+            yield told((members[:, 0], members[:, 1], members[:, 2], np.zeros(len(members), np.int64)))
+        pairs = []
+        for start, size in zip(begins[~wide & (sizes > 1)], sizes[~wide & (sizes > 1)]):
+            met = np.unique(done[start : start + size, 2])
+            if len(met) > 1:
+                x, y = np.triu_indices(len(met), 1)
+                pairs.append(np.stack([met[x], met[y]], axis=1))
+        if pairs:
+            met = np.concatenate(pairs)
+            met = met[np.lexsort((met[:, 1], met[:, 0]))]
+            first = np.flatnonzero(np.r_[True, (np.diff(met, axis=0) != 0).any(axis=1)])
+            found, counts = met[first], np.diff(np.append(first, len(met)))
+            yield told((np.zeros(len(found), np.int64), found[:, 0], found[:, 1], counts))
+
+    for batch in batches:
+        rows = np.stack([batch.column(k).to_numpy() for k in range(3)], axis=1)
+        yield from of(np.concatenate([rest, rows]), False)
+    yield from of(rest, True)
+
+
+def families(comps: DataFrame, met: DataFrame) -> DataFrame:
+    """Members (key, rep, comp) to be compared in the second round.
+
+    Components that meet in enough shards make a family, which is one shard. Larger families are one shard for each
+    component with its partners. Large shards stay as they are, where components meet in them.
+    """
+    rows = comps.select(F.col("place").alias("rep"), "comp")
+    pairs = met.where("n > 0").groupBy("a", "b").agg(F.sum("n").alias("n")).where(F.col("n") >= SPARE - EMPTY).select("a", "b")
+    pairs = checkpointed(pairs)
+    found = checkpointed(components(pairs))
+    sized = rows.join(found, rows["comp"] == found["node"]).select("rep", "comp", F.col("component").alias("family"))
+    sizes = sized.groupBy("family").agg(F.count("*").alias("n"))
+    small = sizes.where(F.col("n") <= SHARD_ROWS).select("family")
+    out = sized.join(small, "family").select(F.col("family").alias("key"), "rep", "comp")
+    wide = found.join(sizes.where(F.col("n") > SHARD_ROWS), found["component"] == sizes["family"]).select("node")
+    stars = pairs.join(wide, pairs["a"] == wide["node"]).select(F.col("a").alias("key"), F.explode(F.array("a", "b")).alias("comp")).distinct()
+    out = out.union(stars.join(rows, "comp").select("key", "rep", "comp"))
+    large = met.where("n = 0").select("key", F.col("a").alias("rep"), F.col("b").alias("comp"))
+    both = large.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("key")
+    return out.union(large.join(both, "key", "left_semi").select("key", "rep", "comp"))
 
 
 def linked(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -277,26 +384,26 @@ def linked(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
 
     Two documents link when the Jaccard similarity of their shingle sets is at least ``percent`` / 100. The component
     is the smallest id reachable by links, itself included. Null and empty texts and texts without words have no
-    shingles and link with nothing. Repeated rows give a row each. A null id counts as smaller than all; its component
-    is null.
+    shingles and link with nothing. Repeated rows give a row each; rows of one id with different texts are linked as one
+    document. A null id counts as smaller than all; its component is null.
     """
     sets = checkpointed(sets_of(documents, width, percent).withColumn("place", F.coalesce(F.col("doc_id"), F.lit(NONE))))
-    # All members of a class have the same keys.
-    classes = sets.where("n > 0").groupBy("hi", "lo").agg(F.min("place").alias("rep"), F.first("first_keys").alias("first_keys"), F.first("keys").alias("keys"))
-    classes = checkpointed(classes)
+    # One document stands for its class; all members have the same keys, which are stored once, with the sets.
+    classes = checkpointed(sets.where("n > 0").groupBy("hi", "lo").agg(F.min("place").alias("place")))
     # First round: a few parts of every set.
-    first = classes.select("rep", F.col("rep").alias("comp"), F.explode("first_keys").alias("key"))
+    own = sets.join(bounded(classes), ["hi", "lo", "place"])
+    first = own.select(F.col("place").alias("rep"), F.col("place").alias("comp"), F.explode("first_keys").alias("key"))
     several = checkpointed(first.groupBy("key").count().where("count > 1").select("key"))
-    edges = checkpointed(shard_edges(documents, checkpointed(first.join(bounded(several), "key")), width, percent))
-    known = checkpointed(components(edges))
+    edges = checkpointed(shard_edges(documents, checkpointed(first.join(bounded(several), "key")), first_places, width, percent))
+    known = components(edges)
     # Second round: all parts, where components meet.
-    comps = classes.join(known, classes["rep"] == known["node"], "left").select("rep", F.coalesce("component", "rep").alias("comp"), F.concat("first_keys", "keys").alias("keys"))
-    every = comps.select("rep", "comp", F.explode("keys").alias("key"))
-    mixed_keys = checkpointed(every.groupBy("key").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least < most").select("key"))
-    members = checkpointed(every.join(bounded(mixed_keys), "key"))
-    more = shard_edges(documents, checkpointed(families(members)), width, percent)
+    comps = checkpointed(classes.join(known, classes["place"] == known["node"], "left").select("hi", "lo", "place", F.coalesce("component", "place").alias("comp")))
+    own = sets.join(bounded(comps), ["hi", "lo", "place"])
+    every = own.select(F.col("place").alias("rep"), "comp", F.explode(F.concat("first_keys", "keys")).alias("key"))
+    met = every.select("key", "rep", "comp").repartition("key").sortWithinPartitions("key").mapInArrow(meetings, MET)
+    more = shard_edges(documents, checkpointed(families(comps, stored(met))), second_places, width, percent)
     final = components(edges.union(more))
-    named = classes.join(final, classes["rep"] == final["node"], "left").select("hi", "lo", F.coalesce("component", "rep").alias("component"))
+    named = classes.join(final, classes["place"] == final["node"], "left").select("hi", "lo", F.coalesce("component", "place").alias("component"))
     out = sets.select("doc_id", "n", "hi", "lo").join(named, ["hi", "lo"], "left")
     component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.nullif(F.col("component"), F.lit(NONE)))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))

@@ -1,6 +1,7 @@
 """Jaccard join, components, substring chunks and fingerprints, against plain versions."""
 
 import hashlib
+import itertools
 import random
 
 import numpy as np
@@ -68,6 +69,8 @@ def near_copies(rng, n, words, edits):
 @pytest.mark.parametrize("width, percent", [(3, 90), (5, 80), (2, 75)])
 def test_join_equals_plain_version(spark, monkeypatch, width, percent):
     monkeypatch.setattr(jaccard, "SHARD_ROWS", 7)
+    monkeypatch.setattr(jaccard, "PIVOTS", 2)
+    monkeypatch.setattr(jaccard, "PAIRED", 3)
     rng = random.Random(width)
     found = []
     for words, edits in ((3, 1), (9, 1), (11, 1), (12, 2), (40, 2), (80, 6), (200, 9), (350, 12)):
@@ -110,6 +113,31 @@ def test_tree_yields_every_similar_pair():
     assert real <= offered and len(offered) < len(sets) * (len(sets) - 1) / 8
 
 
+def test_meetings_do_not_depend_on_batches(monkeypatch):
+    monkeypatch.setattr(jaccard, "PAIRED", 5)
+    rng = np.random.default_rng(2)
+    sizes = rng.choice([1, 2, 3, 5, 6, 14], 60)
+    rows = np.stack([np.repeat(np.sort(rng.choice(10**6, 60, replace=False)), sizes), rng.integers(0, 99, sizes.sum()), rng.integers(0, 4, sizes.sum())], axis=1)
+    want_pairs, want_members = {}, []
+    for key in np.unique(rows[:, 0]):
+        own = rows[rows[:, 0] == key]
+        if len(own) > 5:
+            want_members += [tuple(r) for r in own.tolist()]
+            continue
+        comps = sorted(set(own[:, 2].tolist()))
+        for pair in itertools.combinations(comps, 2):
+            want_pairs[pair] = want_pairs.get(pair, 0) + 1
+    for cut in (1, 3, 7, 1000):
+        batches = [pa.record_batch([pa.array(c) for c in rows[i : i + cut].T], names=["key", "rep", "comp"]) for i in range(0, len(rows), cut)]
+        pairs, members = {}, []
+        for key, a, b, n in (r for out in jaccard.meetings(iter(batches)) for r in zip(*(out.column(k).to_pylist() for k in range(4)))):
+            if n:
+                pairs[a, b] = pairs.get((a, b), 0) + n
+            else:
+                members.append((key, a, b))
+        assert pairs == want_pairs and members == want_members
+
+
 def test_join_odd_inputs(spark):
     got = jaccard.linked(odd_documents(spark)).collect()
     assert len(got) == 10
