@@ -7,13 +7,17 @@ an entity carries information about it: with n the number of distinct texts,
 
 Disclosure is 1 when the term occurs with that entity only, so that it names the entity. Terms from ``GENERALISE`` on are
 replaced by a general word, from ``REMOVE`` on they are taken out; both wherever they stand in the context of the
-entity. Terms seen with the entity in fewer than ``SUPPORT`` distinct texts prove nothing and stay.
+entity. A term that may have met the entity by chance proves nothing and stays: Hoeffding's bound on the chance that as
+many of the term's n(t) texts bear the entity has to be at most ``CHANCE``. No number of texts is asked for, so a rare
+term beside an entity of one text counts, and in a small corpus a word seen once beside a frequent entity does not.
 
 DataFrame operations only. Positions are code points, ends exclusive.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +25,9 @@ from eventlake.llm.common import checkpointed
 
 # Code points on each side of a base span that are its context.
 CONTEXT = 80
-SUPPORT = 3
+# Texts that have to show a pair; one will do, chance decides.
+SUPPORT = 1
+CHANCE = 0.05
 GENERALISE, REMOVE = 0.75, 0.95
 # Rows of which a join side may be broadcast; larger sides are shuffled.
 BROADCAST_ROWS = 500_000
@@ -126,8 +132,8 @@ def rows_of(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("text_key", F.xxhash64("text"))
 
 
-def disclosing(documents: DataFrame, contexts: DataFrame, support: int, least: float) -> DataFrame:
-    """``entity, term, disclosure`` of the pairs at or above ``least``, from counts over all distinct texts.
+def disclosing(documents: DataFrame, contexts: DataFrame, support: int, least: float, chance: float = 1.0) -> DataFrame:
+    """``entity, term, disclosure`` of the pairs at or above ``least`` and not likelier than ``chance``, over all distinct texts.
 
     The texts in whose contexts a term stands are a lower bound of its texts, which gives an upper bound of the
     disclosure. Pairs that cannot reach ``least`` by that, those of common words, are left out before all texts are
@@ -145,22 +151,28 @@ def disclosing(documents: DataFrame, contexts: DataFrame, support: int, least: f
         shared = F.log2(F.lit(float(total)) * F.col("both") / (F.col("n_entity") * n_term))
         return F.when(content > 0, shared / content).otherwise(0.0)
 
-    pairs = pairs.join(entities, "entity").join(seen, "term").where(disclosure(F.col("n_seen")) >= least)
+    def unlikely(n_term):
+        part, share = F.col("both") / n_term, F.col("n_entity") / F.lit(float(total))
+        rest = F.when(part < 1, (1 - part) * F.log2((1 - part) / (1 - share))).otherwise(0.0)
+        return F.when(part > share, n_term * (part * F.log2(part / share) + rest)).otherwise(0.0) >= F.lit(-math.log2(chance))
+
+    pairs = pairs.join(entities, "entity").join(seen, "term").where((disclosure(F.col("n_seen")) >= least) & unlikely(F.col("n_seen")))
     pairs = checkpointed(pairs)
     if pairs.isEmpty():
         return pairs.select("entity", "term", F.lit(0.0).alias("disclosure"))
     wanted = checkpointed(pairs.select("term").distinct())
     words = rows.select("text_key", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0))).alias("term"))
     counts = words.join(bounded(wanted), "term", "left_semi").distinct().groupBy("term").agg(F.count("*").alias("n_term"))
-    told = pairs.join(counts, "term").withColumn("disclosure", disclosure(F.greatest("n_term", "n_seen")))
+    told = pairs.join(counts, "term").withColumn("n_term", F.greatest("n_term", "n_seen"))
+    told = told.where(unlikely(F.col("n_term"))).withColumn("disclosure", disclosure(F.col("n_term")))
     return told.where(F.col("disclosure") >= least).select("entity", "term", "disclosure")
 
 
-def revealing_spans(documents: DataFrame, support: int = SUPPORT, generalise: float = GENERALISE, remove: float = REMOVE) -> DataFrame:
+def revealing_spans(documents: DataFrame, support: int = SUPPORT, generalise: float = GENERALISE, remove: float = REMOVE, chance: float = CHANCE) -> DataFrame:
     """``doc_id, text_key, added``: the spans of revealing terms of each text that has any."""
     bearing = with_base(rows_of(documents)).where(F.size("base") > 0).select("doc_id", "text_key", "text", "base")
     contexts = checkpointed(context_terms(bearing))
-    known = checkpointed(disclosing(documents, contexts, support, generalise))
+    known = checkpointed(disclosing(documents, contexts, support, generalise, chance))
     kind = F.when(F.col("disclosure") >= remove, "remove").otherwise("general")
     rank = F.when(F.col("disclosure") >= remove, len(KINDS) + 1).otherwise(len(KINDS))
     spans = contexts.join(bounded(known), ["entity", "term"]).groupBy("doc_id", "text_key", "start", "stop").agg(F.max("disclosure").alias("disclosure"))

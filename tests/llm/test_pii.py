@@ -111,6 +111,14 @@ def test_revealing_terms_are_masked(spark):
     assert masked[2].text == given[2]
 
 
+def test_terms_beside_an_entity_of_one_text(spark):
+    given = [f"the common words of text{i} and of some others" for i in range(200)] + ["the Zebulon wrote to once@mail.example.com of some others"]
+    (row,) = pii.find(texts(spark, *given)).where("base <> ''").collect()
+    assert [given[200][int(a) : int(b)] for kind, a, b in (s.split(":") for s in row.spans.split(",")) if kind == "remove"] == ["Zebulon", "wrote", "to"]
+    found = pii.find(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    assert found.where("base <> '' AND spans <> base").count() > 0 and found.where("base = '' AND spans <> ''").count() == 0
+
+
 def test_overlapping_spans_are_masked_once(spark):
     text = "call +4111 1111 1111 1111 or x"
     (row,) = pii.find(texts(spark, text)).collect()
