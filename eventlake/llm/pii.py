@@ -1,15 +1,15 @@
 """Personal data: fixed patterns, and terms that reveal them by what the corpus tells.
 
-Patterns find the base spans. Each distinct base value is a protected entity. Over the corpus, a term in the context of
-an entity carries information about it: with n the number of distinct texts,
+Patterns find the base spans. Each distinct base value is a protected entity. Over the corpus, a term of a text that
+bears an entity carries information about it: with n the number of distinct texts,
 
     IC(e) = log2(n / n(e)),   PMI(e, t) = log2(n n(e, t) / (n(e) n(t))),   disclosure = PMI / IC.
 
 Disclosure is 1 when the term occurs with that entity only, so that it names the entity. Terms from ``GENERALISE`` on are
-replaced by a general word, from ``REMOVE`` on they are taken out; both wherever they stand in the context of the
-entity. A term that may have met the entity by chance proves nothing and stays: Hoeffding's bound on the chance that as
-many of the term's n(t) texts bear the entity has to be at most ``CHANCE``. No number of texts is asked for, so a rare
-term beside an entity of one text counts, and in a small corpus a word seen once beside a frequent entity does not.
+replaced by a general word, from ``REMOVE`` on they are taken out; both wherever they stand in the texts of the entity. A
+term that may have met the entity by chance proves nothing and stays: Hoeffding's bound on the chance that as many of
+the term's n(t) texts bear the entity has to be at most ``CHANCE``. No number of texts is asked for, so a rare term
+beside an entity of one text counts, and in a small corpus a word seen once beside a frequent entity does not.
 
 DataFrame operations only. Positions are code points, ends exclusive.
 """
@@ -23,12 +23,12 @@ from pyspark.sql import functions as F
 
 from eventlake.llm.common import checkpointed
 
-# Code points on each side of a base span that are its context.
-CONTEXT = 80
 # Texts that have to show a pair; one will do, chance decides.
 SUPPORT = 1
 CHANCE = 0.05
 GENERALISE, REMOVE = 0.75, 0.95
+# Words that positions are summed over at a time, as an array grows by copying.
+BLOCK = 256
 # Rows of which a join side may be broadcast; larger sides are shuffled.
 BROADCAST_ROWS = 500_000
 # The patterns of the contract, written so that they find the same spans without trying a run of characters from each
@@ -44,6 +44,9 @@ KINDS = tuple(PATTERNS)
 # A character without which a pattern cannot match; such texts are passed over.
 NEEDED = {"email": "@", "ip": ".", "phone": "+"}
 WORD = r"[\p{L}\p{N}]+"
+# Stands for each character of a base span; a private-use one, which a text's own is blanked for.
+COVER = "\ue000"
+FREE_WORD = rf"(?<![{COVER}\p{{L}}\p{{N}}])[\p{{L}}\p{{N}}]++(?!{COVER})"
 PLACEHOLDERS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "general": "[TERM]", "remove": ""}
 SPAN = "struct<start:int,rank:int,kind:string,stop:int,value:string>"
 
@@ -94,97 +97,123 @@ def with_base(rows: DataFrame) -> DataFrame:
     return rows.drop(*(f"_{x}_{k}" for x in "mpsv" for k in KINDS))
 
 
-def context_words(side: Column, begin: Column, cut_first: Column, cut_last: Column, name: str) -> dict[str, Column]:
-    """The columns that ``context_terms`` needs of one side of a span."""
-    return {f"{name}_text": side, f"{name}_begin": begin, f"{name}_cut_first": cut_first.cast("int"), f"{name}_cut_last": cut_last.cast("int")}
+COVERED = f"""
+aggregate(base, named_struct('at', 0, 'out', CAST(array() AS array<string>)),
+  (acc, s) -> named_struct('at', greatest(acc.at, s.stop), 'out', concat(acc.out, array(
+    substring(blank, acc.at + 1, greatest(s.start - acc.at, 0)), repeat('{COVER}', greatest(s.stop - greatest(acc.at, s.start), 0))))),
+  acc -> concat(array_join(acc.out, ''), substring(blank, acc.at + 1, length(blank))))
+"""
 
 
 def context_terms(bearing: DataFrame) -> DataFrame:
-    """One row for each word in the context of each base span: ``text_key, entity, term, start, stop, doc_id``.
+    """One row for each distinct text: ``text_key``, its ``entities``, and ``covered``, the text without its base spans.
 
-    Words that the context cuts at its outer end and words in base spans are left out.
+    Covered text has the length of the text. Words that touch a base span are no ``FREE_WORD`` of it.
+    """
+    texts = bearing.select("text_key", "text", "base").dropDuplicates(["text_key"])
+    value = lambda s: F.when(s["kind"] == "email", F.lower(s["value"])).when(s["kind"] == "ip", s["value"]).otherwise(F.regexp_replace(s["value"], "[^0-9]", ""))
+    texts = texts.withColumn("entities", F.array_distinct(F.transform("base", lambda s: F.concat_ws(":", s["kind"], value(s)))))
+    texts = texts.withColumn("blank", F.translate("text", COVER, " "))
+    return texts.select("text_key", "entities", F.expr(COVERED).alias("covered"))
+
+
+def placed_words(contexts: DataFrame) -> DataFrame:
+    """``text_key, term, start, stop`` of every free word of more than one character."""
+    words = contexts.select("text_key", F.regexp_extract_all("covered", F.lit(FREE_WORD), F.lit(0)).alias("words"), F.split("covered", FREE_WORD, -1).alias("gaps"))
+    words = words.where(F.size("words") > 0).withColumn("steps", F.expr("transform(words, (w, i) -> length(gaps[i]) + length(w))"))
+    begins = f"""
+    aggregate(sequence(0, CAST((size(words) - 1) div {BLOCK} AS int)), named_struct('at', 0, 'out', CAST(array() AS array<int>)),
+      (acc, b) -> named_struct('at', acc.at + aggregate(slice(steps, b * {BLOCK} + 1, {BLOCK}), 0, (x, y) -> x + y), 'out', array_append(acc.out, acc.at)),
+      acc -> acc.out)
     """
-    spans = bearing.select("doc_id", "text_key", "text", "base", F.explode("base").alias("s"))
-    size = F.length("text")
-    spans = spans.withColumn("entity", F.concat_ws(":", "s.kind", F.when(F.col("s.kind") == "email", F.lower("s.value")).when(F.col("s.kind") == "ip", F.col("s.value")).otherwise(F.regexp_replace("s.value", "[^0-9]", ""))))
-    left = F.greatest(F.col("s.start") - CONTEXT, F.lit(0))
-    spans = spans.withColumns(
-        {
-            **context_words(F.substring("text", left + 1, F.col("s.start") - left), left, left > 0, F.lit(False), "left"),
-            **context_words(F.substring("text", F.col("s.stop") + 1, F.lit(CONTEXT)), F.col("s.stop"), F.lit(False), F.col("s.stop") + CONTEXT < size, "right"),
-        }
-    )
-    sides = spans.select("doc_id", "text_key", "entity", "base", F.explode(F.array(*(F.struct(*(F.col(f"{n}_{c}").alias(c) for c in ("text", "begin", "cut_first", "cut_last"))) for n in ("left", "right")))).alias("c"))
-    sides = sides.withColumns({"words": F.regexp_extract_all("c.text", F.lit(WORD), F.lit(0)), "gaps": F.split("c.text", WORD, -1)})
-    placed = sides.withColumn("words", F.expr(positions("words", "gaps", "term", 0)))
-    placed = placed.withColumn("words", F.expr("slice(words, 1 + c.cut_first, greatest(size(words) - c.cut_first - c.cut_last, 0))"))
-    words = placed.select("doc_id", "text_key", "entity", "base", F.col("c.begin").alias("begin"), F.explode("words").alias("w"))
-    words = words.select("doc_id", "text_key", "entity", "base", F.lower("w.value").alias("term"), (F.col("begin") + F.col("w.start")).alias("start"), (F.col("begin") + F.col("w.stop")).alias("stop"))
-    free = words.where(~F.exists("base", lambda b: (b["start"] < F.col("stop")) & (b["stop"] > F.col("start"))))
-    return free.where(F.length("term") > 1).drop("base")
-
-
-def bounded(side: DataFrame) -> DataFrame:
-    return F.broadcast(side) if side.count() <= BROADCAST_ROWS else side
+    blocks = words.withColumn("begins", F.expr(begins))
+    block = f"transform(begins, (at, b) -> named_struct('at', at, 'words', slice(words, b * {BLOCK} + 1, {BLOCK}), 'gaps', slice(gaps, b * {BLOCK} + 1, {BLOCK})))"
+    blocks = blocks.select("text_key", F.explode(F.expr(block)).alias("b")).select("text_key", "b.at", "b.words", "b.gaps")
+    blocks = blocks.withColumn("placed", F.expr(positions("words", "gaps", "term", 0)))
+    each = blocks.select("text_key", "at", F.explode("placed").alias("w"))
+    each = each.select("text_key", F.lower("w.value").alias("term"), (F.col("at") + F.col("w.start")).alias("start"), (F.col("at") + F.col("w.stop")).alias("stop"))
+    return each.where(F.length("term") > 1)
+
+
+def bounded(side: DataFrame, rows: int | None = None) -> DataFrame:
+    return F.broadcast(side) if (side.count() if rows is None else rows) <= BROADCAST_ROWS else side
 
 
 def rows_of(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("text_key", F.xxhash64("text"))
 
 
-def disclosing(documents: DataFrame, contexts: DataFrame, support: int, least: float, chance: float = 1.0) -> DataFrame:
-    """``entity, term, disclosure`` of the pairs at or above ``least`` and not likelier than ``chance``, over all distinct texts.
+def weighed(documents: DataFrame, contexts: DataFrame, support: int, least: float, chance: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Entities, shown pairs by text, and told pairs, from counts over all distinct texts.
 
-    The texts in whose contexts a term stands are a lower bound of its texts, which gives an upper bound of the
-    disclosure. Pairs that cannot reach ``least`` by that, those of common words, are left out before all texts are
-    searched for the terms.
+    Entities of the same texts have the same disclosures, so they are one ``party``: ``entity, party``; ``text_key,
+    party, term``; ``party, term, disclosure`` of the pairs at or above ``least`` that are not likelier than ``chance``.
+    The bearing texts in which a term stands are a lower bound of its texts, which gives an upper bound of the
+    disclosure. Pairs that cannot reach ``least`` by that, those of common words, are never paired with entities, and
+    their words are left out before all texts are searched.
     """
-    pairs = contexts.select("entity", "term", "text_key").distinct().groupBy("entity", "term").agg(F.count("*").alias("both"))
-    pairs = pairs.where(F.col("both") >= support)
-    entities = contexts.select("entity", "text_key").distinct().groupBy("entity").agg(F.count("*").alias("n_entity"))
-    seen = contexts.select("term", "text_key").distinct().groupBy("term").agg(F.count("*").alias("n_seen"))
     rows = rows_of(documents)
-    total = rows.select("text_key").distinct().count()
+    total = float(rows.select("text_key").distinct().count())
+    held = contexts.select("text_key", F.explode("entities").alias("entity"))
+    same_texts = F.xxhash64(F.count("*"), F.bit_xor("text_key"), F.sum(F.xxhash64("text_key").cast("decimal(20,0)")))
+    entities = checkpointed(held.groupBy("entity").agg(F.count("*").alias("n_entity"), same_texts.alias("party")))
+    parties = held.join(bounded(entities), "entity").select("text_key", "party", "n_entity").distinct()
+    words = contexts.select("text_key", F.explode(F.regexp_extract_all("covered", F.lit(FREE_WORD), F.lit(0))).alias("term"))
+    terms = words.select("text_key", F.lower("term").alias("term")).where(F.length("term") > 1).distinct()
+    seen = terms.groupBy("term").agg(F.count("*").alias("n_seen"))
+    share = F.col("n_entity") / F.lit(total)
 
     def disclosure(n_term):
-        content = F.log2(F.lit(float(total)) / F.col("n_entity"))
-        shared = F.log2(F.lit(float(total)) * F.col("both") / (F.col("n_entity") * n_term))
+        content = -F.log2(share)
+        shared = F.log2(F.lit(total) * F.col("both") / (F.col("n_entity") * n_term))
         return F.when(content > 0, shared / content).otherwise(0.0)
 
     def unlikely(n_term):
-        part, share = F.col("both") / n_term, F.col("n_entity") / F.lit(float(total))
+        part = F.col("both") / n_term
         rest = F.when(part < 1, (1 - part) * F.log2((1 - part) / (1 - share))).otherwise(0.0)
         return F.when(part > share, n_term * (part * F.log2(part / share) + rest)).otherwise(0.0) >= F.lit(-math.log2(chance))
 
-    pairs = pairs.join(entities, "entity").join(seen, "term").where((disclosure(F.col("n_seen")) >= least) & unlikely(F.col("n_seen")))
+    most = F.lit(total) * F.pow(share, F.lit(float(least))) * (1 + 1e-9)
+    shown = terms.join(seen, "term").join(parties, "text_key").where(F.col("n_seen") <= most)
+    shown = checkpointed(shown.select("text_key", "party", "term", "n_entity", "n_seen"))
+    pairs = shown.groupBy("party", "term").agg(F.count("*").alias("both"), F.max("n_entity").alias("n_entity"), F.max("n_seen").alias("n_seen"))
+    pairs = pairs.where((F.col("both") >= support) & (disclosure(F.col("n_seen")) >= least) & unlikely(F.col("n_seen")))
     pairs = checkpointed(pairs)
     if pairs.isEmpty():
-        return pairs.select("entity", "term", F.lit(0.0).alias("disclosure"))
+        return entities, shown, pairs.select("party", "term", F.lit(0.0).alias("disclosure"))
     wanted = checkpointed(pairs.select("term").distinct())
-    words = rows.select("text_key", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(WORD), F.lit(0))).alias("term"))
+    words = rows.select("text_key", F.explode(F.regexp_extract_all("text", F.lit(WORD), F.lit(0))).alias("term"))
+    words = words.select("text_key", F.lower("term").alias("term"))
     counts = words.join(bounded(wanted), "term", "left_semi").distinct().groupBy("term").agg(F.count("*").alias("n_term"))
-    told = pairs.join(counts, "term").withColumn("n_term", F.greatest("n_term", "n_seen"))
+    told = pairs.join(counts, "term", "left").withColumn("n_term", F.greatest("n_term", "n_seen"))
     told = told.where(unlikely(F.col("n_term"))).withColumn("disclosure", disclosure(F.col("n_term")))
-    return told.where(F.col("disclosure") >= least).select("entity", "term", "disclosure")
+    return entities, shown, told.where(F.col("disclosure") >= least).select("party", "term", "disclosure")
+
+
+def disclosing(documents: DataFrame, contexts: DataFrame, support: int, least: float, chance: float = 1.0) -> DataFrame:
+    """``entity, term, disclosure`` of the pairs at or above ``least``."""
+    entities, _, told = weighed(documents, contexts, support, least, chance)
+    return told.join(entities, "party").select("entity", "term", "disclosure")
 
 
 def revealing_spans(documents: DataFrame, support: int = SUPPORT, generalise: float = GENERALISE, remove: float = REMOVE, chance: float = CHANCE) -> DataFrame:
-    """``doc_id, text_key, added``: the spans of revealing terms of each text that has any."""
-    bearing = with_base(rows_of(documents)).where(F.size("base") > 0).select("doc_id", "text_key", "text", "base")
+    """``text_key, added``: the spans of revealing terms of each text that has any."""
+    bearing = with_base(rows_of(documents)).where(F.size("base") > 0)
     contexts = checkpointed(context_terms(bearing))
-    known = checkpointed(disclosing(documents, contexts, support, generalise, chance))
+    _, shown, told = weighed(documents, contexts, support, generalise, chance)
+    found = shown.join(told, ["party", "term"]).groupBy("text_key", "term").agg(F.max("disclosure").alias("disclosure"))
+    spans = placed_words(contexts).join(found, ["text_key", "term"])
     kind = F.when(F.col("disclosure") >= remove, "remove").otherwise("general")
     rank = F.when(F.col("disclosure") >= remove, len(KINDS) + 1).otherwise(len(KINDS))
-    spans = contexts.join(bounded(known), ["entity", "term"]).groupBy("doc_id", "text_key", "start", "stop").agg(F.max("disclosure").alias("disclosure"))
     span = F.struct("start", rank.alias("rank"), kind.alias("kind"), "stop", F.lit(None).cast("string").alias("value"))
-    return spans.groupBy("doc_id", "text_key").agg(F.collect_list(span).alias("added"))
+    return spans.groupBy("text_key").agg(F.collect_list(span).alias("added"))
 
 
 def with_spans(rows: DataFrame, added: DataFrame) -> DataFrame:
     """Rows with ``doc_id, text_key, text`` and their ``spans``, base and added ones by start, then kind."""
-    added = bounded(checkpointed(added)).select(F.col("doc_id").alias("_doc"), F.col("text_key").alias("_key"), "added")
-    same = rows["doc_id"].eqNullSafe(added["_doc"]) & (rows["text_key"] == added["_key"])
-    joined = with_base(rows).join(added, same, "left").drop("_doc", "_key")
+    added = checkpointed(added)
+    added = bounded(added, added.agg(F.sum(F.size("added"))).first()[0] or 0).withColumnRenamed("text_key", "_key")
+    joined = with_base(rows).join(added, F.col("text_key") == F.col("_key"), "left").drop("_key")
     every = F.when(F.col("added").isNull(), F.col("base")).otherwise(F.sort_array(F.concat("base", "added")))
     return joined.withColumn("spans", every).drop("added")
 

@@ -119,6 +119,14 @@ def test_terms_beside_an_entity_of_one_text(spark):
     assert found.where("base <> '' AND spans <> base").count() > 0 and found.where("base = '' AND spans <> ''").count() == 0
 
 
+def test_terms_are_masked_in_the_whole_text(spark):
+    filler = "the and now wrote to cat dog ran sat nobody " * 40
+    given = people() + [f"Marlow {filler} marlow@mail.example.com {filler} \U0001f600 MARLOW x{i}" for i in range(6)] + [filler + str(i) for i in range(6)]
+    masked = {r.doc_id: r.text for r in pii.sanitise(texts(spark, *given)).collect()}
+    assert "marlow" in given[40].lower() and not any("marlow" in masked[i].lower() for i in range(40, 46))
+    assert masked[40] == f" {filler} [EMAIL] {filler} \U0001f600  x0"
+
+
 def test_overlapping_spans_are_masked_once(spark):
     text = "call +4111 1111 1111 1111 or x"
     (row,) = pii.find(texts(spark, text)).collect()
