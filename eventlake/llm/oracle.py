@@ -57,10 +57,91 @@ reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN l
 SELECT doc_id, len(s) AS n_shingles, least(doc_id, (SELECT min(b) FROM reach WHERE reach.a = doc_id)) AS component_id FROM sets
 """
 
+LINES = f"""
+WITH doc AS (SELECT doc_id, row_number() OVER () AS nr, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+line AS (
+  SELECT doc_id, nr, unnest(range(1, len(lines) + 1)) AS i, unnest(lines) AS line,
+    {LOWER.format("trim(unnest(lines), chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))")} AS key FROM doc
+),
+common AS (SELECT key, max(doc_id) AS keeper FROM line WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+marked AS (SELECT l.*, c.key IS NOT NULL AND l.doc_id <> c.keeper AS gone FROM line l LEFT JOIN common c ON l.key = c.key)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY nr, doc_id
+"""
+
+CRC_TABLE = """RECURSIVE crc(i, bit, c) AS (
+  SELECT i, 0, i FROM range(256) r(i)
+  UNION ALL SELECT i, bit + 1, CASE WHEN c % 2 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END FROM crc WHERE bit < 8
+),
+crc_table AS MATERIALIZED (SELECT list(c ORDER BY i) AS t FROM crc WHERE bit = 8),
+"""
+
+TRIE = f"""
+WITH {CRC_TABLE}
+turn_rows AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) - 1 AS pos,
+    {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS said
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+conv AS (
+  SELECT conv_id, list(said ORDER BY pos) AS own,
+    xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ord(x)::BIGINT)),
+      lambda a, b: xor(t[(xor(a, b) & 255) + 1], a >> 8))) % 9 AS h
+  FROM turn_rows, crc_table GROUP BY conv_id, t
+),
+built AS MATERIALIZED (
+  SELECT c.conv_id, list_concat(coalesce(b.own, [])[:c.h], c.own[c.h + 1:]) AS turns
+  FROM conv c LEFT JOIN conv b ON b.conv_id = c.conv_id - c.conv_id % 5
+),
+member AS MATERIALIZED (
+  SELECT conv_id, d AS depth, sha256(turns[:d]::JSON::VARCHAR) AS node, CASE WHEN d > 0 THEN sha256(turns[:d - 1]::JSON::VARCHAR) END AS parent,
+    CASE WHEN d > 0 THEN strlen(turns[d].text) ELSE 0 END AS bytes, d = len(turns) AS ended
+  FROM (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS d FROM built)
+),
+node AS MATERIALIZED (
+  SELECT node, parent, depth, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * bytes AS saved,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ended), '')) AS ends_sha256
+  FROM member GROUP BY node, parent, depth, bytes
+),
+kids AS MATERIALIZED (SELECT parent AS node, count(*) AS n_children FROM node WHERE parent IS NOT NULL GROUP BY parent),
+under AS (
+  SELECT m.node, count(*) FILTER (k.node IS NULL) AS n_leaves, sum(v.saved)::BIGINT AS saved_tokens
+  FROM node v JOIN member m ON m.conv_id = v.conv_id AND m.depth <= v.depth LEFT JOIN kids k ON k.node = v.node GROUP BY m.node
+)
+SELECT v.conv_id, v.depth, p.conv_id AS parent_conv_id, v.n_convs, coalesce(k.n_children, 0) AS n_children, u.n_leaves, u.saved_tokens, v.ends_sha256
+FROM node v JOIN under u ON u.node = v.node LEFT JOIN kids k ON k.node = v.node LEFT JOIN node p ON p.node = v.parent
+"""
+
+MIDDLE = r"""
+WITH drawn AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS w,
+    sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS hex FROM documents
+),
+numbered AS (
+  SELECT doc_id, text, w, len(w) AS n, ('0x' || hex[1:8])::BIGINT % (len(w) + 1) AS c1, ('0x' || hex[9:16])::BIGINT % (len(w) + 1) AS c2,
+    text = '' OR regexp_matches(text, '<[PSM]>') OR ('0x' || hex[17:24])::BIGINT % 100 >= 50 AS stays, ('0x' || hex[25:32])::BIGINT % 100 < 80 AS spm
+  FROM drawn
+),
+cut AS (
+  SELECT doc_id, text, n, CASE WHEN stays THEN 'plain' WHEN spm THEN 'spm' ELSE 'psm' END AS form,
+    array_to_string(w[:least(c1, c2)], '') AS prefix, array_to_string(w[least(c1, c2) + 1:greatest(c1, c2)], '') AS middle,
+    array_to_string(w[greatest(c1, c2) + 1:], '') AS suffix FROM numbered
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(CASE form WHEN 'plain' THEN text ELSE prefix || middle || suffix END) AS restored_sha256
+FROM cut
+"""
+
 STATEMENTS = {
     "op5_benchmark_decontamination": CONTAMINATION,
     "op8_ngram_jaccard_join": JACCARD,
     "op9_chat_formatting": CHAT,
+    "op11_line_dedup": LINES,
+    "op12_conversation_prefix_trie": TRIE,
+    "op13_fill_in_middle": MIDDLE,
 }
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import bpe, chat, decontaminate, fingerprint, jaccard, language, pii, quality, substring, toxicity
+from eventlake.llm import bpe, chat, decontaminate, fingerprint, jaccard, language, lines, middle, pii, prefixes, quality, substring, toxicity
 from eventlake.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -94,5 +94,28 @@ def op10_byte_level_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    kept = lines.apply_bitmaps(documents, lines.keep_bitmaps(documents))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op12_conversation_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefixes.rolled_up(prefixes.member_rows(prefixes.rebuilt(table(spark, folder, "conversations"))))
+
+
+def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    formed = middle.transform(table(spark, folder, "documents"))
+    return formed.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
 def all_queries() -> dict[str, Query]:
     return {name: query for name, query in globals().items() if name.startswith("op")}

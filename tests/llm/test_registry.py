@@ -18,6 +18,9 @@ COLUMNS = {
     "op8_": "doc_id n_shingles component_id",
     "op9_": "conv_id n_turns turns_sha256 loss_chars loss_sha256 formatted_chars",
     "op10_": "doc_id n_tokens ids_sha256 decoded_sha256",
+    "op11_": "doc_id n_lines n_dropped kept_sha256",
+    "op12_": "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256",
+    "op13_": "doc_id n form prefix_chars middle_chars output_sha256 restored_sha256",
 }
 
 
