@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlake.functions.json_safe import computed_once
 from eventlake.functions.status_words import INITIAL_STATUS, STAGES
 from eventlake.functions.text import clamp, contains_ignore_case, is_empty
+from eventlake.operators.retention import CREATED, history
 from eventlake.schemas import STATUS_KEYS, STATUS_PAYLOAD
 
 # How many events the state keeps and shows.
@@ -67,16 +68,15 @@ def fold_stages(status: DataFrame, fields: Sequence[str] = (), arrival: str = "a
     message that carried it, null values included; messages without the field leave it alone.
     Everything is a combinable aggregate, so busy events shrink before the shuffle.
     """
-    return status.groupBy("event_id", "stage").agg(
-        F.max_by("status", arrival).alias("status"),
-        *[
-            F.max_by(
-                F.col("extras")[name], F.when(F.map_contains_key("extras", name), F.col(arrival))
-            ).alias(name)
-            for name in fields
-        ],
-        F.max(arrival).alias("updated_arrival"),
-    )
+    return status.groupBy("event_id", "stage").agg(*fold_columns(fields, arrival))
+
+
+def fold_columns(fields: Sequence[str] = (), arrival: str = "arrival") -> list[Column]:
+    """The aggregates of ``fold_stages``; rows without arrival have no part in them."""
+    carried = [
+        F.max_by(F.col("extras")[name], F.when(F.map_contains_key("extras", name), F.col(arrival))).alias(name) for name in fields
+    ]
+    return [F.max_by("status", arrival).alias("status"), *carried, F.max(arrival).alias("updated_arrival")]
 
 
 def fold_fields(status: DataFrame, arrival: str = "arrival") -> DataFrame:
@@ -114,29 +114,52 @@ def stages_from_fields(folded: DataFrame, fields: Sequence[str] = (), arrival: s
     )
 
 
+def initial_rows(events: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The five stages of every created event in their initial status, which ``_first`` has."""
+    first = F.map_from_arrays(F.lit(list(INITIAL_STATUS)), F.lit(list(INITIAL_STATUS.values())))
+    return events.select("event_id", *keep, F.explode(first).alias("stage", "_first"))
+
+
+def _of_created(merged: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """Only stages of created events, with the initial status where there is no other and ``keep`` of the event.
+
+    ``merged`` has one row per (event, stage), so the window sees an event's stages, not its messages.
+    """
+    own = Window.partitionBy("event_id")
+    known = F.max(F.col("_first").isNotNull()).over(own)
+    rest = [c for c in merged.columns if c not in ("event_id", "stage", "status", "_first", *keep)]
+    return (
+        merged.withColumn("_known", known)
+        .withColumns({name: F.max(name).over(own) for name in keep})
+        .where("_known")
+        .select("event_id", *keep, "stage", F.coalesce("status", "_first").alias("status"), *rest)
+    )
+
+
 def with_initial_state(events: DataFrame, folded: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """State of every created event from folded stages, one row per stage, with ``keep`` of its columns.
 
     Each event starts with the five stages in their initial status; further stages appear when a
     message names them. Messages of unknown events have no effect. ``updated_arrival`` is null for
-    a stage no message has touched. The join is on (event, stage), which has one row on both sides,
-    so an event with many invented stages is spread like any other rows.
+    a stage no message has touched.
     """
-    others = [c for c in folded.columns if c not in ("event_id", "stage", "status")]
-    first = F.map_from_arrays(F.lit(list(INITIAL_STATUS)), F.lit(list(INITIAL_STATUS.values())))
-    own = events.select("event_id", *keep)
-    start = own.select("event_id", *keep, F.explode(first).alias("stage", "_first"))
-    known = start.join(folded, ["event_id", "stage"], "left")
-    known = known.withColumn("status", F.coalesce("status", "_first")).select("event_id", *keep, "stage", "status", *others)
-    further = folded.where(~F.col("stage").isin(*INITIAL_STATUS)).join(own, "event_id")
-    return known.unionByName(further.select(*known.columns))
+    others = [c for c in folded.columns if c not in ("event_id", "stage")]
+    rows = folded.unionByName(initial_rows(events, keep), allowMissingColumns=True)
+    merged = rows.groupBy("event_id", "stage").agg(*[F.any_value(c, F.lit(True)).alias(c) for c in (*others, "_first", *keep)])
+    return _of_created(merged, keep)
 
 
 def pipeline_state(
     events: DataFrame, status: DataFrame, fields: Sequence[str] = (), keep: Sequence[str] = ()
 ) -> DataFrame:
-    """State of every created event after all its status messages."""
-    return with_initial_state(events, fold_stages(status, fields), keep)
+    """State of every created event after all its status messages.
+
+    Messages and initial rows are folded by one aggregate, so the messages are read and parsed once.
+    """
+    needed = ["event_id", "stage", "status", "arrival", *(["extras"] if fields else [])]
+    rows = status.select(*needed).unionByName(initial_rows(events, keep), allowMissingColumns=True)
+    first = [F.max(c).alias(c) for c in ("_first", *keep)]
+    return _of_created(rows.groupBy("event_id", "stage").agg(*fold_columns(fields), *first), keep)
 
 
 def event_state(state: DataFrame, event_id: str) -> DataFrame:
@@ -180,21 +203,15 @@ def pipeline_overview(summary: DataFrame) -> DataFrame:
     )
 
 
-def last_touch(events: DataFrame, status: DataFrame, created: str = "created_arrival") -> DataFrame:
-    """Arrival of the last message that touched each created event, its creation included."""
-    touched = status.groupBy("event_id").agg(F.max("arrival").alias("_touched"))
-    return events.join(touched, "event_id", "left").select(
-        "event_id", F.greatest(F.col(created), F.col("_touched")).alias("touched_arrival")
-    )
-
-
-def retained_events(events: DataFrame, status: DataFrame, keep: int = RETAINED_EVENTS) -> DataFrame:
-    """The most recently touched events.
+def retained_events(
+    events: DataFrame, status: DataFrame, keep: int = RETAINED_EVENTS, created: str = "created_arrival", blocks: int | None = None
+) -> DataFrame:
+    """The events the state still holds, most recently touched first; ``messages`` counted since their creation.
 
-    Equal to evicting the least recently touched one whenever the limit is passed, as long as no
-    message arrives for an event after its eviction.
+    Exact: a message that arrives for an event after its eviction has no effect.
     """
-    return last_touch(events, status).orderBy(F.desc("touched_arrival"), F.desc("event_id")).limit(keep)
+    held = history(events, status.select("event_id", "arrival"), keep, created, blocks).held
+    return held.orderBy(F.desc("touched_arrival"), F.desc("event_id"))
 
 
 def recent_events(
@@ -204,13 +221,20 @@ def recent_events(
     fields: Sequence[str] = (),
     keep: int = RETAINED_EVENTS,
 ) -> DataFrame:
-    """State of the most recently touched events, oldest first.
+    """State of the most recently touched of the retained events, oldest first.
 
-    The limit is clamped, so at most ``keep`` events are chosen and broadcast, and only their
-    messages are folded.
+    The messages are parsed once, when the history is dealt. At most ``keep`` ids are chosen (the limit is clamped); they
+    are looked up now and put into the scan of the dealt rows as literals. A retained event has been held since its
+    creation, so all its messages from there on count.
     """
-    chosen = F.broadcast(retained_events(events, status, clamp(limit, 1, keep)))
-    theirs = status.join(chosen.select("event_id"), "event_id", "left_semi")
+    needed = ["event_id", "stage", "status", "arrival", *(["extras"] if fields else [])]
+    past = history(events, status.select(*needed), keep)
+    chosen = past.held.orderBy(F.desc("touched_arrival"), F.desc("event_id")).limit(clamp(limit, 1, keep))
+    ids = [row.event_id for row in chosen.select("event_id").collect()]
+    chosen = F.broadcast(past.held.where(F.col("event_id").isin(ids)))
+    theirs = past.rows.where(F.col("event_id").isin(ids) & ~F.col(CREATED)).select(*needed)
+    since = chosen.select("event_id", "created_arrival")
+    theirs = theirs.join(since, "event_id").where(F.col("arrival") > F.col("created_arrival")).drop("created_arrival")
     return pipeline_state(chosen, theirs, fields, ("touched_arrival",)).orderBy("touched_arrival", "event_id")
 
 

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from eventlake.functions.keys import key_partition
+from eventlake.operators.numbering import dense_numbers
+
 # Fixed value: topics with this prefix belong to the broker itself.
 INTERNAL_PREFIX = "__"
 
@@ -51,3 +54,26 @@ def topic_totals(offsets: DataFrame, selected: str | None = None) -> DataFrame:
 
 def sorted_offsets(offsets: DataFrame) -> DataFrame:
     return offsets.orderBy("topic", "partition")
+
+
+def routed_records(records: DataFrame, topic: str, partitions: int, key: str = "key", order: str = "seq") -> DataFrame:
+    """Records with the ``topic`` and the ``partition`` of their key.
+
+    A record without key may go anywhere; it is dealt by a hash of its order number.
+    """
+    anywhere = F.pmod(F.xxhash64(order), F.lit(partitions)).cast("int")
+    return records.withColumn("topic", F.lit(topic)).withColumn("partition", F.coalesce(key_partition(F.col(key), partitions), anywhere))
+
+
+def record_offsets(routed: DataFrame, order: str = "seq", ends: DataFrame | None = None, blocks: int | None = None) -> DataFrame:
+    """Routed records with their ``offset``: dense per (topic, partition), in the order of ``order``.
+
+    Records of one key are in one partition, so they keep their order. ``ends`` (topic, partition, offset) has the
+    next offset of each partition that holds records already.
+    """
+    return dense_numbers(routed, ["topic", "partition"], [order], "offset", ends, blocks)
+
+
+def next_offsets(log: DataFrame) -> DataFrame:
+    """The offset that follows the last one of each (topic, partition)."""
+    return log.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("offset"))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.functions.json_safe import id_text, json_safe
+from eventlake.functions.keys import key_partition
 from eventlake.functions.status_words import normalized_status
 from eventlake.functions.text import head_preview, preview
 from eventlake.operators import directory, history, ingest, security, status, topics, usage
@@ -16,7 +17,7 @@ from eventlake.plans import fixtures as fx
 from eventlake.schemas import EVENT_COLUMNS
 from eventlake.session import work_folder
 from eventlake.sinks.batches import BatchTable
-from eventlake.sinks.topics import parquet_publisher
+from eventlake.sinks.topics import parquet_publisher, publish_in_order, read_log
 from eventlake.sources import files
 from eventlake.sources.tables import read_table
 from eventlake.streaming import detector, pipeline, readers, status_state
@@ -27,6 +28,8 @@ _QUERIES: dict[str, Query] = {}
 
 # The test data spreads failed logins over days, so the incident queries use a three-day window.
 INCIDENT_WINDOW_SECONDS = 3 * 24 * 3600
+# Partitions of the topics.
+TOPIC_PARTITIONS = 3
 STATUS_FIELDS = ("batch_id", "snapshot_id", "topic", "partition")
 
 
@@ -97,6 +100,32 @@ def keyed_records(spark, folder):
     return ingest.keyed_records(fx.usage(spark, folder)).select("key", "value")
 
 
+@query
+def key_partitions(spark, folder):
+    """Partition of every key of the usage topic."""
+    keys = fx.usage(spark, folder).select("seq", F.concat(F.col("username"), F.lit("/"), F.col("user_id")).alias("key"))
+    return keys.withColumn("partition", key_partition(F.col("key"), TOPIC_PARTITIONS))
+
+
+@query
+def record_offsets(spark, folder):
+    """Place of every usage record: the partition of its key, and a dense offset in order of arrival."""
+    records = ingest.keyed_records(fx.usage(spark, folder)).select("seq", "key")
+    routed = topics.routed_records(records, "usage-events", TOPIC_PARTITIONS)
+    return topics.record_offsets(routed).select("seq", "key", "topic", "partition", "offset")
+
+
+@query
+def published_records(spark, folder):
+    """Two deliveries to a log, the second going on where the first ended; the log afterwards."""
+    home = work_folder(spark, "topic-log")
+    records = ingest.keyed_records(fx.usage(spark, folder)).select("seq", "key", "value", F.coalesce(F.col("k") < 60, F.lit(False)).alias("early"))
+    for early in (True, False):
+        publish_in_order(records.where(F.col("early") == early), home, "usage-events", TOPIC_PARTITIONS)
+    log = read_log(spark, home)
+    return log.select("topic", "partition", "offset", "key", F.get_json_object("value", "$.timestamp").alias("time"))
+
+
 @query
 def status_records(spark, folder):
     """Status records of one successful batch for every event id of the table."""
@@ -245,7 +274,15 @@ def pipeline_recent(spark, folder):
 
 @query
 def pipeline_retained(spark, folder):
-    return status.retained_events(fx.created_events(spark, folder), _status(spark, folder, False))
+    retained = status.retained_events(fx.created_events(spark, folder), _status(spark, folder, False))
+    return retained.select("event_id", "touched_arrival")
+
+
+@query
+def pipeline_retained_late(spark, folder):
+    """What is held when some messages come long after their event, and some events are created again."""
+    messages = fx.late_messages(_status(spark, folder, False))
+    return status.retained_events(fx.events_created_again(spark, folder), messages)
 
 
 @query

@@ -84,6 +84,21 @@ def created_events(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def events_created_again(spark: SparkSession, folder: str) -> DataFrame:
+    """Created events; every 40th is created once more, 300 events later."""
+    return created_events(spark, folder).selectExpr(
+        "event_id",
+        "explode(CASE WHEN created_arrival % 400 = 0 THEN array(created_arrival, created_arrival + 3000) ELSE array(created_arrival) END) AS created_arrival",
+    )
+
+
+def late_messages(status: DataFrame) -> DataFrame:
+    """Status rows of which some come much later: by 50 to 250 events, by the number of their event."""
+    number = F.expr("CAST(substring(event_id, 5) AS bigint)")
+    later = F.when(number % 3 == 0, (number % 5 + 1) * 500).otherwise(0)
+    return status.withColumn("arrival", F.col("arrival") + later)
+
+
 def status_messages_of(events: DataFrame) -> DataFrame:
     """Status messages as JSON, up to eight steps per event, some invalid.
 

@@ -180,6 +180,40 @@ _NEEDS = {
     "ranked": ["requests"],
 }
 
+# 32-bit multiplication by the factor of the key hash, in halves, and the hash over the hex digits of a key's bytes.
+_TIMES = "((({0}) & 65535) * 1540483477 + (((({0}) >> 16) * 1540483477 & 65535) << 16) & 4294967295)"
+
+
+def _hash_views() -> dict[str, str]:
+    times = _TIMES.format
+    word = times("w")
+    mixed = times(f"xor({word}, {word} >> 24)")
+    return {
+        "words": f"""
+        SELECT key, digits, (len(digits) // 2 % 4)::INT AS r, list_reduce(
+          list_prepend(xor(2538058380::BIGINT, len(digits) // 2), list_transform(range(0, len(digits) // 8), lambda i: ('0x' || digits[8 * i + 7:8 * i + 8]
+            || digits[8 * i + 5:8 * i + 6] || digits[8 * i + 3:8 * i + 4] || digits[8 * i + 1:8 * i + 2])::BIGINT)),
+          lambda h, w: xor({times("h")}, {mixed})) AS h
+        FROM (SELECT DISTINCT key, hex(encode(key)) AS digits FROM keyed)""",
+        "tailed": f"""
+        SELECT key, CASE r WHEN 0 THEN h ELSE {times("xor(h, rest)")} END AS h
+        FROM (SELECT *, CASE r WHEN 1 THEN ('0x' || right(digits, 2))::BIGINT
+                WHEN 2 THEN ('0x' || right(digits, 2) || left(right(digits, 4), 2))::BIGINT
+                WHEN 3 THEN ('0x' || right(digits, 2) || left(right(digits, 4), 2) || left(right(digits, 6), 2))::BIGINT END AS rest
+              FROM words)""",
+        "hashed": f"""
+        SELECT key, CAST((xor(h, h >> 15) & 2147483647) % 3 AS INT) AS "partition"
+        FROM (SELECT key, {times("xor(h, h >> 13)")} AS h FROM tailed)""",
+    }
+
+
+_VIEWS |= _hash_views()
+_VIEWS |= {
+    "user_keys": "SELECT seq, user_id AS key, k, \"timestamp\" FROM usage",
+    "keyed": "SELECT user_id AS key FROM usage UNION ALL SELECT username || '/' || user_id FROM usage",
+}
+_NEEDS |= {"user_keys": ["usage"], "keyed": ["usage"], "words": ["keyed"], "tailed": ["words"], "hashed": ["tailed"]}
+
 _EVENT = 'event_id, event_type, user_id, username, service, usage_type, quantity, "timestamp"'
 
 # query name -> (views, statement)
@@ -215,6 +249,20 @@ _SQL = {
                AS varchar) AS value
            FROM usage""",
     ),
+    "key_partitions": (
+        ["usage", "hashed"],
+        """SELECT seq, username || '/' || user_id AS key, "partition" FROM usage JOIN hashed ON hashed.key = username || '/' || user_id""",
+    ),
+    "record_offsets": (
+        ["user_keys", "hashed"],
+        """SELECT seq, key, 'usage-events' AS topic, "partition",
+             row_number() OVER (PARTITION BY "partition" ORDER BY seq) - 1 AS "offset" FROM user_keys JOIN hashed USING (key)""",
+    ),
+    "published_records": (
+        ["user_keys", "hashed"],
+        """SELECT 'usage-events' AS topic, "partition", row_number() OVER (PARTITION BY "partition" ORDER BY k >= 60, seq) - 1 AS "offset",
+             key, "timestamp" AS time FROM user_keys JOIN hashed USING (key)""",
+    ),
     "status_records": (
         ["usage"],
         """SELECT event_id AS key, step, stage, status, replace(body, '@', event_id) AS value
@@ -308,6 +356,22 @@ _SQL = {
            FROM recent JOIN state USING (event_id)""",
     ),
     "pipeline_retained": (["retained"], "SELECT * FROM retained"),
+    "pipeline_retained_late": (
+        ["created", "status"],
+        """, touches AS (
+             SELECT event_id, arrival + CASE WHEN nr % 3 = 0 THEN (nr % 5 + 1) * 500 ELSE 0 END AS arrival, 1 AS n
+             FROM (SELECT *, CAST(substring(event_id, 5) AS BIGINT) AS nr FROM status)
+             UNION ALL SELECT event_id, created_arrival, 0 FROM created
+             UNION ALL SELECT event_id, created_arrival + 3000, 0 FROM created WHERE created_arrival % 400 = 0),
+           replayed AS (
+             SELECT list_reduce(list_prepend([]::STRUCT(e VARCHAR, t BIGINT, c BIGINT, n BIGINT)[], list([{'e': event_id, 't': arrival::BIGINT, 'c': arrival::BIGINT, 'n': n::BIGINT}] ORDER BY arrival, n, event_id)), lambda held, x:
+               CASE WHEN x[1].n = 0 THEN list_concat(x, list_filter(held, lambda h: h.e <> x[1].e))[:100]
+                 WHEN len(list_filter(held, lambda h: h.e = x[1].e)) = 0 THEN held
+                 ELSE list_concat(list_transform(list_filter(held, lambda h: h.e = x[1].e), lambda h: {'e': h.e, 't': x[1].t, 'c': h.c, 'n': h.n + 1}),
+                   list_filter(held, lambda h: h.e <> x[1].e)) END) AS held
+             FROM touches)
+           SELECT h.e AS event_id, h.t AS touched_arrival, h.c AS created_arrival, h.n AS messages FROM (SELECT unnest(held) AS h FROM replayed)""",
+    ),
     "status_search": (
         ["state"],
         """SELECT event_id, topic, status,
@@ -452,4 +516,5 @@ def _with(views: list[str]) -> str:
 
 
 def all_sql() -> dict[str, str]:
-    return {name: _with(views) + statement for name, (views, statement) in _SQL.items()}
+    # A statement that begins with a comma has views of its own.
+    return {name: (_with(views).rstrip() if statement.startswith(",") else _with(views)) + statement for name, (views, statement) in _SQL.items()}
