@@ -24,15 +24,19 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def in_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str], blocks: int | None = None) -> DataFrame:
+def in_blocks(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], blocks: int | None = None, settle: bool = True
+) -> DataFrame:
     """The rows with ``_at``, a number that grows with (keys, order); ``block_of_place`` tells the block.
 
     Spark deals the rows into ranges of about equal depth, whose bounds it finds from a sample of the rows themselves:
     a stray value or a key with half of all rows does not make a long block. The rows are written, so that all later
-    uses see the same blocks; and they are written before as well, since the sample would compute them a second time.
+    uses see the same blocks. ``settle`` writes them before as well; without it the sample computes them a second time,
+    which suits rows that cost little.
     """
     by = [*keys, *order]
-    df = written(df, "rows")
+    if settle:
+        df = written(df, "rows")
     dealt = df.repartitionByRange(blocks, *by) if blocks else df.repartitionByRange(*by)
     return written(dealt.sortWithinPartitions(*by).withColumn("_at", F.monotonically_increasing_id()), "blocks")
 
@@ -41,6 +45,22 @@ def block_of_place(at: Column | str = "_at") -> Column:
     return F.shiftright(at, BLOCK_BITS)
 
 
+def block_starts(df: DataFrame, keys: Sequence[str], block: str, rows: Column, *extra: tuple[Column, str]) -> DataFrame:
+    """Per (keys, block): what earlier blocks of the same keys hold, ``rows_before`` as the sum of ``rows``.
+
+    ``extra`` are (aggregate column, name) pairs for which the maximum over earlier blocks is kept.
+    The window runs over block summaries: one row per block, not per input row.
+    """
+    sizes = df.groupBy(*keys, block).agg(rows.alias("_n"), *[agg.alias(name) for agg, name in extra])
+    before = Window.partitionBy(*keys).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+    return sizes.select(
+        *keys,
+        block,
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("rows_before"),
+        *[F.max(name).over(before).alias(name) for _, name in extra],
+    )
+
+
 def dense_numbers(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "offset", first: DataFrame | None = None, blocks: int | None = None
 ) -> DataFrame:

@@ -6,6 +6,9 @@ most ``keep`` events held at its start. So the history is dealt into ordered blo
 each from a guess of what is held at its start, and a block is replayed again only while what its forerunner hands over
 differs from the guess. A block in which many events are created hands over the same whatever it was given, so two or
 three rounds do; when nothing differs any more, the outcome is that of one replay in order.
+
+The history need not be read from its beginning: a tail in which more than ``keep`` events are created, and in which no
+message reaches back to an event created before it, ends in the same state wherever it started from.
 """
 
 from __future__ import annotations
@@ -21,11 +24,15 @@ from eventlake.operators.numbering import block_of_place, in_blocks, written
 
 HELD = "block long, rank int, event_id string, touched_arrival long, created_arrival long, messages long"
 CREATED = "_created"
+# A tail has at least so many times the creations that are held.
+TAIL_TIMES = 4
+# How often a cut is moved back before a much longer tail is tried.
+MOVES = 3
 
 
 @dataclass(frozen=True)
 class History:
-    """``rows``: creations and messages as they were dealt, to be read again; ``held``: the events held at the end."""
+    """``rows``: the creations and messages that decided it, to be read again; ``held``: the events held at the end."""
 
     rows: DataFrame
     held: DataFrame
@@ -77,6 +84,47 @@ def _marks(held: DataFrame) -> dict[int, tuple[int, int]]:
     return {block: (n, mark) for block, n, mark in held.groupBy("block").agg(F.count(F.lit(1)), F.bit_xor(entry)).collect()}
 
 
+def _cuts(made: DataFrame, keep: int) -> list[int]:
+    """Arrivals to try as the start of the tail, the latest first; each tail has at least 16 times the creations.
+
+    Candidates are quantiles of the creations, so that a stray arrival does not matter; one pass finds them and one
+    counts the creations after each.
+    """
+    shares = [1 - 0.5**step for step in range(13, 0, -1)]
+    cuts = made.agg(F.percentile_approx("arrival", shares, 100_000).alias("cuts")).first()["cuts"]
+    if not cuts:
+        return []
+    counts = made.agg(*[F.count_if(F.col("arrival") >= cut).alias(f"c{i}") for i, cut in enumerate(cuts)]).first()
+    chosen, least = [], TAIL_TIMES * keep
+    for cut, count in zip(cuts, counts):
+        if count >= least:
+            chosen.append(cut)
+            least = 16 * count
+    return chosen
+
+
+def _tail(made: DataFrame, said: DataFrame, keep: int) -> DataFrame:
+    """The creations and messages that decide what is held at the end, written once.
+
+    A cut that messages reach back over is moved before the creations that they reach back to, a few times.
+    """
+    for cut in _cuts(made, keep):
+        for _ in range(MOVES):
+            late = F.col("arrival") >= cut
+            rows = written(said.where(late).unionByName(made.where(late), allowMissingColumns=True), "tail")
+            first = rows.groupBy("event_id").agg(
+                F.min(F.when(F.col(CREATED), F.col("arrival"))).alias("made"), F.min(F.when(~F.col(CREATED), F.col("arrival"))).alias("said")
+            )
+            if first.where(F.col("made").isNotNull()).count() < keep:
+                break
+            reaching = first.where(F.col("said").isNotNull() & (F.col("made").isNull() | (F.col("said") < F.col("made"))))
+            earlier = made.where(~late).join(reaching.select("event_id"), "event_id", "left_semi")
+            cut = earlier.groupBy("event_id").agg(F.max("arrival").alias("at")).agg(F.min("at")).first()[0]
+            if cut is None:
+                return rows
+    return written(said.unionByName(made, allowMissingColumns=True), "tail")
+
+
 def history(events: DataFrame, status: DataFrame, keep: int, created: str = "created_arrival", blocks: int | None = None) -> History:
     """Replay creations and messages in order of arrival.
 
@@ -85,9 +133,11 @@ def history(events: DataFrame, status: DataFrame, keep: int, created: str = "cre
     in front with nothing counted. Rows without event id or arrival are left out.
     """
     made = events.select("event_id", F.col(created).cast("long").alias("arrival"), F.lit(True).alias(CREATED))
+    made = made.where("event_id IS NOT NULL AND arrival IS NOT NULL")
     said = status.withColumn("arrival", F.col("arrival").cast("long")).withColumn(CREATED, F.lit(False))
-    all_rows = said.unionByName(made, allowMissingColumns=True).where("event_id IS NOT NULL AND arrival IS NOT NULL")
-    rows = in_blocks(all_rows.withColumn("_later", ~F.col(CREATED)), [], ["arrival", "_later", "event_id"], blocks)
+    said = said.where("event_id IS NOT NULL AND arrival IS NOT NULL")
+    rows = _tail(made, said, keep).withColumn("_later", ~F.col(CREATED))
+    rows = in_blocks(rows, [], ["arrival", "_later", "event_id"], blocks, settle=False)
     spark = rows.sparkSession
     numbers = sorted(row[0] for row in rows.select(block_of_place().alias("block")).distinct().collect())
     handed = spark.createDataFrame([], HELD)

@@ -11,7 +11,7 @@ from eventlake.functions.cases import first_match
 from eventlake.functions.json_safe import computed_once
 from eventlake.functions.text import is_empty
 from eventlake.functions.times import micros, parse_iso
-from eventlake.operators.skew import BLOCK_ROWS, block_of, block_starts
+from eventlake.operators.numbering import block_of_place, block_starts, in_blocks
 from eventlake.schemas import SECURITY_SCHEMA
 
 # Detector defaults, score steps, level and policy bounds with their texts.
@@ -57,12 +57,7 @@ def failed_logins(events: DataFrame) -> DataFrame:
 
 
 def sliding_counts(
-    rows: DataFrame,
-    window_micros: int,
-    key: str = "username",
-    seq: str = "seq",
-    ts: str = "ets_us",
-    block_rows: int = BLOCK_ROWS,
+    rows: DataFrame, window_micros: int, key: str = "username", seq: str = "seq", ts: str = "ets_us", blocks: int | None = None
 ) -> DataFrame:
     """``attempts``: rows of the same key in the trailing window, in arrival order.
 
@@ -72,58 +67,38 @@ def sliding_counts(
 
     With mx the running maximum of event time in arrival order, the attempts that have left the
     window by a row are those whose mx lies more than the window before the row's mx. Arrivals are
-    cut into blocks along ``seq``: running maximum and position are local values plus what the
-    earlier blocks contribute. The count of those that left is a rank lookup of ``mx - window``
-    among the key's mx values: equal mx values of a block are first collapsed to one row, then
-    looked up within slices of the mx axis, again local rank plus earlier slices. Blocks and slices
-    hold at most about ``block_rows`` rows of all keys, so a key of any size is spread.
+    dealt into blocks of equal depth along (key, ``seq``): running maximum and position are local
+    values plus what the earlier blocks contribute. The count of those that left is a rank lookup of
+    ``mx - window`` among the key's mx values: equal mx values of a block are first collapsed to one
+    row, then dealt into blocks along (key, mx), again local rank plus earlier blocks. So a key of any
+    size is spread, and neither a stray number nor a stray time makes a long block.
     """
-    span = window_micros
-    facts = rows.agg(
-        F.struct(
-            F.min(seq).alias("seq_low"),
-            F.max(seq).alias("seq_high"),
-            F.min(ts).alias("ts_low"),
-            F.max(ts).alias("ts_high"),
-            F.count(F.lit(1)).alias("n"),
-        ).alias("f")
-    ).scalar()
-    block = block_of(F.col(seq), facts["seq_low"], facts["seq_high"], facts["n"], block_rows)
-    blocked = rows.withColumn("_block", block)
-    starts = block_starts(blocked, [key], "_block", (F.max(ts), "_mx_before"))
-    local = Window.partitionBy(key, "_block").orderBy(seq)
+    placed = in_blocks(rows, [key], [seq], blocks, settle=False).withColumn("_block", block_of_place())
+    starts = block_starts(placed, [key], "_block", F.count(F.lit(1)), (F.max(ts), "_mx_before"))
+    local = Window.partitionBy(key, "_block").orderBy("_at")
     running = (
-        blocked.withColumn("_mx", F.max(ts).over(local.rowsBetween(Window.unboundedPreceding, 0)))
+        placed.withColumn("_mx", F.max(ts).over(local.rowsBetween(Window.unboundedPreceding, 0)))
         .withColumn("_arrived", F.row_number().over(local))
         .join(starts, [key, "_block"])
         .withColumn("_mx", F.greatest("_mx", "_mx_before"))
         .withColumn("_arrived", F.col("_arrived") + F.col("rows_before"))
-        .drop("rows_before", "_mx_before")
+        .drop("rows_before", "_mx_before", "_at")
     )
 
     levels = running.groupBy(key, "_block", "_mx").agg(F.count(F.lit(1)).alias("_n"))
     # Each level is a mark that counts its rows and a probe that asks how many rows lie below it.
-    mark = F.struct(F.col("_mx").alias("_at"), F.col("_n").alias("_rows"), F.lit(1).alias("_is_mark"))
-    probe = F.struct((F.col("_mx") - span).alias("_at"), F.lit(0).cast("long").alias("_rows"), F.lit(0).alias("_is_mark"))
-    at = block_of(F.col("_at"), facts["ts_low"], facts["ts_high"], facts["n"], block_rows)
-    points = levels.select(key, "_block", "_mx", F.inline(F.array(mark, probe))).withColumn("_slice", at)
-    earlier = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    slices = (
-        points.groupBy(key, "_slice")
-        .agg(F.sum("_rows").alias("_rows"))
-        .select(key, "_slice", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_below_slice"))
-    )
     # Probes sort before marks of the same time, so only strictly earlier marks count.
-    within = (
-        Window.partitionBy(key, "_slice")
-        .orderBy("_at", "_is_mark")
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
+    mark = F.struct(F.col("_mx").alias("_time"), F.col("_n").alias("_rows"), F.lit(1).alias("_is_mark"))
+    probe = F.struct((F.col("_mx") - window_micros).alias("_time"), F.lit(0).cast("long").alias("_rows"), F.lit(0).alias("_is_mark"))
+    points = levels.select(key, "_block", "_mx", F.inline(F.array(mark, probe)))
+    sliced = in_blocks(points, [key], ["_time", "_is_mark"], blocks, settle=False).withColumn("_slice", block_of_place())
+    slices = block_starts(sliced, [key], "_slice", F.sum("_rows"))
+    within = Window.partitionBy(key, "_slice").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
     expired = (
-        points.withColumn("_below", F.sum("_rows").over(within))
+        sliced.withColumn("_below", F.sum("_rows").over(within))
         .where(F.col("_is_mark") == 0)
         .join(slices, [key, "_slice"])
-        .select(key, "_block", "_mx", (F.col("_below") + F.col("_below_slice")).alias("_expired"))
+        .select(key, "_block", "_mx", (F.col("_below") + F.col("rows_before")).alias("_expired"))
     )
     counted = running.join(expired, [key, "_block", "_mx"]).drop("_block", "_mx")
     return counted.withColumn("attempts", F.col("_arrived") - F.col("_expired")).drop("_arrived", "_expired")
@@ -134,7 +109,7 @@ def bruteforce_incidents(
     threshold: int = THRESHOLD,
     window_seconds: int = WINDOW_SECONDS,
     seq: str = "seq",
-    block_rows: int = BLOCK_ROWS,
+    blocks: int | None = None,
 ) -> DataFrame:
     """One incident for every failed login at or above the threshold; nothing resets the count.
 
@@ -144,7 +119,7 @@ def bruteforce_incidents(
     attempts = failed_logins(events).where(F.col("ets").isNotNull()).select(
         seq, "username", "ip_address", "client_id", "realm", micros(F.col("ets")).alias("ets_us")
     )
-    counted = sliding_counts(attempts, window_seconds * 1_000_000, seq=seq, block_rows=block_rows)
+    counted = sliding_counts(attempts, window_seconds * 1_000_000, seq=seq, blocks=blocks)
     return incident_rows(counted, threshold, window_seconds, seq)
 
 

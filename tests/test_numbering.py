@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from eventlake.functions.keys import key_partition, murmur2
 from eventlake.operators import retention, status, topics
-from eventlake.operators.numbering import block_of_place, dense_numbers, in_blocks
+from eventlake.operators.numbering import block_of_place, block_starts, dense_numbers, in_blocks
 from eventlake.sinks.topics import publish_in_order, read_log
 
 # Published vectors of the hash, as signed numbers.
@@ -82,6 +82,12 @@ def test_a_stray_value_makes_no_long_block(spark):
     assert max(sizes) < 2 * 40_000 / 8
 
 
+def test_starts_sum_up_earlier_blocks(spark):
+    rows = spark.range(100).selectExpr("id % 2 AS key", "id div 10 AS b", "id")
+    got = {(r.key, r.b): (r.rows_before, r.top) for r in block_starts(rows, ["key"], "b", F.count(F.lit(1)), (F.max("id"), "top")).collect()}
+    assert got[(0, 0)] == (0, None) and got[(1, 3)] == (15, 29) and got[(0, 9)] == (45, 88)
+
+
 def test_published_records_keep_the_order_of_their_key(spark, folder):
     rows = [(f"k{i % 5}" if i % 11 else None, f"v{i}", i) for i in range(300)]
     frame = spark.createDataFrame(rows, "key string, value string, seq long")
@@ -128,6 +134,29 @@ def test_retained_equal_to_a_replay(spark, seed, blocks, keep):
     assert got == plain_retained(created, messages, keep)
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_only_the_tail_is_read_if_nothing_reaches_back(spark, seed):
+    draw = random.Random(seed)
+    created = [(f"e{i}", 10 * i) for i in range(4000)]
+    # The state of a long past is irrelevant; late messages there are never looked at.
+    messages = [(f"e{draw.randrange(i + 1)}", 10 * i + 1) for i in range(1000)]
+    messages += [(f"e{i - draw.randrange(min(i, 12))}", 10 * i + 2) for i in range(1, 4000)] + [("unknown", 39_999)]
+    events = spark.createDataFrame(created, "event_id string, created_arrival long")
+    said = spark.createDataFrame(messages, "event_id string, arrival long")
+    past = retention.history(events, said, 10, blocks=5)
+    assert sorted(tuple(r) for r in past.held.collect()) == plain_retained(created, messages, 10)
+
+
+def test_a_tail_that_nothing_reaches_back_from(spark):
+    created = [(f"e{i}", 10 * i) for i in range(4000)] + [("stray", 10**15)]
+    messages = [(f"e{i}", 10 * i + step) for i in range(4000) for step in (1, 2)] + [("unknown", 39_995)]
+    events = spark.createDataFrame(created, "event_id string, created_arrival long")
+    said = spark.createDataFrame(messages, "event_id string, arrival long")
+    past = retention.history(events, said, 10)
+    assert sorted(tuple(r) for r in past.held.collect()) == plain_retained(created, messages, 10)
+    assert past.rows.count() < len(created) + len(messages)
+
+
 def test_rounds_go_on_while_blocks_hand_over_something_else(spark):
     """One event lives on by its messages through all blocks, and nothing else is created for long."""
     events = spark.createDataFrame([("old", 0), ("other", 1)], "event_id string, created_arrival long")
@@ -169,4 +198,4 @@ def test_history_is_not_ordered_in_one_partition(spark):
     said = made.select("event_id", (F.col("created_arrival") + 3).alias("arrival"))
     past = retention.history(made, said, 100, blocks=8)
     sizes = [r["count"] for r in past.rows.groupBy(block_of_place()).count().collect()]
-    assert len(sizes) == 8 and max(sizes) < 2 * 40_000 / 8
+    assert len(sizes) == 8 and max(sizes) < 2 * past.rows.count() / 8

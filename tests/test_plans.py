@@ -22,7 +22,7 @@ def test_incidents_have_one_plan_for_every_size(spark):
     events = fx.security(spark, SMALL)
     shapes = set()
     for rows in (events, events.limit(50)):
-        text = plan(security.bruteforce_incidents(rows, block_rows=20))
+        text = plan(security.bruteforce_incidents(rows, blocks=20))
         shapes.add((len(re.findall(r"[-+] Window \[", text)), "CartesianProduct" in text))
     assert len(shapes) == 1 and not shapes.pop()[1]
 

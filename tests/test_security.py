@@ -32,11 +32,11 @@ def random_rows(seed, users=25, events=1500):
 
 @pytest.mark.parametrize(
     "options",
-    [{}, {"block_rows": 1}, {"block_rows": 7}, {"block_rows": 64}, {"block_rows": 400}],
+    [{}, {"blocks": 1}, {"blocks": 4}, {"blocks": 23}, {"blocks": 150}],
 )
 @pytest.mark.parametrize("window", [0, 60])
 def test_counts_equal_a_replay(spark, options, window):
-    rows = random_rows(window + options.get("block_rows", 0))
+    rows = random_rows(window + options.get("blocks", 0))
     df = spark.createDataFrame(rows, "username string, seq long, ets_us long")
     got = {r.seq: r.attempts for r in security.sliding_counts(df, window, **options).collect()}
     assert got == replay(rows, window)
@@ -45,11 +45,18 @@ def test_counts_equal_a_replay(spark, options, window):
 def test_negative_times_and_sparse_order(spark):
     rows = [("a", seq * 977, ts) for seq, ts in enumerate([-50, -3, -60, 0, 2, -1, 55, 55, 61])]
     df = spark.createDataFrame(rows, "username string, seq long, ets_us long")
-    for options in ({}, {"block_rows": 2}):
+    for options in ({}, {"blocks": 5}):
         got = {r.seq: r.attempts for r in security.sliding_counts(df, 60, **options).collect()}
         assert got == replay(rows, 60)
 
 
+def test_one_stray_number_and_one_stray_time_leave_blocks_even(spark):
+    rows = [("busy", seq, 10 * seq) for seq in range(4000)] + [("busy", 10**17, 20_000), ("busy", 10**17 + 1, -(10**15))]
+    df = spark.createDataFrame(rows, "username string, seq long, ets_us long")
+    got = {r.seq: r.attempts for r in security.sliding_counts(df, 100, blocks=8).collect()}
+    assert got == replay(rows, 100)
+
+
 def burst(spark, n, ip):
     return spark.range(n).select(
         F.col("id").alias("seq"),
