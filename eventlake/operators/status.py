@@ -106,6 +106,41 @@ def stage_documents(fields: DataFrame) -> DataFrame:
     return fields.groupBy("event_id", "stage").agg(F.map_from_entries(pairs).alias("document"))
 
 
+# The open payload with its types
+
+
+def typed_status(messages: DataFrame, value: str = "value") -> DataFrame:
+    """Status messages with their whole payload as a typed value, parsed once; other message columns are kept.
+
+    The required keys come as text; a message without all three, or that is not a JSON object, has a null among them.
+    """
+    kept = [c for c in messages.columns if c != value]
+    parsed = messages.select(*kept, value, computed_once(F.try_parse_json(F.col(value).cast("string"))).alias("payload"))
+    keys = [F.try_variant_get("payload", f"$.{name}", "string").alias(name) for name in STATUS_KEYS.fieldNames()]
+    return parsed.select(*kept, value, *keys, "payload")
+
+
+def payload_fields(typed: DataFrame, arrival: str = "arrival") -> DataFrame:
+    """One row per message and field of its payload but the event id and stage, the value with its type."""
+    spark = typed.sparkSession
+    named = typed.select("event_id", "stage", arrival, "payload")
+    fields = named.lateralJoin(spark.tvf.variant_explode(F.col("payload").outer())).where(~F.col("key").isin("event_id", "stage"))
+    return fields.select("event_id", "stage", arrival, F.col("key").alias("field"), F.col("value").alias("field_value"))
+
+
+def fold_payload(typed: DataFrame, arrival: str = "arrival") -> DataFrame:
+    """Latest value per (event, stage, field) with its JSON type: numbers, booleans, objects and arrays stay what they are.
+
+    ``field_value`` is the value, ``field_json`` its JSON text and ``field_type`` its type; an explicit null (type VOID)
+    overwrites what was there, a message without the field leaves it alone.
+    """
+    valid = typed.where(_complete())
+    latest = merge_fields(payload_fields(valid, arrival), arrival)
+    return latest.select(
+        "event_id", "stage", "field", "field_value", F.to_json("field_value").alias("field_json"), F.schema_of_variant("field_value").alias("field_type"), arrival
+    )
+
+
 def stages_from_fields(folded: DataFrame, fields: Sequence[str] = (), arrival: str = "arrival") -> DataFrame:
     """Rows of ``fold_fields`` as the columns of ``fold_stages``."""
     return folded.groupBy("event_id", "stage").agg(

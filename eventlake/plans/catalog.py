@@ -12,15 +12,16 @@ from eventlake.functions.json_safe import id_text, json_safe
 from eventlake.functions.keys import key_partition
 from eventlake.functions.status_words import normalized_status
 from eventlake.functions.text import head_preview, preview
-from eventlake.operators import directory, history, ingest, security, status, topics, usage
+from eventlake.operators import compare, directory, history, ingest, security, status, topics, usage
 from eventlake.plans import fixtures as fx
 from eventlake.schemas import EVENT_COLUMNS
 from eventlake.session import work_folder
 from eventlake.sinks.batches import BatchTable
+from eventlake.sinks.lookups import write_sorted
 from eventlake.sinks.topics import parquet_publisher, publish_in_order, read_log
 from eventlake.sources import files
 from eventlake.sources.tables import read_table
-from eventlake.streaming import detector, pipeline, readers, status_state
+from eventlake.streaming import dedup, detector, pipeline, readers, status_state
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -256,6 +257,13 @@ def pipeline_fields(spark, folder):
     return status.fold_fields(_status(spark, folder))
 
 
+@query
+def pipeline_payload(spark, folder):
+    """The open form of the fold with the types of the JSON values."""
+    folded = status.fold_payload(status.typed_status(fx.open_status_messages(spark, folder)))
+    return folded.drop("field_value")
+
+
 @query
 def pipeline_summary(spark, folder):
     return status.pipeline_summary(fx.created_events(spark, folder), _status(spark, folder, False))
@@ -365,6 +373,18 @@ def snapshot_diff(spark, folder):
     return history.snapshot_diff(*_table(spark, folder), fx.EARLY_SNAPSHOT, fx.LATE_SNAPSHOT)
 
 
+@query
+def table_diff(spark, folder):
+    """Rows that differ between two versions of a table whose rows carry no commit; both are partitioned by day."""
+    versions = []
+    for rows in (fx.daily_usage(spark, folder), fx.changed_usage(spark, folder)):
+        home = work_folder(spark, "version")
+        columns = [*EVENT_COLUMNS, "day"]
+        rows.select(*columns).repartition("day").write.partitionBy("day").parquet(home)
+        versions.append(spark.read.schema(rows.select(*columns).schema).parquet(home))
+    return compare.table_diff(*versions, bucket="day")
+
+
 @query
 def clear_effect(spark, folder):
     report = history.clear_effect(*_table(spark, folder), fx.CLEAR_SNAPSHOT)
@@ -398,6 +418,15 @@ def parquet_rows_by_event(spark, folder):
     return _with_file_name(files.rows_for_event(spark, *_paths(folder, *_LOOKED_THROUGH), event_id="137", schema=schema))
 
 
+@query
+def indexed_rows_by_event(spark, folder):
+    """The same lookup in files that are sorted by event id and have Bloom filters of it."""
+    home = work_folder(spark, "by-event")
+    write_sorted(read_table(spark, folder, "events"), home, "event_id")
+    found = files.rows_for_event(spark, home, event_id="137", schema=read_table(spark, folder, "events").schema)
+    return found.drop("_parquet_file", "_row", "ts")
+
+
 @query
 def parquet_lookup_report(spark, folder):
     schema = read_table(spark, folder, "events").schema
@@ -500,19 +529,24 @@ def json_safe_rows(spark, folder):
 
 # Streams: the same inputs and results as the batch queries, through several micro-batches
 
-STREAM_FILES = 4
+STREAM_PARTS = 4
+
 
+def _follow(spark, folder, home, run, *again):
+    """Append the events part by part in order of their number and ``run`` on the stream of them after each.
 
-def _events_stream(spark, folder, home):
-    """The events as a stream of several files in order of their number, one micro-batch each."""
+    A part is written by many tasks, as many files; one run takes up the files that are new, wherever the run before it
+    stopped. Events without number are in the first part. ``again`` are further parts, delivered after the others.
+    """
     events = read_table(spark, folder, "events")
-    low, high = events.agg(F.min("event_id"), F.max("event_id")).first()
-    step = ((high or 0) - (low or 0)) // STREAM_FILES + 1
-    for part in range(STREAM_FILES):
-        start = (low or 0) + part * step
-        own = events.where((F.col("event_id") >= start) & (F.col("event_id") < start + step))
-        own.coalesce(1).write.mode("append").parquet(f"{home}/events")
-    return fx.with_k(readers.file_stream(spark, f"{home}/events", events.schema, max_files_per_trigger=1))
+    number = F.col("event_id")
+    shares = [i / STREAM_PARTS for i in range(1, STREAM_PARTS)]
+    bounds = events.agg(F.percentile_approx(number, shares).alias("b")).first()["b"] or [0] * len(shares)
+    parts = [number.isNull() | (number < bounds[0])]
+    parts += [(number >= low) & (number < high) for low, high in zip(bounds, bounds[1:])] + [number >= bounds[-1]]
+    for part in [*parts, *again]:
+        events.where(part).repartitionByRange("event_id").write.mode("append").parquet(f"{home}/events")
+        run(fx.with_k(readers.file_stream(spark, f"{home}/events", events.schema)))
 
 
 @query
@@ -521,8 +555,25 @@ def stream_ingest(spark, folder):
     home = work_folder(spark, "stream-ingest")
     table = BatchTable(spark, f"{home}/table").create()
     handler = pipeline.batch_handler(pipeline.parquet_target(table), parquet_publisher(f"{home}/status"))
-    records = fx.usage_json_of(_events_stream(spark, folder, home))
-    readers.run_available(ingest.parse_events(records), handler, f"{home}/checkpoint")
+
+    def run(events):
+        readers.run_available(ingest.parse_events(fx.usage_json_of(events)), handler, f"{home}/checkpoint")
+
+    _follow(spark, folder, home, run)
+    return table.current()
+
+
+@query
+def stream_dedup(spark, folder):
+    """Usage records of which a third are delivered again after the last of them; the table afterwards."""
+    home = work_folder(spark, "stream-dedup")
+    table = BatchTable(spark, f"{home}/table").create()
+
+    def run(events):
+        once = dedup.once_only(ingest.parse_events(fx.usage_json_of(events)), delay="5 days")
+        readers.run_available(once, table.append, f"{home}/checkpoint")
+
+    _follow(spark, folder, home, run, F.col("event_id") % 3 == 0)
     return table.current()
 
 
@@ -534,18 +585,18 @@ def stream_incidents(spark, folder):
     def emit(incidents, batch_id):
         incidents.write.mode("overwrite").parquet(f"{home}/incidents/batch={batch_id}")
 
-    events = fx.security_of(_events_stream(spark, folder, home))
-    found = detector.incident_stream(events, window_seconds=INCIDENT_WINDOW_SECONDS)
-    readers.run_available(found, emit, f"{home}/checkpoint")
+    def run(events):
+        found = detector.incident_stream(fx.security_of(events), window_seconds=INCIDENT_WINDOW_SECONDS)
+        readers.run_available(found, emit, f"{home}/checkpoint")
+
+    _follow(spark, folder, home, run)
     return spark.read.schema(detector.INCIDENT_SCHEMA).parquet(f"{home}/incidents").drop("batch")
 
 
 @query
 def stream_pipeline_state(spark, folder):
-    """Status records through the streaming fold, joined to the created events."""
+    """Status records through the streaming fold, joined to the created events; the state is read from its store."""
     home = work_folder(spark, "stream-status")
-    messages = fx.status_messages_of(_events_stream(spark, folder, home))
-    fields = status_state.field_stream(messages)
-    readers.run_available(fields, status_state.update_handler(f"{home}/state"), f"{home}/checkpoint", mode="update")
-    folded = status.stages_from_fields(status_state.read_state(spark, f"{home}/state"), STATUS_FIELDS)
+    _follow(spark, folder, home, lambda events: status_state.keep_state(status_state.field_stream(fx.status_messages_of(events)), f"{home}/checkpoint"))
+    folded = status.stages_from_fields(status_state.fields_of_state(spark, f"{home}/checkpoint"), STATUS_FIELDS)
     return status.with_initial_state(fx.created_events(spark, folder), folded)

@@ -142,6 +142,16 @@ def status_messages_of(events: DataFrame) -> DataFrame:
     return rows.select(F.expr("event_id * 10 + step AS arrival"), computed_once(value).alias("value"))
 
 
+def open_status_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """Status messages of which those of the third and eighth step have a nested object or a flag besides."""
+    more = F.expr(
+        """CASE arrival % 10 WHEN 8 THEN concat(',"details":{"files":', arrival div 10 % 7, ',"ok":true,"paths":["a",null]}}')
+                           WHEN 3 THEN ',"retried":false,"took":1.5}' ELSE '}' END"""
+    )
+    messages = status_messages(spark, folder)
+    return messages.select("arrival", F.concat(F.expr("substring(value, 1, length(value) - 1)"), more).alias("value"))
+
+
 def status_messages(spark: SparkSession, folder: str) -> DataFrame:
     """The messages of a topic keyed by event: its partitions, as many as a shuffle has, hold events by key.
 
@@ -237,6 +247,18 @@ def commits(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def changed_usage(spark: SparkSession, folder: str) -> DataFrame:
+    """Usage rows of a later version of the table: in every fourth day's, some lost, changed or doubled."""
+    rows = daily_usage(spark, folder)
+    copies = F.expr("CASE WHEN day % 4 <> 1 THEN 1 WHEN k = 41 THEN 0 WHEN k = 43 THEN 3 ELSE 1 END")
+    more = F.when((F.col("day") % 4 == 1) & (F.col("k") == 42), 1).otherwise(0)
+    return rows.withColumn("quantity", F.col("quantity") + more).withColumn("_copy", F.explode(F.array_repeat(F.lit(0), copies))).drop("_copy")
+
+
+def daily_usage(spark: SparkSession, folder: str) -> DataFrame:
+    return usage_of(base_events(spark, folder), f"{_DAY} AS day")
+
+
 def topic_log_of(events: DataFrame) -> DataFrame:
     """Records of a keyed topic, an internal topic and a broken one; the event's number is the record's offset."""
     topics = F.expr(

@@ -108,6 +108,11 @@ _VIEWS = {
         SELECT *, 1001 + d + CASE WHEN d > 19 THEN 1 ELSE 0 END AS added_by, CASE WHEN d <= 19 THEN 1021 END AS removed_by
         FROM (SELECT *, date_diff('day', DATE '2024-01-01', CAST(ts AS date)) AS d FROM usage
               WHERE event_id IS NOT NULL)""",
+    "daily": "SELECT *, CAST(date_diff('day', DATE '2024-01-01', CAST(ts AS date)) AS INT) AS day FROM usage",
+    "later": """
+        SELECT * REPLACE (CAST(quantity + CASE WHEN day % 4 = 1 AND k = 42 THEN 1 ELSE 0 END AS INT) AS quantity)
+        FROM daily CROSS JOIN range(3) r(copy)
+        WHERE copy < CASE WHEN day % 4 <> 1 THEN 1 WHEN k = 41 THEN 0 WHEN k = 43 THEN 3 ELSE 1 END""",
     "commits": """
         SELECT DISTINCT 1001 + d + CASE WHEN d > 19 THEN 1 ELSE 0 END AS id, 'append' AS operation, d,
           epoch_us(CAST(DATE '2024-01-01' + CAST(d + 1 AS int) AS timestamp)) AS committed_us FROM table_rows
@@ -171,6 +176,8 @@ _NEEDS = {
     "retained": ["touched"],
     "recent": ["touched"],
     "table_rows": ["usage"],
+    "daily": ["usage"],
+    "later": ["daily"],
     "commits": ["table_rows"],
     "listed": ["commits"],
     "clear_report": ["table_rows"],
@@ -344,6 +351,22 @@ _SQL = {
            UNION ALL SELECT event_id, stage, 'partition', arg_max("partition", arrival), max(arrival) FROM status
              WHERE topic IS NOT NULL GROUP BY ALL""",
     ),
+    "pipeline_payload": (
+        ["status"],
+        """, parts AS (
+             SELECT event_id, stage, arrival, 'status' AS field, '"' || status || '"' AS field_json, 'STRING' AS field_type FROM status
+             UNION ALL SELECT event_id, stage, arrival, 'batch_id', batch_id, 'BIGINT' FROM status WHERE batch_id IS NOT NULL
+             UNION ALL SELECT event_id, stage, arrival, 'snapshot_id', coalesce(snapshot_id, 'null'), CASE WHEN snapshot_id IS NULL THEN 'VOID' ELSE 'BIGINT' END
+               FROM status WHERE has_snapshot
+             UNION ALL SELECT event_id, stage, arrival, 'topic', '"' || topic || '"', 'STRING' FROM status WHERE topic IS NOT NULL
+             UNION ALL SELECT event_id, stage, arrival, 'partition', "partition", 'BIGINT' FROM status WHERE topic IS NOT NULL
+             UNION ALL SELECT event_id, stage, arrival, 'details', '{"files":' || (arrival // 10 % 7) || ',"ok":true,"paths":["a",null]}',
+               'OBJECT<files: BIGINT, ok: BOOLEAN, paths: ARRAY<STRING>>' FROM status WHERE step = 8
+             UNION ALL SELECT event_id, stage, arrival, 'retried', 'false', 'BOOLEAN' FROM status WHERE step = 3
+             UNION ALL SELECT event_id, stage, arrival, 'took', '1.5', 'DECIMAL(2,1)' FROM status WHERE step = 3)
+           SELECT event_id, stage, field, arg_max(field_json, arrival) AS field_json, arg_max(field_type, arrival) AS field_type,
+             max(arrival) AS arrival FROM parts GROUP BY event_id, stage, field""",
+    ),
     "pipeline_summary": (["summary"], "SELECT * FROM summary"),
     "pipeline_overview": (
         ["summary"],
@@ -424,6 +447,13 @@ _SQL = {
         f"""SELECT 'removed' AS change, {_EVENT} FROM table_rows WHERE added_by <= 1010
             UNION ALL SELECT 'added', {_EVENT} FROM table_rows WHERE added_by BETWEEN 1022 AND 1026""",
     ),
+    "table_diff": (
+        ["daily", "later"],
+        f"""SELECT change, {_EVENT}, "day", count(*) AS copies FROM (
+             SELECT 'removed' AS change, * FROM (SELECT {_EVENT}, "day" FROM daily EXCEPT ALL SELECT {_EVENT}, "day" FROM later)
+             UNION ALL SELECT 'added', * FROM (SELECT {_EVENT}, "day" FROM later EXCEPT ALL SELECT {_EVENT}, "day" FROM daily))
+            GROUP BY ALL""",
+    ),
     "clear_effect": (["clear_report"], "SELECT * FROM clear_report"),
     "reset_effect": (
         ["clear_report", "retained"],
@@ -435,6 +465,7 @@ _SQL = {
         """SELECT event_id, user_id, event_type, value, props, 'events.parquet' AS _parquet_file
            FROM events WHERE event_id = 137""",
     ),
+    "indexed_rows_by_event": ([], "SELECT event_id, user_id, event_type, value, props FROM events WHERE event_id = 137"),
     "parquet_first_rows": (
         [],
         """SELECT * FROM (
@@ -483,6 +514,7 @@ _SQL = {
     "directory_new": (["ranked"], "SELECT * EXCLUDE (nth, present) FROM ranked WHERE nth = 1 AND NOT present"),
     "directory_duplicates": (["ranked"], "SELECT seq, uid FROM ranked WHERE nth > 1 OR present"),
     "stream_ingest": (["parsed"], "SELECT * FROM parsed"),
+    "stream_dedup": (["parsed"], "SELECT * FROM parsed"),
     "stream_incidents": (["incidents"], "SELECT * FROM incidents"),
     "stream_pipeline_state": (["state"], "SELECT * FROM state"),
     "json_safe_rows": (

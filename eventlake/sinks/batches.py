@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from eventlake.schemas import EVENT_COLUMNS, EVENT_SCHEMA
+from eventlake.sinks.lookups import lookup_writer
 
 ROW_SCHEMA = T.StructType([*EVENT_SCHEMA.fields, T.StructField("batch_id", T.LongType())])
 # Holds no rows; it makes the folder readable before the first batch.
@@ -40,8 +41,9 @@ class BatchTable:
         """Write the canonical columns of a batch and return its id.
 
         With ``replace`` a batch that is run again replaces what it wrote before (exactly once);
-        without, it is appended again (at least once).
+        without, it is appended again (at least once). Files are sorted by event id inside and have
+        Bloom filters of it, so a lookup by id reads few row groups of the many batches.
         """
-        mode = "overwrite" if replace else "append"
-        df.select(*EVENT_COLUMNS).write.mode(mode).parquet(self.batch_folder(batch_id))
+        writer = df.select(*EVENT_COLUMNS).sortWithinPartitions("event_id").write.mode("overwrite" if replace else "append")
+        lookup_writer(writer, "event_id").parquet(self.batch_folder(batch_id))
         return batch_id

@@ -1,4 +1,8 @@
-"""Pipeline state kept up to date from a stream of status messages."""
+"""Pipeline state kept up to date from a stream of status messages.
+
+``keep_state`` and ``fields_of_state`` use Spark's state store as the only copy; ``update_handler`` and ``read_state``
+keep the changes of each batch for readers that follow them.
+"""
 
 from __future__ import annotations
 
@@ -8,6 +12,7 @@ from pyspark.sql import functions as F
 from eventlake.operators.status import field_rows, invalid_status, merge_fields, parse_status, valid_status
 from eventlake.streaming.readers import BatchHandler
 
+RETAINED_VERSIONS = "spark.sql.streaming.minBatchesToRetain"
 FIELD_SCHEMA = "event_id string, stage string, field string, field_value string, arrival long"
 
 
@@ -22,6 +27,33 @@ def field_stream(messages: DataFrame) -> DataFrame:
     return latest.select("event_id", "stage", "field", F.col("latest.field_value").alias("field_value"), F.col("latest.arrival").alias("arrival"))
 
 
+def keep_state(stream: DataFrame, checkpoint: str, versions: int = 2) -> None:
+    """Bring the state up to what there is now. Nothing is written but the state in the checkpoint folder.
+
+    Only ``versions`` earlier versions of the state are kept, so the folder grows with the fields, not with the batches.
+    """
+    conf = stream.sparkSession.conf
+    before = conf.get(RETAINED_VERSIONS)
+    conf.set(RETAINED_VERSIONS, str(versions))
+    try:
+        writer = stream.writeStream.outputMode("update").format("noop").option("checkpointLocation", checkpoint)
+        writer.trigger(availableNow=True).start().awaitTermination()
+    finally:
+        conf.set(RETAINED_VERSIONS, before)
+
+
+def fields_of_state(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The folded fields as the state store holds them: one row per (event, stage, field), read by partition."""
+    state = spark.read.format("statestore").load(checkpoint)
+    latest = F.col("value").getField(state.schema["value"].dataType.fieldNames()[0])
+    key = F.col("key")
+    return state.select(
+        *[key.getField(name).alias(name) for name in ("event_id", "stage", "field")],
+        latest.getField("field_value").alias("field_value"),
+        latest.getField("arrival").alias("arrival"),
+    )
+
+
 def rejected_stream(messages: DataFrame) -> DataFrame:
     """The (key, value) records of unusable messages of the stream, to be published by a query of its own."""
     return invalid_status(parse_status(messages)).select(F.col("event_id").alias("key"), "value")

@@ -9,7 +9,7 @@ from eventlake.operators import ingest, security, status
 from eventlake.plans import fixtures as fx
 from eventlake.sinks.batches import BatchTable
 from eventlake.sinks.topics import best_effort, parquet_publisher
-from eventlake.streaming import detector, pipeline, readers, status_state
+from eventlake.streaming import dedup, detector, pipeline, readers, status_state
 
 SMALL = "/root/testdata/sf0.001"
 WINDOW = 3 * 24 * 3600
@@ -187,3 +187,52 @@ def test_empty_batches_are_skipped(spark):
     events = ingest.parse_events(usage_records(spark, "a"))
     handler(events.where("false"), 0)
     handler(events.withColumn("event_id", F.lit(None).cast("string")), 1)
+
+
+def test_state_is_read_from_its_store(spark, folder):
+    messages = fx.status_messages(spark, SMALL)
+    schema = write_parts(messages, f"{folder}/in", "arrival", 3)
+    stream = status_state.field_stream(readers.file_stream(spark, f"{folder}/in", schema, 1))
+    status_state.keep_state(stream, f"{folder}/checkpoint")
+    got = status_state.fields_of_state(spark, f"{folder}/checkpoint").select("event_id", "stage", "field", "field_value", "arrival")
+    assert rows(got) == rows(status.fold_fields(status.valid_status(status.parse_status(messages))))
+
+
+def test_state_has_the_latest_versions_only(spark, folder):
+    """Batches over the same keys: what the store holds does not grow with them."""
+    sizes = []
+    for batch in range(12):
+        messages = [(100 * batch + i, json.dumps({"event_id": f"e{i}", "stage": "s", "status": f"x{batch}"})) for i in range(50)]
+        spark.createDataFrame(messages, "arrival long, value string").coalesce(1).write.mode("append").parquet(f"{folder}/in")
+        stream = status_state.field_stream(readers.file_stream(spark, f"{folder}/in", "arrival long, value string"))
+        status_state.keep_state(stream, f"{folder}/checkpoint")
+        sizes.append(status_state.fields_of_state(spark, f"{folder}/checkpoint").count())
+    assert sizes == [50] * 12
+    state = status_state.fields_of_state(spark, f"{folder}/checkpoint")
+    assert {r.field_value for r in state.collect()} == {"x11"}
+
+
+def dated(spark, *rows):
+    return spark.createDataFrame([(i, f"2024-01-01T{hour:02}:00:00.000000+00:00") for i, hour in rows], "event_id string, timestamp string").coalesce(1)
+
+
+def test_replays_over_a_restart_add_nothing(spark, folder):
+    seen = []
+
+    def run():
+        stream = readers.file_stream(spark, f"{folder}/in", dated(spark).schema)
+        readers.run_available(dedup.once_only(stream, delay="2 hours"), lambda df, _: seen.extend(r.event_id for r in df.collect()), f"{folder}/checkpoint")
+
+    for part in ([("a", 1), ("b", 2), ("a", 1)], [("b", 2), ("c", 3)], [("a", 1), ("d", 9)], [("a", 1), ("c", 3), ("e", 8)], [(None, 9), ("f", 10)]):
+        dated(spark, *part).write.mode("append").parquet(f"{folder}/in")
+        run()
+    assert sorted(seen) == ["a", "b", "c", "d", "e", "f"]
+
+
+def test_seen_keys_leave_the_state_behind_the_watermark(spark, folder):
+    for hour in range(1, 9):
+        dated(spark, *[(f"{hour}-{i}", hour) for i in range(20)]).write.mode("append").parquet(f"{folder}/in")
+        stream = readers.file_stream(spark, f"{folder}/in", dated(spark).schema)
+        readers.run_available(dedup.once_only(stream, delay="2 hours"), lambda df, _: df.count(), f"{folder}/checkpoint")
+    held = spark.read.format("statestore").load(f"{folder}/checkpoint").count()
+    assert 0 < held <= 4 * 20
