@@ -587,7 +587,25 @@ def stream_incidents(spark, folder):
 
     def run(events):
         found = detector.incident_stream(fx.security_of(events), window_seconds=INCIDENT_WINDOW_SECONDS)
-        readers.run_available(found, emit, f"{home}/checkpoint")
+        with detector.rocksdb(spark):
+            readers.run_available(found, emit, f"{home}/checkpoint")
+
+    _follow(spark, folder, home, run)
+    return spark.read.schema(detector.INCIDENT_SCHEMA).parquet(f"{home}/incidents").drop("batch")
+
+
+@query
+def stream_incidents_idle(spark, folder):
+    """The same with the state of users dropped who are idle for four days; late events have a day."""
+    home = work_folder(spark, "stream-idle")
+
+    def emit(incidents, batch_id):
+        incidents.write.mode("overwrite").parquet(f"{home}/incidents/batch={batch_id}")
+
+    def run(events):
+        found = detector.incident_stream(fx.security_of(events), window_seconds=INCIDENT_WINDOW_SECONDS, idle_seconds=4 * 24 * 3600, delay="1 day")
+        with detector.rocksdb(spark):
+            readers.run_available(found, emit, f"{home}/checkpoint")
 
     _follow(spark, folder, home, run)
     return spark.read.schema(detector.INCIDENT_SCHEMA).parquet(f"{home}/incidents").drop("batch")

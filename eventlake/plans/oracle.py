@@ -516,6 +516,7 @@ _SQL = {
     "stream_ingest": (["parsed"], "SELECT * FROM parsed"),
     "stream_dedup": (["parsed"], "SELECT * FROM parsed"),
     "stream_incidents": (["incidents"], "SELECT * FROM incidents"),
+    "stream_incidents_idle": (["incidents"], "SELECT * FROM incidents"),
     "stream_pipeline_state": (["state"], "SELECT * FROM state"),
     "json_safe_rows": (
         [],

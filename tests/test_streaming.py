@@ -45,7 +45,8 @@ def test_incidents_over_batches_equal_the_batch_job(spark, folder):
         incidents.write.mode("overwrite").parquet(f"{folder}/out/batch={batch_id}")
 
     stream = readers.file_stream(spark, f"{folder}/in", schema, 1)
-    readers.run_available(detector.incident_stream(stream, 3, WINDOW), emit, f"{folder}/checkpoint")
+    with detector.rocksdb(spark):
+        readers.run_available(detector.incident_stream(stream, 3, WINDOW), emit, f"{folder}/checkpoint")
     assert seen == [0, 1, 2, 3]
     got = spark.read.parquet(f"{folder}/out").drop("batch")
     want = security.bruteforce_incidents(events, 3, WINDOW)
@@ -65,7 +66,8 @@ def test_a_failed_batch_finds_the_state_it_started_from(spark, folder):
 
     def run():
         stream = readers.file_stream(spark, f"{folder}/in", schema, 1)
-        readers.run_available(detector.incident_stream(stream, 3, WINDOW), emit, f"{folder}/checkpoint")
+        with detector.rocksdb(spark):
+            readers.run_available(detector.incident_stream(stream, 3, WINDOW), emit, f"{folder}/checkpoint")
 
     with pytest.raises(Exception, match="sink is down"):
         run()
@@ -236,3 +238,48 @@ def test_seen_keys_leave_the_state_behind_the_watermark(spark, folder):
         readers.run_available(dedup.once_only(stream, delay="2 hours"), lambda df, _: df.count(), f"{folder}/checkpoint")
     held = spark.read.format("statestore").load(f"{folder}/checkpoint").count()
     assert 0 < held <= 4 * 20
+
+
+def attempts(spark, *rows):
+    made = spark.createDataFrame([(seq, user, minute) for seq, user, minute in rows], "seq long, username string, minute long")
+    return made.select(
+        "seq", "username", F.timestamp_seconds(1_700_000_000 + F.col("minute") * 60).alias("ets"), F.lit("LOGIN_FAILED").alias("event_type"),
+        F.lit("1.2.3.4").alias("ip_address"), F.lit("c").alias("client_id"), F.lit("r").alias("realm"),
+    ).coalesce(1)
+
+
+def state_rows(spark, checkpoint):
+    reader = spark.read.format("statestore").option("stateVarName", "highs").option("flattenCollectionTypes", True)
+    return reader.load(checkpoint).count()
+
+
+@pytest.mark.parametrize("idle", [None, 600])
+def test_idle_users_leave_the_state(spark, folder, idle):
+    """Bursts of two users, long silence, then another user's events: incidents as in the batch job, with and without expiry."""
+    parts = [
+        [(i, "a", i % 7) for i in range(30)] + [(30 + i, "b", 3) for i in range(10)],
+        [(100 + i, "a", 8 + i % 3) for i in range(20)],
+        [(200, "c", 300)],
+        [(300 + i, "c", 600) for i in range(4)] + [(310, "a", 600)],
+    ]
+    sizes, everything = [], []
+    for part in parts:
+        everything += part
+        attempts(spark, *part).write.mode("append").parquet(f"{folder}/in")
+        stream = readers.file_stream(spark, f"{folder}/in", attempts(spark).schema)
+        found = detector.incident_stream(stream, 3, 300, idle, "30 minutes")
+        with detector.rocksdb(spark):
+            readers.run_available(found, lambda df, n: df.write.mode("overwrite").parquet(f"{folder}/out/batch={n}"), f"{folder}/checkpoint")
+            sizes.append(state_rows(spark, f"{folder}/checkpoint"))
+    got = spark.read.schema(detector.INCIDENT_SCHEMA).parquet(f"{folder}/out").drop("batch")
+    want = security.bruteforce_incidents(attempts(spark, *everything), 3, 300)
+    assert rows(got) == rows(want) and want.count() > 20
+    if idle is None:
+        assert sizes[2] > sizes[0] // 2
+    else:
+        assert sizes[1] > 5 and sizes[2] == 1
+
+
+def test_idle_time_is_not_below_the_window(spark):
+    with pytest.raises(ValueError):
+        detector.incident_stream(spark.range(1), 3, 300, 60)
