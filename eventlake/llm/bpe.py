@@ -4,6 +4,11 @@ A text is split by the public pattern; the distinct matches of a slice of texts
 position of a word is a row that joins the table of merges; the leftmost pair of the smallest rank of every word is
 contracted, again and again, until no word has a pair left. Decoding is an ordered aggregation over token rows.
 A word that is itself in the vocabulary is that token, as in the tiktoken library.
+
+A step lays out every token of its words, and a word takes about as many steps as it has bytes. So long words come in
+pieces, which are contracted by the same query and then joined: tokens side by side are the word's own if the two bytes
+strings of every two neighbours, contracted together, give the two again. Where two pieces meet and that fails, a few
+tokens on both sides are contracted anew, more of them each time, until it holds.
 """
 
 from __future__ import annotations
@@ -23,8 +28,11 @@ from eventlake.llm.common import slices, texts_of
 STORED_WORDS = 400_000
 # Words of one recursive query, which bounds its memory.
 QUERY_WORDS = 20_000
-# Longer words (bytes) take the query that contracts all occurrences of the word's smallest pair at once.
-LONG_WORD = 400
+# Bytes of one recursive query, which bounds its memory as well, and of one piece of a word.
+QUERY_BYTES = 400_000
+PIECE = 64
+# Tokens on both sides of a seam that are contracted anew at first.
+SEAM = 4
 ENCODED = "doc_id bigint, n_tokens bigint, ids binary, decoded binary"
 
 # One row per word and step; its tokens are laid out as position rows for the join. One thread keeps row order.
@@ -49,35 +57,6 @@ WITH RECURSIVE s(w, toks, best) AS (
 SELECT toks FROM s WHERE best IS NULL ORDER BY w
 """
 
-# All occurrences of the word's smallest pair in one step; of overlapping ones every second, from the left.
-CONTRACT_LONG = """
-WITH RECURSIVE s(w, toks, best) USING KEY (w) AS (
-  SELECT w, toks, 0::BIGINT FROM words
-  UNION
-  SELECT w, list(tok ORDER BY i), any_value(best)
-  FROM (
-    SELECT w, i, CASE WHEN first_half THEN best::INTEGER ELSE tok END AS tok, best,
-      coalesce(lag(first_half) OVER (PARTITION BY w ORDER BY i), false) AS second_half
-    FROM (
-      SELECT w, i, tok, best,
-        hit AND (i - max(CASE WHEN NOT hit THEN i END) OVER (PARTITION BY w ORDER BY i)) % 2 = 1 AS first_half
-      FROM (
-        SELECT p.w, i, l AS tok, min(merged) OVER (PARTITION BY p.w) AS best,
-          coalesce(merged = min(merged) OVER (PARTITION BY p.w), false) AS hit
-        FROM (
-          SELECT w, 0 AS i, -1 AS l, -1 AS r FROM s WHERE best IS NOT NULL
-          UNION ALL
-          SELECT w, unnest(range(1, len(toks) + 1)), unnest(toks), unnest(list_append(toks[2:], -1)) FROM s WHERE best IS NOT NULL
-        ) p LEFT JOIN merges ON pair = l::BIGINT * 65536 + r AND l >= 0 AND r >= 0
-      )
-    )
-  )
-  WHERE NOT second_half AND i > 0
-  GROUP BY w
-)
-SELECT toks FROM s ORDER BY w
-"""
-
 DECODE = """
 SELECT doc, string_agg(piece, '') AS text
 FROM (SELECT doc, pos, piece FROM tokens JOIN vocabulary USING (id) ORDER BY doc, pos)
@@ -125,6 +104,7 @@ class Tokens:
         pieces = [(left, right, rank) for token, rank in ranks.items() for left, right in ((ranks.get(token[:k]), ranks.get(token[k:])) for k in range(1, len(token))) if left is not None and right is not None]
         left, right, rank = np.array(pieces, dtype=np.int64).T
         self.ranks = ranks
+        self.text = {rank: token for token, rank in ranks.items()}
         self.bytes = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
         self.con = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
         self.make("merges", {"pair": left * 65536 + right, "merged": rank.astype(np.int32)})
@@ -142,30 +122,87 @@ class Tokens:
         self.starts = np.empty(0, np.int64)
         self.sizes = np.empty(0, np.int64)
 
-    def contract(self, words: list[bytes], sql: str) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the words end to end, and how many each has."""
-        offsets = np.concatenate([[0], np.cumsum([len(w) for w in words])]).astype(np.int32)
-        start = pa.ListArray.from_arrays(pa.array(offsets), pa.array(self.bytes[np.frombuffer(b"".join(words), np.uint8)]))
-        self.con.register("words", pa.table({"w": pa.array(np.arange(len(words), dtype=np.int32)), "toks": start}))
-        toks = self.con.sql(sql).to_arrow_table().column("toks").combine_chunks()
-        self.con.unregister("words")
-        return toks.flatten().to_numpy(), np.diff(toks.offsets.to_numpy())
+    def contract(self, words: list[bytes]) -> list[np.ndarray]:
+        """Ids of each word, by queries over a bounded number of words and bytes."""
+        sizes = np.array([len(w) for w in words], dtype=np.int64)
+        out: list[np.ndarray] = []
+        start = 0
+        while start < len(words):
+            inside = int(np.searchsorted(np.cumsum(sizes[start : start + QUERY_WORDS]), QUERY_BYTES, side="right"))
+            stop = start + max(1, inside)
+            offsets = np.concatenate([[0], np.cumsum(sizes[start:stop])]).astype(np.int32)
+            tokens = self.bytes[np.frombuffer(b"".join(words[start:stop]), np.uint8)]
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(tokens))
+            self.con.register("words", pa.table({"w": pa.array(np.arange(stop - start, dtype=np.int32)), "toks": lists}))
+            found = self.con.sql(CONTRACT).to_arrow_table().column("toks").combine_chunks()
+            self.con.unregister("words")
+            out += np.split(found.flatten().to_numpy(), found.offsets.to_numpy()[1:-1] - found.offsets.to_numpy()[0])
+            start = stop
+        return out
+
+    def contract_once(self, words: list[bytes], known: dict[bytes, np.ndarray]) -> list[np.ndarray]:
+        """Ids of each word; a word that occurs several times is contracted once."""
+        unseen = list({w: None for w in words if w not in known})
+        for word in unseen:
+            if word in self.ranks:
+                known[word] = np.array([self.ranks[word]], np.int32)
+        unseen = [w for w in unseen if w not in known]
+        known.update(zip(unseen, self.contract(unseen)))
+        return [known[w] for w in words]
+
+    def contract_pieces(self, word: bytes) -> np.ndarray:
+        """Ids of a long word: of its pieces, with the seams between them mended."""
+        known: dict[bytes, np.ndarray] = {}
+        parts = self.contract_once([word[i : i + PIECE] for i in range(0, len(word), PIECE)], known)
+        holds = [False] * (len(parts) - 1)  # the seam between part k and the next one
+        width = SEAM
+        while not all(holds):
+            seams = [k for k, good in enumerate(holds) if not good]
+            pairs = [(int(parts[k][-1]), int(parts[k + 1][0])) for k in seams]
+            joined = self.contract_once([self.text[x] + self.text[y] for x, y in pairs], known)
+            torn = [k for k, pair, ids in zip(seams, pairs, joined) if tuple(ids.tolist()) != pair]
+            # Of torn seams side by side the second waits, so that no part changes at both ends at once.
+            now: list[int] = []
+            for k in torn:
+                if not now or now[-1] != k - 1:
+                    now.append(k)
+            around = [b"".join(self.text[t] for t in (*parts[k][-width:].tolist(), *parts[k + 1][:width].tolist())) for k in now]
+            mended = dict(zip(now, self.contract_once(around, known)))
+            still_torn = set(torn)
+            out, good, gone = [parts[0]], [], False
+            for k, right in enumerate(parts[1:]):
+                if k not in mended:
+                    good.append(k not in still_torn and not gone)
+                    out.append(right)
+                    gone = False
+                    continue
+                before, after = out.pop()[:-width], right[width:]
+                if len(before):
+                    out.append(before)
+                    good.append(False)
+                elif good:  # the part before has another neighbour now
+                    good[-1] = False
+                out.append(mended[k])
+                gone = not len(after)
+                if len(after):
+                    out.append(after)
+                    good.append(False)
+            parts, holds = out, good
+            width *= 2
+        return np.concatenate(parts)
 
     def learn(self, words: list[str]) -> None:
         """Store the ids of words not met before."""
         coded = [w.encode("utf-8") for w in words]
         known = [self.ranks.get(w) for w in coded]
         order = [i for i, k in enumerate(known) if k is not None]
-        parts, sizes = [np.array([known[i] for i in order], np.int32)], [np.ones(len(order), np.int64)]
-        short = [i for i, k in enumerate(known) if k is None and len(coded[i]) <= LONG_WORD]
-        groups = [(short[i : i + QUERY_WORDS], CONTRACT) for i in range(0, len(short), QUERY_WORDS)]
-        groups += [([i], CONTRACT_LONG) for i, k in enumerate(known) if k is None and len(coded[i]) > LONG_WORD]
-        for group, sql in groups:
-            ids, counts = self.contract([coded[i] for i in group], sql)
-            order += group
-            parts.append(ids)
-            sizes.append(counts)
-        new = np.concatenate(sizes).astype(np.int64)
+        parts = [np.array([known[i]], np.int32) for i in order]
+        short = [i for i, k in enumerate(known) if k is None and len(coded[i]) <= PIECE]
+        parts += self.contract([coded[i] for i in short])
+        long = [i for i, k in enumerate(known) if k is None and len(coded[i]) > PIECE]
+        parts += [self.contract_pieces(coded[i]) for i in long]
+        order += short + long
+        new = np.array([len(p) for p in parts], np.int64)
         self.index.update(zip((words[i] for i in order), range(len(self.sizes), len(self.sizes) + len(order))))
         self.starts = np.concatenate([self.starts, len(self.flat) + np.cumsum(new) - new])
         self.sizes = np.concatenate([self.sizes, new])

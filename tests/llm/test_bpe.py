@@ -1,8 +1,10 @@
 """Ids against the tiktoken library, and exact round trips."""
 
 import random
+import time
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -23,14 +25,42 @@ def test_ids_and_round_trip(texts):
     assert back == [t.encode() for t in texts]
 
 
-def test_long_words_take_the_other_query():
+def test_long_words():
     rng = random.Random(3)
     texts = ["a" * 3001, "ab" * 2000, "=" * 1777, "é" * 555, "".join(rng.choices("etaoinshr", k=4000)), "".join(rng.choices("0123456789", k=1500)), "\n" * 999]
+    texts += ["".join(rng.choices(letters, k=rng.randrange(60, 900))) for letters in ("ab", "aeiou", "tion", "AaBb", "xyz", "日本語", "-=") for _ in range(12)]
     ids, back = both(texts)
     assert ids == [bpe.encoding().encode_ordinary(t) for t in texts]
     assert back == [t.encode() for t in texts]
 
 
+@pytest.mark.parametrize("seam", [1, 2])
+def test_seams_are_mended_from_few_tokens_on(monkeypatch, seam):
+    monkeypatch.setattr(bpe, "SEAM", seam)
+    monkeypatch.setattr(bpe, "PIECE", 7)
+    bpe.tokens_of().clear()
+    rng = random.Random(seam)
+    texts = ["".join(rng.choices(letters, k=rng.randrange(8, 400))) for letters in ("ab", "aeiou", "etaoinshrdlu", "zZ", "the") for _ in range(25)]
+    texts += ["unbelievablyinternationalizationofrepresentationalstate" * 5, "a" * 333]
+    assert both(texts)[0] == [bpe.encoding().encode_ordinary(t) for t in texts]
+    bpe.tokens_of().clear()
+
+
+@pytest.mark.parametrize("kind", ["letters", "base64", "one letter"])
+def test_words_of_a_megabyte_end_within_a_minute(kind):
+    rng = random.Random(7)
+    if kind == "one letter":
+        text = "a" * 5_000_000
+    else:
+        alphabet = "abcdefghijklmnopqrstuvwxyz" if kind == "letters" else "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+        text = "".join(rng.choices(alphabet, k=1_000_000))
+    start = time.monotonic()
+    ids, bounds = bpe.tokens_of().encode([text])
+    assert time.monotonic() - start < 60
+    assert ids.tolist() == bpe.encoding().encode_ordinary(text)
+    bpe.tokens_of().clear()
+
+
 def test_stored_words_start_anew(monkeypatch):
     monkeypatch.setattr(bpe, "STORED_WORDS", 3)
     for text in ("one two three four", "five six seven", "one two eight"):
