@@ -170,6 +170,11 @@ def contamination(documents: DataFrame, benchmark: DataFrame, width: int = WINDO
 
 
 def clean_documents(documents: DataFrame, benchmark: DataFrame, least_hit: int = 1) -> DataFrame:
-    """The documents with fewer than ``least_hit`` hit words, all columns as they were."""
-    bad = contamination(documents, benchmark).where(F.col("n_hit") >= least_hit).select("doc_id").distinct()
-    return documents.join(bad, documents["doc_id"].eqNullSafe(bad["doc_id"]), "left_anti")
+    """The documents with fewer than ``least_hit`` hit words, all columns as they were.
+
+    Each row is decided by its own text, also where ids are null or repeated: rows are told apart by a hash of both.
+    """
+    own = F.xxhash64(documents["doc_id"].cast("string"), F.coalesce(documents["text"].cast("string"), F.lit("")))
+    found = contamination(documents.select(own.alias("doc_id"), "text"), benchmark)
+    bad = found.where(F.col("n_hit") >= least_hit).select("doc_id").distinct()
+    return documents.join(bad, own == bad["doc_id"], "left_anti")

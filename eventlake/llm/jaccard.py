@@ -19,7 +19,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventlake.llm.common import checkpointed, slices, stored, texts_of
@@ -409,7 +409,22 @@ def linked(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
+def standing_id(doc_id: Column, text: Column) -> Column:
+    """The id of a row, and for a null id one of its text's own, below all ids that are in use.
+
+    So rows without id are not taken for one document: only equal texts among them share a number.
+    """
+    own = F.lit(NONE + 1) + F.shiftrightunsigned(F.xxhash64(F.coalesce(text.cast("string"), F.lit(""))), 4)
+    return F.coalesce(doc_id.cast("bigint"), own)
+
+
 def one_of_each(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
-    """The documents without all but the smallest of each component; all columns as they were."""
-    gone = linked(documents, width, percent).where(F.col("component_id") < F.col("doc_id")).select("doc_id").distinct()
-    return documents.join(checkpointed(gone), "doc_id", "left_anti").select(*documents.columns)
+    """The documents without all but the smallest of each component; all columns as they were.
+
+    A null id counts as smaller than all; rows without id are documents of their own, apart from equal texts. Rows that
+    repeat an id are one document, so they stay or go together.
+    """
+    standing = standing_id(documents["doc_id"], documents["text"])
+    named = linked(documents.select(standing.alias("doc_id"), "text"), width, percent)
+    gone = checkpointed(named.where(F.col("component_id") < F.col("doc_id")).select("doc_id").distinct())
+    return documents.join(gone, standing == gone["doc_id"], "left_anti")

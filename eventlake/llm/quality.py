@@ -18,6 +18,8 @@ from eventlake.llm.common import sampled, slices, text_bytes, texts_of
 
 CHUNK, OVERLAP = 512, 64
 EMBED, WIDTH, STRIDE, FILTERS, HIDDEN = 8, 8, 2, 24, 16
+# Texts that score lower count as rejected.
+GOOD = 0.7
 # The bounded training sample: rows of each class, and chunks (spread over the text) of each row.
 SAMPLE_PER_CLASS = 2000
 SAMPLE_CHUNKS = 6

@@ -62,7 +62,7 @@ def op6_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id",
         (fold(F.col("doc_id"), 4) == 2).alias("held_out"),
         "score",
-        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        (F.col("score") >= quality.GOOD).cast("int").alias("predicted"),
     )
 
 

@@ -81,5 +81,36 @@ def test_tokens_round_trip(steps):
         assert after[i].text == row.text and bpe.unpack(bytes(after[i]["ids"])) == bpe.encoding().encode_ordinary(row.text)
 
 
+WIDE = "doc_id bigint, text string, lang string, source string, n_chars bigint, n_hit string, component_id string, _gone int, _bad int"
+
+
+def wide(spark, *rows):
+    return spark.createDataFrame([(i, text, "en", "s", 1, "x", "y", 7, 8) for i, text in rows], WIDE)
+
+
+def test_duplicates_of_rows_without_or_with_repeated_ids(spark):
+    first, second = "one two three four five six seven eight nine ten", "completely other words stand in this longer text of mine"
+    docs = wide(spark, (None, first), (3, first), (4, first), (None, second), (9, "all alone here now and then"), (9, "all alone here now and then"), (None, None), (11, ""), (None, "x y"))
+    left = corpus_pipeline.duplicates_stage(spark, docs, SMALL)
+    assert left.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=repr) == sorted(
+        [(None, first), (None, second), (9, "all alone here now and then"), (9, "all alone here now and then"), (None, None), (11, ""), (None, "x y")], key=repr
+    )
+
+
+def test_contamination_of_rows_without_or_with_repeated_ids(spark):
+    item = next(r.text for r in spark.read.parquet(f"{SMALL}/benchmark.parquet").collect() if len(r.text.split()) > 12)
+    docs = wide(spark, (None, "clean words"), (None, item), (5, item), (5, "clean as well"), (6, None), (6, ""))
+    left = corpus_pipeline.benchmark_stage(spark, docs, SMALL)
+    assert left.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in left.collect()), key=repr) == sorted([(None, "clean words"), (5, "clean as well"), (6, None), (6, "")], key=repr)
+
+
+def test_stages_on_an_empty_table(spark):
+    docs = wide(spark, (1, "x")).limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, SMALL).count() == 0, name
+
+
 def test_run_gives_the_last_stage(spark, steps):
     assert sorted(r.doc_id for r in corpus_pipeline.run(spark, SMALL).collect()) == sorted(r.doc_id for r in steps[-1].collect())
