@@ -12,14 +12,11 @@ from eventlake.llm.common import checkpointed, fold, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-# Documents that score lower are rejected.
-LEAST_QUALITY = 0.5
-
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that the quality classifier rejects."""
     model = quality.fit(docs, table(spark, sf_dir, "labels"), fold(F.col("doc_id"), 4) != 2)
-    return quality.keep_good(docs, model, LEAST_QUALITY)
+    return quality.keep_good(docs, model, quality.GOOD)
 
 
 def duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
