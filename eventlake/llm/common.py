@@ -67,9 +67,20 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 def stored(df: DataFrame) -> DataFrame:
     """The frame as a Parquet table in the shared checkpoint folder; for many small rows, which it packs better."""
+    return stored_at(df)[0]
+
+
+def stored_at(df: DataFrame) -> tuple[DataFrame, str]:
+    """The same, with the table's folder, which ``released`` takes."""
     path = f"{shared_folder(df.sparkSession).rstrip('/')}/frame-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def released(spark: SparkSession, path: str) -> None:
+    """Give up a stored table that no frame in use is built on."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def shared_folder(spark: SparkSession) -> str:

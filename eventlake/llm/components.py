@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.llm.common import checkpointed
+from eventlake.llm.common import released, stored_at
 
 
 def contracted(edges: DataFrame, large: bool) -> DataFrame:
@@ -26,15 +26,17 @@ def contracted(edges: DataFrame, large: bool) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``component`` (its least node) of every node of the edges (a, b); isolated nodes have no row.
 
-    Every round is written to the checkpoint folder, so a lost executor costs one round. Rounds end when the edges
-    no longer change, which takes about the logarithm of the longest path.
+    Every round is written to the checkpoint folder, so a lost executor costs one round; the round before it is given
+    up. Rounds end when the edges no longer change, which takes about the logarithm of the longest path.
     """
-    now = checkpointed(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct())
+    spark = edges.sparkSession
+    now, path = stored_at(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct())
     state = None
     while True:
         mark = tuple(now.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.bit_xor(F.xxhash64("b", "a"))).first())
         if mark == state or not mark[0]:
             break
-        state = mark
-        now = checkpointed(contracted(contracted(now, True), False))
+        state, before = mark, path
+        now, path = stored_at(contracted(contracted(now, True), False))
+        released(spark, before)
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(now.select("b", "b").distinct())

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.llm.common import checkpointed, slices, stored, texts_of
+from eventlake.llm.common import slices, stored, texts_of
 from eventlake.llm.components import components
 
 # Bytes of A-Z to lower case; the white space of the contract is what bytes.split() splits at.
@@ -298,8 +298,8 @@ def shard_edges(documents: DataFrame, members: DataFrame, places: Callable, widt
     # Shards of the same sets are one; sums of two hashes tell sets apart.
     marks = [F.sum(F.xxhash64("rep", F.lit(seed)).cast("decimal(20,0)")).alias(f"mark{seed}") for seed in (0, 1)]
     sized = members.groupBy("key").agg(F.count("*").alias("n"), *marks)
-    once = checkpointed(sized.groupBy("n", "mark0", "mark1").agg(F.min("key").alias("key")).select("key", "n"))
-    rows = checkpointed(places(members, once))
+    once = stored(sized.groupBy("n", "mark0", "mark1").agg(F.min("key").alias("key")).select("key", "n"))
+    rows = stored(places(members, once))
     texts = texts_of(documents).withColumn("rep", F.coalesce(F.col("doc_id"), F.lit(NONE))).select("rep", "text")
     full = texts.join(bounded(rows), "rep").select("key", "i", "j", "rep", "comp", "text")
     full = full.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "rep")
@@ -365,8 +365,8 @@ def families(comps: DataFrame, met: DataFrame) -> DataFrame:
     """
     rows = comps.select(F.col("place").alias("rep"), "comp")
     pairs = met.where("n > 0").groupBy("a", "b").agg(F.sum("n").alias("n")).where(F.col("n") >= SPARE - EMPTY).select("a", "b")
-    pairs = checkpointed(pairs)
-    found = checkpointed(components(pairs))
+    pairs = stored(pairs)
+    found = stored(components(pairs))
     sized = rows.join(found, rows["comp"] == found["node"]).select("rep", "comp", F.col("component").alias("family"))
     sizes = sized.groupBy("family").agg(F.count("*").alias("n"))
     small = sizes.where(F.col("n") <= SHARD_ROWS).select("family")
@@ -387,21 +387,21 @@ def linked(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
     shingles and link with nothing. Repeated rows give a row each; rows of one id with different texts are linked as one
     document. A null id counts as smaller than all; its component is null.
     """
-    sets = checkpointed(sets_of(documents, width, percent).withColumn("place", F.coalesce(F.col("doc_id"), F.lit(NONE))))
+    sets = stored(sets_of(documents, width, percent).withColumn("place", F.coalesce(F.col("doc_id"), F.lit(NONE))))
     # One document stands for its class; all members have the same keys, which are stored once, with the sets.
-    classes = checkpointed(sets.where("n > 0").groupBy("hi", "lo").agg(F.min("place").alias("place")))
+    classes = stored(sets.where("n > 0").groupBy("hi", "lo").agg(F.min("place").alias("place")))
     # First round: a few parts of every set.
     own = sets.join(bounded(classes), ["hi", "lo", "place"])
     first = own.select(F.col("place").alias("rep"), F.col("place").alias("comp"), F.explode("first_keys").alias("key"))
-    several = checkpointed(first.groupBy("key").count().where("count > 1").select("key"))
-    edges = checkpointed(shard_edges(documents, checkpointed(first.join(bounded(several), "key")), first_places, width, percent))
+    several = stored(first.groupBy("key").count().where("count > 1").select("key"))
+    edges = stored(shard_edges(documents, stored(first.join(bounded(several), "key")), first_places, width, percent))
     known = components(edges)
     # Second round: all parts, where components meet.
-    comps = checkpointed(classes.join(known, classes["place"] == known["node"], "left").select("hi", "lo", "place", F.coalesce("component", "place").alias("comp")))
+    comps = stored(classes.join(known, classes["place"] == known["node"], "left").select("hi", "lo", "place", F.coalesce("component", "place").alias("comp")))
     own = sets.join(bounded(comps), ["hi", "lo", "place"])
     every = own.select(F.col("place").alias("rep"), "comp", F.explode(F.concat("first_keys", "keys")).alias("key"))
     met = every.select("key", "rep", "comp").repartition("key").sortWithinPartitions("key").mapInArrow(meetings, MET)
-    more = shard_edges(documents, checkpointed(families(comps, stored(met))), second_places, width, percent)
+    more = shard_edges(documents, stored(families(comps, stored(met))), second_places, width, percent)
     final = components(edges.union(more))
     named = classes.join(final, classes["place"] == final["node"], "left").select("hi", "lo", F.coalesce("component", "place").alias("component"))
     out = sets.select("doc_id", "n", "hi", "lo").join(named, ["hi", "lo"], "left")
@@ -426,5 +426,5 @@ def one_of_each(documents: DataFrame, width: int = 5, percent: int = 80) -> Data
     """
     standing = standing_id(documents["doc_id"], documents["text"])
     named = linked(documents.select(standing.alias("doc_id"), "text"), width, percent)
-    gone = checkpointed(named.where(F.col("component_id") < F.col("doc_id")).select("doc_id").distinct())
+    gone = stored(named.where(F.col("component_id") < F.col("doc_id")).select("doc_id").distinct())
     return documents.join(gone, standing == gone["doc_id"], "left_anti")
