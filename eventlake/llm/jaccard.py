@@ -8,8 +8,10 @@ the tree against itself drops pairs of nodes whose largest possible overlap is t
 exactly, unless they are known to be connected.
 
 Two rounds keep large groups of near copies cheap. The first uses a few parts of each set and connects nearly all of
-them; the second uses all parts, and only what meets there of different components. Components that meet often enough to
-hold similar sets are put together to families, so that a text is sent to one place.
+them; the second uses all parts, and only what meets there of different components. Similar sets have many equal parts, so
+a set leaves out its most crowded shards, as many as it can without losing a pair: documents that merely share a common
+passage meet in crowded shards only. Components that meet often enough to hold similar sets are put together to families,
+so that a text is sent to one place.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlake.llm.common import checkpointed, slices, stored, texts_of
@@ -30,8 +32,12 @@ LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 # Each size band is about this much wider than the one before.
 BAND_GROWTH = 1.5
 # Parts beyond the largest number of differences: as many parts of two similar sets are equal at least. Empty parts
-# are sent by sets that have more than EMPTY of them, so similar sets have SPARE - EMPTY keys in common at least.
+# are sent by sets that have more than EMPTY of them. Both grow with the differences a band allows, by one for each
+# SPARE_STEP or EMPTY_STEP of them, so similar sets have at least SPARE - EMPTY keys in common in any band.
 SPARE, EMPTY = 5, 2
+SPARE_STEP, EMPTY_STEP = 6, 24
+# Shards, other than crowded ones that were left out, in which similar sets meet at least.
+MEET = SPARE - EMPTY
 # Parts of each set in the first round.
 FIRST_PARTS = 4
 # Sets of a shard that one task joins; larger shards are cut into blocks.
@@ -44,7 +50,7 @@ PAIRED = 256
 BROADCAST_ROWS = 1_000_000
 FANOUT = 8
 BITMAP_WORDS = 16
-SETS = "doc_id bigint, n bigint, hi bigint, lo bigint, first_keys array<bigint>, keys array<bigint>"
+SETS = "doc_id bigint, n bigint, hi bigint, lo bigint, first_keys array<bigint>, keys array<bigint>, next_keys array<bigint>, spared int, next_spared int"
 NONE = -(1 << 63)
 
 
@@ -91,36 +97,54 @@ def bands(percent: int, top: int) -> list[int]:
     return starts
 
 
+def parts_of(last: int, percent: int) -> tuple[int, int]:
+    """Into how many parts the sets of a band are dealt, and how many empty ones of a set are not sent."""
+    most = (100 - percent) * 2 * last // (100 + percent)
+    return most + SPARE + most // SPARE_STEP, EMPTY + most // EMPTY_STEP
+
+
+def spared(size: int, last: int, percent: int) -> int:
+    """How many shards of a band a set may leave out, if all sets leave out the last ones in one order of all shards.
+
+    Any similar set of the band shares at least ``spared + MEET`` keys with it; the first ``MEET`` of these are kept by both.
+    """
+    parts, empty = parts_of(last, percent)
+    other = min(last, size * 100 // percent)
+    return parts - (100 - percent) * (size + other) // (100 + percent) - empty - MEET
+
+
 def part_keys(tokens: np.ndarray, band: int, last: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Digests of the parts of a set for a band with sizes up to ``last``, and the numbers of these parts.
 
     Sets of a and b tokens with similarity p differ in at most (1 - p)(a + b) / (1 + p) tokens, so at least
     ``SPARE`` of the parts have no difference.
     """
-    parts = (100 - percent) * 2 * last // (100 + percent) + SPARE
+    parts, empty = parts_of(last, percent)
     spot = ((tokens >> np.uint64(20)) % np.uint64(parts)).astype(np.int64)
     order = np.argsort(spot, kind="stable")
     filled, begins = np.unique(spot[order], return_index=True)
     sums = np.add.reduceat(mixed(tokens[order]), begins)
-    if parts - len(filled) > EMPTY:
+    if parts - len(filled) > empty:
         every = np.zeros(parts, np.uint64)
         every[filled] = sums
         filled, sums = np.arange(parts), every
     return mixed(mixed(sums + np.uint64(band)) + filled.astype(np.uint64)), filled
 
 
-def keys_of(tokens: np.ndarray, starts: list[int], percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of the first round and the other keys, for the set's own band and, near its upper end, the next one."""
-    size = len(tokens)
+def bands_of(size: int, starts: list[int], percent: int) -> list[int]:
+    """The set's own band and, near its upper end, the next one."""
     band = int(np.searchsorted(starts, size, side="right")) - 1
-    first, rest = [], []
-    for b in (band, band + 1):
-        if b == band or 100 * size >= percent * starts[b]:
-            keys, spots = part_keys(tokens, b, starts[b + 1] - 1, percent)
-            early = spots < FIRST_PARTS
-            first.append(keys[early])
-            rest.append(keys[~early])
-    return np.concatenate(first), np.concatenate(rest)
+    return [b for b in (band, band + 1) if b == band or 100 * size >= percent * starts[b]]
+
+
+def keys_of(tokens: np.ndarray, starts: list[int], percent: int) -> tuple[np.ndarray, ...]:
+    """Keys of the first round, and all keys for the set's own band and for the next one (none if it is not in it)."""
+    first, every = [], []
+    for b in bands_of(len(tokens), starts, percent):
+        keys, spots = part_keys(tokens, b, starts[b + 1] - 1, percent)
+        first.append(keys[spots < FIRST_PARTS])
+        every.append(keys)
+    return np.concatenate(first), every[0], every[1] if len(every) > 1 else np.empty(0, np.uint64)
 
 
 def sets_of(documents: DataFrame, width: int, percent: int) -> DataFrame:
@@ -131,15 +155,16 @@ def sets_of(documents: DataFrame, width: int, percent: int) -> DataFrame:
             for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                 tokens = shingles(text, width, words)
                 if not len(tokens):
-                    rows.append((doc_id, 0, 0, 0, [], []))
+                    rows.append((doc_id, 0, 0, 0, [], [], [], 0, 0))
                     continue
                 if len(tokens) >= starts[-2]:
                     starts = bands(percent, 2 * len(tokens))
-                first, rest = keys_of(tokens, starts, percent)
+                keys = [k.view(np.int64) for k in keys_of(tokens, starts, percent)]
+                spare = [spared(len(tokens), starts[b + 1] - 1, percent) for b in bands_of(len(tokens), starts, percent)]
                 hi, lo = np.frombuffer(xxhash.xxh3_128_digest(tokens.tobytes()), "<i8").tolist()
-                rows.append((doc_id, len(tokens), hi, lo, first.view(np.int64), rest.view(np.int64)))
+                rows.append((doc_id, len(tokens), hi, lo, *keys, spare[0], spare[-1]))
             columns = list(zip(*rows))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+            kinds = (*[pa.int64()] * 4, *[pa.list_(pa.int64())] * 3, pa.int32(), pa.int32())
             yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names=[f.split()[0] for f in SETS.split(", ")])
 
     return texts_of(documents).mapInArrow(run, SETS)
@@ -357,6 +382,26 @@ def meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from of(rest, True)
 
 
+def telling(sets: DataFrame) -> DataFrame:
+    """``key, rep, comp``: the shards of each set in which components meet, without the crowded ones it may leave out.
+
+    ``sets`` holds the keys of each ``rep`` and its ``comp``. A shard is as crowded as it has members; ties go by key, so all
+    sets follow one order. Rows of shards with a single component, most of all, go no further than to their shard.
+    """
+    upper = F.size("keys")
+    rows = sets.select("rep", "comp", "spared", "next_spared", upper.alias("own"), F.posexplode(F.concat("keys", "next_keys")).alias("at", "key"))
+    beyond = F.col("at") >= F.col("own")
+    # The band (of two) and how many shards of it may go, in one number.
+    allowed = F.when(beyond, 2 * F.col("next_spared") + 1).otherwise(2 * F.col("spared")).alias("allowed")
+    rows = rows.select("key", "rep", "comp", allowed)
+    shard = Window.partitionBy("key")
+    rows = rows.withColumns({"members": F.count("*").over(shard), "low": F.min("comp").over(shard), "high": F.max("comp").over(shard)})
+    rows = rows.where("low < high").select("key", "rep", "comp", "allowed", "members")
+    crowded = Window.partitionBy("rep", F.col("allowed") % 2).orderBy(F.desc("members"), F.desc("key"))
+    rows = rows.withColumn("place", F.row_number().over(crowded))
+    return rows.where(F.col("place") > F.floor(F.col("allowed") / 2)).select("key", "rep", "comp")
+
+
 def families(comps: DataFrame, met: DataFrame) -> DataFrame:
     """Members (key, rep, comp) to be compared in the second round.
 
@@ -364,7 +409,7 @@ def families(comps: DataFrame, met: DataFrame) -> DataFrame:
     component with its partners. Large shards stay as they are, where components meet in them.
     """
     rows = comps.select(F.col("place").alias("rep"), "comp")
-    pairs = met.where("n > 0").groupBy("a", "b").agg(F.sum("n").alias("n")).where(F.col("n") >= SPARE - EMPTY).select("a", "b")
+    pairs = met.where("n > 0").groupBy("a", "b").agg(F.sum("n").alias("n")).where(F.col("n") >= MEET).select("a", "b")
     pairs = checkpointed(pairs)
     found = checkpointed(components(pairs))
     sized = rows.join(found, rows["comp"] == found["node"]).select("rep", "comp", F.col("component").alias("family"))
@@ -399,8 +444,8 @@ def linked(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame
     # Second round: all parts, where components meet.
     comps = checkpointed(classes.join(known, classes["place"] == known["node"], "left").select("hi", "lo", "place", F.coalesce("component", "place").alias("comp")))
     own = sets.join(bounded(comps), ["hi", "lo", "place"])
-    every = own.select(F.col("place").alias("rep"), "comp", F.explode(F.concat("first_keys", "keys")).alias("key"))
-    met = every.select("key", "rep", "comp").repartition("key").sortWithinPartitions("key").mapInArrow(meetings, MET)
+    every = telling(own.withColumnRenamed("place", "rep"))
+    met = every.repartition("key").sortWithinPartitions("key").mapInArrow(meetings, MET)
     more = shard_edges(documents, checkpointed(families(comps, stored(met))), second_places, width, percent)
     final = components(edges.union(more))
     named = classes.join(final, classes["place"] == final["node"], "left").select("hi", "lo", F.coalesce("component", "place").alias("component"))

@@ -100,6 +100,35 @@ def test_similar_sets_share_a_key():
     assert checked > 300
 
 
+def test_similar_sets_keep_shards_in_common():
+    """Whatever the order of shards: similar sets that leave out their last ones still meet in MEET shards of a band."""
+    rng = np.random.default_rng(9)
+    checked = 0
+    for _ in range(1500):
+        percent = int(rng.choice([75, 80, 90, 95]))
+        size = int(rng.integers(1, 500))
+        base = rng.integers(0, 1 << 63, 2 * size + 9).astype(np.uint64)
+        drop, add = rng.integers(0, size // 6 + 2, 2)
+        a, b = np.unique(base[:size]), np.unique(np.concatenate([base[drop:size], base[size : size + add]]))
+        if not len(b) or not jaccard.similar(a, b, percent):
+            continue
+        starts, seed = jaccard.bands(percent, 4096), np.uint64(rng.integers(1 << 60))
+        kept = []
+        for x in (a, b):
+            own = {}
+            for band, keys in zip(jaccard.bands_of(len(x), starts, percent), jaccard.keys_of(x, starts, percent)[1:]):
+                leave = jaccard.spared(len(x), starts[band + 1] - 1, percent)
+                assert leave >= 0
+                # The shards both sets are in count as the most crowded ones, which is the worst case.
+                both = np.isin(keys, np.concatenate(jaccard.keys_of(b if x is a else a, starts, percent)[1:]))
+                order = np.lexsort((jaccard.mixed(keys ^ seed), ~both))
+                own[band] = set(keys[order][leave:].tolist())
+            kept.append(own)
+        assert max(len(kept[0].get(band, set()) & kept[1].get(band, set())) for band in kept[0]) >= jaccard.MEET
+        checked += 1
+    assert checked > 300
+
+
 def test_tree_yields_every_similar_pair():
     rng = np.random.default_rng(5)
     sets = []
