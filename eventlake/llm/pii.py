@@ -6,10 +6,14 @@ bears an entity carries information about it: with n the number of distinct text
     IC(e) = log2(n / n(e)),   PMI(e, t) = log2(n n(e, t) / (n(e) n(t))),   disclosure = PMI / IC.
 
 Disclosure is 1 when the term occurs with that entity only, so that it names the entity. Terms from ``GENERALISE`` on are
-replaced by a general word, from ``REMOVE`` on they are taken out; both wherever they stand in the texts of the entity. A
-term that may have met the entity by chance proves nothing and stays: Hoeffding's bound on the chance that as many of
-the term's n(t) texts bear the entity has to be at most ``CHANCE``. No number of texts is asked for, so a rare term
-beside an entity of one text counts, and in a small corpus a word seen once beside a frequent entity does not.
+replaced by a general word, from ``REMOVE`` on they are taken out; both wherever they stand in the texts of the entity.
+
+Rarity alone reveals nobody, or every rare word beside an address would go. So a term has to look like a name or a number
+in some bearing text: with a digit, or with a capital that no start of a sentence explains, in a text in which capitals are
+not the rule. Words of scripts without capitals need an entity of two texts instead. And a term that may have met the entity by
+chance stays: Hoeffding's bound on the chance that as many of the term's n(t) texts bear the entity, times the number of
+terms tried for that entity, has to be at most ``CHANCE``. No number of texts is asked for, so a rare name beside an entity of
+one text counts, and in a small corpus a name seen once beside a frequent entity does not.
 
 DataFrame operations only. Positions are code points, ends exclusive.
 """
@@ -23,8 +27,8 @@ from pyspark.sql import functions as F
 
 from eventlake.llm.common import checkpointed
 
-# Texts that have to show a pair; one will do, chance decides.
-SUPPORT = 1
+# Texts that have to show a pair; one will do, chance decides. For words of scripts without capitals it takes two.
+SUPPORT, SUPPORT_PLAIN = 1, 2
 CHANCE = 0.05
 GENERALISE, REMOVE = 0.75, 0.95
 # Words that positions are summed over at a time, as an array grows by copying.
@@ -47,6 +51,12 @@ WORD = r"[\p{L}\p{N}]+"
 # Stands for each character of a base span; a private-use one, which a text's own is blanked for.
 COVER = "\ue000"
 FREE_WORD = rf"(?<![{COVER}\p{{L}}\p{{N}}])[\p{{L}}\p{{N}}]++(?!{COVER})"
+# Free words that look like names or numbers: a capital away from the start of a sentence, or a digit.
+CAPITAL = rf"(?<![{COVER}\p{{L}}\p{{N}}])(?<!^)(?<![.!?:\n][\s\"'(]{{0,3}})\p{{Lu}}[\p{{L}}\p{{N}}]*+(?!{COVER})"
+NUMBER = rf"(?<![{COVER}\p{{L}}\p{{N}}])\p{{L}}*+\p{{N}}[\p{{L}}\p{{N}}]*+(?!{COVER})"
+# Any capitalised word, to see whether capitals are the rule in a text; words without any cased letter.
+UPPER = r"^\p{Lu}"
+CASELESS = r"^[\p{Lo}\p{M}]+$"
 PLACEHOLDERS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]", "general": "[TERM]", "remove": ""}
 SPAN = "struct<start:int,rank:int,kind:string,stop:int,value:string>"
 
@@ -143,14 +153,28 @@ def rows_of(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("text_key", F.xxhash64("text"))
 
 
-def weighed(documents: DataFrame, contexts: DataFrame, support: int, least: float, chance: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+def formed_words(contexts: DataFrame) -> DataFrame:
+    """``text_key, term, form`` of the free words of more than one character, repeated ones too.
+
+    Form 2: looks like a name or number there; 1: of a script without capitals; 0: any other.
+    """
+    all_of = lambda pattern: F.regexp_extract_all("covered", F.lit(pattern), F.lit(0))
+    rows = contexts.select("text_key", all_of(FREE_WORD).alias("words"), all_of(CAPITAL).alias("capitals"), all_of(NUMBER).alias("numbers"))
+    rule = F.size(F.filter("words", lambda w: w.rlike(UPPER))) * 2 > F.size("words")
+    rows = rows.withColumn("named", F.concat("numbers", F.when(rule, F.array().cast("array<string>")).otherwise(F.col("capitals"))))
+    plain = rows.select("text_key", F.explode("words").alias("word")).withColumn("form", F.col("word").rlike(CASELESS).cast("int"))
+    named = rows.select("text_key", F.explode("named").alias("word")).withColumn("form", F.lit(2))
+    return plain.union(named).select("text_key", F.lower("word").alias("term"), "form").where(F.length("term") > 1)
+
+
+def weighed(documents: DataFrame, contexts: DataFrame, support: int, least: float, chance: float, named: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Entities, shown pairs by text, and told pairs, from counts over all distinct texts.
 
     Entities of the same texts have the same disclosures, so they are one ``party``: ``entity, party``; ``text_key,
     party, term``; ``party, term, disclosure`` of the pairs at or above ``least`` that are not likelier than ``chance``.
     The bearing texts in which a term stands are a lower bound of its texts, which gives an upper bound of the
     disclosure. Pairs that cannot reach ``least`` by that, those of common words, are never paired with entities, and
-    their words are left out before all texts are searched.
+    their words are left out before all texts are searched. ``named`` keeps to terms of a telling form.
     """
     rows = rows_of(documents)
     total = float(rows.select("text_key").distinct().count())
@@ -158,9 +182,11 @@ def weighed(documents: DataFrame, contexts: DataFrame, support: int, least: floa
     same_texts = F.xxhash64(F.count("*"), F.bit_xor("text_key"), F.sum(F.xxhash64("text_key").cast("decimal(20,0)")))
     entities = checkpointed(held.groupBy("entity").agg(F.count("*").alias("n_entity"), same_texts.alias("party")))
     parties = held.join(bounded(entities), "entity").select("text_key", "party", "n_entity").distinct()
-    words = contexts.select("text_key", F.explode(F.regexp_extract_all("covered", F.lit(FREE_WORD), F.lit(0))).alias("term"))
-    terms = words.select("text_key", F.lower("term").alias("term")).where(F.length("term") > 1).distinct()
-    seen = terms.groupBy("term").agg(F.count("*").alias("n_seen"))
+    terms = checkpointed(formed_words(contexts).groupBy("text_key", "term").agg(F.max("form").alias("form")))
+    seen = terms.groupBy("term").agg(F.count("*").alias("n_seen"), F.max("form").alias("form"))
+    if named:
+        seen = seen.where("form > 0")
+    terms = terms.drop("form")
     share = F.col("n_entity") / F.lit(total)
 
     def disclosure(n_term):
@@ -171,13 +197,17 @@ def weighed(documents: DataFrame, contexts: DataFrame, support: int, least: floa
     def unlikely(n_term):
         part = F.col("both") / n_term
         rest = F.when(part < 1, (1 - part) * F.log2((1 - part) / (1 - share))).otherwise(0.0)
-        return F.when(part > share, n_term * (part * F.log2(part / share) + rest)).otherwise(0.0) >= F.lit(-math.log2(chance))
+        surprise = F.when(part > share, n_term * (part * F.log2(part / share) + rest)).otherwise(0.0)
+        return surprise >= (F.lit(-math.log2(chance)) + F.log2("tried") if chance < 1 else F.lit(0.0))
 
     most = F.lit(total) * F.pow(share, F.lit(float(least))) * (1 + 1e-9)
     shown = terms.join(seen, "term").join(parties, "text_key").where(F.col("n_seen") <= most)
-    shown = checkpointed(shown.select("text_key", "party", "term", "n_entity", "n_seen"))
-    pairs = shown.groupBy("party", "term").agg(F.count("*").alias("both"), F.max("n_entity").alias("n_entity"), F.max("n_seen").alias("n_seen"))
-    pairs = pairs.where((F.col("both") >= support) & (disclosure(F.col("n_seen")) >= least) & unlikely(F.col("n_seen")))
+    shown = checkpointed(shown.select("text_key", "party", "term", "n_entity", "n_seen", "form"))
+    alike = [F.max(c).alias(c) for c in ("n_entity", "n_seen", "form")]
+    pairs = checkpointed(shown.groupBy("party", "term").agg(F.count("*").alias("both"), *alike))
+    pairs = pairs.join(pairs.groupBy("party").agg(F.count("*").alias("tried")), "party")
+    shows = F.when((F.col("form") == 1) & F.lit(named), max(support, SUPPORT_PLAIN)).otherwise(support)
+    pairs = pairs.where((F.col("both") >= shows) & (disclosure(F.col("n_seen")) >= least) & unlikely(F.col("n_seen")))
     pairs = checkpointed(pairs)
     if pairs.isEmpty():
         return entities, shown, pairs.select("party", "term", F.lit(0.0).alias("disclosure"))
@@ -200,7 +230,7 @@ def revealing_spans(documents: DataFrame, support: int = SUPPORT, generalise: fl
     """``text_key, added``: the spans of revealing terms of each text that has any."""
     bearing = with_base(rows_of(documents)).where(F.size("base") > 0)
     contexts = checkpointed(context_terms(bearing))
-    _, shown, told = weighed(documents, contexts, support, generalise, chance)
+    _, shown, told = weighed(documents, contexts, support, generalise, chance, named=True)
     found = shown.join(told, ["party", "term"]).groupBy("text_key", "term").agg(F.max("disclosure").alias("disclosure"))
     spans = placed_words(contexts).join(found, ["text_key", "term"])
     kind = F.when(F.col("disclosure") >= remove, "remove").otherwise("general")
