@@ -107,28 +107,35 @@ def chunks(documents: DataFrame) -> DataFrame:
 def repeated_passages(documents: DataFrame, least_chars: int = LEAST_CHARS, within: bool = False) -> DataFrame:
     """Passages of at least ``least_chars`` code points that occur in several documents.
 
-    One row per occurrence: ``doc_id``, ``start``, ``stop``, ``n_chunks``, ``first_doc_id`` (the smallest document that
-    has a chunk of it) and ``removed`` (false for the occurrence that stays). With ``within`` repeats inside one
-    document count as well. Null and empty texts have no chunks. Repeated rows (same id and text) count as one; the
-    same id with other texts counts as one document. A null id is the smallest.
+    Neighbouring chunks of a text that occur in several documents make a run, and only the whole run must have the
+    least length. It comes as one row for each stretch with one value of ``removed``: ``doc_id``, ``start``, ``stop``,
+    ``n_chunks``, ``first_doc_id`` (the smallest document that has a chunk of it) and ``removed`` (false where it stays:
+    in the smallest document, with all its own repeats). With ``within`` repeats inside one document count as well, and
+    only the first occurrence of a chunk stays. Null and empty texts have no chunks. Repeated rows (same id and text)
+    count as one; the same id with other texts counts as one document. All null ids are one document, the smallest, and
+    ``first_doc_id`` is null for it.
 
     Chunks are combined on the map side before they are matched, so a passage in a third of all documents reaches
     the match as one row per task; the join back is one of plain equality, which adaptive execution splits.
     """
-    every = chunks(documents).withColumn("place", F.struct(F.coalesce(F.col("doc_id"), F.lit(-(1 << 63))).alias("doc"), "text_key", "start"))
+    # In a struct null sorts below every value.
+    every = chunks(documents).withColumn("place", F.struct("doc_id", "text_key", "start"))
     first, last = F.min("place"), F.max("place")
-    several = first["doc"] < last["doc"] if not within else first != last
+    several = ~(first.eqNullSafe(last) if within else first["doc_id"].eqNullSafe(last["doc_id"]))
     known = every.groupBy("hi", "lo").agg(first.alias("first"), several.alias("several")).where("several").select("hi", "lo", "first")
-    found = every.join(known, ["hi", "lo"]).select("doc_id", "text_key", "start", "stop", F.col("first.doc").alias("first_doc"), (F.col("place") != F.col("first")).alias("removed"))
-    # Neighbouring chunks of one text that are all kept or all removed make a passage.
+    stays = F.col("place").eqNullSafe(F.col("first")) if within else F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
+    found = every.join(known, ["hi", "lo"]).select("doc_id", "text_key", "start", "stop", F.struct("first.doc_id").alias("first"), (~stays).alias("removed"))
     text = Window.partitionBy("doc_id", "text_key").orderBy("start")
-    begins = (F.lag("stop").over(text) != F.col("start")) | (F.lag("removed").over(text) != F.col("removed")) | F.lag("stop").over(text).isNull()
-    marked = found.dropDuplicates(["doc_id", "text_key", "start"]).withColumn("begin", F.when(begins, F.col("start")))
-    marked = marked.withColumn("begin", F.last("begin", ignorenulls=True).over(text))
-    passages = marked.groupBy("doc_id", "text_key", F.col("begin").alias("start")).agg(
-        F.max("stop").alias("stop"), F.count("*").alias("n_chunks"), F.min("first_doc").alias("first_doc_id"), F.first("removed").alias("removed")
+    run_begins = F.coalesce(F.lag("stop").over(text) != F.col("start"), F.lit(True))
+    begins = run_begins | (F.lag("removed").over(text) != F.col("removed"))
+    marked = found.dropDuplicates(["doc_id", "text_key", "start"]).withColumns({"run": F.when(run_begins, F.col("start")), "begin": F.when(begins, F.col("start"))})
+    marked = marked.withColumns({c: F.last(c, ignorenulls=True).over(text) for c in ("run", "begin")})
+    passages = marked.groupBy("doc_id", "text_key", "run", F.col("begin").alias("start")).agg(
+        F.max("stop").alias("stop"), F.count("*").alias("n_chunks"), F.min("first")["doc_id"].alias("first_doc_id"), F.first("removed").alias("removed")
     )
-    return passages.where(F.col("stop") - F.col("start") >= least_chars).select("doc_id", "start", "stop", "n_chunks", "first_doc_id", "removed")
+    run_stop = F.max("stop").over(Window.partitionBy("doc_id", "text_key", "run"))
+    long_enough = passages.withColumn("run_stop", run_stop).where(F.col("run_stop") - F.col("run") >= least_chars)
+    return long_enough.select("doc_id", "start", "stop", "n_chunks", "first_doc_id", "removed")
 
 
 def without_repeats(documents: DataFrame, least_chars: int = LEAST_CHARS) -> DataFrame:

@@ -10,7 +10,7 @@ import pytest
 
 from eventlake.llm import components, fingerprint, jaccard, substring
 from eventlake.llm.common import text_bytes
-from tests.llm.frames import no_documents, odd_documents, texts
+from tests.llm.frames import no_documents, odd_documents, rows, texts
 
 
 def plain_components(edges):
@@ -225,6 +225,101 @@ def test_shared_passages_are_found(spark):
     assert len(cut[1]) < len(given[1]) - len(shared) / 2
 
 
+def plain_chunks(text):
+    """Chunks (start, stop, bytes) of one text, each cut looked for by itself."""
+    data = text.encode()
+    value = []
+    for i in range(len(data)):
+        total = 0
+        for back in range(min(substring.HASHED, i + 1)):
+            total += int(substring.GEAR[data[i - back]]) << back
+        value.append(total % (1 << 32))
+    reach, ends = substring.REACH, []
+    for i in range(reach + substring.HASHED, len(data) - reach):
+        if value[i] > max(value[i - reach : i]) and value[i] >= max(value[i + 1 : i + reach + 1]):
+            ends.append(i + 1)
+    out, begin = [], 0
+    for end in [*ends, len(data)]:
+        while end - begin > substring.LONGEST:
+            out.append((begin, begin + substring.LONGEST))
+            begin += substring.LONGEST
+        if end > begin:
+            out.append((begin, end))
+        begin = end
+    # The tests' texts are ASCII: bytes are code points.
+    return [(a, b, data[a:b]) for a, b in out]
+
+
+def plain_passages(documents, least, within):
+    """Passages of (doc_id, text) rows by a dictionary of all chunks."""
+    below = lambda doc: -1 if doc is None else doc
+    places, texts_seen = {}, sorted({(below(d), t) for d, t in documents if t})
+    for doc, text in texts_seen:
+        for a, b, data in plain_chunks(text):
+            places.setdefault(data, []).append((doc, text, a))
+    found = []
+    for doc, text in texts_seen:
+        runs, last = [], None
+        for a, b, data in plain_chunks(text):
+            seen = places[data]
+            if len({p if within else p[0] for p in seen}) > 1:
+                first = min(p[0] for p in seen)
+                # Which text of an id, or which place in it, comes first is only fixed for unique ids.
+                removed = (doc, text, a) != min(seen) if within else doc != first
+                if last != a:
+                    runs.append([])
+                runs[-1].append((a, b, first, removed))
+                last = b
+        for run in runs:
+            if run[-1][1] - run[0][0] < least:
+                continue
+            for removed, group in itertools.groupby(run, key=lambda c: c[3]):
+                group = list(group)
+                first = min(c[2] for c in group)
+                found.append((None if doc == -1 else doc, group[0][0], group[-1][1], len(group), None if first == -1 else first, removed))
+    return sorted(found, key=repr)
+
+
+@pytest.mark.parametrize("within", [False, True])
+def test_passages_equal_the_plain_version(spark, within):
+    rng = random.Random(21)
+    word = lambda: "".join(rng.choices("abcdefghijklm", k=rng.randint(2, 9)))
+    pool = [" ".join(word() for _ in range(rng.choice([6, 12, 20, 60]))) for _ in range(12)]
+    given = []
+    for doc in range(60):
+        parts = [rng.choice(pool) if rng.random() < 0.6 else " ".join(word() for _ in range(25)) for _ in range(rng.randint(1, 7))]
+        given.append((doc, " ".join(parts)))
+    given += [(None, f"{pool[0]} {pool[1]}"), (60, "a" * 5000), (61, "a" * 5000 + pool[2]), (62, ""), (63, None), (5, given[5][1])]
+    frame = spark.createDataFrame(given, "doc_id bigint, text string")
+    want = plain_passages(given, 80, within)
+    assert rows(substring.repeated_passages(frame, 80, within)) == want
+    assert {r[-1] for r in want} == {False, True} and any(r[2] - r[1] < 80 for r in want)
+
+
+def test_runs_keep_their_short_stretches(spark):
+    """Chunks of a passage seen earlier elsewhere make no holes in it."""
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abcdefghijklm", k=rng.randint(2, 9))) for _ in range(60)]
+    shared = " ".join(words)
+    inner = shared[len(shared) // 2 - 70 : len(shared) // 2 + 70]
+    given = [(1, f"{inner} zz"), (3, shared), (9, shared)]
+    got = substring.repeated_passages(spark.createDataFrame(given, "doc_id bigint, text string")).collect()
+    for doc in (3, 9):
+        spans = sorted((r.start, r.stop) for r in got if r.doc_id == doc)
+        assert spans[0][0] == 0 and spans[-1][1] == len(shared)
+        assert all(a[1] == b[0] for a, b in zip(spans, spans[1:]))
+    assert {r.removed for r in got if r.doc_id == 9} == {True}
+
+
+def test_repeats_inside_the_first_document_stay(spark):
+    rng = random.Random(9)
+    shared = " ".join("".join(rng.choices("abcdefghijklm", k=rng.randint(2, 9))) for _ in range(60))
+    given = texts(spark, f"{shared} ## {shared}", shared)
+    got = substring.repeated_passages(given).collect()
+    assert not any(r.removed for r in got if r.doc_id == 0) and all(r.removed for r in got if r.doc_id == 1)
+    assert len([r for r in got if r.doc_id == 0]) == 2
+
+
 def test_substring_odd_inputs(spark):
     got = substring.repeated_passages(odd_documents(spark)).collect()
     assert got == []
