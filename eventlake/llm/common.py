@@ -86,13 +86,13 @@ def shared_folder(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
-def sampled(labelled: DataFrame, label: str, per_class: int, classes: int = 64) -> DataFrame:
-    """About ``per_class`` rows of each of the ``classes`` most frequent values of ``label``, all of a rarer one.
+def sampled(labelled: DataFrame, label: str, per_class: int) -> DataFrame:
+    """About ``per_class`` rows of each value, 0 or 1, of ``label``, all of a rarer one.
 
     Rows are taken by a hash of their ``doc_id``, at a rate set by the size of the class, so no class is gathered in
-    one place. Null labels are left out. The driver learns only the counts.
+    one place. Other labels are left out. The driver learns only the counts.
     """
-    counts = labelled.where(F.col(label).isNotNull()).groupBy(label).count().orderBy(F.desc("count"), label).limit(classes).collect()
+    counts = labelled.where(F.col(label).isin(0, 1)).groupBy(label).count().collect()
     share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / float(1 << 20)
     kept = F.lit(False)
     for value, count in counts:

@@ -19,16 +19,19 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.llm.common import sampled, slices, text_bytes, texts_of
+from eventlake.llm.common import SLICE_BYTES, slices, text_bytes, texts_of
 
 GRAMS = (1, 2, 3, 4)
 TABLE_BITS = 16
 SEGMENT = 128
 UNDETERMINED = "und"
-# The bounded training sample: texts per language, and words (one window) of each text.
+# The bounded training sample: pieces per language, and characters of a piece. Pieces are drawn from whole texts.
 SAMPLE_PER_LANGUAGE = 500
-LANGUAGES = 64
-SAMPLE_WORDS = 64
+PIECE = 512
+# Languages a field of this size can hold; with more, training fails rather than leave languages out.
+MOST_LANGUAGES = 256
+# Words of a training sequence, which is made of pieces.
+SEQUENCE = 64
 STEPS, BATCH, RATE = 250, 64, 0.05
 # Share of training sequences that are spliced from texts of two languages.
 SWITCHED = 0.5
@@ -173,9 +176,10 @@ def likelihood_step(emit_scores: np.ndarray, move: np.ndarray, gold: np.ndarray)
         told[:, t] = ahead[:, t] * behind
         told[:, t] /= told[:, t].sum(axis=1, keepdims=True)
         before = ahead[:, t - 1] if t else np.full((n, k), 1 / k)
-        pair = before[:, :, None] * step[None] * (heat[:, t] * behind)[:, None, :]
-        moved += (pair / pair.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
-        behind = (heat[:, t] * behind) @ step.T
+        after = heat[:, t] * behind
+        # Probabilities of neighbouring labels, added up over the sequences.
+        moved += step * ((before / ((before @ step) * after).sum(axis=1, keepdims=True)).T @ after)
+        behind = after @ step.T
         behind /= behind.sum(axis=1, keepdims=True)
     np.add.at(moved, (gold[:, :-1].ravel(), gold[:, 1:].ravel()), -1)
     np.add.at(moved, (slice(None), gold[:, 0]), -1 / k)
@@ -201,14 +205,14 @@ def train(texts: list[tuple[str, str]], seed: int = 7) -> Field | None:
 
     def sequence() -> tuple[list[str], list[int]]:
         words, gold = [], []
-        while len(words) < SAMPLE_WORDS:
+        while len(words) < SEQUENCE:
             lang = int(rng.integers(k))
             piece = by[lang][rng.integers(len(by[lang]))]
-            most = SAMPLE_WORDS if rng.random() > SWITCHED else int(rng.integers(4, 33))
+            most = SEQUENCE if rng.random() > SWITCHED else int(rng.integers(4, 33))
             piece = piece[:most]
             words += piece
             gold += [lang] * len(piece)
-        return words[:SAMPLE_WORDS], gold[:SAMPLE_WORDS]
+        return words[:SEQUENCE], gold[:SEQUENCE]
 
     for step in range(1, STEPS + 1):
         made = [sequence() for _ in range(BATCH)]
@@ -219,7 +223,7 @@ def train(texts: list[tuple[str, str]], seed: int = 7) -> Field | None:
         total = np.cumsum(counts)
         spots = numbers[np.repeat(begins[tokens] - total + counts, counts) + np.arange(total[-1])]
         scores = np.add.reduceat(emit[spots], total - counts, axis=0) * scale[:, None]
-        told, moved = likelihood_step(scores.reshape(BATCH, SAMPLE_WORDS, k), move, gold)
+        told, moved = likelihood_step(scores.reshape(BATCH, SEQUENCE, k), move, gold)
         share = told.reshape(-1, k) * scale[:, None] / BATCH
         grad = np.stack([np.bincount(spots, np.repeat(share[:, c], counts), 1 << TABLE_BITS) for c in range(k)], axis=1)
         rate = RATE * min(1, 3 * (1 - step / (STEPS + 1)))
@@ -230,28 +234,55 @@ def train(texts: list[tuple[str, str]], seed: int = 7) -> Field | None:
     return Field(languages, emit.astype(np.float32), move.astype(np.float32))
 
 
-def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A window of words from the middle of each sampled text."""
-    for part in slices(batches):
+def worded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The words of each piece, without those that a cut of the piece may have shortened."""
+    for part in slices(batches, "piece"):
         out = []
-        for words in words_in(part.column(2)).to_pylist():
-            start = max(0, (len(words) - SAMPLE_WORDS) // 2)
-            out.append(" ".join(words[start : start + SAMPLE_WORDS]))
-        yield pa.record_batch([part.column(0), part.column(1), pa.array(out)], names=["doc_id", "lang", "words"])
+        for words, head, tail in zip(words_in(part.column(1)).to_pylist(), part.column(2).to_pylist(), part.column(3).to_pylist()):
+            whole = words[0 if head else 1 : len(words) if tail else -1]
+            # A piece inside one long word has no whole one.
+            out.append(" ".join(whole or words))
+        yield pa.record_batch([part.column(0), pa.array(out, pa.string())], names=["lang", "words"])
+
+
+def pieces(known: DataFrame, per_language: int) -> DataFrame:
+    """About ``per_language`` pieces of each ``lang``, drawn by hash from all pieces of all whole texts: ``lang``,
+    ``piece``, and whether it is the ``head`` or the ``tail`` of its text.
+
+    Texts are cut into pieces of ``PIECE`` characters. The driver learns only the number of pieces of each language,
+    which decides the language's rate. More than ``MOST_LANGUAGES`` languages are an error.
+    """
+    cut = known.withColumn("n", F.ceil(F.length("text") / PIECE).cast("int")).where("n > 0")
+    sizes = cut.groupBy("lang").agg(F.sum("n").alias("n")).limit(MOST_LANGUAGES + 1).collect()
+    if len(sizes) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    if not sizes:
+        return known.select("lang", F.col("text").alias("piece"), F.lit(True).alias("head"), F.lit(True).alias("tail")).limit(0)
+    rates = F.create_map(*(F.lit(x) for r in sizes for x in (r.lang, min(1.0, per_language / r.n))))
+    share = lambda i: F.pmod(F.xxhash64("doc_id", i), F.lit(1 << 20)) / float(1 << 20)
+    rated = cut.withColumn("rate", rates[F.col("lang")])
+    drawn = F.filter(F.sequence(F.lit(0), F.col("n") - 1), lambda i: share(i) < F.col("rate"))
+    chosen = rated.select("lang", "text", "n", F.explode(drawn).alias("i"))
+    return chosen.select("lang", F.substring("text", F.col("i") * PIECE + 1, F.lit(PIECE)).alias("piece"), (F.col("i") == 0).alias("head"), (F.col("i") == F.col("n") - 1).alias("tail"))
 
 
 def fit(documents: DataFrame, learn: Column, per_language: int = SAMPLE_PER_LANGUAGE) -> Field | None:
     """Train on a bounded sample of rows with a language for which ``learn`` (over ``doc_id``) holds.
 
-    The driver receives about ``per_language`` windows of ``SAMPLE_WORDS`` words for each of at most ``LANGUAGES``
-    languages. None if no row has a language and words.
+    The driver receives about ``per_language`` pieces of ``PIECE`` characters of each language; every language of these
+    rows is learned. None if no row has a language and words. More than ``MOST_LANGUAGES`` languages are an error, as
+    weights of that many would not fit into the driver.
     """
     known = documents.select("doc_id", F.col("lang").cast("string").alias("lang"), "text").where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    rows = sampled(known, "lang", per_language, LANGUAGES)
-    found = rows.select("doc_id", "lang", "text").mapInArrow(windows, "doc_id bigint, lang string, words string").collect()
+    found = pieces(known, per_language).mapInArrow(worded, "lang string, words string").collect()
     return train(sorted((r.lang, r.words) for r in found))
 
 
+def slice_bytes(field: Field | None) -> int:
+    """Text bytes of a step, fewer with many languages, as a step's probabilities are words x languages."""
+    return SLICE_BYTES * 8 // max(8, len(field.languages) if field else 0)
+
+
 def predict(documents: DataFrame, field: Field | None) -> DataFrame:
     """``doc_id``, ``lang_pred`` and ``score`` (share of expected words) of every whole text.
 
@@ -259,10 +290,11 @@ def predict(documents: DataFrame, field: Field | None) -> DataFrame:
     go to the first language in order. Repeated rows give a row each; a null id stays null.
     """
     held = documents.sparkSession.sparkContext.broadcast(field)
+    step = slice_bytes(field)
 
     def run(batches):
         known = held.value
-        for part in slices(batches):
+        for part in slices(batches, limit=step):
             names, shares = [], []
             words, tokens, offsets = distinct(words_in(part.column(1)))
             if known is not None:
@@ -284,10 +316,11 @@ def label_words(documents: DataFrame, field: Field) -> DataFrame:
     For code-switched text. Texts without words give no row.
     """
     held = documents.sparkSession.sparkContext.broadcast(field)
+    step = slice_bytes(field)
 
     def run(batches):
         known = held.value
-        for part in slices(batches):
+        for part in slices(batches, limit=step):
             words, tokens, offsets = distinct(words_in(part.column(1)))
             told = known.label(known.word_scores(words)[tokens], offsets)
             best = told.argmax(axis=1)

@@ -189,7 +189,7 @@ def fit(documents: DataFrame, labels: DataFrame, learn: Column, label: str = "qu
     labels without a document are left out.
     """
     known = labels.select(F.col("doc_id"), F.col(label).cast("int").alias("label")).where(learn & F.col("label").isin(0, 1))
-    ids = F.broadcast(sampled(known, "label", per_class, 2))
+    ids = F.broadcast(sampled(known, "label", per_class))
     rows = texts_of(documents).join(ids, "doc_id").select("doc_id", "label", "text")
     found = rows.mapInArrow(sample_chunks, "doc_id bigint, label int, chunks binary").toPandas().sort_values(["doc_id", "chunks"], kind="stable")
     chunks = [np.frombuffer(c, "<u2").reshape(-1, CHUNK).astype(np.int16) for c in found["chunks"]]

@@ -189,7 +189,7 @@ def fit(documents: DataFrame, labels: DataFrame, learn: Column, label: str = "to
     """
     spark = documents.sparkSession
     known = labels.select(F.col("doc_id"), F.col(label).cast("int").alias("label")).where(learn & F.col("label").isin(0, 1))
-    ids = F.broadcast(sampled(known, "label", per_class, 2))
+    ids = F.broadcast(sampled(known, "label", per_class))
     rows = texts_of(documents).join(ids, "doc_id").groupBy("label", F.sha2("text", 256).alias("digest")).agg(F.min("doc_id").alias("doc_id"), F.first("text").alias("text"))
     rows = checkpointed(rows.select("doc_id", "label", "text"))
     sizes = {r.label: r["count"] for r in rows.groupBy("label").count().collect()}

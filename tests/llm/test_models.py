@@ -207,6 +207,36 @@ def test_code_switched_words(spark):
     assert [(r.doc_id, r.first_word, r.n_words, r.lang) for r in runs] == [(1, 0, 6, "aa"), (1, 6, 6, "zz")]
 
 
+def test_every_language_is_learned(spark, monkeypatch):
+    """Seventy languages, the rarer ones too, each with a lexicon of its own; the pieces come from whole texts."""
+    rng = random.Random(5)
+    lexicons = [["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(3, 8))) for _ in range(30)] for _ in range(70)]
+    given = [(n, f"l{n % 70:02d}", " ".join(rng.choices(lexicons[n % 70], k=60))) for n in range(70 * 8) if n % 70 < 60 or n < 140]
+    frame = spark.createDataFrame(given, "doc_id bigint, lang string, text string")
+    monkeypatch.setattr(language, "STEPS", 100)
+    field = language.fit(frame, F.lit(True))
+    assert len(field.languages) == 70
+    got = {r.doc_id: r.lang_pred for r in language.predict(frame, field).collect()}
+    assert sum(got[n] == lang for n, lang, _ in given) / len(given) > 0.95
+    assert {got[n] for n, _, _ in given} == set(field.languages)
+    many = spark.range(language.MOST_LANGUAGES + 1).selectExpr("id AS doc_id", "concat('l', id) AS lang", "'some text' AS text")
+    with pytest.raises(ValueError, match="languages"):
+        language.fit(many, F.lit(True))
+
+
+def test_pieces_come_from_whole_texts(spark, monkeypatch):
+    given = [(1, "en", "".join(f"w{n:05d} " for n in range(3000))), (2, "en", ""), (3, "fr", "un deux trois")]
+    frame = spark.createDataFrame(given, "doc_id bigint, lang string, text string")
+    every = language.pieces(frame, 10_000).collect()
+    assert sorted(r.piece for r in every) == sorted([given[0][2][i : i + 512] for i in range(0, 21000, 512)] + [given[2][2]])
+    assert [sum(r.head for r in every), sum(r.tail for r in every)] == [2, 2]
+    few = language.pieces(frame, 10).collect()
+    assert 3 <= len([r for r in few if r.lang == "en"]) <= 20 and {r.piece for r in few} <= {r.piece for r in every}
+    monkeypatch.setattr(language, "STEPS", 3)
+    tricky = language.fit(spark.createDataFrame([(1, "en", "x" * 3000)], "doc_id bigint, lang string, text string"), F.lit(True))
+    assert tricky.languages == ["en"]
+
+
 def test_language_odd_inputs(spark):
     got = language.predict(odd_documents(spark), small_field()).collect()
     assert len(got) == 10 and all(0 <= r.score <= 1 for r in got)
