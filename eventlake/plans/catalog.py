@@ -563,6 +563,30 @@ def stream_ingest(spark, folder):
     return table.current()
 
 
+@query
+def stream_receipts(spark, folder):
+    """What the batches of the ingest pipeline say they wrote, added up; no written row is read again."""
+    home = work_folder(spark, "stream-receipts")
+    table = BatchTable(spark, f"{home}/table").create()
+    written = []
+    target = pipeline.parquet_target(table, receipt=written.append)
+    handler = pipeline.batch_handler(target, parquet_publisher(f"{home}/status"))
+
+    def run(events):
+        readers.run_available(ingest.parse_events(fx.usage_json_of(events)), handler, f"{home}/checkpoint")
+
+    _follow(spark, folder, home, run)
+    # One row a batch, of which there are STREAM_PARTS.
+    schema = "batch_id bigint, rows bigint, without_id bigint, first_id string, last_id string, files bigint"
+    receipts = spark.createDataFrame([vars(w) for w in written], schema)
+    return receipts.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("total_rows"),
+        F.coalesce(F.sum("without_id"), F.lit(0)).alias("without_id"),
+        F.min("first_id").alias("first_id"),
+        F.max("last_id").alias("last_id"),
+    )
+
+
 @query
 def stream_dedup(spark, folder):
     """Usage records of which a third are delivered again after the last of them; the table afterwards."""

@@ -515,6 +515,11 @@ _SQL = {
     "directory_duplicates": (["ranked"], "SELECT seq, uid FROM ranked WHERE nth > 1 OR present"),
     "stream_ingest": (["parsed"], "SELECT * FROM parsed"),
     "stream_dedup": (["parsed"], "SELECT * FROM parsed"),
+    "stream_receipts": (
+        ["parsed"],
+        """SELECT count(*) AS total_rows, count(*) - count(event_id) AS without_id, min(event_id) AS first_id, max(event_id) AS last_id
+           FROM parsed""",
+    ),
     "stream_incidents": (["incidents"], "SELECT * FROM incidents"),
     "stream_incidents_idle": (["incidents"], "SELECT * FROM incidents"),
     "stream_pipeline_state": (["state"], "SELECT * FROM state"),

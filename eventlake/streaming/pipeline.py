@@ -10,10 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.operators.ingest import batch_event_ids, status_records
-from eventlake.sinks.batches import BatchTable
+from eventlake.sinks.batches import BatchTable, Written
 from eventlake.sinks.topics import Publisher, best_effort
 from eventlake.sources import iceberg
-from eventlake.sources.files import data_files
 from eventlake.streaming.readers import BatchHandler
 
 _log = logging.getLogger(__name__)
@@ -34,15 +33,21 @@ class Target:
     count_files: Callable[[str | None], int]
 
 
-def parquet_target(table: BatchTable, bucket: str = "", replace: bool = True) -> Target:
-    """A batch is its own snapshot; files are counted in its partition, not in the whole table."""
-    return Target(
-        table=table.folder,
-        bucket=bucket,
-        path=table.folder,
-        append=lambda df, batch_id: str(table.append(df, batch_id, replace)),
-        count_files=lambda snapshot_id: data_files(table.spark, table.batch_folder(snapshot_id)).count(),
-    )
+def parquet_target(
+    table: BatchTable, bucket: str = "", replace: bool = True, receipt: Callable[[Written], None] | None = None
+) -> Target:
+    """A batch is its own snapshot. Its files are counted by the job that writes them, so nothing is listed
+    or counted afterwards; ``receipt`` is called with the figures of each batch that has been written."""
+    files: dict[str | None, int] = {}
+
+    def append(df: DataFrame, batch_id: int) -> str:
+        written = table.append_counted(df, batch_id, replace)
+        files[str(batch_id)] = written.files
+        if receipt:
+            receipt(written)
+        return str(batch_id)
+
+    return Target(table.folder, bucket, table.folder, append, lambda snapshot_id: files.pop(snapshot_id))
 
 
 def iceberg_target(spark: SparkSession, table: str, bucket: str, path: str) -> Target:

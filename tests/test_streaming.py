@@ -147,6 +147,26 @@ def test_ingest_resumes_and_readers_are_independent(spark, folder):
     assert final[4]["parquet_files"] >= 1 and final[4]["bucket"] == "warehouse"
 
 
+def test_receipts_come_from_the_writing_job(spark, folder):
+    """Figures of each batch equal its partition, and after the write no job reads or lists anything."""
+    table, written = BatchTable(spark, f"{folder}/table").create(), []
+    target = pipeline.parquet_target(table, receipt=written.append)
+    records = ingest.parse_events(usage_records(spark, *[f"e{n:03d}" for n in range(41)]))
+    records = records.withColumn("event_id", F.nullif("event_id", F.lit("e040")))
+    for batch_id, parts in ((3, 4), (4, 1), (3, 2)):
+        target.append(records.repartition(parts), batch_id)
+        tracker = spark.sparkContext.statusTracker()
+        before = len(tracker.getJobIdsForGroup())
+        assert target.count_files(str(batch_id)) == parts
+        assert len(tracker.getJobIdsForGroup()) == before
+        part = table.rows().where(F.col("batch_id") == batch_id)
+        last = written[-1]
+        assert (last.batch_id, last.rows, last.without_id, last.first_id, last.last_id) == (batch_id, 41, 1, "e000", "e039")
+        assert part.count() == 41 and part.select(F.input_file_name()).distinct().count() == last.files
+    empty = table.append_counted(records.where("false"), 9)
+    assert (empty.rows, empty.without_id, empty.first_id, empty.files) == (0, 0, None, 0)
+
+
 def failing(*_):
     raise OSError("store is down")
 
