@@ -44,8 +44,9 @@ FIRST_PARTS = 4
 SHARD_ROWS = 1000
 # Sets of a larger shard, about, that are compared with all of it in the first round.
 PIVOTS = 16
-# Members of a shard that are paired by component in the second round; larger shards are compared as they are.
-PAIRED = 256
+# Members of a shard that are paired by component in the second round, at most (PAIRED - 1) / 2 pairs a member; the
+# components of larger shards are tied to the least one, a row each.
+PAIRED = 8
 # Rows of which a join side may be broadcast (two or three numbers each); larger sides are shuffled.
 BROADCAST_ROWS = 1_000_000
 FANOUT = 8
@@ -405,13 +406,16 @@ def telling(sets: DataFrame) -> DataFrame:
 def families(comps: DataFrame, met: DataFrame) -> DataFrame:
     """Members (key, rep, comp) to be compared in the second round.
 
-    Components that meet in enough shards make a family, which is one shard. Larger families are one shard for each
-    component with its partners. Large shards stay as they are, where components meet in them.
+    Components that meet in enough shards, or in a large one, make a family, which is one shard. Of larger families, each
+    component is a shard with its partners, and large shards stay as they are. Similar sets meet in ``MEET`` shards, so
+    they do in a large one or in so many others. Rows are in proportion to those of ``met``.
     """
     rows = comps.select(F.col("place").alias("rep"), "comp")
     pairs = met.where("n > 0").groupBy("a", "b").agg(F.sum("n").alias("n")).where(F.col("n") >= MEET).select("a", "b")
     pairs = checkpointed(pairs)
-    found = checkpointed(components(pairs))
+    large = met.where("n = 0").select("key", F.col("a").alias("rep"), F.col("b").alias("comp"))
+    ties = large.select("key", "comp").distinct().withColumnRenamed("comp", "a").join(large.groupBy("key").agg(F.min("comp").alias("b")), "key")
+    found = checkpointed(components(pairs.union(ties.where("a > b").select("a", "b"))))
     sized = rows.join(found, rows["comp"] == found["node"]).select("rep", "comp", F.col("component").alias("family"))
     sizes = sized.groupBy("family").agg(F.count("*").alias("n"))
     small = sizes.where(F.col("n") <= SHARD_ROWS).select("family")
@@ -419,9 +423,10 @@ def families(comps: DataFrame, met: DataFrame) -> DataFrame:
     wide = found.join(sizes.where(F.col("n") > SHARD_ROWS), found["component"] == sizes["family"]).select("node")
     stars = pairs.join(wide, pairs["a"] == wide["node"]).select(F.col("a").alias("key"), F.explode(F.array("a", "b")).alias("comp")).distinct()
     out = out.union(stars.join(rows, "comp").select("key", "rep", "comp"))
-    large = met.where("n = 0").select("key", F.col("a").alias("rep"), F.col("b").alias("comp"))
-    both = large.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("key")
-    return out.union(large.join(both, "key", "left_semi").select("key", "rep", "comp"))
+    # The components of a large shard are of one family; a single one is of none by that shard.
+    several = large.join(wide, large["comp"] == wide["node"]).select("key", "rep", "comp")
+    both = several.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).where("low < high").select("key")
+    return out.union(several.join(both, "key", "left_semi").select("key", "rep", "comp"))
 
 
 def linked(documents: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:

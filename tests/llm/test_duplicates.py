@@ -167,6 +167,33 @@ def test_meetings_do_not_depend_on_batches(monkeypatch):
         assert pairs == want_pairs and members == want_members
 
 
+def test_meetings_grow_with_the_members_not_with_their_square():
+    """Shards in which everyone is of another component give at most a few rows a member, whatever their size."""
+    for size in (2, 8, 9, 50, 250):
+        rows = [(key, rep, rep) for key in range(3) for rep in range(size * key, size * key + size)]
+        batch = pa.record_batch([pa.array(c, pa.int64()) for c in zip(*rows)], names=["key", "rep", "comp"])
+        assert 0 < sum(out.num_rows for out in jaccard.meetings(iter([batch]))) <= 4 * len(rows)
+
+
+def test_families_hold_all_that_meet(spark, monkeypatch):
+    """Components that meet in a large shard, or often enough in small ones, stay together in families of any size."""
+    monkeypatch.setattr(jaccard, "SHARD_ROWS", 12)
+    large = {100: range(0, 10), 101: range(9, 20), 102: range(30, 40), 103: [50] * 9}
+    met = [(key, rep, comp, 0) for key, comps in large.items() for rep, comp in enumerate(comps, 0 if key == 103 else comps[0])]
+    met += [(0, 41, 42, jaccard.MEET - 1), (0, 41, 42, 1), (0, 43, 44, jaccard.MEET - 1), (0, 5, 45, jaccard.MEET)]
+    comps = [(i, i) for i in range(50)] + [(50, 50), (51, 50)]
+    got = jaccard.families(spark.createDataFrame(comps, "place bigint, comp bigint"), spark.createDataFrame(met, jaccard.MET)).collect()
+    shards = {}
+    for row in got:
+        shards.setdefault(row.key, set()).add(row.comp)
+    together = {(a, b) for members in shards.values() for a, b in itertools.combinations(sorted(members), 2)}
+    want = {pair for comps in large.values() for pair in itertools.combinations(sorted(set(comps)), 2)} | {(41, 42), (5, 45)}
+    assert want <= together and (43, 44) not in together
+    # The two that make one wide family stay shards; the others are sent once.
+    assert not any({0, 19} <= members for members in shards.values())
+    assert all(len([r for r in got if r.rep == rep]) == 1 for rep in (30, 39, 41, 42))
+
+
 def test_join_odd_inputs(spark):
     got = jaccard.linked(odd_documents(spark)).collect()
     assert len(got) == 10
