@@ -14,8 +14,10 @@ message reaches back to an event created before it, ends in the same state where
 from __future__ import annotations
 
 from collections import OrderedDict
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -52,30 +54,46 @@ def replay(ids: list[str], arrivals: list[int], created: list[bool], held: Order
     return held
 
 
-def _replay_blocks(rows: DataFrame, given: DataFrame, keep: int) -> DataFrame:
-    """What each block of ``rows`` hands over, if it starts with what ``given`` has for it."""
+def handed_over(batches: Iterator[pa.RecordBatch], keep: int) -> Iterator[pa.RecordBatch]:
+    """What each block hands over; rows (block, _at, event_id, arrival, _created, created_arrival, messages) come in order.
+
+    A block starts with what it was given, oldest touch first and with neither in ``_created``. The rows pass by: only
+    the events held and one batch are in memory, however long the block.
+    """
+    now, held, touched = None, OrderedDict(), False
+
+    def told():
+        columns = list(zip(*held.values())) if held and touched else ((),) * 3
+        n = len(columns[0])
+        kinds = (pa.int64(), pa.int32(), pa.string(), *[pa.int64()] * 3)
+        values = ([now] * n, range(n), list(held)[:n], *columns)
+        return pa.record_batch([pa.array(v, k) for v, k in zip(values, kinds)], names=[f.split()[0] for f in HELD.split(", ")])
+
+    for batch in batches:
+        blocks = batch.column(0).to_numpy()
+        starts = [0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist(), len(blocks)] if len(blocks) else []
+        for start, stop in zip(starts, starts[1:]):
+            if blocks[start] != now:
+                yield told()
+                now, held, touched = int(blocks[start]), OrderedDict(), False
+            ids, arrivals, created, first, messages = (batch.column(k).slice(start, stop - start).to_pylist() for k in range(2, 7))
+            given = created.count(None)
+            for row in zip(ids[:given], arrivals, first, messages):
+                held[row[0]] = row[1:]
+            if given < len(ids):
+                touched = True
+                replay(ids[given:], arrivals[given:], created[given:], held, keep)
+    yield told()
 
-    def run(key: tuple, block: pa.Table, before: pa.Table) -> pa.Table:
-        held = OrderedDict()
-        for row in before.sort_by("rank").to_pylist():
-            held[row["event_id"]] = (row["touched_arrival"], row["created_arrival"], row["messages"])
-        block = block.sort_by("_at")
-        if block.num_rows:
-            replay(block["event_id"].to_pylist(), block["arrival"].to_pylist(), block[CREATED].to_pylist(), held, keep)
-        touched, first, messages = zip(*held.values()) if held else ((),) * 3
-        n = len(held) if block.num_rows else 0
-        columns = {
-            "block": pa.array([key[0].as_py()] * n, pa.int64()),
-            "rank": pa.array(range(n), pa.int32()),
-            "event_id": pa.array(list(held)[:n], pa.string()),
-            "touched_arrival": pa.array(touched[:n], pa.int64()),
-            "created_arrival": pa.array(first[:n], pa.int64()),
-            "messages": pa.array(messages[:n], pa.int64()),
-        }
-        return pa.table(columns)
 
+def _replay_blocks(rows: DataFrame, given: DataFrame, keep: int) -> DataFrame:
+    """What each block of ``rows`` hands over, if it starts with what ``given`` has for it."""
     touches = rows.select(block_of_place().alias("block"), "_at", "event_id", "arrival", CREATED)
-    return touches.groupBy("block").cogroup(given.groupBy("block")).applyInArrow(run, HELD)
+    before = given.select("block", (F.col("rank") - F.lit(keep + 1)).cast("long").alias("_at"), "event_id", F.col("touched_arrival").alias("arrival"), "created_arrival", "messages")
+    columns = ["block", "_at", "event_id", "arrival", CREATED, "created_arrival", "messages"]
+    both = touches.unionByName(before, allowMissingColumns=True).select(*columns)
+    ordered = both.repartition("block").sortWithinPartitions("block", "_at")
+    return ordered.mapInArrow(lambda batches: handed_over(batches, keep), HELD)
 
 
 def _marks(held: DataFrame) -> dict[int, tuple[int, int]]:

@@ -1,8 +1,10 @@
 """Key hash vectors, dense offsets, blocks of equal depth, and exact retention."""
 
 import random
+import weakref
 from collections import Counter, OrderedDict
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -165,6 +167,31 @@ def test_rounds_go_on_while_blocks_hand_over_something_else(spark):
     assert got == [("old", 199, 0, 198), ("other", 1, 1, 0)]
 
 
+def test_a_block_is_replayed_batch_by_batch():
+    """Rows are asked for one batch at a time, and no batch is kept; cuts do not matter."""
+    draw = random.Random(4)
+    given = [(1, rank - 9, f"e{rank}", rank, None, rank, 2) for rank in range(4)]
+    rows = given + [(block, at, f"e{draw.randrange(12)}", 10 + at, draw.random() < 0.3, None, None) for block in (1, 2) for at in range(200)]
+    kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.bool_(), pa.int64(), pa.int64())
+    held = {1: OrderedDict((e, (t, c, n)) for _, _, e, t, _, c, n in given), 2: OrderedDict()}
+    for block in (1, 2):
+        own = [r for r in rows if r[0] == block and r[4] is not None]
+        retention.replay(*zip(*[(r[2], r[3], r[4]) for r in own]), held[block], 5)
+    want = [(block, rank, e, *v) for block in (1, 2) for rank, (e, v) in enumerate(held[block].items())]
+    for cut in (1, 3, 50, 1000):
+        passed = []
+
+        def batches():
+            for i in range(0, len(rows), cut):
+                batch = pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows[i : i + cut]), kinds)], names=list("abcdefg"))
+                passed.append(weakref.ref(batch))
+                assert sum(p() is not None for p in passed) <= 2
+                yield batch
+
+        got = [r for out in retention.handed_over(batches(), 5) for r in zip(*(out.column(k).to_pylist() for k in range(6)))]
+        assert got == want
+
+
 def test_nothing_happened(spark):
     events = spark.createDataFrame([], "event_id string, created_arrival long")
     said = spark.createDataFrame([], "event_id string, stage string, status string, arrival long")
