@@ -10,9 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.operators.status import field_rows, invalid_status, merge_fields, parse_status, valid_status
+from eventlake.streaming.detector import rocksdb
 from eventlake.streaming.readers import BatchHandler
 
 RETAINED_VERSIONS = "spark.sql.streaming.minBatchesToRetain"
+# The stores of an executor share one bound of memory, and no row is looked up only to be counted.
+STORE = "spark.sql.streaming.stateStore.rocksdb"
+STORE_SETTINGS = {f"{STORE}.boundedMemoryUsage": "true", f"{STORE}.trackTotalNumberOfRows": "false"}
 FIELD_SCHEMA = "event_id string, stage string, field string, field_value string, arrival long"
 
 
@@ -31,15 +35,24 @@ def keep_state(stream: DataFrame, checkpoint: str, versions: int = 2) -> None:
     """Bring the state up to what there is now. Nothing is written but the state in the checkpoint folder.
 
     Only ``versions`` earlier versions of the state are kept, so the folder grows with the fields, not with the batches.
+    The state is in RocksDB: on disk and in bounded memory, where Spark's default holds all of it, in several versions,
+    in the heap. A checkpoint that another store began cannot be gone on with.
     """
     conf = stream.sparkSession.conf
-    before = conf.get(RETAINED_VERSIONS)
-    conf.set(RETAINED_VERSIONS, str(versions))
+    settings = {RETAINED_VERSIONS: str(versions), **STORE_SETTINGS}
+    before = {name: conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        conf.set(name, value)
     try:
-        writer = stream.writeStream.outputMode("update").format("noop").option("checkpointLocation", checkpoint)
-        writer.trigger(availableNow=True).start().awaitTermination()
+        with rocksdb(stream.sparkSession):
+            writer = stream.writeStream.outputMode("update").format("noop").option("checkpointLocation", checkpoint)
+            writer.trigger(availableNow=True).start().awaitTermination()
     finally:
-        conf.set(RETAINED_VERSIONS, before)
+        for name, value in before.items():
+            if value is None:
+                conf.unset(name)
+            else:
+                conf.set(name, value)
 
 
 def fields_of_state(spark: SparkSession, checkpoint: str) -> DataFrame:

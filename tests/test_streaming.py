@@ -1,6 +1,7 @@
 import json
 import os
 import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -234,6 +235,20 @@ def test_state_has_the_latest_versions_only(spark, folder):
     assert {r.field_value for r in state.collect()} == {"x11"}
 
 
+def test_the_state_is_not_held_in_the_heap(spark, folder):
+    """The checkpoint is one of RocksDB, and the session's own settings are as before."""
+    names = ["spark.sql.streaming.stateStore.providerClass", status_state.RETAINED_VERSIONS, *status_state.STORE_SETTINGS]
+    before = [spark.conf.get(name, None) for name in names]
+    messages = [(i, json.dumps({"event_id": f"e{i}", "stage": "s", "status": "x"})) for i in range(20)]
+    spark.createDataFrame(messages, "arrival long, value string").write.parquet(f"{folder}/in")
+    stream = status_state.field_stream(readers.file_stream(spark, f"{folder}/in", "arrival long, value string"))
+    status_state.keep_state(stream, f"{folder}/checkpoint")
+    kinds = {path.suffix for path in Path(f"{folder}/checkpoint/state/0").glob("[0-9]*/*") if not path.name.startswith(".")}
+    assert ".zip" in kinds and ".delta" not in kinds
+    assert status_state.fields_of_state(spark, f"{folder}/checkpoint").count() == 20
+    assert [spark.conf.get(name, None) for name in names] == before
+
+
 def dated(spark, *rows):
     return spark.createDataFrame([(i, f"2024-01-01T{hour:02}:00:00.000000+00:00") for i, hour in rows], "event_id string, timestamp string").coalesce(1)
 
