@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame
 
 from eventlake.llm.common import slices, texts_of
 
+# Text bytes that are coded at a time; the rows of their tokens take many times as much.
+CODED_BYTES = 1024**2
 # Words kept by a Python worker with their ids; beyond that the store starts anew.
 STORED_WORDS = 400_000
 # Words of one recursive query, which bounds its memory.
@@ -95,26 +97,40 @@ def encoding(path: str | None = None):
 
 
 class Tokens:
-    """The tables of one vocabulary in an in-memory DuckDB, with the words met so far."""
+    """The tables of one vocabulary, for an in-memory DuckDB while it is open, with the words met so far."""
 
     def __init__(self, path: str | None = None):
-        import duckdb
-
         ranks = load_ranks(path)
         pieces = [(left, right, rank) for token, rank in ranks.items() for left, right in ((ranks.get(token[:k]), ranks.get(token[k:])) for k in range(1, len(token))) if left is not None and right is not None]
         left, right, rank = np.array(pieces, dtype=np.int64).T
         self.ranks = ranks
         self.text = {rank: token for token, rank in ranks.items()}
         self.bytes = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int32)
-        self.con = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
-        self.make("merges", {"pair": left * 65536 + right, "merged": rank.astype(np.int32)})
-        self.make("vocabulary", {"id": pa.array(list(ranks.values()), pa.int32()), "piece": [t.decode("latin-1") for t in ranks]})
+        self.tables = {
+            "merges": pa.table({"pair": left * 65536 + right, "merged": rank.astype(np.int32)}),
+            "vocabulary": pa.table({"id": pa.array(list(ranks.values()), pa.int32()), "piece": [t.decode("latin-1") for t in ranks]}),
+        }
+        self.opened = None
         self.clear()
 
-    def make(self, name: str, columns: dict) -> None:
-        self.con.register("given", pa.table(columns))
-        self.con.execute(f"CREATE OR REPLACE TABLE {name} AS SELECT * FROM given")
-        self.con.unregister("given")
+    @property
+    def con(self):
+        """The database, opened when it is first needed."""
+        if self.opened is None:
+            import duckdb
+
+            self.opened = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
+            for name, given in self.tables.items():
+                self.opened.register("given", given)
+                self.opened.execute(f"CREATE TABLE {name} AS SELECT * FROM given")
+                self.opened.unregister("given")
+        return self.opened
+
+    def close(self) -> None:
+        """Give back the database's memory, which it keeps for its next queries; the next use opens it again."""
+        if self.opened is not None:
+            self.opened.close()
+            self.opened = None
 
     def clear(self) -> None:
         self.index: dict[str, int] = {}
@@ -248,15 +264,14 @@ def unpack(ids: bytes) -> list[int]:
     return np.frombuffer(ids, dtype="<u4").tolist()
 
 
-def encode_decode(documents: DataFrame, vocabulary: str | None = None) -> DataFrame:
-    """Per document its ids (little-endian unsigned 32-bit integers end to end), their number, and the decoded bytes.
+def coded(batches: Iterator[pa.RecordBatch], vocabulary: str | None = None) -> Iterator[pa.RecordBatch]:
+    """Rows doc_id, text with their ids and decoded bytes.
 
-    A null or empty text has no ids and decodes to nothing. Every row gives one row; a null id stays null.
+    A Python worker outlives its tasks and stands beside the executor in other stages, so the database goes with the task.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]):
-        for part in slices(batches):
-            coder = tokens_of(vocabulary)
+    coder = tokens_of(vocabulary)
+    try:
+        for part in slices(batches, limit=CODED_BYTES):
             ids, bounds = coder.encode(part.column(1).to_pylist())
             packed = ids.astype("<u4").tobytes()
             yield pa.record_batch(
@@ -268,5 +283,13 @@ def encode_decode(documents: DataFrame, vocabulary: str | None = None) -> DataFr
                 ],
                 names=["doc_id", "n_tokens", "ids", "decoded"],
             )
+    finally:
+        coder.close()
+
 
-    return texts_of(documents).mapInArrow(run, ENCODED)
+def encode_decode(documents: DataFrame, vocabulary: str | None = None) -> DataFrame:
+    """Per document its ids (little-endian unsigned 32-bit integers end to end), their number, and the decoded bytes.
+
+    A null or empty text has no ids and decodes to nothing. Every row gives one row; a null id stays null.
+    """
+    return texts_of(documents).mapInArrow(lambda batches: coded(batches, vocabulary), ENCODED)

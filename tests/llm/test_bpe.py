@@ -1,6 +1,8 @@
 """Ids against the tiktoken library, and exact round trips."""
 
 import random
+import subprocess
+import sys
 import time
 
 import numpy as np
@@ -78,3 +80,36 @@ def test_documents(spark):
 
 def test_packed_ids():
     assert bpe.unpack(np.array([1, 70000], "<u4").tobytes()) == [1, 70000]
+
+
+# One task's work in a process of its own: MB that the work took beyond the vocabulary at most, and that stay after it.
+WORKER = """
+import random, re, types
+import pyarrow as pa
+from eventlake.llm import bpe
+
+def held():
+    return sum(map(int, re.findall(r"(?:RssAnon|RssShmem):\\s+(\\d+)", open("/proc/self/status").read()))) // 1024
+
+bpe.texts_of = lambda documents: types.SimpleNamespace(mapInArrow=lambda run, schema: run)
+run = bpe.encode_decode(None)
+rng = random.Random(5)
+words = ["".join(rng.choices("etaoinshrdlu", k=rng.randrange(3, 12))) for _ in range(150_000)]
+texts = [" ".join(rng.choices(words, k=300)) for _ in range(4_000)]
+batch = pa.record_batch([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+bpe.tokens_of()
+before, most, at = held(), 0, 0
+for part in run(iter([batch])):
+    most = max(most, held())
+    for text in part.column(3).to_pylist():
+        assert text.decode() == texts[at]
+        at += 1
+assert at == len(texts)
+del part
+print(most - before, held() - before)
+"""
+
+
+def test_a_task_leaves_little_memory_in_its_worker():
+    most, left = map(int, subprocess.run([sys.executable, "-c", WORKER], capture_output=True, text=True, check=True).stdout.split())
+    assert most < 180 and left < 90
