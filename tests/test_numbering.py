@@ -1,5 +1,6 @@
 """Key hash vectors, dense offsets, blocks of equal depth, and exact retention."""
 
+import os
 import random
 import weakref
 from collections import Counter, OrderedDict
@@ -192,6 +193,77 @@ def test_a_block_is_replayed_batch_by_batch():
         assert got == want
 
 
+def steady_load(n, seed=0):
+    """Every event is created, and every third is heard of again 2 to 14 events later: no place is free of overlaps."""
+    draw = random.Random(seed)
+    created = [(f"e{i}", 10 * i) for i in range(n)] + [(f"e{i}", 10 * i + 300) for i in range(0, n, 40)]
+    messages = [(f"e{i}", 10 * i + 1 + (draw.randrange(2, 15) * 10 if i % 3 == 0 else 0)) for i in range(n) for _ in range(2)]
+    return created, messages
+
+
+def folders(spark, *kinds):
+    shared = os.listdir(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    return {name for name in shared if name.split("-")[0] in kinds}
+
+
+def test_a_tail_is_enough_if_messages_reach_back_over_every_cut(spark):
+    created, messages = steady_load(4000)
+    events = spark.createDataFrame(created, "event_id string, created_arrival long")
+    said = spark.createDataFrame(messages, "event_id string, arrival long")
+    before = folders(spark, "rows", "tail")
+    past = retention.history(events, said, 10)
+    assert sorted(tuple(r) for r in past.held.collect()) == plain_retained(created, messages, 10)
+    assert past.rows.count() < (len(created) + len(messages)) / 10
+    assert len(folders(spark, "rows", "tail") - before) == 1
+
+
+def test_the_whole_history_comes_second_if_its_end_depends_on_its_beginning(spark):
+    """Of three that may be held, one is created all the time and one only named: nothing drives out the third."""
+    created = [("old", 0), ("kept", 1), *[("again", 10 * i) for i in range(1, 4000)]]
+    messages = [("kept", 10 * i + 1) for i in range(1, 4000)]
+    events = spark.createDataFrame(created, "event_id string, created_arrival long")
+    said = spark.createDataFrame(messages, "event_id string, arrival long")
+    before = folders(spark, "rows", "tail")
+    past = retention.history(events, said, 3, blocks=5)
+    assert sorted(tuple(r) for r in past.held.collect()) == plain_retained(created, messages, 3)
+    assert past.rows.count() == len(created) + len(messages)
+    assert len(folders(spark, "rows", "tail") - before) == 2
+
+
+@pytest.mark.parametrize("share", [0, 1 / 16, 1 / 3])
+def test_the_last_blocks_of_a_whole_history_may_be_enough(spark, monkeypatch, share):
+    monkeypatch.setattr(retention, "_cut", lambda made, keep: None)
+    monkeypatch.setattr(retention, "LAST_SHARE", share)
+    created, messages = steady_load(600, 1)
+    events = spark.createDataFrame(created, "event_id string, created_arrival long")
+    said = spark.createDataFrame(messages, "event_id string, arrival long")
+    got = sorted(tuple(r) for r in status.retained_events(events, said, 10, blocks=20).collect())
+    assert got == plain_retained(created, messages, 10)
+
+
+@pytest.mark.parametrize("far", [0, 1, 16])
+def test_doubt_ends_only_where_no_start_matters(monkeypatch, far):
+    monkeypatch.setattr(retention, "FAR_TIMES", far)
+    ended = 0
+    for seed in range(400):
+        draw = random.Random(seed)
+        keep, share, pool = draw.choice([1, 2, 3, 6]), draw.choice([0.1, 0.4]), [f"e{i}" for i in range(draw.choice([3, 9, 20]))]
+        rows = [(draw.choice(pool), 100 + i, draw.random() < share) for i in range(draw.choice([10, 40, 150]))]
+        if seed % 2:  # new events all the time, named some time later
+            rows = [(f"e{i}" if new else f"e{i - draw.randrange(1, 3 * keep + 4)}", at, new) for i, (_, at, new) in enumerate(rows)]
+        ids, arrivals, made = zip(*rows)
+        cut, doubt = draw.randrange(len(rows)), retention.Doubt(keep)
+        if doubt.ends(ids[:cut], made[:cut]) or doubt.ends(ids[cut:], made[cut:]):
+            ended += 1
+            want = list(retention.replay(ids, arrivals, made, OrderedDict(), keep).items())
+            for _ in range(30):
+                start = draw.sample([*pool, "other", *(f"e{-i}" for i in range(1, 20))], draw.randrange(keep + 1))
+                held = OrderedDict((e, (at, draw.randrange(50), 1)) for at, e in enumerate(start))
+                assert list(retention.replay(ids, arrivals, made, held, keep).items()) == want
+        assert len(doubt.near) <= keep and len(doubt.touched) <= keep and len(doubt.far) <= far * keep
+    assert ended > 100
+
+
 def test_nothing_happened(spark):
     events = spark.createDataFrame([], "event_id string, created_arrival long")
     said = spark.createDataFrame([], "event_id string, stage string, status string, arrival long")
