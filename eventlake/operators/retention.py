@@ -21,18 +21,21 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from eventlake.operators.numbering import block_of_place, in_blocks, written
 
 HELD = "block long, rank int, event_id string, touched_arrival long, created_arrival long, messages long, sure boolean"
 CREATED = "_created"
-# A tail has at least so many times the creations that are held, and this share of all.
-TAIL_TIMES = 4
+# A tail, and a block where there are enough, has at least so many times the creations that are held; a tail also has
+# this share of all.
+TAIL_TIMES = 64
 TAIL_SHARE = 1 / 256
 # Of the blocks of a whole history, the last so many are looked at first.
 LAST_SHARE = 1 / 16
+# Blocks of so many rows are not merged, however few their creations.
+LONG_BLOCK = 2**18
 # Ids that may be held beyond the latest ones are told apart up to so many times the number held.
 FAR_TIMES = 16
 
@@ -155,9 +158,9 @@ def handed_over(batches: Iterator[pa.RecordBatch], keep: int, doubted: bool = Tr
     yield told()
 
 
-def _replay_blocks(rows: DataFrame, given: DataFrame, keep: int, doubted: bool) -> DataFrame:
+def _replay_blocks(rows: DataFrame, block: Column, given: DataFrame, keep: int, doubted: bool) -> DataFrame:
     """What each block of ``rows`` hands over, if it starts with what ``given`` has for it."""
-    touches = rows.select(block_of_place().alias("block"), "_at", "event_id", "arrival", CREATED)
+    touches = rows.select(block.alias("block"), "_at", "event_id", "arrival", CREATED)
     before = given.select("block", (F.col("rank") - F.lit(keep + 1)).cast("long").alias("_at"), "event_id", F.col("touched_arrival").alias("arrival"), "created_arrival", "messages")
     columns = ["block", "_at", "event_id", "arrival", CREATED, "created_arrival", "messages"]
     both = touches.unionByName(before, allowMissingColumns=True).select(*columns)
@@ -179,7 +182,19 @@ def _cut(made: DataFrame, keep: int) -> int | None:
     return next((cut for cut, share in zip(found["cuts"] or [], shares) if (1 - share) * found["n"] >= TAIL_TIMES * keep), None)
 
 
-def _replayed(rows: DataFrame, numbers: list[int], keep: int, from_nothing: bool) -> DataFrame | None:
+def _merged(sizes: list[tuple[int, int]], keep: int) -> int:
+    """How many low bits of a block's number to leave out, so that a block is long enough to forget its start.
+
+    ``sizes`` has rows and creations of each block. A shuffle of many partitions deals a tail into pieces too short for that.
+    """
+    rows, made = (sum(column) for column in zip(*sizes))
+    bits, pieces = 0, len(sizes)
+    while pieces > 1 and made < TAIL_TIMES * keep * pieces and rows < LONG_BLOCK * pieces:
+        bits, pieces = bits + 1, -(-pieces // 2)
+    return bits
+
+
+def _replayed(rows: DataFrame, block: Column, numbers: list[int], keep: int, from_nothing: bool) -> DataFrame | None:
     """What is held after the blocks ``numbers``, or none if that depends on what was held before them.
 
     The first round tells the last block that hands over the same whatever it is given; only what follows it is replayed
@@ -198,7 +213,8 @@ def _replayed(rows: DataFrame, numbers: list[int], keep: int, from_nothing: bool
         again = spark.createDataFrame([(number,) for number in stale], "block long")
         before = handed.join(follower, "block").select(F.col("next").alias("block"), "rank", "event_id", "touched_arrival", "created_arrival", "messages")
         replayed = _replay_blocks(
-            rows.join(again.withColumnRenamed("block", "_stale"), block_of_place() == F.col("_stale"), "left_semi"),
+            rows.join(again.withColumnRenamed("block", "_stale"), block == F.col("_stale"), "left_semi"),
+            block,
             before.join(again, "block", "left_semi"),
             keep,
             not given,
@@ -220,7 +236,8 @@ def history(events: DataFrame, status: DataFrame, keep: int, created: str = "cre
     most ``keep`` events. At one arrival, creations come first, then ids in order. Creating an event that is held puts it
     in front with nothing counted. Rows without event id or arrival are left out.
 
-    Messages are computed once for the tail, and once more only if what is held depends on what came before the tail.
+    With ``blocks`` that many are replayed; else blocks too short to forget their start are merged. Messages are computed
+    once for the tail, and once more only if what is held depends on what came before the tail.
     """
     made = events.select("event_id", F.col(created).cast("long").alias("arrival"), F.lit(True).alias(CREATED))
     made = made.where("event_id IS NOT NULL AND arrival IS NOT NULL")
@@ -231,15 +248,17 @@ def history(events: DataFrame, status: DataFrame, keep: int, created: str = "cre
         late = F.lit(True) if start is None else F.col("arrival") >= start
         rows = said.where(late).unionByName(made.where(late), allowMissingColumns=True).withColumn("_later", ~F.col(CREATED))
         rows = in_blocks(rows, [], ["arrival", "_later", "event_id"], blocks)
-        numbers = sorted(row[0] for row in rows.select(block_of_place().alias("block")).distinct().collect())
-        if not numbers:
+        sizes = rows.groupBy(block_of_place().alias("block")).agg(F.count(F.lit(1)), F.count_if(CREATED)).collect()
+        if not sizes:
             break
+        bits = 0 if blocks else _merged([(n, created) for _, n, created in sizes], keep)
+        block, numbers = F.shiftright(block_of_place(), bits), sorted({number >> bits for number, _, _ in sizes})
         held = None
         if start is None:
             last = int(len(numbers) * LAST_SHARE)
-            held = _replayed(rows, numbers[-last:], keep, False) if last else None
+            held = _replayed(rows, block, numbers[-last:], keep, False) if last else None
         if held is None:
-            held = _replayed(rows, numbers, keep, start is None)
+            held = _replayed(rows, block, numbers, keep, start is None)
         if held is not None:
             return History(rows.drop("_later"), held)
     return History(rows.drop("_later"), rows.sparkSession.createDataFrame([], HELD).drop("block", "rank", "sure"))

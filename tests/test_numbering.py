@@ -213,10 +213,35 @@ def test_a_tail_is_enough_if_messages_reach_back_over_every_cut(spark):
     before = folders(spark, "rows", "tail")
     past = retention.history(events, said, 10)
     assert sorted(tuple(r) for r in past.held.collect()) == plain_retained(created, messages, 10)
-    assert past.rows.count() < (len(created) + len(messages)) / 10
+    assert past.rows.count() < (len(created) + len(messages)) / 2
     assert len(folders(spark, "rows", "tail") - before) == 1
 
 
+def test_a_tail_in_many_short_pieces_is_enough(spark):
+    """What one of 200 pieces holds is too little to tell what is held after it; they are merged."""
+    created, messages = steady_load(4000)
+    events = spark.createDataFrame(created, "event_id string, created_arrival long")
+    said = spark.createDataFrame(messages, "event_id string, arrival long")
+    was = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", 200)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", False)
+        past = retention.history(events, said, 10)
+        assert sorted(tuple(r) for r in past.held.collect()) == plain_retained(created, messages, 10)
+        assert past.rows.select(block_of_place()).distinct().count() > 100
+        assert past.rows.count() < (len(created) + len(messages)) / 2
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+
+
+def test_blocks_are_merged_up_to_a_length(monkeypatch):
+    assert retention._merged([(10, 10)] * 8, 1000) == 3 and retention._merged([(10, 10)] * 5, 1000) == 3
+    assert retention._merged([(640, 64)] * 8, 1) == 0 and retention._merged([(640, 32)] * 8, 1) == 1
+    monkeypatch.setattr(retention, "LONG_BLOCK", 20)
+    assert retention._merged([(10, 1)] * 8, 1000) == 1
+
+
 def test_the_whole_history_comes_second_if_its_end_depends_on_its_beginning(spark):
     """Of three that may be held, one is created all the time and one only named: nothing drives out the third."""
     created = [("old", 0), ("kept", 1), *[("again", 10 * i) for i in range(1, 4000)]]
