@@ -202,7 +202,8 @@ def _replayed(rows: DataFrame, block: Column, numbers: list[int], keep: int, fro
     """
     spark = rows.sparkSession
     handed = spark.createDataFrame([], HELD)
-    follower = spark.createDataFrame(list(zip(numbers, numbers[1:])) or [(None, None)], "block long, next long")
+    # Lists of blocks are broadcast: no join deals the rows, so only ``_replay_blocks`` decides which lie together.
+    follower = F.broadcast(spark.createDataFrame(list(zip(numbers, numbers[1:])) or [(None, None)], "block long, next long"))
     given: dict[int, tuple[int, int] | None] = {}
     marks: dict[int, tuple[tuple[int, int], bool]] = {}
     while True:
@@ -210,10 +211,10 @@ def _replayed(rows: DataFrame, block: Column, numbers: list[int], keep: int, fro
         stale = [number for number in numbers if number not in given or given[number] != arriving[number]]
         if not stale:
             return handed.where(F.col("block") == numbers[-1]).drop("block", "rank", "sure")
-        again = spark.createDataFrame([(number,) for number in stale], "block long")
+        again = F.broadcast(spark.createDataFrame([(number,) for number in stale], "block long"))
         before = handed.join(follower, "block").select(F.col("next").alias("block"), "rank", "event_id", "touched_arrival", "created_arrival", "messages")
         replayed = _replay_blocks(
-            rows.join(again.withColumnRenamed("block", "_stale"), block == F.col("_stale"), "left_semi"),
+            rows.join(F.broadcast(again.withColumnRenamed("block", "_stale")), block == F.col("_stale"), "left_semi"),
             block,
             before.join(again, "block", "left_semi"),
             keep,

@@ -235,6 +235,30 @@ def test_a_tail_in_many_short_pieces_is_enough(spark):
             spark.conf.set(k, v)
 
 
+@pytest.mark.parametrize("share", [None, 0])
+def test_blocks_stay_whole_where_skewed_joins_are_split(spark, monkeypatch, share):
+    if share is not None:
+        monkeypatch.setattr(retention, "_cut", lambda made, keep: None)
+        monkeypatch.setattr(retention, "LAST_SHARE", share)
+    created, messages = steady_load(8000)
+    events = spark.createDataFrame(created, "event_id string, created_arrival long")
+    said = spark.createDataFrame(messages, "event_id string, arrival long")
+    settings = {
+        "spark.sql.shuffle.partitions": "30", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    was = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        got = sorted(tuple(r) for r in retention.history(events, said, 10).held.collect())
+    finally:
+        for k, v in was.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert got == plain_retained(created, messages, 10)
+
+
 def test_blocks_are_merged_up_to_a_length(monkeypatch):
     assert retention._merged([(10, 10)] * 8, 1000) == 3 and retention._merged([(10, 10)] * 5, 1000) == 3
     assert retention._merged([(640, 64)] * 8, 1) == 0 and retention._merged([(640, 32)] * 8, 1) == 1
